@@ -300,7 +300,7 @@ def date_threshold_split(t: Tables):
 
 
 @query(
-    """SELECT CAST(c_custkey AS VARCHAR) AS "EinheitMastrNummer", CAST(c_acctbal AS INTEGER) AS "Bruttoleistung",
+    """SELECT CAST(c_custkey AS VARCHAR) AS "EinheitMastrNummer", CAST(floor(c_acctbal) AS INTEGER) AS "Bruttoleistung",
               n_name AS "Bundesland", 'bulk' AS "DatenQuelle", '2024-01-31' AS "DatumDownload", 'Deutschland' AS "Land",
               NULL::VARCHAR AS "Name"
        FROM customer JOIN nation ON n_nationkey = c_nationkey"""
@@ -311,7 +311,7 @@ def rename_project_cast(t: Tables):
     typed = renamed.withColumns(
         {
             "EinheitMastrNummer": F.col("EinheitMastrNummer").cast("string"),
-            "Bruttoleistung": F.round("c_acctbal").cast("int"),
+            "Bruttoleistung": F.floor("c_acctbal").cast("int"),
             "DatenQuelle": F.lit("bulk"),
             "DatumDownload": F.lit("2024-01-31"),
             "Land": F.lit("Deutschland"),

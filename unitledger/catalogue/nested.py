@@ -1 +1,154 @@
-"""Queries."""
+"""Queries for nested replies, linked ids, tags and reshaping."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from unitledger.catalogue import Tables, query
+from unitledger.functions import dates, nested
+
+
+@query(
+    """SELECT event_id, json_extract_string(props, '$.k') AS "Hausnummer", event_type AS "Hersteller", CAST(user_id AS VARCHAR) AS "HerstellerId",
+              CASE WHEN event_id % 4 > 0 THEN event_type || CASE WHEN event_id % 4 > 1 THEN ',' || user_id ELSE '' END END AS "ArtDerFlaeche",
+              CASE WHEN event_id % 3 > 0 THEN 'SEE' || event_id || CASE WHEN event_id % 3 > 1 THEN ', SEE' || (event_id + 1) ELSE '' END ELSE '' END AS "VerknuepfteEinheiten"
+       FROM events"""
+)
+def flatten_nested(t: Tables):
+    n = F.col("event_id")
+
+    def unit(offset):
+        return F.struct(F.concat(F.lit("SEE"), n + offset).alias("MaStRNummer"), F.lit("Wind").alias("Einheittyp"))
+
+    units = F.array(unit(0), unit(1))
+    surfaces = F.array(F.col("event_type"), F.col("user_id").cast("string"))
+    reply = t.events.select(
+        "event_id",
+        F.struct(F.get_json_object("props", "$.k").alias("Wert"), F.lit(False).alias("NichtVorhanden")).alias("Hausnummer"),
+        F.struct(F.col("user_id").cast("string").alias("Id"), F.col("event_type").alias("Wert")).alias("Hersteller"),
+        F.slice(surfaces, 1, F.least(n % 4, F.lit(2)).cast("int")).alias("ArtDerFlaeche"),
+        F.slice(units, 1, (n % 3).cast("int")).alias("VerknuepfteEinheiten"),
+    )
+    return nested.flatten_reply(reply)
+
+
+@query(
+    """SELECT l_orderkey, string_agg('P' || l_partkey, ', ' ORDER BY l_linenumber, l_partkey, l_suppkey) AS parts,
+              string_agg(CAST(l_suppkey AS VARCHAR), ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS suppliers,
+              arg_min(CAST(l_partkey AS VARCHAR), (l_linenumber, l_partkey, l_suppkey)) AS first_part
+       FROM lineitem GROUP BY l_orderkey"""
+)
+def linked_ids_join(t: Tables):
+    # One order's lines are one document; the list of one entity's own links is bounded by it.
+    lines = t.lineitem.groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", F.concat(F.lit("P"), "l_partkey").alias("id")))).alias("links")
+    )
+    parts, suppliers = nested.columns_of_arrays(F.col("links"), ["l_partkey", "l_suppkey"])
+    wide = lines.select("l_orderkey", "links", parts, suppliers)
+    return wide.select(
+        "l_orderkey",
+        nested.joined_ids(F.col("links"), "id").alias("parts"),
+        nested.joined_list(F.col("l_suppkey").cast("array<string>")).alias("suppliers"),
+        nested.first_as_text(F.col("l_partkey")).alias("first_part"),
+    )
+
+
+def event_tags(t: Tables):
+    kind, n = F.col("event_type"), F.col("event_id")
+    tags = F.create_map(F.lit("processed"), F.lit("true"))
+    tags = nested.merge_tags(tags, {"location": "onshore"}, kind == "click")
+    tags = nested.merge_tags(tags, {"location": "offshore"}, kind == "view")
+    tags = nested.merge_tags(tags, {"location": "na"}, ~kind.isin("click", "view"))
+    tags = nested.merge_tags(tags, {"flag": "A"}, n % 2 == 0)
+    tags = nested.merge_tags(tags, {"flag": "B"}, n % 6 == 0)
+    return t.events.select("event_id", tags.alias("tags"))
+
+
+TAGS_SQL = """(SELECT event_id, CASE WHEN event_id % 6 = 0 THEN 'B' WHEN event_id % 2 = 0 THEN 'A' END AS flag,
+    CASE event_type WHEN 'click' THEN 'onshore' WHEN 'view' THEN 'offshore' ELSE 'na' END AS location FROM events)"""
+
+
+@query(f"SELECT COALESCE('flag=' || flag || ';', '') || 'location=' || location || ';processed=true' AS tags, count(*) AS n FROM {TAGS_SQL} GROUP BY 1")
+def tags_merge_histogram(t: Tables):
+    return event_tags(t).groupBy(nested.tags_text(F.col("tags")).alias("tags")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    f"""SELECT location, true AS processed, count(*) AS n, count(*) FILTER (flag IS NOT NULL) AS with_flag
+        FROM {TAGS_SQL} WHERE location <> 'na' GROUP BY location"""
+)
+def tags_field_counts(t: Tables):
+    tags = F.col("tags")
+    kept = event_tags(t).filter(nested.tag(tags, "location") != "na")
+    return kept.groupBy(nested.tag(tags, "location").alias("location"), nested.tag_is_true(tags, "processed").alias("processed")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.map_contains_key("tags", "flag")).alias("with_flag")
+    )
+
+
+@query(
+    """SELECT event_id, '{"event_type":"' || event_type || '","k":' || CASE WHEN event_id % 5 = 0 THEN 'null' ELSE json_extract_string(props, '$.k') END
+              || ',"user_id":' || user_id || '}' AS doc,
+              '[{"k":' || json_extract_string(props, '$.k') || ',"n":' || event_id || '}]' AS list_doc FROM events"""
+)
+def json_serialise(t: Tables):
+    k = F.get_json_object("props", "$.k").cast("int")
+    with_struct = t.events.select(
+        "event_id",
+        F.struct("user_id", "event_type", F.when(F.col("event_id") % 5 != 0, k).alias("k")).alias("s"),
+        F.array(F.struct(F.col("event_id").alias("n"), k.alias("k"))).alias("a"),
+    )
+    return with_struct.select(
+        "event_id",
+        nested.sorted_json(F.col("s"), ["user_id", "event_type", "k"]).alias("doc"),
+        nested.sorted_json_list(F.col("a"), ["n", "k"]).alias("list_doc"),
+    )
+
+
+@query(
+    """SELECT o_custkey, string_agg(strftime(o_orderdate, '%Y-%m-%d') || '=' || CAST(floor(o_totalprice) AS BIGINT), ';' ORDER BY o_orderdate, o_orderkey) AS history
+       FROM orders GROUP BY o_custkey"""
+)
+def iso_date_nested(t: Tables):
+    per_customer = t.orders.groupBy("o_custkey").agg(
+        F.array_sort(F.collect_list(F.struct("o_orderdate", "o_orderkey", "o_totalprice"))).alias("changes")
+    )
+    texts = F.transform(
+        "changes",
+        lambda c: F.concat(dates.iso_date(c["o_orderdate"]), F.lit("="), F.floor(c["o_totalprice"]).cast("string")),
+    )
+    return per_customer.select("o_custkey", F.array_join(texts, ";").alias("history"))
+
+
+@query(
+    """SELECT n_regionkey, max(n_name) FILTER (n_nationkey // 5 = 0) AS slot0, max(n_name) FILTER (n_nationkey // 5 = 1) AS slot1,
+              max(n_name) FILTER (n_nationkey // 5 = 2) AS slot2, max(n_name) FILTER (n_nationkey // 5 = 3) AS slot3,
+              max(n_name) FILTER (n_nationkey // 5 = 4) AS slot4 FROM nation GROUP BY n_regionkey"""
+)
+def transpose_key_values(t: Tables):
+    pairs = t.nation.select("n_regionkey", F.concat(F.lit("slot"), F.floor(F.col("n_nationkey") / 5)).alias("key"), F.col("n_name").alias("value"))
+    return pairs.groupBy("n_regionkey").pivot("key", [f"slot{i}" for i in range(5)]).agg(F.first("value"))
+
+
+@query(
+    """SELECT vec_id, CAST(len(embedding) AS INTEGER) AS size, CAST(round(embedding[1], 6) AS DOUBLE) AS first_value, label FROM embeddings"""
+)
+def array_first_element(t: Tables):
+    return t.embeddings.select(
+        "vec_id", F.size("embedding").alias("size"), F.round(F.try_element_at("embedding", F.lit(1)), 6).cast("double").alias("first_value"), "label"
+    )
+
+
+@query(
+    """SELECT conv_id, string_agg(role, ', ' ORDER BY turn) AS roles, CAST(sum(length(text)) AS BIGINT) AS n_chars,
+              strftime(min(TIMESTAMP '2024-01-01' + to_minutes(turn)), '%Y-%m-%dT%H:%M:%S.%f') AS first_turn
+       FROM conversations GROUP BY conv_id"""
+)
+def conversation_links(t: Tables):
+    turns = t.conversations.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("links"),
+        F.sum(F.length("text")).alias("n_chars"),
+        F.min(F.timestampadd("MINUTE", F.col("turn").cast("int"), F.lit("2024-01-01").cast("timestamp"))).alias("first"),
+    )
+    return turns.select(
+        "conv_id", nested.joined_ids(F.col("links"), "role").alias("roles"), "n_chars", dates.iso_timestamp(F.col("first")).alias("first_turn")
+    )
