@@ -1 +1,157 @@
-"""Queries."""
+"""Queries for the incremental mirror."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from unitledger.catalogue import Tables, query
+from unitledger.operators.skew import keyed_join
+from unitledger.session import shared_dir
+from unitledger.streaming import mirror
+
+HALVES_SQL = """
+  stored AS (SELECT user_id, event_id, event_type, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+             FROM events WHERE event_type IN ('view', 'click') AND user_id % 3 > 0) WHERE rn = 1),
+  batch AS (SELECT user_id, event_id, event_type, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+            FROM events WHERE event_type IN ('purchase', 'error')) WHERE rn = 1),
+  changed AS (SELECT b.*, CASE WHEN s.user_id IS NULL THEN 'insert' ELSE 'update' END AS op FROM batch b LEFT JOIN stored s ON s.user_id = b.user_id
+              WHERE s.user_id IS NULL OR s.ts < b.ts)"""
+
+
+def stored_and_batch(t: Tables):
+    """Units of two event kinds are what is stored, two further kinds are the new batch."""
+    rows = t.events.select("user_id", "event_id", "event_type", "ts")
+    order = [F.desc("ts"), F.desc("event_id")]
+    stored = mirror.last_per_key(rows.filter("event_type in ('view', 'click') and user_id % 3 > 0"), "user_id", order)
+    return stored, rows.filter("event_type in ('purchase', 'error')"), order
+
+
+@query(f"WITH {HALVES_SQL} SELECT user_id, event_id, event_type FROM changed UNION ALL SELECT user_id, event_id, event_type FROM stored WHERE user_id NOT IN (SELECT user_id FROM changed)")
+def upsert_newer_wins(t: Tables):
+    stored, batch, order = stored_and_batch(t)
+    return mirror.upsert(stored, batch, "user_id", "ts", order).select("user_id", "event_id", "event_type")
+
+
+@query(f"WITH {HALVES_SQL} SELECT user_id, event_id, op FROM changed")
+def upsert_operations(t: Tables):
+    stored, batch, order = stored_and_batch(t)
+    return mirror.changes(stored, mirror.last_per_key(batch, "user_id", order), "user_id", "ts").select("user_id", "event_id", "op")
+
+
+UNITS_SQL = """(SELECT 'SEE' || o_orderkey AS unit_id, CASE o_orderpriority WHEN '1-URGENT' THEN 'wind' WHEN '2-HIGH' THEN 'solar' ELSE 'hydro' END AS technology,
+   CASE WHEN o_orderstatus = 'F' THEN 'EEG' || o_custkey WHEN o_orderstatus = 'O' THEN '' END AS eeg, CASE WHEN o_orderkey % 3 = 0 THEN 'KWK' || o_orderkey END AS kwk,
+   CASE WHEN o_orderkey % 5 = 0 THEN 'SGE' || o_orderkey END AS gen FROM orders)"""
+
+REQUESTS_SQL = f"""(SELECT unit_id, technology, 'unit_data' AS data_type, unit_id AS additional_data_id FROM {UNITS_SQL}
+   UNION ALL SELECT unit_id, technology, 'eeg_data', eeg FROM {UNITS_SQL} WHERE eeg <> '' UNION ALL SELECT unit_id, technology, 'kwk_data', kwk FROM {UNITS_SQL} WHERE kwk IS NOT NULL
+   UNION ALL SELECT unit_id, technology, 'permit_data', gen FROM {UNITS_SQL} WHERE gen IS NOT NULL)"""
+
+
+def request_rows(t: Tables):
+    k, status, kind = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
+    units = t.orders.select(
+        F.concat(F.lit("SEE"), k).alias("EinheitMastrNummer"),
+        F.when(status == "F", F.concat(F.lit("EEG"), "o_custkey")).when(status == "O", "").alias("EegMastrNummer"),
+        F.when(k % 3 == 0, F.concat(F.lit("KWK"), k)).alias("KwkMastrNummer"),
+        F.when(k % 5 == 0, F.concat(F.lit("SGE"), k)).alias("GenMastrNummer"),
+        F.when(kind == "1-URGENT", "wind").when(kind == "2-HIGH", "solar").otherwise("hydro").alias("technology"),
+    )
+    return mirror.detail_requests(units, F.col("technology"))
+
+
+@query(f"SELECT * FROM {REQUESTS_SQL}")
+def request_generation(t: Tables):
+    return request_rows(t)
+
+
+@query(
+    f"""SELECT unit_id, data_type, technology FROM {REQUESTS_SQL} r WHERE NOT (technology = 'wind' AND unit_id IN (SELECT unit_id FROM {REQUESTS_SQL} n WHERE data_type = 'permit_data'))
+        UNION ALL SELECT unit_id, data_type, technology FROM {REQUESTS_SQL} WHERE data_type = 'permit_data'"""
+)
+def request_replacement(t: Tables):
+    rows = request_rows(t)
+    fresh = rows.filter("data_type = 'permit_data'")
+    return mirror.replace_requests(rows, fresh, technology="wind").select("unit_id", "data_type", "technology")
+
+
+@query(
+    """SELECT o_custkey AS id, 'Broken' AS reason FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'F' GROUP BY o_custkey
+       UNION ALL SELECT c_custkey, 'Timeout' FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+         AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'F')"""
+)
+def reconcile_requests(t: Tables):
+    requested = t.customer.select(F.col("c_custkey").alias("id"))
+    retrieved = t.orders.filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("id"))
+    failed = t.orders.filter("o_orderpriority = '5-LOW' and o_orderstatus = 'F'").select(F.col("o_custkey").alias("id")).distinct()
+    return mirror.reconcile(requested, retrieved, failed.withColumn("reason", F.lit("Broken")), "id")
+
+
+@query(
+    """SELECT c_custkey AS id, c_mktsegment, 'Broken' AS reason FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'F')"""
+)
+def remaining_requests(t: Tables):
+    requests = t.customer.select(F.col("c_custkey").alias("id"), "c_mktsegment")
+    missed = t.orders.filter("o_orderpriority = '5-LOW' and o_orderstatus = 'F'").select(F.col("o_custkey").alias("id"), F.lit("Broken").alias("reason"))
+    return mirror.remaining_requests(requests, missed, "id")
+
+
+@query(
+    """SELECT event_id, event_type FROM events WHERE event_type <> 'error' AND user_id NOT IN
+         (SELECT user_id FROM events WHERE event_type = 'error' AND value > 65)"""
+)
+def tombstone_removal(t: Tables):
+    deleted = t.events.filter("event_type = 'error' and value > 65")
+    return mirror.without_deleted(t.events.filter("event_type <> 'error'"), deleted, "user_id").select("event_id", "event_type")
+
+
+@query(
+    """SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')"""
+)
+def open_detail_requests(t: Tables):
+    pending = t.orders.filter("o_orderstatus = 'P'")
+    base = t.customer.select("c_custkey", "c_mktsegment")
+    return mirror.open_requests(base, pending, "c_custkey", "o_custkey", F.col("c_mktsegment") == "BUILDING")
+
+
+@query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events) WHERE rn = 1")
+def incremental_stream(t: Tables):
+    """All events, written as several files, streamed in micro-batches and merged by key."""
+    import uuid
+
+    folder = f"{shared_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+    rows = t.events.select("user_id", "event_id", "event_type", "ts")
+    rows.repartition(4, "event_id").write.parquet(f"{folder}/source")
+    source = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/source")
+    log = mirror.ChangeLog(t.spark, f"{folder}/log", "user_id", "ts", rows.schema)
+    stream = mirror.mirror_stream(source, log, f"{folder}/checkpoint")
+    stream.awaitTermination()
+    return log.current().select("user_id", "event_id", "event_type")
+
+
+@query("SELECT event_type, count(DISTINCT event_id) AS n FROM events GROUP BY event_type")
+def streamed_deduplication(t: Tables):
+    """Events sent twice, deduplicated by the stream itself."""
+    import uuid
+
+    folder = f"{shared_dir(t.spark)}/dedupe-{uuid.uuid4().hex}"
+    rows = t.events.select("event_id", "event_type", "ts")
+    rows.unionAll(rows).repartition(4).write.parquet(f"{folder}/source")
+    source = t.spark.readStream.schema(rows.schema).parquet(f"{folder}/source")
+    stamped = source.withColumn("ts", F.col("ts").cast("timestamp"))
+    unique = mirror.deduplicated(stamped, ["event_id"], "ts", "60 days")
+    query = (
+        unique.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint")
+        .option("path", f"{folder}/out").outputMode("append").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return t.spark.read.parquet(f"{folder}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    """SELECT e.event_id FROM events e JOIN (SELECT event_type, max(ts) AS ts FROM events WHERE user_id % 2 = 0 GROUP BY event_type) m
+       ON m.event_type = e.event_type WHERE e.ts > m.ts"""
+)
+def rows_after_high_water(t: Tables):
+    """Rows a next fetch would bring: newer than the newest stored stamp of their type."""
+    marks = mirror.high_water_marks(t.events.filter("user_id % 2 = 0"), "event_type", "ts").withColumnRenamed("ts", "_mark")
+    return keyed_join(t.events, marks, ["event_type"], "inner").filter("ts > _mark").select("event_id")

@@ -33,23 +33,25 @@ def flatten_nested(t: Tables):
 
 
 @query(
-    """SELECT l_orderkey, string_agg('P' || l_partkey, ', ' ORDER BY l_linenumber, l_partkey, l_suppkey) AS parts,
-              string_agg(CAST(l_suppkey AS VARCHAR), ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS suppliers,
-              arg_min(CAST(l_partkey AS VARCHAR), (l_linenumber, l_partkey, l_suppkey)) AS first_part
-       FROM lineitem GROUP BY l_orderkey"""
+    """WITH u AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linenumber % 4 AS n FROM lineitem)
+       SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN n > 0 THEN 'P' || l_partkey ELSE '' END || CASE WHEN n > 1 THEN ', S' || l_suppkey ELSE '' END
+              || CASE WHEN n > 2 THEN ', O' || l_orderkey ELSE '' END AS links,
+              CASE WHEN n > 0 THEN 'part' || CASE WHEN n > 1 THEN ',supplier' ELSE '' END || CASE WHEN n > 2 THEN ',order' ELSE '' END END AS kinds,
+              CASE WHEN n > 0 THEN 'P' || l_partkey END AS first_link
+       FROM u"""
 )
 def linked_ids_join(t: Tables):
-    # One order's lines are one document; the list of one entity's own links is bounded by it.
-    lines = t.lineitem.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", F.concat(F.lit("P"), "l_partkey").alias("id")))).alias("links")
-    )
-    parts, suppliers = nested.columns_of_arrays(F.col("links"), ["l_partkey", "l_suppkey"])
-    wide = lines.select("l_orderkey", "links", parts, suppliers)
+    def link(kind, letter, column):
+        return F.struct(F.concat(F.lit(letter), column).alias("id"), F.lit(kind).alias("kind"))
+
+    every = F.array(link("part", "P", "l_partkey"), link("supplier", "S", "l_suppkey"), link("order", "O", "l_orderkey"))
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.slice(every, 1, F.col("l_linenumber") % 4).alias("all_links"))
+    wide = lines.select("*", *nested.columns_of_arrays(F.col("all_links"), ["id", "kind"]))
     return wide.select(
-        "l_orderkey",
-        nested.joined_ids(F.col("links"), "id").alias("parts"),
-        nested.joined_list(F.col("l_suppkey").cast("array<string>")).alias("suppliers"),
-        nested.first_as_text(F.col("l_partkey")).alias("first_part"),
+        "l_orderkey", "l_linenumber", "l_partkey",
+        nested.joined_ids(F.col("all_links"), "id").alias("links"),
+        nested.joined_list(F.col("kind")).alias("kinds"),
+        nested.first_as_text(F.col("id")).alias("first_link"),
     )
 
 
@@ -105,18 +107,21 @@ def json_serialise(t: Tables):
 
 
 @query(
-    """SELECT o_custkey, string_agg(strftime(o_orderdate, '%Y-%m-%d') || '=' || CAST(floor(o_totalprice) AS BIGINT), ';' ORDER BY o_orderdate, o_orderkey) AS history
-       FROM orders GROUP BY o_custkey"""
+    """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') || '=' || CAST(floor(o_totalprice) AS BIGINT) || ';' ||
+              strftime(o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d') || '=' || CAST(floor(o_totalprice / 2) AS BIGINT) AS history,
+              strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') AS first_change
+       FROM orders"""
 )
 def iso_date_nested(t: Tables):
-    per_customer = t.orders.groupBy("o_custkey").agg(
-        F.array_sort(F.collect_list(F.struct("o_orderdate", "o_orderkey", "o_totalprice"))).alias("changes")
+    day, price = F.col("o_orderdate"), F.col("o_totalprice")
+    later = day + F.make_dt_interval(F.lit(30))
+    changes = F.array(
+        F.struct(day.alias("at"), price.alias("price")), F.struct(later.alias("at"), (price / 2).alias("price"))
     )
     texts = F.transform(
-        "changes",
-        lambda c: F.concat(dates.iso_date(c["o_orderdate"]), F.lit("="), F.floor(c["o_totalprice"]).cast("string")),
+        changes, lambda c: F.concat(dates.iso_date(c["at"]), F.lit("="), F.floor(c["price"]).cast("string"))
     )
-    return per_customer.select("o_custkey", F.array_join(texts, ";").alias("history"))
+    return t.orders.select("o_orderkey", F.array_join(texts, ";").alias("history"), dates.iso_timestamp(day).alias("first_change"))
 
 
 @query(
@@ -139,16 +144,13 @@ def array_first_element(t: Tables):
 
 
 @query(
-    """SELECT conv_id, string_agg(role, ', ' ORDER BY turn) AS roles, CAST(sum(length(text)) AS BIGINT) AS n_chars,
-              strftime(min(TIMESTAMP '2024-01-01' + to_minutes(turn)), '%Y-%m-%dT%H:%M:%S.%f') AS first_turn
-       FROM conversations GROUP BY conv_id"""
+    """SELECT conv_id, turn, replace(text, chr(10), ', ') AS lines, string_split(text, chr(10))[1] AS first_line,
+              CAST(len(string_split(text, chr(10))) AS INTEGER) AS n_lines FROM conversations"""
 )
-def conversation_links(t: Tables):
-    turns = t.conversations.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("links"),
-        F.sum(F.length("text")).alias("n_chars"),
-        F.min(F.timestampadd("MINUTE", F.col("turn").cast("int"), F.lit("2024-01-01").cast("timestamp"))).alias("first"),
-    )
-    return turns.select(
-        "conv_id", nested.joined_ids(F.col("links"), "role").alias("roles"), "n_chars", dates.iso_timestamp(F.col("first")).alias("first_turn")
+def text_line_lists(t: Tables):
+    lines = F.split("text", "\n")
+    return t.conversations.select(
+        "conv_id", "turn",
+        nested.joined_ids(F.transform(lines, lambda x: F.struct(x.alias("line"))), "line").alias("lines"),
+        nested.first_as_text(lines).alias("first_line"), F.size(lines).alias("n_lines"),
     )

@@ -52,7 +52,11 @@ def first_as_text(array: Column) -> Column:
 
 def columns_of_arrays(array: Column, fields: Sequence[str]) -> list[Column]:
     """One array column per field of a list of structs."""
-    return [F.transform(array, lambda x, f=f: x[f]).alias(f) for f in fields]
+
+    def column(field: str) -> Column:
+        return F.transform(array, lambda x: x[field]).alias(field)
+
+    return [column(f) for f in fields]
 
 
 def sorted_json(c: Column, fields: Sequence[str]) -> Column:
