@@ -159,10 +159,10 @@ def destination_polygons(t: Tables):
 
 CENTRES_SQL = f"""(SELECT region_id, sum((x1 + x2) * (x1 * y2 - x2 * y1)) / (3 * sum(x1 * y2 - x2 * y1)) AS cx, sum((y1 + y2) * (x1 * y2 - x2 * y1)) / (3 * sum(x1 * y2 - x2 * y1)) AS cy
    FROM {EDGES_SQL} GROUP BY region_id)"""
-SURFACE_SQL = f"""(WITH c AS {CENTRES_SQL}, s AS (SELECT c.region_id, cx, cy, e.x1 + (cy - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1) AS at FROM c JOIN {EDGES_SQL} e ON e.region_id = c.region_id AND (e.y1 > cy) <> (e.y2 > cy)),
-   n AS (SELECT *, row_number() OVER (PARTITION BY region_id ORDER BY at) AS rn, lead(at) OVER (PARTITION BY region_id ORDER BY at) AS nxt FROM s),
-   w AS (SELECT *, nxt - at AS width FROM n WHERE rn % 2 = 1)
-   SELECT region_id, CASE WHEN bool_or(at <= cx AND cx < nxt) THEN any_value(cx) ELSE arg_max((at + nxt) / 2, width) END AS point_x, any_value(cy) AS point_y FROM w GROUP BY region_id)"""
+SURFACE_SQL = f"""(WITH c AS {CENTRES_SQL}, s AS (SELECT c.region_id, cx, cy, e.x1 + (cy - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1) AS pos FROM c JOIN {EDGES_SQL} e ON e.region_id = c.region_id AND (e.y1 > cy) <> (e.y2 > cy)),
+   n AS (SELECT *, row_number() OVER (PARTITION BY region_id ORDER BY pos) AS rn, lead(pos) OVER (PARTITION BY region_id ORDER BY pos) AS nxt FROM s),
+   w AS (SELECT *, nxt - pos AS width FROM n WHERE rn % 2 = 1)
+   SELECT region_id, CASE WHEN bool_or(pos <= cx AND cx < nxt) THEN any_value(cx) ELSE arg_max((pos + nxt) / 2, width) END AS point_x, any_value(cy) AS point_y FROM w GROUP BY region_id)"""
 
 
 @query(f"SELECT c.region_id, round(cx, 6) AS centre_x, round(cy, 6) AS centre_y, round(point_x, 6) AS point_x, round(point_y, 6) AS point_y FROM {CENTRES_SQL} c JOIN {SURFACE_SQL} s ON s.region_id = c.region_id")
@@ -280,8 +280,8 @@ def supplement_funnel(t: Tables):
 
 
 @query(
-    """WITH u AS (SELECT (CASE WHEN o_orderkey % 3 = 0 THEN 'SME' ELSE 'SEE' END) || o_orderkey AS id, o_custkey AS plz, o_orderpriority AS kind, o_orderdate AS at, o_orderkey FROM orders),
-       f AS (SELECT *, CASE WHEN o_orderkey % 3 = 0 AND at <= TIMESTAMP '1999-01-31' THEN 'old' WHEN o_orderkey % 3 > 0 AND at > TIMESTAMP '1999-01-31' THEN 'new' END AS side FROM u),
+    """WITH u AS (SELECT (CASE WHEN o_orderkey % 3 = 0 THEN 'SME' ELSE 'SEE' END) || o_orderkey AS id, o_custkey AS plz, o_orderpriority AS kind, o_orderdate AS dt, o_orderkey FROM orders),
+       f AS (SELECT *, CASE WHEN o_orderkey % 3 = 0 AND dt <= TIMESTAMP '1999-01-31' THEN 'old' WHEN o_orderkey % 3 > 0 AND dt > TIMESTAMP '1999-01-31' THEN 'new' END AS side FROM u),
        g AS (SELECT plz, kind, count(*) FILTER (side = 'old') AS n_old, count(*) FILTER (side = 'new') AS n_new FROM f GROUP BY plz, kind)
        SELECT f.plz, f.kind, f.side, f.id, n_old, n_new FROM f JOIN g ON g.plz = f.plz AND g.kind = f.kind WHERE side IS NOT NULL AND n_old > 0 AND n_new > 0"""
 )

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import sys
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from unitledger.session import shared_dir
+
 # The keys that get salted. A key outside the HOT_KEYS most frequent ones holds at most
 # 1/HOT_KEYS of the rows, so it needs no split. The list is broadcast; its size is this bound.
 HOT_KEYS = 1000
@@ -16,7 +20,10 @@ SALTS = 64
 
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan; used to leave small lookups to a broadcast join."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except ValueError:  # estimates of long join chains can exceed what Python parses
+        return sys.maxsize
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -116,26 +123,32 @@ def ranked(df: DataFrame, order: Sequence[Column], rank: str = "position", start
     the number of rows in earlier partitions. The per-partition counts are at most as many rows
     as there are shuffle partitions, which bounds the broadcast. The order must be total.
     """
-    spark = df.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort = df.repartitionByRange(partitions, *order).withColumn("_part", F.spark_partition_id())
-    sort = written(sort)
-    counts = sort.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The id holds the partition in its upper bits and the place within it in the lower 33.
+    placed = written(
+        df.repartitionByRange(partitions, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_id", F.monotonically_increasing_id())
+    )
+    part = F.shiftright("_id", 33)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    place = F.col("_id") - F.shiftleft(part, 33)
     return (
-        sort.withColumn("_place", place)
+        placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .withColumn(rank, (F.col("_before") + F.col("_place") + (start - 1)).cast("bigint"))
-        .drop("_part", "_place", "_before")
+        .withColumn(rank, (F.col("_before") + place + start).cast("bigint"))
+        .drop("_part", "_id", "_before")
     )
 
 
 def written(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the cluster's checkpoint folder, so that lost executors cost
-    no recomputation and later readers see one fixed result."""
-    from unitledger.session import shared_dir
+    """Write a result to the cluster's checkpoint folder and read it back.
 
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    Lost executors then cost no recomputation, later readers see one fixed result, and the
+    planner knows its true size instead of a product of estimates.
+    """
+    path = f"{shared_dir(df.sparkSession)}/written/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
