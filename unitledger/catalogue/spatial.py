@@ -73,15 +73,14 @@ def point_in_polygon(t: Tables):
 
 @query(f"SELECT p.id, i.region_id FROM {POINTS_SQL} p LEFT JOIN {INSIDE_SQL} i ON i.id = p.id")
 def point_in_polygon_left(t: Tables):
-    found = spatial.join_regions(points(t).select("id", "x", "y"), edges(t), "x", "y", CELL, how="left", id_column="id")
+    found = spatial.join_regions(points(t).select("id", "x", "y"), edges(t), "x", "y", CELL, how="left")
     return found.select("id", "region_id")
 
 
 @query(f"SELECT p.id, i.id IS NOT NULL AS correct FROM {POINTS_SQL} p LEFT JOIN {INSIDE_SQL} i ON i.id = p.id AND i.region_id = p.declared")
 def declared_region_check(t: Tables):
-    own = spatial.join_regions(points(t), edges(t), "x", "y", CELL, declared="declared")
-    hits = own.select("id", F.lit(True).alias("correct"))
-    return keyed_join(points(t).select("id"), hits, ["id"], "left").select("id", F.coalesce("correct", F.lit(False)).alias("correct"))
+    checked = spatial.in_declared_region(points(t), edges(t), "x", "y", CELL, "declared")
+    return checked.select("id", "correct")
 
 
 @query(f"SELECT id, region_id FROM {NEAR_SQL}")
@@ -234,7 +233,7 @@ def region_mismatch_report(t: Tables):
     every = points(t)
     kinds = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
     tables = {k: every.filter(F.col("segment") == k) for k in kinds}
-    report = quality.mismatch_report(tables, edges(t), "id", "declared", "x", "y", CELL, buffer=1.5)
+    report = quality.mismatch_report(tables, edges(t), "declared", "x", "y", CELL, buffer=1.5)
     return report.withColumn("share", F.round("share", 6))
 
 
@@ -264,7 +263,7 @@ def location_funnel(t: Tables):
         F.when(F.col("id") % 7 > 0, F.col("declared")).alias("state"), "power", F.lit(1).alias("stamp"),
     )
     repeats = units.filter("state is not null").withColumn("stamp", F.lit(2))
-    return quality.location_funnel([units, repeats], edges(t), "id", "stamp", "state", "x", "y", CELL, buffer=1.5)
+    return quality.location_funnel([units, repeats], edges(t), "stamp", "state", "x", "y", CELL, buffer=1.5)
 
 
 @query(
@@ -463,7 +462,7 @@ def cleansing_chain_projected(t: Tables):
 
 
 @query(
-    f"""WITH {clusters_sql(OTHER_SQL, '6e2')}, hits AS (SELECT DISTINCT m.id, p.cluster FROM {METRES_SQL} m JOIN {OTHER_SQL} o ON (o.x - m.x) * (o.x - m.x) + (o.y - m.y) * (o.y - m.y) <= 3e2 * 3e2 JOIN parts p ON p.id = o.id)
+    f"""WITH {clusters_sql(OTHER_SQL, '12e1')}, hits AS (SELECT DISTINCT m.id, p.cluster FROM {METRES_SQL} m JOIN {OTHER_SQL} o ON (o.x - m.x) * (o.x - m.x) + (o.y - m.y) * (o.y - m.y) <= 6e1 * 6e1 JOIN parts p ON p.id = o.id)
         SELECT p.cluster, any_value(p.n) AS osm_count, round(sum(m.power), 2) AS mastr_sum, CASE WHEN count(m.id) > 0 THEN count(m.id) END AS mastr_count
         FROM (SELECT cluster, count(*) AS n FROM parts GROUP BY cluster) p LEFT JOIN hits h ON h.cluster = p.cluster LEFT JOIN {METRES_SQL} m ON m.id = h.id GROUP BY p.cluster"""
 )
@@ -473,5 +472,5 @@ def external_match_table(t: Tables):
         F.create_map(F.lit("processed"), F.lit("true")).alias("tags"), F.lit(None).cast("string").alias("comment"),
     )
     external = other_metres(t).select(F.col("id").alias("osm_id"), F.col("x").alias("x_3035"), F.col("y").alias("y_3035"))
-    _, table = cleansing.match_external(units, external, reach=300.0)
+    _, table = cleansing.match_external(units, external, reach=60.0)
     return table.select("cluster", "osm_count", F.round("mastr_sum", 2).alias("mastr_sum"), "mastr_count")

@@ -95,9 +95,16 @@ def flatten_reply(df: DataFrame) -> DataFrame:
 # Tags: a map of text to text, merged with the last value winning.
 
 
+NO_TAGS = "map<string,string>"
+
+
 def merge_tags(tags: Column, new: Mapping[str, str], where: Column | None = None) -> Column:
-    added = F.map_concat(tags, F.create_map(*[F.lit(x) for pair in new.items() for x in pair]))
-    return added if where is None else F.when(where, added).otherwise(tags)
+    """Set tags, for rows where the condition holds. The old tags appear once in the
+    expression, so long chains stay small."""
+    added = F.create_map(*[F.lit(x) for pair in new.items() for x in pair])
+    if where is not None:
+        added = F.when(where, added).otherwise(F.create_map().cast(NO_TAGS))
+    return F.map_concat(tags, added)
 
 
 def tag(tags: Column, name: str) -> Column:

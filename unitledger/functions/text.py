@@ -109,7 +109,15 @@ def strip_carriage_returns(df: DataFrame, columns=("Aktenzeichen", "Behoerde"))
 
 
 def append_comment(comment: Column, text: str, where: Column) -> Column:
-    return F.when(where, F.concat(F.coalesce(comment, F.lit("")), F.lit(text))).otherwise(comment)
+    """Append to the audit comment; a comment nothing was ever added to is empty text.
+
+    The comment appears once in the expression, so long chains stay small.
+    """
+    return F.concat_ws("", comment, F.when(where, F.lit(text)))
+
+
+def null_if_empty(c: Column) -> Column:
+    return F.nullif(c, F.lit(""))
 
 
 def full_name(first: Column, second: Column) -> Column:

@@ -31,15 +31,6 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> tuple[DataFrame, bool]:
-    """Count up to one row past the bound; mark for broadcast only when the bound holds.
-
-    Made for tables that grow by `explode`, where Catalyst's estimate is too low to trust.
-    """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return (F.broadcast(df) if small else df), small
-
-
 def hot_keys(df: DataFrame, keys: Sequence[str], counts: DataFrame | None = None) -> DataFrame:
     """The most frequent keys of `df`: a map-side combined count, then a distributed top-k."""
     if counts is None:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from unitledger.functions.geo import squared_distance
-from unitledger.operators.skew import broadcast_if_small, keyed_join, written
+from unitledger.operators.skew import keyed_join, written
 
 # ---------------------------------------------------------------- polygons
 
@@ -112,43 +112,58 @@ def region_cells(edges: DataFrame, cell: float, buffer: float = 0.0, region: str
     return kept.select(region, "cx", "cy", F.when(F.col("border"), needed).alias("border_edges"))
 
 
-def join_regions(
-    points: DataFrame,
-    edges: DataFrame,
-    x: str,
-    y: str,
-    cell: float,
-    how: str = "inner",
-    buffer: float | None = None,
-    declared: str | None = None,
-    region: str = "region_id",
-    id_column: str | None = None,
+def region_index(edges: DataFrame, cell: float, buffer: float = 0.0, region: str = "region_id") -> DataFrame:
+    """One row per grid cell with the regions that reach into it: the lookup side of every
+    containment question. Its size depends on the layer only, never on the points; it is
+    written once, so the planner broadcasts it only when its true size allows."""
+    cells = region_cells(edges, cell, buffer, region)
+    entry = F.struct(F.col(region).alias("region"), F.col("border_edges"))
+    return written(cells.groupBy("cx", "cy").agg(F.collect_list(entry).alias("_regions")))
+
+
+def located(
+    points: DataFrame, edges: DataFrame, x: str, y: str, cell: float,
+    buffer: float | None = None, name: str = "regions", region: str = "region_id",
 ) -> DataFrame:
-    """Join each point to the regions that contain it.
+    """Add the array of regions that contain each point; no row is added, lost or moved when
+    the region index can be broadcast. Points without a position get an empty array.
 
     `buffer` also accepts points within that distance of an edge (0 accepts points on it);
-    without it only the half-open inside counts. `declared` names a point column that must
-    equal the region id, which makes it part of the join key. `how="left"` needs a unique
-    `id_column` and keeps points in no region with a NULL region.
+    without it only the half-open inside counts.
     """
-    cells = region_cells(edges, cell, buffer or 0.0, region)
-    small_cells, small = broadcast_if_small(cells)
-    located = points.withColumns(
+    index = region_index(edges, cell, buffer or 0.0, region)
+    placed = points.withColumns(
         {"cx": F.floor(F.col(x) / cell).cast("bigint"), "cy": F.floor(F.col(y) / cell).cast("bigint")}
     )
-    keys = ["cx", "cy"]
-    if declared:
-        small_cells = small_cells.withColumn(declared, F.col(region))
-        keys.append(declared)
-    matched = keyed_join(located, small_cells, keys, "inner", split=not small)
-    hit = F.col("border_edges").isNull() | inside(F.col(x), F.col(y), F.col("border_edges"))
-    if buffer is not None:
-        hit = hit | near_edge(F.col(x), F.col(y), F.col("border_edges"), buffer)
-    found = matched.filter(hit).select(*points.columns, region)
-    if how == "inner":
-        return found
-    regions = found.select(id_column, region)
-    return keyed_join(points, regions, [id_column], "left").select(*points.columns, region)
+    joined = keyed_join(placed, index, ["cx", "cy"], "left")
+
+    def holds(r: Column) -> Column:
+        hit = r["border_edges"].isNull() | inside(F.col(x), F.col(y), r["border_edges"])
+        return hit if buffer is None else hit | near_edge(F.col(x), F.col(y), r["border_edges"], buffer)
+
+    found = F.transform(F.filter("_regions", holds), lambda r: r["region"])
+    none = F.array().cast(joined.select(found.alias("f")).schema["f"].dataType)
+    return joined.select(*points.columns, F.coalesce(found, none).alias(name))
+
+
+def join_regions(
+    points: DataFrame, edges: DataFrame, x: str, y: str, cell: float,
+    how: str = "inner", buffer: float | None = None, region: str = "region_id",
+) -> DataFrame:
+    """One row per point and region that contains it; `how="left"` keeps points in none."""
+    found = located(points, edges, x, y, cell, buffer, "_found", region)
+    spread = F.explode("_found") if how == "inner" else F.explode_outer("_found")
+    return found.withColumn(region, spread).drop("_found")
+
+
+def in_declared_region(
+    points: DataFrame, edges: DataFrame, x: str, y: str, cell: float, declared: str,
+    buffer: float | None = None, name: str = "correct", region: str = "region_id",
+) -> DataFrame:
+    """Flag points whose position lies in the region they name; never NULL."""
+    found = located(points, edges, x, y, cell, buffer, "_found", region)
+    own = F.coalesce(F.array_contains("_found", F.col(declared)), F.lit(False))
+    return found.withColumn(name, own).drop("_found")
 
 
 def polygon_centres(edges: DataFrame, region: str = "region_id") -> DataFrame:
@@ -389,7 +404,6 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .distinct()
         )
-        large = written(large)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             keyed_join(large, least, ["u"], "inner")

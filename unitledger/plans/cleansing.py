@@ -35,12 +35,10 @@ STATUS_TAGS = {
 CAPACITY_LIMIT_KW = 9500
 
 
-def _flag_inside(units: DataFrame, edges: DataFrame, key: str, x: str, y: str, cell: float, flag: str, where: Column) -> DataFrame:
+def _flag_inside(units: DataFrame, edges: DataFrame, x: str, y: str, cell: float, flag: str, where: Column) -> DataFrame:
     """A never-NULL column telling whether the position lies in any region."""
-    candidates = units.filter(where & F.col(x).isNotNull() & F.col(y).isNotNull()).select(key, x, y)
-    hits = spatial.join_regions(candidates, edges, x, y, cell).select(key, F.lit(True).alias(flag)).distinct()
-    joined = keyed_join(units, hits, [key], "left")
-    return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).select(*units.columns, flag)
+    found = spatial.located(units, edges, x, y, cell, name="_found")
+    return found.withColumn(flag, where & (F.size("_found") > 0)).drop("_found")
 
 
 def _postcode_points(units: DataFrame, points: DataFrame, postcode: Column, lon: str, lat: str) -> DataFrame:
@@ -56,7 +54,7 @@ def _address_postcode() -> Column:
     return F.when(F.length(digits) == 5, digits)
 
 
-def short_cleansing(units: DataFrame, bounds: Boundaries, key: str = "EinheitMastrNummer", strict: bool = True) -> DataFrame:
+def short_cleansing(units: DataFrame, bounds: Boundaries, strict: bool = True) -> DataFrame:
     """Keep a position, or take the centre of the postcode area; drop units left without one.
 
     `strict` keeps positions outside the country unless a row's comment history says the
@@ -67,7 +65,7 @@ def short_cleansing(units: DataFrame, bounds: Boundaries, key: str = "EinheitMas
     comment = text.append_comment(comment, "has_geom; ", has)
     comment = text.append_comment(comment, "no_geom; ", ~has)
     units = _flag_inside(
-        units.withColumn("comment", comment), bounds.country, key, "Laengengrad", "Breitengrad", bounds.country_cell, "_inside", F.lit(True)
+        units.withColumn("comment", comment), bounds.country, "Laengengrad", "Breitengrad", bounds.country_cell, "_inside", F.lit(True)
     )
     units = units.withColumn("comment", text.append_comment(F.col("comment"), "inside_vg250; ", F.col("_inside")))
     outside = F.col("comment") == "make_geom; has_geom; " if strict else has & ~F.col("_inside")
@@ -78,7 +76,9 @@ def short_cleansing(units: DataFrame, bounds: Boundaries, key: str = "EinheitMas
             "Breitengrad": F.when(~F.col("_outside"), F.col("Breitengrad")),
         }
     ).drop("_inside", "_outside")
-    centres = spatial.polygon_centres(bounds.postcodes).withColumnsRenamed({"centre_x": "point_x", "centre_y": "point_y"})
+    centres = written(
+        spatial.polygon_centres(bounds.postcodes).withColumnsRenamed({"centre_x": "point_x", "centre_y": "point_y"})
+    )
     units = _postcode_points(units, centres, F.col("Postleitzahl"), "_lon1", "_lat1")
     units = _postcode_points(units, centres, _address_postcode(), "_lon2", "_lat2")
     bare = ~has
@@ -115,9 +115,7 @@ def wind_tags(units: DataFrame) -> DataFrame:
     return units.withColumns({"tags": tags, "Bruttoleistung": power})
 
 
-def wind_cleansing(
-    units: DataFrame, bounds: Boundaries, key: str = "EinheitMastrNummer", strict: bool = True
-) -> DataFrame:
+def wind_cleansing(units: DataFrame, bounds: Boundaries, strict: bool = True) -> DataFrame:
     """Tag, locate and check wind units. Adds `tags`, `comment`, the position in degrees
     (`lon`, `lat`) and in EPSG:3035 metres (`x_3035`, `y_3035`).
 
@@ -134,7 +132,7 @@ def wind_cleansing(
     offshore = F.coalesce(nested.tag(F.col("tags"), "location") == "offshore", F.lit(False))
     placed = F.col("lon").isNotNull()
 
-    units = _flag_inside(units, bounds.country, key, "lon", "lat", bounds.country_cell, "_in", onshore)
+    units = _flag_inside(units, bounds.country, "lon", "lat", bounds.country_cell, "_in", onshore)
     tags = nested.merge_tags(F.col("tags"), {"inside_germany": "true"}, F.col("_in"))
     tags = nested.merge_tags(tags, {"inside_germany": "false"}, ~F.col("_in"))
     units = units.withColumns({"comment": text.append_comment(F.col("comment"), "onshore_inside; ", F.col("_in")), "tags": tags})
@@ -159,7 +157,7 @@ def wind_cleansing(
     ).drop("_lon1", "_lat1", "_lon2", "_lat2", "_in")
 
     if bounds.offshore is not None:
-        units = _flag_inside(units, bounds.offshore, key, "lon", "lat", bounds.offshore_cell, "_sea", offshore)
+        units = _flag_inside(units, bounds.offshore, "lon", "lat", bounds.offshore_cell, "_sea", offshore)
         units = units.withColumns(
             {
                 "comment": text.append_comment(F.col("comment"), "offshore_inside; ", F.col("_sea")),
@@ -177,12 +175,14 @@ def wind_cleansing(
             "lat": F.coalesce("lat", F.lit(geo.FALLBACK_LAT)),
         }
     )
-    candidates = units.filter(onshore).select(key, "lon", "lat", "Postleitzahl")
-    own = spatial.join_regions(candidates, bounds.postcodes, "lon", "lat", bounds.postcode_cell, declared="Postleitzahl")
-    checked = keyed_join(units, own.select(key, F.lit("true").alias("_own")).distinct(), [key], "left")
-    tags = F.map_concat("tags", F.create_map(F.lit("plz_check"), F.coalesce("_own", F.lit("false"))))
+    checked = spatial.in_declared_region(
+        units, bounds.postcodes, "lon", "lat", bounds.postcode_cell, "Postleitzahl", name="_own"
+    )
+    own = (onshore & F.col("_own")).cast("string")
+    tags = F.map_concat("tags", F.create_map(F.lit("plz_check"), own))
     x, y = geo.to_laea(F.col("lon"), F.col("lat"))
-    return checked.withColumns({"tags": tags, "x_3035": x, "y_3035": y}).drop("_own")
+    comment = text.null_if_empty(F.col("comment"))
+    return checked.withColumns({"tags": tags, "comment": comment, "x_3035": x, "y_3035": y}).drop("_own")
 
 
 def _remove_outside(units: DataFrame, outside: Column, strict: bool) -> DataFrame:

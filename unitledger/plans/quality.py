@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from unitledger.operators import profile, relational
 from unitledger.operators.skew import first_per_key, keyed_join
 from unitledger.operators.snapshot import union_by_name
-from unitledger.operators.spatial import join_regions
+from unitledger.operators.spatial import in_declared_region, join_regions
 
 
 def mismatch_totals(flagged: DataFrame, key: str) -> DataFrame:
@@ -31,7 +31,6 @@ def completeness_report(tables: Mapping[str, DataFrame]) -> DataFrame:
 def region_mismatch(
     units: DataFrame,
     edges: DataFrame,
-    id_column: str,
     declared: str,
     x: str,
     y: str,
@@ -43,17 +42,14 @@ def region_mismatch(
     A unit that touches several buffered regions counts as right if one of them matches; a
     unit in no region is a mismatch.
     """
-    located = units.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    hits = join_regions(located, edges, x, y, cell, buffer=buffer, declared=declared)
-    right = hits.select(id_column, F.lit(False).alias("mismatch")).distinct()
-    joined = keyed_join(located, right, [id_column], "left")
-    return joined.select(*located.columns, F.coalesce("mismatch", F.lit(True)).alias("mismatch"))
+    placed = units.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    checked = in_declared_region(placed, edges, x, y, cell, declared, buffer, "mismatch")
+    return checked.withColumn("mismatch", ~F.col("mismatch"))
 
 
 def mismatch_report(
     units_by_technology: Mapping[str, DataFrame],
     edges: DataFrame,
-    id_column: str,
     declared: str,
     x: str,
     y: str,
@@ -62,9 +58,9 @@ def mismatch_report(
 ) -> DataFrame:
     """Share of mismatching units per technology, one pass over the union of all tables."""
     units = union_by_name(
-        [df.select(id_column, declared, x, y).withColumn("technology", F.lit(n)) for n, df in units_by_technology.items()]
+        [df.select(declared, x, y).withColumn("technology", F.lit(n)) for n, df in units_by_technology.items()]
     )
-    flagged = region_mismatch(units, edges, id_column, declared, x, y, cell, buffer)
+    flagged = region_mismatch(units, edges, declared, x, y, cell, buffer)
     return flagged.groupBy("technology").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if("mismatch").alias("mismatches"),
@@ -75,7 +71,6 @@ def mismatch_report(
 def location_funnel(
     frames: Sequence[DataFrame],
     edges: DataFrame,
-    id_column: str,
     stamp: str,
     state: str,
     x: str,
@@ -93,13 +88,8 @@ def location_funnel(
         F.sum("_n").alias("all"), F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)).alias("duplicated")
     )
     unique = profile.unique_rows(everything, [F.col(stamp)], ignore=[stamp])
-    # The row digest names a unique row: ids may repeat with other content.
-    keyed = unique.withColumn("_row", profile.row_digest(compared))
+    judged = in_declared_region(unique, edges, x, y, cell, state, buffer, "_right")
     located = F.col(x).isNotNull() & F.col(y).isNotNull()
-    hits = join_regions(keyed.filter(located & F.col(state).isNotNull()), edges, x, y, cell, buffer=buffer, declared=state)
-    right_ids = hits.select(id_column).distinct().withColumn("_right", F.lit(True))
-    judged = keyed_join(keyed.select(id_column, "_row", state, x, y), right_ids, [id_column], "left")
-    right = F.coalesce("_right", F.lit(False))
     with_state = located & F.col(state).isNotNull()
     rest = profile.funnel_flags(
         judged,
@@ -108,8 +98,8 @@ def location_funnel(
             "unlocated": ~located,
             "located": located,
             "no_state": located & F.col(state).isNull(),
-            "right_state": with_state & right,
-            "wrong_state": with_state & ~right,
+            "right_state": with_state & F.col("_right"),
+            "wrong_state": with_state & ~F.col("_right"),
         },
     )
     return counts.unpivot([], ["all", "duplicated"], "name", "n").unionByName(rest)
