@@ -1 +1,115 @@
-"""Queries."""
+"""Queries that write whole tables in the registry's formats and read them back."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from unitledger import specs
+from unitledger.catalogue import Tables, query
+from unitledger.registry import Registry, cleansed
+from unitledger.session import shared_dir
+from unitledger.sources import tables
+from unitledger.sources.xml import folder_records
+
+
+def scratch(t: Tables, name: str) -> str:
+    return f"{shared_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("SELECT p_partkey, p_name, p_brand, p_size, p_retailprice, lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS ags FROM part")
+def typed_csv_scan(t: Tables):
+    path = scratch(t, "csv")
+    out = t.part.select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice", F.lpad(F.col("p_partkey").cast("string"), 8, "0").alias("ags"))
+    tables.write_csv(out, path, sep=";")
+    kinds = {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_size": "int", "p_retailprice": "double", "ags": "string"}
+    return tables.read_csv(t.spark, path, kinds, sep=";")
+
+
+@query("SELECT n_nationkey, 'Größe ' || n_name AS label, n_regionkey * 1.5e0 AS value FROM nation UNION ALL SELECT n_nationkey + 100, 'Größe ' || n_name, n_regionkey * 1.5e0 FROM nation")
+def legacy_csv_appended(t: Tables):
+    """ISO-8859-1 text and decimal commas, written in two appends."""
+    path = scratch(t, "legacy")
+    rows = t.nation.select(
+        "n_nationkey", F.concat(F.lit("Größe "), "n_name").alias("label"), F.replace((F.col("n_regionkey") * 1.5).cast("string"), F.lit("."), F.lit(",")).alias("value")
+    )
+    for part in (rows, rows.withColumn("n_nationkey", F.col("n_nationkey") + 100)):
+        part.write.mode("append").options(header=True, sep=";", encoding="ISO-8859-1").csv(path)
+    return tables.read_csv(t.spark, path, {"n_nationkey": "int", "label": "string", "value": "double"}, sep=";", encoding="windows-1252", decimal_comma=True)
+
+
+@query('SELECT c_custkey, c_name AS "Behoerde", c_acctbal, n_name FROM customer JOIN nation ON n_nationkey = c_nationkey')
+def snapshot_csv_roundtrip(t: Tables):
+    from unitledger.functions.text import strip_carriage_returns
+
+    path = scratch(t, "snapshot")
+    rows = t.customer.withColumnRenamed("c_nationkey", "n_nationkey").join(t.nation, "n_nationkey")
+    out = rows.select(F.concat("c_name", F.lit("\r")).alias("Behoerde"), "c_acctbal", "n_name", "c_custkey")
+    tables.write_csv(strip_carriage_returns(out), path, key="c_custkey")
+    return tables.read_csv(t.spark, path, {"c_custkey": "bigint", "Behoerde": "string", "c_acctbal": "double", "n_name": "string"})
+
+
+@query(
+    """SELECT CAST(p_partkey AS VARCHAR) AS "EinheitMastrNummer", p_name AS "NameWindpark", p_retailprice AS "Bruttoleistung",
+              CASE WHEN length(CAST(p_size * 211 AS VARCHAR)) = 4 THEN '0' ELSE '' END || p_size * 211 AS "Postleitzahl",
+              n_name AS "Bundesland", 'bulk' AS "DatenQuelle", '2024-01-31' AS "DatumDownload"
+       FROM part LEFT JOIN nation ON n_nationkey = p_size"""
+)
+def xml_scan_roundtrip(t: Tables):
+    """Part rows as XML with every row twice, loaded through the whole cleansing."""
+    path = scratch(t, "xml")
+    raw = t.part.select(
+        F.col("p_partkey").cast("string").alias("EinheitMastrNummer"), F.col("p_name").alias("NameWindpark"),
+        F.col("p_retailprice").cast("string").alias("Bruttoleistung"), (F.col("p_size") * 211).cast("string").alias("Postleitzahl"),
+        F.col("p_size").cast("string").alias("Bundesland"),
+    )
+    twice = raw.unionAll(raw)
+    twice.write.format("xml").options(rootTag="EinheitenWind", rowTag="EinheitWind").save(path)
+    rows = folder_records(t.spark, path, "einheitenwind", "EinheitWind", raw.columns, encoding="UTF-8")
+    catalog = t.nation.select(F.col("n_nationkey").alias("Id"), F.col("n_name").alias("Wert"))
+    done = cleansed(rows, specs.TABLES["einheitenwind"], catalog, "2024-01-31")
+    return done.withColumn("DatumDownload", F.date_format("DatumDownload", "yyyy-MM-dd"))
+
+
+@query(
+    """SELECT 'wind' AS technology, count(*) AS units, count(*) FILTER (c_custkey IS NOT NULL) AS with_eeg FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND o_orderstatus <> 'F'
+       UNION ALL SELECT 'nuclear', count(*), NULL FROM supplier"""
+)
+def snapshot_tables(t: Tables):
+    """A registry of two technologies, exported as CSV snapshots and counted from the files."""
+    folder = scratch(t, "registry")
+    registry = Registry(t.spark, folder)
+    units = t.orders.select(
+        F.concat(F.lit("SEE"), "o_orderkey").alias("EinheitMastrNummer"), F.col("o_totalprice").alias("Bruttoleistung"),
+        F.when(F.col("o_orderstatus") != "F", F.concat(F.lit("EEG"), "o_custkey")).alias("EegMastrNummer"),
+    )
+    units.write.parquet(f"{folder}/wind_extended")
+    t.customer.select(F.concat(F.lit("EEG"), "c_custkey").alias("EegMastrNummer"), F.col("c_acctbal").alias("InstallierteLeistung")).write.parquet(f"{folder}/wind_eeg")
+    t.supplier.select(F.concat(F.lit("SEE"), "s_suppkey").alias("EinheitMastrNummer"), F.col("s_acctbal").alias("Bruttoleistung")).write.parquet(f"{folder}/nuclear_extended")
+    registry.to_csv(f"{folder}/out", date="2024-01-31")
+    base = f"{folder}/out/dataversion=2024-01-31"
+    wind = t.spark.read.csv(f"{base}/table=wind", header=True)
+    nuclear = t.spark.read.csv(f"{base}/table=nuclear", header=True)
+    return wind.agg(F.count(F.lit(1)).alias("units"), F.count("EegMastrNummer_eeg").alias("with_eeg")).select(
+        F.lit("wind").alias("technology"), "units", "with_eeg"
+    ).unionAll(nuclear.select(F.lit("nuclear").alias("technology")).groupBy("technology").agg(F.count(F.lit(1)).alias("units"), F.lit(None).cast("bigint").alias("with_eeg")))
+
+
+@query(
+    """SELECT c_custkey AS id, 'Timeout' AS reason FROM customer WHERE c_mktsegment = 'BUILDING' UNION ALL SELECT s_suppkey, 'Broken' FROM supplier"""
+)
+def missed_record_file(t: Tables):
+    path = scratch(t, "missed")
+    tables.write_missed(t.customer.filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("id"), F.lit("Timeout").alias("reason")), path, "id")
+    tables.write_missed(t.supplier.select(F.col("s_suppkey").alias("id"), F.lit("Broken").alias("reason")), path, "id")
+    return t.spark.read.schema("id bigint, reason string").csv(path)
+
+
+@query("SELECT n_nationkey AS id, n_name AS name, NULL::DOUBLE AS extra FROM nation UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+def schema_evolution(t: Tables):
+    """A later file with one more column joins the table; older rows carry NULL there."""
+    path = scratch(t, "evolve")
+    t.nation.select(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name")).write.parquet(f"{path}/wind_extended")
+    t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("extra")).write.mode("append").parquet(f"{path}/wind_extended")
+    return Registry(t.spark, path).table("wind_extended")
