@@ -28,6 +28,8 @@ def plan_bytes(df: DataFrame) -> int:
 
 def broadcast_limit(df: DataFrame) -> int:
     text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if text.lstrip("-").isdigit():
+        return int(text)
     return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
