@@ -397,11 +397,11 @@ def ordered_top_n(t: Tables):
     return newest.select("o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
 
 
-@query()
+@query("SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase' ORDER BY md5(event_id || '-42'), event_id LIMIT 10")
 def random_pick(t: Tables):
     """A reproducible random choice of ten relevant units (the sample size is the feature)."""
     relevant = t.events.filter("event_type = 'purchase'")
-    return relevant.orderBy(F.xxhash64("event_id", F.lit(42)), "event_id").limit(10).select("event_id", "user_id", "value")
+    return relevant.orderBy(F.md5(F.concat(F.col("event_id").cast("string"), F.lit("-42"))), "event_id").limit(10).select("event_id", "user_id", "value")
 
 
 @query(

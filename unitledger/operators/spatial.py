@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from unitledger.functions.geo import squared_distance
@@ -392,9 +392,9 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     logarithmic number of rounds. Each round is written to the checkpoint folder; the loop ends
     when a round changes nothing. Returns (node, component) for nodes with an edge.
     """
-    pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    pairs = written(pairs)
-    state = _checksum(pairs)
+    pairs, state = _written_round(
+        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
+    )
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -402,7 +402,6 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
             keyed_join(both, least, ["u"], "inner")
             .filter("v > u")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .distinct()
         )
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
@@ -412,8 +411,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
             .unionByName(least.select("u", F.col("m").alias("v")))
             .distinct()
         )
-        pairs = written(small)
-        new_state = _checksum(pairs)
+        pairs, new_state = _written_round(small)
         if new_state == state:
             break
         state = new_state
@@ -422,14 +420,19 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     return members.unionByName(centres)
 
 
-def _checksum(pairs: DataFrame):
-    return tuple(
-        pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    )
+def _written_round(pairs: DataFrame) -> tuple[DataFrame, dict]:
+    """Write a round's pairs; their count and checksum are observed by the same job."""
+    seen = Observation()
+    total = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    table = written(pairs.observe(seen, F.count(F.lit(1)).alias("n"), total.alias("sum")))
+    return table, seen.get
 
 
-def _cell_id(x: str, y: str) -> Column:
-    return F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+def _cell_id(x: Column, y: Column) -> Column:
+    """Both cell numbers in one bigint, which aggregates and shuffles cheaper than a struct."""
+    fits = (F.abs(x) < 2**31) & (F.abs(y) < 2**31)
+    packed = F.shiftleft(x, 32).bitwiseOR(y.bitwiseAND(F.lit(0xFFFFFFFF)))
+    return F.when(fits, packed).otherwise(F.raise_error(F.lit("cell number out of range: distance too small")).cast("bigint"))
 
 
 def _linked_cells(a: DataFrame, b: DataFrame, distance: float) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -455,12 +458,13 @@ def clusters(points: DataFrame, id_column: str, x: str, y: str, reach: float) ->
     # A cell pair that is linked already needs no further look; one direction is enough.
     undecided = open_pairs.filter("ax < bx or (ax = bx and ay < by)").join(certain, [*A_CELL, *B_CELL], "left_anti")
     exact = _place_pairs(places, places, undecided, distance).select(*A_CELL, *B_CELL)
-    links = certain.unionByName(exact).select(_cell_id("ax", "ay").alias("p"), _cell_id("bx", "by").alias("q"))
+    links = certain.unionByName(exact).select(
+        _cell_id(F.col("ax"), F.col("ay")).alias("p"), _cell_id(F.col("bx"), F.col("by")).alias("q")
+    )
     parts = connected_components(links, "p", "q")
     side = side_of(distance)
-    cell = F.struct(
-        F.floor(F.col(x).cast("double") / side).cast("bigint").alias("x"),
-        F.floor(F.col(y).cast("double") / side).cast("bigint").alias("y"),
+    cell = _cell_id(
+        F.floor(F.col(x).cast("double") / side).cast("bigint"), F.floor(F.col(y).cast("double") / side).cast("bigint")
     )
     placed = points.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(id_column, cell.alias("node"))
     labelled = keyed_join(placed, parts, ["node"], "left").withColumn(
