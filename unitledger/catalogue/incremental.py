@@ -11,7 +11,7 @@ from unitledger.streaming import mirror
 
 HALVES_SQL = """
   stored AS (SELECT user_id, event_id, event_type, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-             FROM events WHERE event_type IN ('view', 'click') AND user_id % 3 > 0) WHERE rn = 1),
+             FROM events WHERE event_type IN ('view', 'click') AND value > 60) WHERE rn = 1),
   batch AS (SELECT user_id, event_id, event_type, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
             FROM events WHERE event_type IN ('purchase', 'error')) WHERE rn = 1),
   changed AS (SELECT b.*, CASE WHEN s.user_id IS NULL THEN 'insert' ELSE 'update' END AS op FROM batch b LEFT JOIN stored s ON s.user_id = b.user_id
@@ -22,7 +22,7 @@ def stored_and_batch(t: Tables):
     """Units of two event kinds are what is stored, two further kinds are the new batch."""
     rows = t.events.select("user_id", "event_id", "event_type", "ts")
     order = [F.desc("ts"), F.desc("event_id")]
-    stored = mirror.last_per_key(rows.filter("event_type in ('view', 'click') and user_id % 3 > 0"), "user_id", order)
+    stored = mirror.last_per_key(rows.filter("event_type in ('view', 'click') and value > 60"), "user_id", order)
     return stored, rows.filter("event_type in ('purchase', 'error')"), order
 
 
@@ -147,11 +147,22 @@ def streamed_deduplication(t: Tables):
     return t.spark.read.parquet(f"{folder}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("SELECT event_id, strftime(ts, '%Y-%m-%d') AS newest, event_type AS dso FROM events")
+def service_names_corrected(t: Tables):
+    """A batch of the service with its misspelt and renamed columns."""
+    batch = t.events.select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd").alias("DatumLetzeAktualisierung"),
+        F.col("event_type").alias("zugeordneteNetzbetreiber"), F.lit("OK").alias("Ergebniscode"),
+    )
+    fixed = mirror.corrected_names(batch, {"zugeordneteNetzbetreiber": "ZugeordneteNetzbetreiber"})
+    return fixed.select("event_id", F.col("DatumLetzteAktualisierung").alias("newest"), F.col("ZugeordneteNetzbetreiber").alias("dso"))
+
+
 @query(
-    """SELECT e.event_id FROM events e JOIN (SELECT event_type, max(ts) AS ts FROM events WHERE user_id % 2 = 0 GROUP BY event_type) m
+    """SELECT e.event_id FROM events e JOIN (SELECT event_type, max(ts) AS ts FROM events WHERE value > 30 GROUP BY event_type) m
        ON m.event_type = e.event_type WHERE e.ts > m.ts"""
 )
 def rows_after_high_water(t: Tables):
     """Rows a next fetch would bring: newer than the newest stored stamp of their type."""
-    marks = mirror.high_water_marks(t.events.filter("user_id % 2 = 0"), "event_type", "ts").withColumnRenamed("ts", "_mark")
+    marks = mirror.high_water_marks(t.events.filter("value > 30"), "event_type", "ts").withColumnRenamed("ts", "_mark")
     return keyed_join(t.events, marks, ["event_type"], "inner").filter("ts > _mark").select("event_id")

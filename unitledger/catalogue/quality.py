@@ -107,6 +107,20 @@ def completeness_rows(t: Tables):
     return profile.row_completeness(df, "doc_id", df.columns)
 
 
+@query(
+    """SELECT 'labels' AS table_name, 'doc_id' AS column_name, 100e0 AS filled_percent UNION ALL SELECT 'labels', 'quality', (SELECT round(100.0 * count(quality) / count(*), 4) FROM labels)
+       UNION ALL SELECT 'labels', 'toxic', (SELECT round(100.0 * count(toxic) / count(*), 4) FROM labels)
+       UNION ALL SELECT 'orders', 'o_orderkey', (SELECT round(100.0 * count(o_orderkey) / count(*), 4) FROM orders)
+       UNION ALL SELECT 'orders', 'clerk', (SELECT round(100.0 * count(*) FILTER (o_orderstatus = 'F') / count(*), 4) FROM orders)"""
+)
+def completeness_report(t: Tables):
+    from unitledger.plans.quality import completeness_report as report
+
+    clerk = F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).alias("clerk")
+    shares = report({"labels": t.labels, "orders": t.orders.select("o_orderkey", clerk)})
+    return shares.select("table_name", "column_name", F.round("filled_percent", 4).alias("filled_percent"))
+
+
 @query(f"SELECT doc_id, lang, source FROM {LABELLED_SQL}")
 def fill_ratio_columns(t: Tables):
     return profile.order_by_fill(labelled(t), min_share=0.9)

@@ -294,19 +294,19 @@ def migration_candidates(t: Tables):
 
 @query(
     """SELECT event_id, CASE WHEN event_id % 5 > 0 AND event_type IN ('click', 'view') AND user_id % 2 = 0 THEN true END AS relevant, 3 AS label FROM events
-       WHERE event_id % 5 > 0 AND event_type IN ('click', 'view') AND user_id % 2 = 0 AND event_id % 10 = 1
+       WHERE event_id % 5 > 0 AND event_type IN ('click', 'view') AND user_id % 2 = 0 AND value > 20
        UNION ALL SELECT event_id, CASE WHEN event_id % 5 > 0 AND event_type IN ('click', 'view') AND user_id % 2 = 0 THEN true END, NULL FROM events
-       WHERE NOT (event_id % 5 > 0 AND event_type IN ('click', 'view') AND user_id % 2 = 0 AND event_id % 10 = 1)"""
+       WHERE NOT (event_id % 5 > 0 AND event_type IN ('click', 'view') AND user_id % 2 = 0 AND value > 20)"""
 )
 def worklist_relevance(t: Tables):
     n = F.col("event_id")
     units = t.events.select(
         n.alias("EinheitMastrNummer"), F.when(n % 5 > 0, n * 1.0).alias("Laengengrad"), (n * 1.0).alias("Breitengrad"),
         F.when(F.col("event_type").isin("click", "view"), "In Betrieb").otherwise("Geplant").alias("EinheitBetriebsstatus"),
-        F.when(F.col("user_id") % 2 == 0, "Windkraft an Land").otherwise("Windkraft auf See").alias("Lage"),
+        F.when(F.col("user_id") % 2 == 0, "Windkraft an Land").otherwise("Windkraft auf See").alias("Lage"), "value",
     )
     marked = worklist.add_relevance(units, "wind")
-    labels = marked.filter("manval_relevant and EinheitMastrNummer % 10 = 1").select("EinheitMastrNummer", F.lit(3).alias("manval_location"))
+    labels = marked.filter("manval_relevant and value > 20").select("EinheitMastrNummer", F.lit(3).alias("manval_location"))
     done = worklist.import_labels(marked, labels, "wind")
     return done.select(F.col("EinheitMastrNummer").alias("event_id"), F.col("manval_relevant").alias("relevant"), F.col("manval_location").alias("label"))
 

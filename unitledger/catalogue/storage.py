@@ -113,3 +113,39 @@ def schema_evolution(t: Tables):
     t.nation.select(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name")).write.parquet(f"{path}/wind_extended")
     t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("extra")).write.mode("append").parquet(f"{path}/wind_extended")
     return Registry(t.spark, path).table("wind_extended")
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")
+def reduced_copy(t: Tables):
+    """The filtered copy of a cleansed table, written as a table of its own."""
+    from unitledger.plans.cleansing import flag_b_units
+
+    path = scratch(t, "reduced")
+    units = t.orders.select(
+        "o_orderkey", "o_totalprice", F.when(F.col("o_orderstatus") == "F", "B").otherwise("A").alias("StatisikFlag"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "InBetrieb").otherwise("InPlanung").alias("EinheitBetriebsstatus"),
+    )
+    flag_b_units(units).select("o_orderkey", "o_totalprice").write.parquet(path)
+    return t.spark.read.parquet(path)
+
+
+@query(
+    """SELECT 'N' || n_nationkey AS region_id, 5 AS n_corners, (n_nationkey % 5) * 2e1 AS first_x FROM nation"""
+)
+def boundary_json_scan(t: Tables):
+    """A boundary layer written as GeoJSON lines and read back as rings."""
+    path = scratch(t, "rings")
+    k = F.col("n_nationkey")
+    x, y = (k % 5) * 20.0, F.floor(k / 5) * 20.0
+
+    def at(dx, dy):
+        return F.array(x + dx, y + dy)
+
+    ring = F.array(at(0, 0), at(10, 0), at(10, 10), at(0, 10), at(0, 0))
+    feature = F.struct(
+        F.struct(F.concat(F.lit("N"), k).alias("AGS")).alias("properties"),
+        F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"),
+    )
+    t.nation.select(F.to_json(feature).alias("value")).write.text(path)
+    rings = tables.read_geojson(t.spark, path, "AGS")
+    return rings.select("region_id", F.size("ring").alias("n_corners"), F.element_at("ring", 1)["x"].alias("first_x"))

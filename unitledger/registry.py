@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from unitledger import specs
@@ -52,7 +52,7 @@ class Registry:
     ) -> list[str]:
         """Load the chosen datasets from a zip or folder of XML files; each table is replaced.
 
-        Columns the files bring are all kept. Broken records go to `<table>__quarantine`.
+        Columns the files bring are all kept. Broken records, if any, go to `<table>__quarantine`.
         """
         stems = specs.stems_of(specs.check_datasets(data))
         records = archive_records(self.spark, source, [*stems, "katalogwerte"], encoding)
@@ -65,9 +65,11 @@ class Registry:
             spec = specs.TABLES[stem]
             if stem not in present:
                 continue
-            rows, broken = parse_records(records.filter(F.col("stem") == stem))
+            seen = Observation()
+            rows, broken = parse_records(records.filter(F.col("stem") == stem), seen=seen)
             cleansed(rows, spec, catalog, date).write.mode("overwrite").parquet(f"{self.path}/{spec.table}")
-            broken.write.mode("overwrite").parquet(f"{self.path}/{spec.table}__quarantine")
+            if seen.get["broken"]:
+                broken.write.mode("overwrite").parquet(f"{self.path}/{spec.table}__quarantine")
             loaded.append(spec.table)
         return loaded
 

@@ -24,13 +24,17 @@ def read_csv(
     encoding: str = "UTF-8",
     decimal_comma: bool = False,
     null_value: str = "",
+    multi_line: bool = False,
 ) -> DataFrame:
     """Typed CSV scan. `types` names every column in file order; nothing is inferred, values
-    of the wrong type become NULL, and unread columns are pruned at the scan."""
+    of the wrong type become NULL, and unread columns are pruned at the scan.
+
+    Files are split among tasks unless `multi_line` says that quoted values hold line breaks.
+    """
     latin = encoding.lower() in ("windows-1252", "cp1252")
     raw = (
         spark.read.options(header=True, sep=sep, encoding="ISO-8859-1" if latin else encoding, nullValue=null_value)
-        .options(multiLine=True, escape='"')
+        .options(multiLine=multi_line, escape='"')
         .schema(text_schema(list(types)))
         .csv(path)
     )

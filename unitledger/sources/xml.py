@@ -9,15 +9,16 @@ from __future__ import annotations
 import glob
 import os
 import re
+import uuid
 import zipfile
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from unitledger.operators.skew import written
+from unitledger.session import shared_dir
 from unitledger.specs import stem_of_file
 
 CHUNK = 1 << 20
@@ -110,10 +111,14 @@ class FilesOfArchiveReader(DataSourceReader):
 
 
 def archive_records(spark: SparkSession, path: str, stems: Sequence[str] = (), encoding: str = "utf-16") -> DataFrame:
-    """Records of the chosen tables, unpacked once into the shared folder."""
+    """Records of the chosen tables, unpacked once into the shared folder, one sub-folder per
+    table stem, so that loading a table reads that table only."""
     spark.dataSource.register(FilesOfArchive)
     reader = spark.read.format("registry_xml").option("path", path).option("encoding", encoding)
-    return written(reader.option("stems", ",".join(stems)).load())
+    staged = f"{shared_dir(spark)}/records/{uuid.uuid4().hex}"
+    records = reader.option("stems", ",".join(stems)).load()
+    records.write.partitionBy("stem").parquet(staged)
+    return spark.read.schema(records.schema).parquet(staged)
 
 
 def folder_records(spark: SparkSession, path: str, stem: str, row_tag: str, columns: Sequence[str], encoding: str = "UTF-16") -> DataFrame:
@@ -139,14 +144,16 @@ def record_columns(records: DataFrame) -> list[str]:
     return sorted(r["name"] for r in found.select("name").distinct().collect())
 
 
-def parse_records(records: DataFrame, columns: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def parse_records(records: DataFrame, columns: Sequence[str] | None = None, seen: Observation | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows, quarantine). A text XML forbids is blanked; a record that is still broken goes
-    to the quarantine whole instead of ending the load."""
+    to the quarantine whole instead of ending the load. `seen` counts broken records while the
+    rows are used, so a clean load needs no second pass."""
     columns = list(columns or record_columns(records))
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "_corrupt"]])
     repaired = F.regexp_replace("record", BAD_TEXT, "><")
     parsed = F.from_xml(repaired, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     rows = records.withColumn("_parsed", parsed)
-    broken = F.col("_parsed").isNull() | F.col("_parsed._corrupt").isNotNull()
-    good = rows.filter(~broken).select("stem", *ORDER, *[F.nullif(F.col(f"_parsed.`{c}`"), F.lit("")).alias(c) for c in columns])
-    return good, rows.filter(broken).select("stem", *ORDER, "record")
+    rows = rows.withColumn("_broken", F.col("_parsed").isNull() | F.col("_parsed._corrupt").isNotNull())
+    counted = rows if seen is None else rows.observe(seen, F.count_if("_broken").alias("broken"))
+    values = [F.nullif(F.col(f"_parsed.`{c}`"), F.lit("")).alias(c) for c in columns]
+    return counted.filter("not _broken").select("stem", *ORDER, *values), rows.filter("_broken").select("stem", *ORDER, "record")

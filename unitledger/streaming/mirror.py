@@ -20,6 +20,21 @@ DETAIL_IDS = {
 }
 
 
+# A misspelt stamp column, and the status columns of a reply.
+MISSPELT = {"DatumLetzeAktualisierung": "DatumLetzteAktualisierung"}
+STATUS_COLUMNS = ["Ergebniscode", "AufrufVeraltet", "AufrufVersion", "AufrufLebenszeitEnde"]
+
+
+def corrected_names(batch: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:
+    """Give columns their table names. Where both spellings arrive, the right one is used
+    first; status columns of the reply are dropped."""
+    for wrong, right in {**MISSPELT, **(aliases or {})}.items():
+        if wrong in batch.columns:
+            value = F.coalesce(right, wrong) if right in batch.columns else F.col(wrong)
+            batch = batch.withColumn(f"_{right}", value).drop(wrong, right).withColumnRenamed(f"_{right}", right)
+    return batch.drop(*STATUS_COLUMNS)
+
+
 def high_water_marks(stored: DataFrame, kind: str, stamp: str) -> DataFrame:
     """Newest stored stamp per type: where the next fetch starts."""
     return stored.groupBy(kind).agg(F.max(stamp).alias(stamp))
