@@ -64,3 +64,16 @@ def test_requests_and_reconciliation(spark):
     failed = ids("c").withColumn("reason", F.lit("Broken"))
     got = {r["id"]: r["reason"] for r in mirror.reconcile(ids("a", "b", "c"), ids("a"), failed, "id").collect()}
     assert got == {"b": "Timeout", "c": "Broken"}
+
+
+def test_service_rows_are_flat_and_named(spark):
+    schema = (
+        "EinheitMastrNummer string, Ergebniscode string, DatumLetzeAktualisierung string, Weic struct<Wert:string,NichtVorhanden:boolean>, "
+        "NetzbetreiberMastrNummer array<string>, zugeordneteWirkleistungWechselrichter double"
+    )
+    rows = spark.createDataFrame([("SEE1", "OK", "2024-01-01", ("W", False), ["SNB1", "SNB2"], 2.5), ("SEE2", "OK", None, None, [], None)], schema)
+    got = {r["EinheitMastrNummer"]: r for r in mirror.service_rows(rows, "2024-02-01").collect()}
+    first = got["SEE1"]
+    assert "Ergebniscode" not in first and first["DatumLetzteAktualisierung"] == "2024-01-01"
+    assert (first["Weic"], first["NetzbetreiberMastrNummer"], first["ZugeordneteWirkleistungWechselrichter"]) == ("W", "SNB1", 2.5)
+    assert got["SEE2"]["NetzbetreiberMastrNummer"] is None and first["DatenQuelle"] == "API"

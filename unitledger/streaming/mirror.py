@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from unitledger.operators.relational import distinct_keys, drop_keys
+from unitledger.functions.nested import first_as_text, flatten_reply
+from unitledger.operators.relational import distinct_keys, drop_keys, missing_detail
 from unitledger.operators.skew import first_per_key, keyed_join
 
 # Foreign ids of a basic unit and the detail data each one stands for.
@@ -20,8 +21,12 @@ DETAIL_IDS = {
 }
 
 
-# A misspelt stamp column, and the status columns of a reply.
-MISSPELT = {"DatumLetzeAktualisierung": "DatumLetzteAktualisierung"}
+# Misspelt columns, status columns of a reply, and columns that come as lists.
+MISSPELT = {
+    "DatumLetzeAktualisierung": "DatumLetzteAktualisierung",
+    "zugeordneteWirkleistungWechselrichter": "ZugeordneteWirkleistungWechselrichter",
+}
+FIRST_OF_LIST = ["NetzbetreiberMastrNummer", "Netzbetreiberzuordnungen"]
 STATUS_COLUMNS = ["Ergebniscode", "AufrufVeraltet", "AufrufVersion", "AufrufLebenszeitEnde"]
 
 
@@ -35,6 +40,14 @@ def corrected_names(batch: DataFrame, aliases: dict[str, str] | None = None) ->
     return batch.drop(*STATUS_COLUMNS)
 
 
+def service_rows(replies: DataFrame, download_date: str) -> DataFrame:
+    """Nested replies of the service as plain table rows with provenance."""
+    flat = flatten_reply(corrected_names(replies))
+    kinds = dict(flat.dtypes)
+    lists = {c: first_as_text(F.col(c)) for c in FIRST_OF_LIST if kinds.get(c, "").startswith("array")}
+    return flat.withColumns({**lists, "DatenQuelle": F.lit("API"), "DatumDownload": F.lit(download_date).cast("date")})
+
+
 def high_water_marks(stored: DataFrame, kind: str, stamp: str) -> DataFrame:
     """Newest stored stamp per type: where the next fetch starts."""
     return stored.groupBy(kind).agg(F.max(stamp).alias(stamp))
@@ -86,8 +99,6 @@ def replace_requests(requests: DataFrame, new: DataFrame, technology: str | None
 
 def open_requests(base: DataFrame, detail: DataFrame, base_key: str, detail_key: str, kind: Column) -> DataFrame:
     """Units of a type whose detail row is missing."""
-    from unitledger.operators.relational import missing_detail
-
     return missing_detail(base.filter(kind), detail, base_key, detail_key)
 
 
