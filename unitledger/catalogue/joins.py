@@ -172,7 +172,7 @@ def aggregate_join_back(t: Tables):
 
 
 CANDIDATES_SQL = """
-  WITH u AS (SELECT c_custkey AS id, c_nationkey AS plz, CAST(floor(c_acctbal / 100) AS BIGINT) AS power,
+  WITH u AS (SELECT c_custkey AS id, c_custkey % 499 AS plz, CAST(floor(c_acctbal / 5000) AS BIGINT) AS power,
              CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN 'old'
                   WHEN c_mktsegment IN ('MACHINERY', 'HOUSEHOLD') THEN 'new' END AS side FROM customer),
   g AS (SELECT plz, power, count(*) FILTER (side = 'old') AS n_old, count(*) FILTER (side = 'new') AS n_new
@@ -181,8 +181,8 @@ CANDIDATES_SQL = """
 
 def _sided(t: Tables):
     units = t.customer.select(
-        F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("plz"),
-        F.floor(F.col("c_acctbal") / 100).cast("bigint").alias("power"), "c_mktsegment",
+        F.col("c_custkey").alias("id"), (F.col("c_custkey") % 499).alias("plz"),
+        F.floor(F.col("c_acctbal") / 5000).cast("bigint").alias("power"), "c_mktsegment",
     )
     segment = F.col("c_mktsegment")
     return units, segment.isin("BUILDING", "AUTOMOBILE"), segment.isin("MACHINERY", "HOUSEHOLD")

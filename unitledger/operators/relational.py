@@ -108,32 +108,31 @@ def join_back(dimension: DataFrame, facts: DataFrame, key: str, aggregates: Mapp
     return dimension.join(per_key, key, "left")
 
 
-def candidate_pairs(
-    old: DataFrame, new: DataFrame, keys: Sequence[str], old_id: str, new_id: str, strict: bool = False
-) -> DataFrame:
-    """Possible duplicates: for every key combination found on both sides, the old and new ids.
+def shared_groups(flagged: DataFrame, keys: Sequence[str], strict: bool = False) -> DataFrame:
+    """Key combinations that hold rows of both sides, with the size of each side.
 
-    Ids are grouped per key, so a key shared by many rows gives one row with two id lists'
-    sizes and extremes, never all combinations. `strict` keeps a combination only if every new
-    unit under the first key has the same remaining keys.
+    `strict` keeps a combination only if every new unit under the first key has the same
+    remaining keys.
     """
-    old_side = old.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_old"), F.min(old_id).alias("first_old"))
-    new_side = new.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_new"), F.min(new_id).alias("first_new"))
-    pairs = old_side.join(new_side, list(keys))
+    sizes = flagged.groupBy(*keys).agg(
+        F.count_if(F.col("side") == "old").alias("n_old"), F.count_if(F.col("side") == "new").alias("n_new")
+    )
+    shared = sizes.filter("n_old > 0 and n_new > 0")
     if strict:
-        totals = new_side.groupBy(keys[0]).agg(F.sum("n_new").alias("_all_new"))
-        pairs = pairs.join(totals, keys[0]).filter("n_new = _all_new").drop("_all_new")
-    return pairs
+        totals = sizes.groupBy(keys[0]).agg(F.sum("n_new").alias("_all_new"))
+        shared = keyed_join(shared, totals, [keys[0]], "inner").filter("n_new = _all_new").drop("_all_new")
+    return shared
 
 
-def duplicate_candidates(units: DataFrame, keys: Sequence[str], id_column: str, is_old: Column, is_new: Column, strict: bool = False) -> DataFrame:
-    """Rows of both sides under keys that occur on both sides, with the group's key digest.
+def duplicate_candidates(
+    units: DataFrame, keys: Sequence[str], id_column: str, is_old: Column, is_new: Column, strict: bool = False
+) -> DataFrame:
+    """Possible duplicates: units under a key combination that occurs on the old and the new side.
 
-    The candidate relation is kept as group membership: one output row per unit.
+    The relation is kept as group membership, one row per unit with both group sizes, so a
+    combination shared by many units grows with them, never with all their pairs.
     """
-    flagged = units.withColumn("side", F.when(is_old, F.lit("old")).when(is_new, F.lit("new"))).filter("side is not null")
-    pairs = candidate_pairs(
-        flagged.filter("side = 'old'"), flagged.filter("side = 'new'"), keys, id_column, id_column, strict
-    )
-    members = keyed_join(flagged, pairs, list(keys), "inner")
+    side = F.when(is_old, F.lit("old")).when(is_new, F.lit("new"))
+    flagged = units.withColumn("side", side).filter("side is not null").dropna(subset=list(keys))
+    members = keyed_join(flagged, shared_groups(flagged, keys, strict), list(keys), "inner")
     return members.select(*keys, "side", id_column, "n_old", "n_new")

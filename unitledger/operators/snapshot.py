@@ -64,14 +64,18 @@ def numbered_repeats(names: Sequence[str]) -> list[str]:
 
 
 def left_join_details(
-    base: DataFrame, details: Sequence[tuple[DataFrame, str, str]], split: bool | None = None
+    base: DataFrame,
+    details: Sequence[tuple[DataFrame, str, str]],
+    split: bool | None = None,
+    names: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left join several detail tables, each on its own key pair `(base key, detail key)`.
 
     All columns of all tables are kept; repeated names are numbered. Detail tables are unique
     per key; hot and missing keys of the base are spread when a detail table needs a shuffle.
+    `names` gives the base columns their output names, which may repeat.
     """
-    out_names = list(base.columns)
+    out_names = list(names or base.columns)
     joined = base.toDF(*[f"c{i}" for i in range(len(base.columns))])
     for n, (detail, base_key, detail_key) in enumerate(details):
         key_col = f"c{base.columns.index(base_key)}"
@@ -97,16 +101,46 @@ def technology_snapshot(
     The type filter comes before the joins, so only units of that type are shuffled; a limit
     takes the first units by key, so the result is the same on every run.
     """
-    units = basic.filter(F.col("Einheittyp") == unit_type)
-    if limit:
-        units = units.orderBy("EinheitMastrNummer").limit(limit)
-    units = suffixed(units, SUFFIXED["basic"], "basic")
-    sides = []
-    for role, key in ROLE_KEYS.items():
-        if role in details:
-            detail = suffixed(details[role], SUFFIXED[role], role)
-            sides.append((detail, key, f"{key}_{role}"))
-    return left_join_details(units, sides)
+    units = first_units(basic.filter(F.col("Einheittyp") == unit_type), limit)
+    return left_join_details(suffixed(units, SUFFIXED["basic"], "basic"), _sides(details))
+
+
+def snapshot_from_extended(
+    extended: DataFrame,
+    details: Mapping[str, DataFrame],
+    unit_type: str,
+    basic_columns: Sequence[str],
+    limit: int | None = None,
+) -> DataFrame:
+    """The same snapshot where the basic rows come from the unit table itself.
+
+    Both share the unique unit key, so the basic columns are a projection of the unit row and
+    the widest join falls away.
+    """
+    units = first_units(extended, limit)
+    basic = {
+        c: F.lit(unit_type) if c == "Einheittyp" else F.col(c) if c in units.columns else F.lit(None).cast("string")
+        for c in basic_columns
+    }
+    # Positional names keep both copies apart until the repeats are numbered.
+    copies = {f"_b{i}": value for i, value in enumerate(basic.values())}
+    wide = units.select(*[v.alias(k) for k, v in copies.items()], *units.columns)
+    names = [f"{c}_basic" if c in SUFFIXED["basic"] else c for c in basic_columns]
+    names += [f"{c}_extended" if c in SUFFIXED["extended"] else c for c in units.columns]
+    sides = [(detail, f"_b{list(basic_columns).index(key)}", name) for detail, key, name in _sides(details)]
+    return left_join_details(wide, sides, names=names)
+
+
+def first_units(units: DataFrame, limit: int | None) -> DataFrame:
+    return units.orderBy("EinheitMastrNummer").limit(limit) if limit else units
+
+
+def _sides(details: Mapping[str, DataFrame]) -> list[tuple[DataFrame, str, str]]:
+    return [
+        (suffixed(details[role], SUFFIXED[role], role), key, f"{key}_{role}")
+        for role, key in ROLE_KEYS.items()
+        if role in details
+    ]
 
 
 def matching_columns(df: DataFrame, target_columns: Sequence[str], **literals: Column) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from unitledger import specs
 from unitledger.functions.text import pad_known_keys, strip_carriage_returns
 from unitledger.operators.skew import first_per_key
-from unitledger.operators.snapshot import reverse_fill, technology_snapshot, translate_columns
+from unitledger.operators.snapshot import reverse_fill, snapshot_from_extended, translate_columns
 from unitledger.session import configure
 from unitledger.sources.catalog import decode_columns, decode_fixed
 from unitledger.sources.tables import write_csv
@@ -80,15 +80,14 @@ class Registry:
 
     def snapshot(self, technology: str, limit: int | None = None) -> DataFrame:
         """All data of one technology joined per unit."""
-        shared = {"kwk": "kwk", "permit": "permit"}
         details = {}
-        for role in specs.TECHNOLOGY_ROLES[technology]:
-            name = shared.get(role, f"{technology}_{role}")
+        for role in specs.TECHNOLOGY_ROLES[technology][1:]:
+            name = role if role in ("kwk", "permit") else f"{technology}_{role}"
             if self.has(name):
                 details[role] = self.table(name)
-        basic = self.basic_units([technology])
-        joined = technology_snapshot(basic, details, specs.TYPE_OF_TECHNOLOGY[technology], limit)
-        return strip_carriage_returns(joined)
+        unit_type = specs.TYPE_OF_TECHNOLOGY[technology]
+        units = self.table(f"{technology}_extended")
+        return strip_carriage_returns(snapshot_from_extended(units, details, unit_type, specs.BASIC_COLUMNS, limit))
 
     def to_csv(self, out: str, tables: Sequence[str] | None = None, limit: int | None = None, date: str | None = None) -> list[str]:
         """Export technologies as joined snapshots and other tables as they are, by default all

@@ -68,7 +68,9 @@ def changes(stored: DataFrame, batch: DataFrame, key: str, stamp: str | None) ->
     A known key is updated only if its stored stamp is older; without a stamp always. A stored
     or new stamp that is NULL is not older than anything.
     """
-    known = stored.select(key, F.lit(True).alias("_known"), *([F.col(stamp).alias("_stored")] if stamp else []))
+    # Only the batch's keys matter: with a small batch the stored table is filtered in place.
+    touched = keyed_join(stored.select(key, *([stamp] if stamp else [])), distinct_keys(batch, key), [key], "left_semi")
+    known = touched.select(key, F.lit(True).alias("_known"), *([F.col(stamp).alias("_stored")] if stamp else []))
     joined = keyed_join(batch, known, [key], "left")
     newer = F.coalesce(F.col("_stored") < F.col(stamp), F.lit(False)) if stamp else F.lit(True)
     op = F.when(F.col("_known").isNull(), "insert").when(newer, "update")
