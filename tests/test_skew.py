@@ -80,3 +80,19 @@ def test_ranked_numbers_all_rows_once(hot):
     assert [r["position"] for r in rows] == list(range(1, 30_001))
     keys = [(-1 if r["k"] is None else r["k"], -r["id"]) for r in rows]
     assert keys == sorted(keys, reverse=True)
+
+
+def test_chained_split_joins_read_the_base_once(spark, tmp_path):
+    """Hot keys are taken from one column of the base, not from the joins before."""
+    from unitledger.operators.snapshot import left_join_details
+
+    n = F.col("id")
+    spark.range(2_000).select(n, *[(n % k).alias(f"k{k}") for k in (3, 5, 7)]).write.parquet(str(tmp_path / "base"))
+    base = spark.read.parquet(str(tmp_path / "base"))
+    details = [(spark.range(7).select(n.alias("key"), (n * k).alias(f"v{k}")), f"k{k}", "key") for k in (3, 5, 7)]
+    joined = left_join_details(base, details, split=True)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("k3#") and plan.count("Relation [id#") == 1
+    assert joined.columns == ["id", "k3", "k5", "k7", "key", "v3", "key_1", "v5", "key_2", "v7"]
+    row = joined.filter("id = 104").first()
+    assert (row["v3"], row["v5"], row["v7"]) == (104 % 3 * 3, 104 % 5 * 5, 104 % 7 * 7) and joined.count() == 2_000

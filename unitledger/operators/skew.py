@@ -65,14 +65,15 @@ def keyed_join(
     Otherwise rows of the most frequent left keys spread over `SALTS` buckets and the matching
     right rows are repeated per bucket; with `how="left"` rows with a NULL key spread as well,
     because they match nothing and would share one task. `counts` passes key frequencies
-    (`keys`, `_n`) a caller already has.
+    (`keys`, `_n`) a caller can get cheaper than by counting `left`.
     """
     keys = list(keys)
     if split is None:
         split = how in ("left", "inner", "left_semi", "left_anti") and plan_bytes(right) > broadcast_limit(right)
     if not split:
         return _join(left, right, keys, how, null_safe)
-    hot = F.broadcast(hot_keys(left, keys, counts))
+    # Written once, so that a chain of such joins does not repeat its inputs join by join.
+    hot = F.broadcast(written(hot_keys(left, keys, counts)))
     no_key = F.lit(False)
     if not null_safe:
         for key in keys:

@@ -76,7 +76,7 @@ def left_join_details(
     `names` gives the base columns their output names, which may repeat.
     """
     out_names = list(names or base.columns)
-    joined = base.toDF(*[f"c{i}" for i in range(len(base.columns))])
+    start_rows = joined = base.toDF(*[f"c{i}" for i in range(len(base.columns))])
     for n, (detail, base_key, detail_key) in enumerate(details):
         key_col = f"c{base.columns.index(base_key)}"
         start = len(out_names)
@@ -84,7 +84,9 @@ def left_join_details(
         right = detail.select(
             F.col(detail_key).alias(key_col), *[F.col(f"`{c}`").alias(p) for c, p in positions.items()]
         )
-        joined = keyed_join(joined, right, [key_col], "left", split=split)
+        # Left joins with unique keys keep key frequencies, so one column of the base tells them.
+        counts = start_rows.groupBy(key_col).agg(F.count(F.lit(1)).alias("_n"))
+        joined = keyed_join(joined, right, [key_col], "left", counts=counts, split=split)
         out_names += detail.columns
     order = [f"c{i}" for i in range(len(out_names))]
     return joined.select(*[F.col(c).alias(n) for c, n in zip(order, numbered_repeats(out_names))])
