@@ -11,9 +11,10 @@ are verified on whole sets.
   costs work, because any order that is the same for all documents gives the same links.
 * Prefixes travel packed as arrays, in buckets of shingles. A frequent shingle is spread over
   buckets by group, so none holds more than its share.
-* In a group of thousands of copies, all pairs would be too many. Only links matter that join
-  different components: each list is first compared with one leader, and then only pairs whose
-  components still differ are verified. No link between components can be lost by that.
+* Pairs of short lists are counted over their lists first: too few common prefix shingles leave
+  no room for a link. Long lists of copies overlap much. Those whose leader (the member in most lists) is the same are
+  compared as one, in cells of two blocks of members each, and a cell reports no pairs but at
+  most one link per member that joins it to its component. No link between components is lost.
 """
 
 from __future__ import annotations
@@ -50,6 +51,14 @@ FREQUENT_MOST = 1 << 18
 BLOCK_SHINGLES = 4_000_000
 #: Prefix entries (20 bytes each) of one bucket, which one task holds at a time.
 BUCKET_ENTRIES = 500_000
+#: Lists of up to so many sets give pairs, longer ones are compared as groups.
+SHORT_LIST = 8
+#: Weight of a list whose members have the whole prefix in common.
+ALL_COMMON = 1 << 30
+#: Sets, and shingles of them, in one block; a task compares two blocks at a time.
+BLOCK_SETS, BLOCK_TOTAL = 256, 1_000_000
+#: Columns of a membership matrix held at a time.
+SLICE = 4096
 
 
 def set_id(shingles: np.ndarray) -> int:
@@ -153,17 +162,24 @@ def _prefixes(k: int, percent: int, buckets: int, frequent):
 
 
 LISTS = T.StructType(
-    [T.StructField("list", T.LongType()), T.StructField("grp", T.LongType()), T.StructField("set", T.LongType()), T.StructField("size", T.IntegerType())]
+    [T.StructField("list", T.LongType()), T.StructField("grp", T.LongType()), T.StructField("set", T.LongType()), T.StructField("size", T.IntegerType()), T.StructField("weight", T.IntegerType())]
 )
 
 
 def _gather(buckets: int):
-    """A bucket's lists of groups with a common shingle, each distinct list once; its members."""
+    """A bucket's lists of groups with a common shingle; a bucket's members of groups.
 
-    def rows(lists, groups, sets, sizes) -> pa.Table:
+    Each distinct list comes once, its weight being the number of shingles it stands for.
+    """
+
+    def rows(lists, groups, sets, sizes, weights) -> pa.Table:
         n = len(groups)
         full = lambda x: pa.nulls(n, pa.int64()) if x is None else pa.array(x)
-        return pa.table([full(lists), full(groups), full(sets), pa.array(sizes, pa.int32())], names=LISTS.names)
+        weights = np.full(n, 1) if weights is None else weights
+        return pa.table(
+            [full(lists), full(groups), full(sets), pa.array(sizes, pa.int32()), pa.array(weights, pa.int32())],
+            names=LISTS.names,
+        )
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -173,21 +189,23 @@ def _gather(buckets: int):
         )
         if bucket < 0:
             _, first = np.unique(a, return_index=True)
-            return rows(None, b[first], a.view(np.int64)[first], c[first])
+            return rows(None, b[first], a.view(np.int64)[first], c[first], None)
         order = np.lexsort((b, a))
         a, b, c = a[order], b[order], c[order]
         new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
         a, b, c = a[new], b[new], c[new]
         if bucket >= buckets:  # parts of frequent shingles: the shingle names the list
-            return rows(a.view(np.int64), b, None, c)
+            return rows(a.view(np.int64), b, None, c, None)
         starts = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
         lengths = np.diff(starts, append=len(a))
         names = mix(np.add.reduceat(mix(b.view(np.uint64)), starts) + lengths.astype(np.uint64))
-        names, first = np.unique(np.where(lengths > 1, names, np.uint64(0)), return_index=True)
-        first = first[names != 0]
-        names = names[names != 0]
-        keep = np.concatenate([np.arange(starts[i], starts[i] + lengths[i]) for i in first]) if len(first) else np.zeros(0, dtype=np.int64)
-        return rows(np.repeat(names.view(np.int64), lengths[first]), b[keep], None, c[keep])
+        names, first, weights = np.unique(np.where(lengths > 1, names, np.uint64(0)), return_index=True, return_counts=True)
+        real = names != 0
+        names, first, weights = names[real], first[real], weights[real]
+        keep = [np.arange(starts[i], starts[i] + lengths[i]) for i in first]
+        keep = np.concatenate(keep) if keep else np.zeros(0, dtype=np.int64)
+        times = lengths[first]
+        return rows(np.repeat(names.view(np.int64), times), b[keep], None, c[keep], np.repeat(weights, times))
 
     return run
 
@@ -206,20 +224,63 @@ def _whole_sets(k: int, wanted):
     return in_batches(one)
 
 
-def _links(percent: int):
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
-        left, right = batch.column("_a"), batch.column("_b")
-        keep = np.zeros(len(a), dtype=bool)
-        for i in range(len(a)):
-            x, y = (np.frombuffer(s[i].as_buffer(), dtype=np.uint64) for s in (left, right))
-            both = np.concatenate([x, y])
-            both.sort(kind="stable")
-            common = int((both[1:] == both[:-1]).sum())
-            keep[i] = 100 * common >= percent * (len(x) + len(y) - common)
-        return batch_of(["a", "b"], [a[keep], b[keep]])
+def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Places (member, first of its component) for the links among some sets, exactly.
 
-    return in_batches(one)
+    Overlaps of all pairs are one product of membership matrices over the shingles that at least
+    two of the sets hold, taken in slices of columns.
+    """
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    values = np.concatenate(sets)
+    of = np.repeat(np.arange(len(sets)), sizes)
+    _, value, seen = np.unique(values, return_inverse=True, return_counts=True)
+    column = np.cumsum(seen > 1) - 1
+    shared = seen[value] > 1
+    of, column = of[shared], column[value[shared]]
+    order = np.argsort(column, kind="stable")
+    of, column = of[order], column[order]
+    both = np.zeros((len(sets), len(sets)), dtype=np.float64)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, SLICE):
+        a, b = np.searchsorted(column, [low, low + SLICE])
+        held = np.zeros((len(sets), min(SLICE, int(column[b - 1]) - low + 1)), dtype=np.float32)
+        held[of[a:b], column[a:b] - low] = 1
+        both += held @ held.T
+    near = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+    label = np.arange(len(sets))
+    while True:
+        lower = np.where(near, label[None, :], len(sets)).min(axis=1)
+        lower = np.minimum(label, lower)
+        lower = lower[lower]
+        if (lower == label).all():
+            break
+        label = lower
+    return [(i, int(label[i])) for i in np.flatnonzero(label != np.arange(len(sets))).tolist()]
+
+
+def _cell_links(percent: int):
+    """Links of each cell; the rows of a cell follow each other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, names, sets = None, [], []
+
+        def close() -> list[tuple[int, int]]:
+            return [(names[i], names[j]) for i, j in linked(sets, percent)] if len(sets) > 1 else []
+
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            keys = zip(*(batch.column(c).to_pylist() for c in ("leader", "i", "j")))
+            for key, name, shingles in zip(keys, batch.column("set").to_pylist(), batch.column("shingles").to_pylist()):
+                if key != cell:
+                    out += close()
+                    cell, names, sets = key, [], []
+                names.append(name)
+                sets.append(np.frombuffer(shingles, dtype=np.uint64))
+            if out:
+                yield batch_of(["a", "b"], [pa.array(c, pa.int64()) for c in zip(*out)])
+        if out := close():
+            yield batch_of(["a", "b"], [pa.array(c, pa.int64()) for c in zip(*out)])
+
+    return run
 
 
 def ngram_components(
@@ -273,71 +334,82 @@ def ngram_components(
         .applyInArrow(_gather(buckets), LISTS)
     )
     members = written(lists.filter("list is null").select("grp", "set", "size").distinct())
-    grouped = lists.filter("list is not null").select("list", "grp", "size").distinct()
+    grouped = lists.filter("list is not null").groupBy("list", "grp", "size").agg(F.sum("weight").alias("weight"))
     # A group of several sets is a list of its own.
     crowded = members.groupBy("grp").agg(F.count("*").alias("sets")).filter("sets > 1").select("grp")
     listed = written(
         grouped.join(members.select("grp", "set"), "grp")
-        .select("list", "set", "size")
-        .unionByName(members.join(crowded, "grp").select(F.col("grp").alias("list"), "set", "size"))
+        .select("list", "set", "size", "weight")
+        .unionByName(
+            members.join(crowded, "grp").select(F.col("grp").alias("list"), "set", "size", F.lit(ALL_COMMON).alias("weight"))
+        )
     )
-    wanted = written(listed.select("set").distinct().join(sets.select("set", "least"), "set").select(F.xxhash64("least").alias("h")))
+    fits = F.expr(f"100 * low >= {percent} * high")
+
+    def bounded(rows: DataFrame, key: str) -> DataFrame:
+        """Size and number of members of each key's rows, without keys whose only pair differs too much in size."""
+        return (
+            rows.groupBy(key)
+            .agg(F.count("*").alias("n"), F.min("size").alias("low"), F.max("size").alias("high"), F.sum("size").alias("all"))
+            .filter((F.col("n") > 2) | ((F.col("n") == 2) & fits))
+        )
+
+    open_lists = written(listed.join(bounded(listed, "list").select("list", "n"), "list"))
+    # Pairs of short lists with the number of shingles their prefixes share. Of the set whose
+    # prefix ends first, all other prefix shingles are missing in the other set.
+    short = open_lists.filter(F.col("n") <= SHORT_LIST)
+    rest = F.expr(f"greatest((size_a * {percent}L + 99) div 100, (size_b * {percent}L + 99) div 100) - 1")
+    pairs = (
+        short.select("list", F.col("set").alias("a"), F.col("size").alias("size_a"), "weight")
+        .join(short.select("list", F.col("set").alias("b"), F.col("size").alias("size_b")), "list")
+        .filter("a < b")
+        .filter(f"100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)")
+        .groupBy("a", "b", "size_a", "size_b")
+        .agg(F.sum("weight").alias("common"))
+        .filter((100 + percent) * (F.col("common") + rest) >= percent * (F.col("size_a") + F.col("size_b")))
+    )
+    ends = F.array(F.struct(F.col("a").alias("set"), F.col("size_a").alias("size")), F.struct(F.col("b").alias("set"), F.col("size_b").alias("size")))
+    of_pairs = pairs.select(F.col("a").alias("leader"), F.inline(ends))
+    # Long lists with the same leader, the member in most lists, are compared together: copies of
+    # one text share many lists, and each pair of a list is a pair of its leader's group.
+    long = open_lists.filter(F.col("n") > SHORT_LIST)
+    degree = long.groupBy("set").agg(F.count("*").alias("lists"))
+    leaders = (
+        long.join(degree, "set").groupBy("list").agg(F.max_by("set", F.struct("lists", "set")).alias("leader"))
+    )
+    of_lists = long.join(leaders, "list").select("leader", "set", "size")
+    groups = written(of_lists.unionByName(of_pairs).distinct())
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_SETS, F.col("all") / BLOCK_TOTAL)).cast("int")
+    own, other = F.expr("cast(pmod(xxhash64(set), blocks) as int)"), F.col("other")
+    cells = written(
+        groups.join(bounded(groups, "leader").select("leader", blocks.alias("blocks")), "leader")
+        .select("leader", "set", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .select("leader", "set", F.least("own", other).alias("i"), F.greatest("own", other).alias("j"))
+    )
+    named = cells.select("set").distinct()
+    wanted = written(named.join(sets, "set").select(F.xxhash64("least").alias("h")))
     bits = context.broadcast(bloom_bits(wanted, F.col("h"), bloom_slots(wanted.count())))
-    whole = written(
+    whole = (
         source.select(F.xxhash64("id").alias("h"), "text")
         .mapInArrow(_whole_sets(k, bits), "set long, shingles binary")
+        .join(named, "set", "left_semi")
         .dropDuplicates(["set"])
     )
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        first = whole.select(F.col("set").alias("a"), F.col("shingles").alias("_a"))
-        second = whole.select(F.col("set").alias("b"), F.col("shingles").alias("_b"))
-        return written(pairs.join(second, "b").join(first, "a").select("a", "b", "_a", "_b").mapInArrow(_links(percent), "a long, b long"))
-
-    fits = F.expr(f"100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)")
-    # The set in most lists is the best guess for the one that others were copied from.
-    degree = listed.groupBy("set").agg(F.count("*").alias("lists"))
-    leaders = (
-        listed.join(degree, "set")
-        .groupBy("list")
-        .agg(F.max_by(F.struct("set", "size"), F.struct("lists", "set")).alias("top"))
-        .select("list", F.col("top.set").alias("a"), F.col("top.size").alias("size_a"))
-    )
-    stars = written(
-        listed.select("list", F.col("set").alias("b"), F.col("size").alias("size_b"))
-        .join(leaders, "list")
-        .filter("a <> b")
-        .filter(fits)
-        .select("a", "b")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    links = written(
+        cells.join(whole, "set")
+        .repartition(partitions, "leader", "i", "j")
+        .sortWithinPartitions("leader", "i", "j", "set")
+        .mapInArrow(_cell_links(percent), "a long, b long")
         .distinct()
     )
-    links = verified(stars)
     placed = connected_components(links, "a", "b")
-    own = written(
-        listed.join(placed.withColumnRenamed("node", "set"), "set", "left").select(
-            "list", "set", "size", F.coalesce("component", "set").alias("part")
-        )
-    )
-    mixed = own.groupBy("list").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("list")
-    open_rows = own.join(mixed, "list")
-    rest = written(
-        open_rows.select("list", F.col("set").alias("a"), F.col("size").alias("size_a"), F.col("part").alias("part_a"))
-        .join(open_rows.select("list", F.col("set").alias("b"), F.col("size").alias("size_b"), F.col("part").alias("part_b")), "list")
-        .filter("part_a < part_b")
-        .filter(fits)
-        .select("a", "b")
-        .distinct()
-        .join(stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
-    )
-    more = verified(rest)
-    if not more.isEmpty():
-        placed = connected_components(links.unionByName(more), "a", "b")
-    named = (
+    of_component = (
         sets.join(placed.withColumnRenamed("node", "set"), "set", "left")
         .select("set", "least", F.coalesce("component", "set").alias("component"))
     )
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_set = named.join(least, "component").select("set", "component_id")
+    lowest = of_component.groupBy("component").agg(F.min("least").alias("component_id"))
+    of_set = of_component.join(lowest, "component").select("set", "component_id")
     joined = documents.join(of_set, "set", "left")
     return joined.select(
         F.col("id").alias(id_col),
