@@ -6,9 +6,11 @@ Sets with identical prefixes and size form one group. Groups that share a prefix
 list; pairs of groups in a list pass the size bound, are expanded to their members, and members
 are verified on whole sets.
 
-* The order puts shingles that many documents hold last, so that they are hardly ever in a
-  prefix. They are found by counting all shingles block by block; a shingle missed there only
-  costs work, because any order that is the same for all documents gives the same links.
+* The order is by rarity: shingles of a single set first, then repeated ones, frequent ones last.
+  Prefixes of most documents then hold shingles of a single set only, which match nothing and
+  are left out. Repeated shingles are found by counting the hashes of all shingles, frequent ones
+  block by block; a wrong guess there only costs work, because any order that is the same for all
+  documents gives the same links, and no repeated shingle is ever taken for a single one.
 * Prefixes travel packed as arrays, in buckets of shingles. A frequent shingle is spread over
   buckets by group, so none holds more than its share.
 * Pairs of short lists are counted over their lists first: too few common prefix shingles leave
@@ -49,6 +51,10 @@ FREQUENT_SETS, FREQUENT_SHARE = 4, 0.0005
 FREQUENT_MOST = 1 << 18
 #: Shingles counted together in a task.
 BLOCK_SHINGLES = 4_000_000
+#: Shingles (5 bytes each) of one range of hashes, which one task counts at a time.
+RANGE_SHINGLES = 1_000_000
+#: Bits of the filter of repeated shingles at most (16 MB).
+FILTER_BITS = 1 << 27
 #: Prefix entries (20 bytes each) of one bucket, which one task holds at a time.
 BUCKET_ENTRIES = 500_000
 #: Lists of up to so many sets give pairs, longer ones are compared as groups.
@@ -110,8 +116,83 @@ def _describe(k: int, id_type: pa.DataType):
     return run
 
 
-def _prefixes(k: int, percent: int, buckets: int, frequent):
-    """Packed prefix entries by bucket, and the members of each group (bucket below zero)."""
+class Repeated:
+    """A filter of the shingles that at least two sets hold, in one slice per range of hashes.
+
+    It never misses one. Its size follows the input up to `FILTER_BITS`; beyond that it lets more
+    unique shingles through, which costs work and loses nothing.
+    """
+
+    def __init__(self, log_ranges: int, total: int):
+        self.log_ranges = log_ranges
+        per_range = max(1024, min(FILTER_BITS, 2 * total) >> log_ranges)
+        self.log_bits = int(np.log2(per_range))
+        self.words = np.zeros((1 << log_ranges) << (self.log_bits - 6), dtype=np.uint64)
+
+    def split(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Range, and the 40 bits below it, of each hash."""
+        shift = np.uint64(64 - self.log_ranges)
+        key = (shingles >> np.uint64(24 - self.log_ranges)) & np.uint64((1 << 40) - 1)
+        return (shingles >> shift).astype(np.int64), key
+
+    def slots(self, key: np.ndarray) -> list[np.ndarray]:
+        h = mix(key)
+        return [(h >> np.uint64(s)) & np.uint64((1 << self.log_bits) - 1) for s in (0, 20, 40)]
+
+    def slice_of(self, keys: np.ndarray) -> np.ndarray:
+        out = np.zeros(1 << (self.log_bits - 6), dtype=np.uint64)
+        for slot in self.slots(keys):
+            np.bitwise_or.at(out, (slot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slot & np.uint64(63)))
+        return out
+
+    def holds(self, shingles: np.ndarray) -> np.ndarray:
+        ranges, key = self.split(shingles)
+        start = ranges << (self.log_bits - 6)
+        found = np.ones(len(shingles), dtype=bool)
+        for slot in self.slots(key):
+            word = self.words[start + (slot >> np.uint64(6)).astype(np.int64)]
+            found &= (word >> (slot & np.uint64(63))) & np.uint64(1) == 1
+        return found
+
+
+def _keys(k: int, frequent, repeated: Repeated):
+    """Packed hashes (5 bytes each) by range; a batch gives each shingle at most twice."""
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        own = {set_id(s): s for s in shingle_sets(text_bytes(batch.column(0)), SPACES, k) if len(s)}
+        if not own:
+            return None
+        values, seen = np.unique(np.concatenate(list(own.values())), return_counts=True)
+        keep = ~in_sorted(frequent.value[0], values)[1]
+        values = np.repeat(values[keep], np.minimum(seen[keep], 2))
+        if not len(values):
+            return None
+        ranges, key = repeated.split(values)  # sorted, so ranges follow each other
+        names, starts = np.unique(ranges, return_index=True)
+        packed = np.ascontiguousarray(key.view(np.uint8).reshape(-1, 8)[:, :5])
+        parts = [x.tobytes() for x in np.split(packed, starts[1:])]
+        return batch_of(["part", "keys"], [pa.array(names, pa.int32()), pa.array(parts, pa.binary())])
+
+    return in_batches(one)
+
+
+def _slices(repeated: Repeated):
+    def run(table: pa.Table) -> pa.Table:
+        raw = np.frombuffer(b"".join(table.column("keys").to_pylist()), dtype=np.uint8).reshape(-1, 5)
+        wide = np.zeros((len(raw), 8), dtype=np.uint8)
+        wide[:, :5] = raw
+        keys, seen = np.unique(wide.view(np.uint64).ravel(), return_counts=True)
+        out = repeated.slice_of(keys[seen > 1])
+        return pa.table([table.column("part")[:1], pa.array([out.tobytes()], pa.binary())], names=["part", "words"])
+
+    return run
+
+
+def _prefixes(k: int, percent: int, buckets: int, frequent, repeated):
+    """Packed prefix entries by bucket, and the members of each group (bucket below zero).
+
+    Shingles of a single set come first in the order; they match nothing and are left out.
+    """
 
     def packed(bucket: int, *arrays: np.ndarray) -> tuple:
         return (bucket, *(x.tobytes() for x in arrays))
@@ -120,18 +201,24 @@ def _prefixes(k: int, percent: int, buckets: int, frequent):
         common, rank = frequent.value
         entries: dict[int, tuple[np.ndarray, int]] = {}
         members: dict[int, tuple[int, int]] = {}
-        for s in shingle_sets(text_bytes(batch.column(0)), SPACES, k):
-            if not len(s):
+        sets = list(shingle_sets(text_bytes(batch.column(0)), SPACES, k))
+        shingles = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
+        at, often = in_sorted(common, shingles)
+        # 0 for shingles of one set, 1 for repeated ones, above that the count of frequent ones
+        order = np.where(often, rank[at] + 1 if len(rank) else 1, repeated.value.holds(shingles))
+        stop = 0
+        for s in sets:
+            start, stop = stop, stop + len(s)
+            length = prefix_length(len(s), percent)
+            own = order[start:stop]
+            single = int((own == 0).sum())
+            if single >= length:
                 continue
             name = set_id(s)
             if name in members:
                 continue
-            at, found = in_sorted(common, s)
-            if found.any():
-                known = s[found]
-                s = np.concatenate([s[~found], known[np.argsort(rank[at[found]], kind="stable")]])
-            prefix = s[: prefix_length(len(s), percent)]
-            group = set_id(np.append(prefix, np.uint64(len(s))))
+            prefix = s[np.argsort(own, kind="stable")[single:length]]
+            group = set_id(np.append(prefix, np.array([len(s), single], dtype=np.uint64)))
             members[name] = (group, len(s))
             entries[group] = (prefix, len(s))
         if not members:
@@ -321,15 +408,28 @@ def ngram_components(
     order = np.argsort(shingles)
     frequent = context.broadcast((shingles[order], top.column("seen").to_numpy()[order]))
 
+    total = described.agg(F.sum("n")).first()[0] or 0
+    repeated = Repeated(int(np.clip(np.ceil(np.log2(total / RANGE_SHINGLES + 1)), 4, 16)), total)
+    slices = (
+        source.select("text")
+        .mapInArrow(_keys(k, frequent, repeated), "part int, keys binary")
+        .groupBy("part")
+        .applyInArrow(_slices(repeated), "part int, words binary")
+        .toArrow()
+    )
+    each = 1 << (repeated.log_bits - 6)
+    for part, words in zip(slices.column("part").to_pylist(), slices.column("words").to_pylist()):
+        repeated.words[part * each : (part + 1) * each] = np.frombuffer(words, dtype=np.uint64)
+    repeated = context.broadcast(repeated)
+
     # Distinct sets with the smallest id of their documents.
     sets = written(
         documents.filter("set is not null").groupBy("set").agg(F.min("id").alias("least"), F.max("n").alias("n"))
     )
-    total, held = sets.agg(F.sum("n"), F.count("*")).first()
-    buckets = int(2 ** np.ceil(np.log2(max(16, (total or 0) * (100 - percent) / 100 / BUCKET_ENTRIES))))
+    buckets = int(2 ** np.ceil(np.log2(max(16, total * (100 - percent) / 100 / BUCKET_ENTRIES))))
     lists = written(
         source.select("text")
-        .mapInArrow(_prefixes(k, percent, buckets, frequent), "bucket int, a binary, b binary, c binary")
+        .mapInArrow(_prefixes(k, percent, buckets, frequent, repeated), "bucket int, a binary, b binary, c binary")
         .groupBy("bucket")
         .applyInArrow(_gather(buckets), LISTS)
     )
