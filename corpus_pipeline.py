@@ -6,23 +6,51 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from unitledger.llm import decontaminate, ngram_join
+from unitledger.llm import decontaminate, ngram_join, pieces, pii, quality
 from unitledger.llm.common import prepare, table, written
+from unitledger.llm.queries import PIECES
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go."""
+    return quality.good_documents(docs, table(spark, sf_dir, "labels"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of linked documents the one with the smallest id stays."""
     return ngram_join.one_per_component(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark window go."""
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES: list[tuple[str, Stage]] = [("near_duplicates", near_duplicates), ("decontamination", decontamination)]
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is masked; all documents stay."""
+    return pii.mask_pii(docs)
+
+
+def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids are added as `ids`; `text` becomes what they decode to."""
+    import public_tokenizers
+
+    path = public_tokenizers.path(PIECES)
+    encoded = pieces.encode_documents(docs, path)
+    return pieces.decode_documents(encoded, path, text_col="text").select(*docs.columns, "ids")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("encoding", encoding),
+]
 
-# The quality stage holds trained trees and the last one encodes, neither of which SQL can express.
+# The first stage holds trained trees and the last one encodes, neither of which SQL can express.
 ORACLE_SQL = None
 
 

@@ -60,7 +60,7 @@ def _confirmed(kind: str, match: Column) -> Column:
         return F.forall(F.split(match, r"\."), lambda p: p.rlike(f"^{_PART}$"))
     if kind == "card":
         digits = _digits(match)
-        return F.when(F.length(digits).between(12, 19), F.luhn_check(digits)).otherwise(F.lit(False))
+        return F.when(F.length(digits).between(12, 19), F.call_function("luhn_check", digits)).otherwise(F.lit(False))
     if kind == "phone":
         return F.length(_digits(match)).between(9, 15)
     if kind == "iban":
@@ -68,24 +68,27 @@ def _confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _spans_of(text: Column, order: int, kind: str) -> Column:
+    pattern, needs, weight, checksum, words = KINDS[kind]
+    near = f"(?:^|[^a-z])(?:{words})(?:[^a-z]|$)"
+    confirmed = F.filter(located(text, pattern, needs), lambda s: _confirmed(kind, s["match"]))
+    scored = F.transform(
+        confirmed,
+        lambda s: F.struct(
+            s["start"].alias("start"),
+            F.lit(order).alias("order"),
+            s["stop"].alias("stop"),
+            F.lit(kind).alias("kind"),
+            (F.lit(weight + checksum) + F.when(F.lower(s["around"]).rlike(near), CONTEXT_WEIGHT).otherwise(0)).alias("score"),
+        ),
+    )
+    return scored if kind in BASE else F.filter(scored, lambda s: s["score"] >= THRESHOLD)
+
+
 def pii_spans(text: Column) -> dict[str, Column]:
-    """Per kind an array of (kind, start, stop, score). Null texts count as empty."""
+    """Per kind an array of (start, order, stop, kind, score). Null texts count as empty."""
     whole = F.coalesce(text, F.lit(""))
-    out = {}
-    for order, (kind, (pattern, needs, weight, checksum, words)) in enumerate(KINDS.items()):
-        near = lambda s, w=words: F.lower(s["around"]).rlike(f"(?:^|[^a-z])(?:{w})(?:[^a-z]|$)")
-        scored = F.transform(
-            F.filter(located(whole, pattern, needs), lambda s, k=kind: _confirmed(k, s["match"])),
-            lambda s, k=kind, o=order, w=weight + checksum, near=near: F.struct(
-                s["start"].alias("start"),
-                F.lit(o).alias("order"),
-                s["stop"].alias("stop"),
-                F.lit(k).alias("kind"),
-                (F.lit(w) + F.when(near(s), CONTEXT_WEIGHT).otherwise(0)).alias("score"),
-            ),
-        )
-        out[kind] = scored if kind in BASE else F.filter(scored, lambda s: s["score"] >= THRESHOLD)
-    return out
+    return {kind: _spans_of(whole, order, kind) for order, kind in enumerate(KINDS)}
 
 
 def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -5,12 +5,85 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unitledger.llm import decontaminate, ngram_join
+from unitledger.llm import decontaminate, ngram_join, pieces, pii, quality, secret_scan
 from unitledger.llm.common import table
 
 _LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def _sql_places(kinds: list[tuple[str, str]]) -> str:
+    """Common table expressions up to `pos`: every match (x) of every kind with its place and the text around."""
+    each = "\n  UNION ALL ".join(
+        f"SELECT doc_id, '{kind}' AS kind, {i} AS ord, regexp_extract_all(t, '{pattern}') AS m, "
+        f"string_split_regex(t, '{pattern}') AS g FROM d"
+        for i, (kind, pattern) in enumerate(kinds)
+    )
+    return f"""
+d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+found AS (
+  {each}),
+one AS (SELECT doc_id, kind, ord, m, g, unnest(range(1, len(m) + 1)) AS i FROM found WHERE len(m) > 0),
+pos AS (
+  SELECT doc_id, kind, ord, m[i] AS x, right(g[i], 50) || ' ' || left(g[i + 1], 50) AS around,
+         list_sum(list_transform(g[1:i], lambda z: length(z)))
+         + coalesce(list_sum(list_transform(m[1:i - 1], lambda z: length(z))), 0) AS start
+  FROM one)"""
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
+_NEAR = " ".join(
+    f"WHEN '{kind}' THEN regexp_matches(lower(around), '(?:^|[^a-z])(?:{words})(?:[^a-z]|$)')"
+    for kind, (_, _, _, _, words) in pii.KINDS.items()
+)
+_WEIGHT = " ".join(f"WHEN '{kind}' THEN {a + b}" for kind, (_, _, a, b, _) in pii.KINDS.items())
+_NUMBER = "CAST(digits[i] AS INT)"
+OP1_SQL = rf"""
+WITH {_sql_places([
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+    ("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)"),
+    ("card", r"[0-9](?:[\x20-]?[0-9])+"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+    ("iban", r"\b[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)\b"),
+    ("ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"),
+])},
+checked AS (
+  SELECT *, regexp_replace(x, '[^0-9]', '', 'g') AS digits,
+         substr(replace(x, ' ', ''), 5) || substr(replace(x, ' ', ''), 1, 4) AS turned FROM pos),
+kept AS (
+  SELECT doc_id, kind, ord, start, start + length(x) AS stop,
+         CASE kind {_WEIGHT} END + CASE WHEN CASE kind {_NEAR} END THEN {pii.CONTEXT_WEIGHT} ELSE 0 END AS score
+  FROM checked WHERE CASE kind
+    WHEN 'ip' THEN list_bool_and(list_transform(string_split(x, '.'), lambda p:
+      length(ltrim(p, '0')) <= 3 AND coalesce(TRY_CAST(ltrim(p, '0') AS INT), 0) <= 255))
+    WHEN 'card' THEN length(digits) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda i:
+      CASE WHEN (length(digits) - i) % 2 = 1 THEN {_NUMBER} * 2 - CASE WHEN {_NUMBER} > 4 THEN 9 ELSE 0 END
+           ELSE {_NUMBER} END)) % 10 = 0
+    WHEN 'phone' THEN length(digits) BETWEEN 9 AND 15
+    WHEN 'iban' THEN list_reduce(list_prepend(0, list_transform(string_split(turned, ''), lambda c:
+      CASE WHEN c <= '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END)),
+      lambda a, b: (a * CASE WHEN b > 9 THEN 100 ELSE 10 END + b) % 97) = 1
+    ELSE true END),
+named AS (
+  SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+         count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) FILTER (ord < 4) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) AS spans,
+         string_agg(CAST(score AS VARCHAR), ',' ORDER BY start, ord) AS scores
+  FROM kept WHERE ord < 4 OR score >= {pii.THRESHOLD} GROUP BY doc_id)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+       coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(scores, '') AS scores
+FROM d LEFT JOIN named USING (doc_id)
+"""
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -45,6 +118,53 @@ FROM word LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_report(table(spark, sf_dir, "documents"))
+
+
+_ASSIGN = secret_scan.KINDS["assign"][0].replace("'", "''")
+OP7_SQL = rf"""
+WITH {_sql_places([
+    ("assign", _ASSIGN),
+    ("access", "AKIA[A-Z0-9]+"),
+    ("hex", "[0-9a-f]+"),
+    *[(kind, pattern) for kind, (pattern, _) in secret_scan.KINDS.items() if kind not in secret_scan.BASE],
+])},
+valued AS (SELECT *, CASE WHEN kind = 'assign' THEN regexp_extract(x, '{_ASSIGN}', 1) ELSE x END AS v FROM pos),
+kept AS (
+  SELECT valued.*, coalesce(source, '') AS repo FROM valued JOIN documents USING (doc_id)
+  WHERE CASE kind WHEN 'assign' THEN length(v) >= 8 WHEN 'access' THEN length(x) >= 16
+        WHEN 'hex' THEN length(x) >= 32 ELSE true END),
+owners AS (SELECT v, count(DISTINCT split_part(repo, '/', 1)) AS owners FROM kept GROUP BY v),
+judged AS (
+  SELECT kept.*, owners, owners < {secret_scan.COPIED_OWNERS}
+         AND len(list_distinct(string_split(v, ''))) >= {secret_scan.LEAST_CHARACTERS}
+         AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AS live
+  FROM kept JOIN owners USING (v)),
+named AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || start || ':' || (start + length(x)), ',' ORDER BY start, ord) FILTER (ord < 3) AS base,
+         string_agg(kind || ':' || start || ':' || (start + length(x)), ',' ORDER BY start, ord) FILTER (ord < 3 OR live) AS spans,
+         count(*) FILTER (live) AS n_live, count(*) FILTER (owners >= {secret_scan.COPIED_OWNERS}) AS n_copied
+  FROM judged GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+FROM d LEFT JOIN named USING (doc_id)
+"""
+
+
+#: Name of the tokenizer's file in the folder of public vocabularies.
+PIECES = "piece_bpe_32k.model"
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.ngram_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -69,5 +189,17 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
 FROM sets JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = doc_id
 """
 
-QUERIES = {"op4_decontamination": op4_decontamination, "op10_ngram_join": op10_ngram_join}
-SQL = {"op4_decontamination": OP4_SQL, "op10_ngram_join": OP10_SQL}
+QUERIES = {
+    "op1_pii": op1_pii,
+    "op2_quality_rules": op2_quality_rules,
+    "op4_decontamination": op4_decontamination,
+    "op7_secret_scan": op7_secret_scan,
+    "op9_sentencepiece": op9_sentencepiece,
+    "op10_ngram_join": op10_ngram_join,
+}
+SQL = {
+    "op1_pii": OP1_SQL,
+    "op4_decontamination": OP4_SQL,
+    "op7_secret_scan": OP7_SQL,
+    "op10_ngram_join": OP10_SQL,
+}

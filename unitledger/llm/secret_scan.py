@@ -48,28 +48,38 @@ def _value(kind: str, match: Column) -> Column:
     return F.regexp_extract(match, _ASSIGN, 1) if kind == "assign" else match
 
 
+def _candidates_of(text: Column, order: int, kind: str) -> Column:
+    value = lambda s: _value(kind, s["match"])
+    spans = located(text, *KINDS[kind])
+    if kind == "assign":
+        spans = F.filter(spans, lambda s: F.length(value(s)) >= 8)
+    return F.transform(
+        spans,
+        lambda s: F.struct(
+            s["start"].alias("start"),
+            F.lit(order).alias("order"),
+            s["stop"].alias("stop"),
+            F.lit(kind).alias("kind"),
+            F.sha2(value(s), 256).alias("value"),
+            (
+                (F.size(F.array_distinct(F.split(value(s), ""))) >= LEAST_CHARACTERS)
+                & value(s).rlike("[0-9]")
+                & value(s).rlike("[A-Za-z]")
+            ).alias("plausible"),
+        ),
+    )
+
+
 def _candidates(text: Column) -> dict[str, Column]:
-    out = {}
-    for order, (kind, (pattern, needs)) in enumerate(KINDS.items()):
-        spans = located(text, pattern, needs)
-        if kind == "assign":
-            spans = F.filter(spans, lambda s: F.length(_value("assign", s["match"])) >= 8)
-        out[kind] = F.transform(
-            spans,
-            lambda s, k=kind, o=order: F.struct(
-                s["start"].alias("start"),
-                F.lit(o).alias("order"),
-                s["stop"].alias("stop"),
-                F.lit(k).alias("kind"),
-                F.sha2(_value(k, s["match"]), 256).alias("value"),
-                (
-                    (F.size(F.array_distinct(F.split(_value(k, s["match"]), ""))) >= LEAST_CHARACTERS)
-                    & _value(k, s["match"]).rlike("[0-9]")
-                    & _value(k, s["match"]).rlike("[A-Za-z]")
-                ).alias("plausible"),
-            ),
-        )
-    return out
+    return {kind: _candidates_of(text, order, kind) for order, kind in enumerate(KINDS)}
+
+
+def _count(spans: Column | str, holds) -> Column:
+    return F.size(F.filter(spans, holds)).cast("long")
+
+
+def _of_kind(kind: str):
+    return lambda s: s["kind"] == kind
 
 
 def scan_secrets(
@@ -127,14 +137,11 @@ def scan_secrets(
     base = lambda s: s["kind"].isin(*BASE)
     return out.select(
         F.col("id").alias(id_col),
-        *[
-            F.size(F.filter("judged", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
-            for k in BASE
-        ],
+        *[_count("judged", _of_kind(k)).alias(f"n_{k}") for k in BASE],
         F.filter("judged", base).alias("base"),
         F.filter("judged", lambda s: base(s) | s["live"]).alias("spans"),
-        F.size(F.filter("judged", lambda s: s["live"])).cast("long").alias("n_live"),
-        F.size(F.filter("judged", lambda s: s["owners"] >= copied_owners)).cast("long").alias("n_copied"),
+        _count("judged", lambda s: s["live"]).alias("n_live"),
+        _count("judged", lambda s: s["owners"] >= copied_owners).alias("n_copied"),
     )
 
 

@@ -71,9 +71,11 @@ def _pieces(texts: Sequence[bytes], separator: np.ndarray) -> Iterator[tuple[int
         yield k, text[start:]
 
 
-def hashed_words(texts: Sequence[bytes], separator: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def hashed_words(
+    texts: Sequence[bytes], separator: np.ndarray, fold: bool = True
+) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of all texts in order, and the place of each text's first word
-    (with the number of all words as last entry)."""
+    (with the number of all words as last entry). `fold`: A-Z count as a-z."""
     parts: list[np.ndarray] = []
     counts = np.zeros(len(texts) + 1, dtype=np.int64)
     group: list[tuple[int, bytes]] = []
@@ -84,7 +86,7 @@ def hashed_words(texts: Sequence[bytes], separator: np.ndarray) -> tuple[np.ndar
         if not group:
             return
         data = np.frombuffer(b"\n".join(piece for _, piece in group) + b"\n", dtype=np.uint8)
-        low = _LOWER[data]
+        low = _LOWER[data] if fold else data
         inside = ~separator[low]
         edge = np.flatnonzero(np.diff(inside, prepend=False))
         starts, ends = edge[0::2], edge[1::2]
