@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unitledger.llm import decontaminate, ngram_join, pieces, pii, quality, secret_scan
+from unitledger.llm import decontaminate, langid, ngram_join, pieces, pii, quality, secret_scan, sharding, warc
 from unitledger.llm.common import table
 
 _LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -84,6 +84,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_report(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -118,6 +122,10 @@ FROM word LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_report(table(spark, sf_dir, "documents"))
 
@@ -155,6 +163,21 @@ FROM d LEFT JOIN named USING (doc_id)
 """
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+OP8_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, strlen(h) AS bytes, sha256(h) AS digest FROM p),
+r AS (SELECT *, CASE WHEN bytes >= {warc.REVISIT_FROM} THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first FROM q)
+SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM r
+"""
+
+
 #: Name of the tokenizer's file in the folder of public vocabularies.
 PIECES = "piece_bpe_32k.model"
 
@@ -192,8 +215,11 @@ FROM sets JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
+    "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
+    "op6_sharding": op6_sharding,
     "op7_secret_scan": op7_secret_scan,
+    "op8_warc": op8_warc,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_ngram_join": op10_ngram_join,
 }
@@ -201,5 +227,6 @@ SQL = {
     "op1_pii": OP1_SQL,
     "op4_decontamination": OP4_SQL,
     "op7_secret_scan": OP7_SQL,
+    "op8_warc": OP8_SQL,
     "op10_ngram_join": OP10_SQL,
 }
