@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unitledger.llm import decontaminate, langid, ngram_join, pieces, pii, quality, secret_scan, sharding, warc
+from unitledger.llm import decontaminate, extraction, langid, ngram_join, pieces, pii, quality, secret_scan, sharding, warc
 from unitledger.llm.common import table
 
 _LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -122,6 +122,10 @@ FROM word LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
 
@@ -217,6 +221,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
+    "op5_html_extraction": op5_html_extraction,
     "op6_sharding": op6_sharding,
     "op7_secret_scan": op7_secret_scan,
     "op8_warc": op8_warc,
