@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from unitledger.operators.skew import written
 from unitledger.session import configure
 
-__all__ = ["bloom_bits", "bloom_slots", "in_bloom", "prepare", "table", "text_bytes", "written"]
+__all__ = ["bloom_bits", "bloom_slots", "fresh", "in_bloom", "prepare", "table", "text_bytes", "written"]
 
 #: Rows a Python task holds at a time. Texts differ much in length, so batches stay small.
 BATCH_ROWS = 1000
@@ -30,6 +30,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that no column of `df` has or begins with."""
+    taken = [c.lower() for c in df.columns]
+    while any(c.startswith(name.lower()) for c in taken):
+        name = "_" + name
+    return name
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a text column, empty for null."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

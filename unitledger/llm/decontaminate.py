@@ -23,6 +23,7 @@ from unitledger.llm.common import (
     batch_of,
     bloom_bits,
     bloom_slots,
+    fresh,
     in_batches,
     in_bloom,
     prepare,
@@ -230,5 +231,6 @@ def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     without an id are decided together likewise.
     """
     dirty = contamination(docs, items, id_col, text_col, **options).filter("contaminated")
-    ids = dirty.select(F.col(id_col).alias("_drop")).distinct()
-    return docs.join(ids, F.col(id_col).eqNullSafe(F.col("_drop")), "left_anti")
+    gone = fresh(docs, "_gone")
+    ids = dirty.select(F.col(id_col).alias(gone)).distinct()
+    return docs.join(ids, F.col(id_col).eqNullSafe(F.col(gone)), "left_anti")

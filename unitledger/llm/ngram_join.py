@@ -34,6 +34,7 @@ from unitledger.llm.common import (
     batch_of,
     bloom_bits,
     bloom_slots,
+    fresh,
     in_batches,
     in_bloom,
     in_sorted,
@@ -526,5 +527,6 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     All columns are kept.
     """
     found = ngram_components(docs, id_col, text_col, k, percent)
-    drop = found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("_drop")).distinct()
-    return docs.join(drop, F.col(id_col) == F.col("_drop"), "left_anti")
+    gone = fresh(docs, "_gone")
+    drop = found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias(gone)).distinct()
+    return docs.join(drop, F.col(id_col) == F.col(gone), "left_anti")

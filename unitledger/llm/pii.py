@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from unitledger.llm.common import prepare
+from unitledger.llm.common import fresh, prepare
 from unitledger.llm.spans import located, masked, spans_text
 
 # Kinds in order, with pattern, a string that every match holds, weight of the bare
@@ -91,8 +91,8 @@ def pii_spans(text: Column) -> dict[str, Column]:
     return {kind: _spans_of(whole, order, kind) for order, kind in enumerate(KINDS)}
 
 
-def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds the columns `pii_<kind>`, `pii_base` and `pii_spans` (sorted arrays of spans) to all columns.
+def find_pii(docs: DataFrame, text_col: str = "text", prefix: str = "pii_") -> DataFrame:
+    """Adds the columns `<kind>`, `base` and `spans` with the prefix (sorted arrays of spans) to all columns.
 
     A span is (start, order, stop, kind, score). Base kinds (email, ip, card, phone) are reported
     whenever their pattern and check hold; the others (iban, ssn) from a score of `THRESHOLD`,
@@ -101,9 +101,9 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """
     prepare(docs.sparkSession)
     kinds = pii_spans(F.col(text_col))
-    found = docs.withColumns({f"pii_{k}": v for k, v in kinds.items()})
-    ordered = lambda names: F.array_sort(F.concat(*[F.col(f"pii_{k}") for k in names]))
-    return found.withColumns({"pii_base": ordered(BASE), "pii_spans": ordered(KINDS)})
+    found = docs.withColumns({f"{prefix}{k}": v for k, v in kinds.items()})
+    ordered = lambda names: F.array_sort(F.concat(*[F.col(f"{prefix}{k}") for k in names]))
+    return found.withColumns({f"{prefix}base": ordered(BASE), f"{prefix}spans": ordered(KINDS)})
 
 
 def mask_pii(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
@@ -111,16 +111,18 @@ def mask_pii(docs: DataFrame, text_col: str = "text", length_col: str | None = "
 
     Where `length_col` exists it is set to the new length of changed texts.
     """
-    found = find_pii(docs, text_col)
-    own = [f"pii_{k}" for k in KINDS] + ["pii_base", "pii_spans"]
-    text = F.when(F.col(text_col).isNull(), F.col(text_col)).otherwise(masked(F.col(text_col), F.col("pii_spans")))
-    out = found.withColumn(text_col, text)
+    prefix = fresh(docs, "pii_")
+    found = find_pii(docs, text_col, prefix)
+    spans = F.col(f"{prefix}spans")
+    out = found.withColumn(
+        text_col, F.when(F.col(text_col).isNull(), F.col(text_col)).otherwise(masked(F.col(text_col), spans))
+    )
     if length_col in docs.columns:
         kind = docs.schema[length_col].dataType
         out = out.withColumn(
-            length_col, F.when(F.size("pii_spans") > 0, F.length(text_col).cast(kind)).otherwise(F.col(length_col))
+            length_col, F.when(F.size(spans) > 0, F.length(text_col).cast(kind)).otherwise(F.col(length_col))
         )
-    return out.drop(*[c for c in own if c not in docs.columns])
+    return out.select(*docs.columns)
 
 
 def pii_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from unitledger.llm.common import batch_of, in_batches, prepare, written
+from unitledger.llm.common import batch_of, fresh, in_batches, prepare, written
 
 SHARDS = 24
 #: Keys drawn per round, on average; they come to the driver (16 bytes each).
@@ -182,15 +182,18 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     Rows that agree in id, size and checksum of the text are the same record to this function.
     """
-    assigned = shard_by_bytes(docs, id_col, text_col, shards).select(
-        F.col(id_col).alias("_id"), F.col("size").alias("_size"), F.col("text_crc32").alias("_crc"), F.col("shard").alias("_shard")
+    docs = docs.drop("shard")
+    own = fresh(docs, "_own_")
+    assigned = (
+        shard_by_bytes(docs, id_col, text_col, shards)
+        .groupBy(F.col(id_col).alias(f"{own}id"), F.col("size").alias(f"{own}size"), F.col("text_crc32").alias(f"{own}crc"))
+        .agg(F.min("shard").alias("shard"))
     )
-    assigned = assigned.groupBy("_id", "_size", "_crc").agg(F.min("_shard").alias("shard"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     same = (
-        F.col(id_col).eqNullSafe(F.col("_id"))
-        & ((F.octet_length(text) + 8).cast("long") == F.col("_size"))
-        & (F.crc32(text).cast("long") == F.col("_crc"))
+        F.col(id_col).eqNullSafe(F.col(f"{own}id"))
+        & ((F.octet_length(text) + 8).cast("long") == F.col(f"{own}size"))
+        & (F.crc32(text).cast("long") == F.col(f"{own}crc"))
     )
-    joined = docs.drop("shard").join(assigned, same).drop("_id", "_size", "_crc")
+    joined = docs.join(assigned, same).select(*docs.columns, "shard")
     joined.repartition(F.col("shard"), F.pmod(F.xxhash64(id_col), F.lit(8))).write.partitionBy("shard").parquet(path)

@@ -214,6 +214,8 @@ class WarcReader(DataSourceReader):
         return all(name in headers and (not values or headers[name] in values) for name, values in self.tests)
 
     def read(self, partition):
+        if partition is None:  # what Spark passes where there is no file
+            return
         fs, path = _fs(partition.path)
         rows: list[tuple] = []
         held = 0
@@ -242,7 +244,7 @@ class Written(WriterCommitMessage):
 class WarcWriter(DataSourceArrowWriter):
     def __init__(self, options: dict, overwrite: bool):
         self.path = options["path"]
-        self.file_bytes = int(options.get("fileBytes", FILE_BYTES))
+        self.file_bytes = int(options.get("filebytes", FILE_BYTES))
         self.overwrite = overwrite
 
     def write(self, iterator):
@@ -292,11 +294,14 @@ class WarcSource(DataSource):
     def schema(self) -> str:
         return SCHEMA
 
+    def _options(self) -> dict:
+        return {name.lower(): value for name, value in self.options.items()}
+
     def reader(self, schema) -> WarcReader:
-        return WarcReader(dict(self.options))
+        return WarcReader(self._options())
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(dict(self.options), overwrite)
+        return WarcWriter(self._options(), overwrite)
 
 
 def register(spark: SparkSession) -> SparkSession:
