@@ -50,6 +50,22 @@ def test_stream_restarts_without_loss_or_repeats(spark, tmp_path):
     assert values(log.compact(str(tmp_path / "compact")).current()) == expected
 
 
+def test_a_new_checkpoint_on_the_same_log_loses_nothing(spark, tmp_path):
+    schema = rows(spark).schema
+    log = mirror.ChangeLog(spark, str(tmp_path / "log"), "k", "ts", schema)
+    seen = []
+    for run, items in enumerate([[("a", 1, 1), ("b", 5, 1)], [("b", 5, 2), ("c", 2, 2)], [("b", 6, 3), ("a", 0, 3)]]):
+        source = str(tmp_path / f"in{run}")
+        rows(spark, *items).coalesce(1).write.parquet(source)
+        stream = spark.readStream.schema(SCHEMA).parquet(source)
+        note = lambda changed, batch: seen.append(sorted((r["k"], r["op"]) for r in changed.collect()))
+        mirror.mirror_stream(stream, log, str(tmp_path / f"check{run}"), note).awaitTermination()
+        log.current().collect(), log.current().collect()
+    assert values(log.current()) == {"a": 1, "b": 3, "c": 2}
+    assert seen == [[("a", "insert"), ("b", "insert")], [("c", "insert")], [("b", "update")]]
+    assert log.schema == schema and len(schema.fields) == 3
+
+
 def test_requests_and_reconciliation(spark):
     units = spark.createDataFrame(
         [("SEE1", "EEG1", None, "", "Windeinheit"), ("SEE2", None, "KWK2", "SGE2", "Biomasse")],

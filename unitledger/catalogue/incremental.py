@@ -166,3 +166,69 @@ def rows_after_high_water(t: Tables):
     """Rows a next fetch would bring: newer than the newest stored stamp of their type."""
     marks = mirror.high_water_marks(t.events.filter("value > 30"), "event_type", "ts").withColumnRenamed("ts", "_mark")
     return keyed_join(t.events, marks, ["event_type"], "inner").filter("ts > _mark").select("event_id")
+
+
+@query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events) WHERE rn = 1")
+def stream_two_checkpoints(t: Tables):
+    """Two streams with checkpoints of their own feed one log; neither overwrites the other."""
+    import uuid
+
+    folder = f"{shared_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+    rows = t.events.select("user_id", "event_id", "event_type", "ts")
+    log = mirror.ChangeLog(t.spark, f"{folder}/log", "user_id", "ts", rows.schema)
+    for part in (0, 1):
+        rows.filter(F.col("event_id") % 2 == part).repartition(2, "event_id").write.parquet(f"{folder}/source{part}")
+        source = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/source{part}")
+        mirror.mirror_stream(source, log, f"{folder}/checkpoint{part}").awaitTermination()
+    return log.current().select("user_id", "event_id", "event_type")
+
+
+@query(
+    """WITH n AS (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1)
+       SELECT CAST(user_id AS VARCHAR) AS unit_id, event_type AS technology, 'unit_data' AS data_type, CAST(user_id AS VARCHAR) AS additional_data_id FROM n
+       UNION ALL SELECT CAST(user_id AS VARCHAR), event_type, 'eeg_data', 'E' || event_id FROM n WHERE event_id % 3 > 0
+       UNION ALL SELECT CAST(user_id AS VARCHAR), event_type, 'permit_data', 'P' || event_id FROM n WHERE event_id % 2 = 0"""
+)
+def stream_change_requests(t: Tables):
+    """Requests follow from the rows that the stream inserts and updates."""
+    import uuid
+
+    folder = f"{shared_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+    number = F.col("event_id")
+    rows = t.events.select(
+        F.col("user_id").cast("string").alias("EinheitMastrNummer"),
+        F.when(number % 3 > 0, F.concat(F.lit("E"), number)).alias("EegMastrNummer"),
+        F.lit("").alias("KwkMastrNummer"),
+        F.when(number % 2 == 0, F.concat(F.lit("P"), number)).alias("GenMastrNummer"),
+        "event_type",
+        "ts",
+    )
+    rows.repartition(4, "ts").write.parquet(f"{folder}/source")
+    source = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/source")
+    log = mirror.ChangeLog(t.spark, f"{folder}/log", "EinheitMastrNummer", "ts", rows.schema)
+    mirror.request_stream(source, log, f"{folder}/checkpoint", f"{folder}/requests", F.col("event_type")).awaitTermination()
+    return mirror.requests(t.spark, f"{folder}/requests").select("unit_id", "technology", "data_type", "additional_data_id")
+
+
+@query(
+    """WITH u AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderkey AS n, o_orderstatus AS s FROM orders),
+       d AS (SELECT id AS unit_id, n, s AS technology, 'unit_data' AS data_type, id AS additional_data_id FROM u
+             UNION ALL SELECT id, n, s, 'eeg_data', 'E' || id FROM u WHERE n % 3 > 0),
+       k AS (SELECT DISTINCT 'unit_data' AS data_type, CAST(l_orderkey AS VARCHAR) AS x FROM lineitem WHERE l_linenumber >= 4
+             UNION SELECT DISTINCT 'eeg_data', 'E' || l_orderkey FROM lineitem WHERE l_linenumber = 6)
+       SELECT unit_id, technology, data_type, additional_data_id FROM d WHERE technology <> 'F' AND n % 2 = 0
+       UNION ALL SELECT unit_id, technology, data_type, additional_data_id FROM d
+         WHERE technology = 'F' AND NOT EXISTS (SELECT 1 FROM k WHERE k.data_type = d.data_type AND k.x = d.additional_data_id)"""
+)
+def request_rebuild(t: Tables):
+    """Requests of one type thrown away and made anew from its missing details, in one call."""
+    ids = {"unit": "unit_data", "eeg": "eeg_data"}
+    key = F.col("o_orderkey")
+    base = t.orders.select(
+        key.cast("string").alias("unit"), F.when(key % 3 > 0, F.concat(F.lit("E"), key)).alias("eeg"), key.alias("n"), F.col("o_orderstatus").alias("s")
+    )
+    queue = mirror.detail_requests(base.filter("n % 2 = 0"), F.col("s"), ids)
+    units = t.lineitem.filter("l_linenumber >= 4").select(F.col("l_orderkey").cast("string").alias("id"))
+    subsidies = t.lineitem.filter("l_linenumber = 6").select(F.concat(F.lit("E"), "l_orderkey").alias("id"))
+    details = {"unit_data": (units, "id"), "eeg_data": (subsidies, "id")}
+    return mirror.rebuilt_requests(queue, base, details, "F", F.col("s") == "F", ids).select("unit_id", "technology", "data_type", "additional_data_id")

@@ -29,6 +29,23 @@ def batch_last_wins(t: Tables):
     return first_per_key(rows, ["user_id"], [F.desc("ts"), F.desc("event_id")]).drop("ts")
 
 
+REPEATED_EVENTS_SQL = """(SELECT event_id, ts, user_id, event_type, value FROM events
+   UNION ALL SELECT event_id, ts + to_microseconds(event_id % 3), user_id, event_type, CASE WHEN event_id % 5 = 0 THEN NULL ELSE value END FROM events)"""
+
+
+@query(
+    f"""SELECT event_id, epoch_us(ts) AS us, user_id, event_type, value FROM (SELECT *, count(*) OVER (PARTITION BY event_id, ts, user_id, event_type, value) AS n FROM {REPEATED_EVENTS_SQL}) WHERE n > 1"""
+)
+def duplicate_groups_timestamps(t: Tables):
+    """Repeats count only if they agree to the microsecond."""
+    columns = ["event_id", "ts", "user_id", "event_type", "value"]
+    events = t.events.select(*columns)
+    later = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + F.col("event_id") % 3)
+    again = events.withColumns({"ts": later, "value": F.when(F.col("event_id") % 5 > 0, F.col("value"))})
+    both = events.withColumn("ts", F.col("ts").cast("timestamp")).unionByName(again)
+    return profile.duplicated_rows(both).select("event_id", F.unix_micros("ts").alias("us"), "user_id", "event_type", "value")
+
+
 @query(
     """SELECT doc_id, lang, source, n_chars FROM (SELECT *, count(*) OVER (PARTITION BY text, lang, n_chars) AS n FROM documents) WHERE n > 1"""
 )

@@ -376,31 +376,53 @@ CHAIN_CENTRES_SQL = f"""(SELECT plz, sum((x1 + x2) * (x1 * y2 - x2 * y1)) / (3 *
    FROM {PLZ_EDGES_SQL} GROUP BY plz)"""
 
 
-@query(
-    f"""WITH u AS {CHAIN_UNITS_SQL}, c AS {CHAIN_CENTRES_SQL}, i AS {_inside_sql('u', COUNTRY_SQL, 'lon', 'lat')},
-        j AS (SELECT u.*, i.id IS NOT NULL AS inside, a.cx AS ax, a.cy AS ay, b.cx AS bx, b.cy AS byy FROM u LEFT JOIN i ON i.id = u.id LEFT JOIN c a ON a.plz = u.plz
-              LEFT JOIN c b ON length(regexp_replace(u.address, '[^0-9]', '', 'g')) = 5 AND b.plz = TRY_CAST(regexp_replace(u.address, '[^0-9]', '', 'g') AS INTEGER))
-        SELECT id, CASE WHEN lon IS NOT NULL THEN 'has_geom; ' || CASE WHEN inside THEN 'inside_vg250; ' ELSE 'outside_vg250; remove_geom; ' END ELSE 'no_geom; ' END
-                   || CASE WHEN inside THEN '' WHEN ax IS NOT NULL THEN 'make_geom_plz; ' ELSE 'make_geom_standort_plz; ' END AS comment,
-               round(CASE WHEN inside THEN lon ELSE COALESCE(ax, bx) END, 6) AS lon, round(CASE WHEN inside THEN lat ELSE COALESCE(ay, byy) END, 6) AS lat
-        FROM j WHERE inside OR ax IS NOT NULL OR bx IS NOT NULL"""
-)
-def cleansing_chain_short(t: Tables):
-    done = cleansing.short_cleansing(chain_units(t), chain_bounds(t), strict=False)
+def short_chain_sql(technology: str, strict: bool) -> str:
+    steps = cleansing.SHORT_STEPS[technology]
+    gone = "false" if strict else "lon IS NOT NULL AND NOT inside"
+    address = "NULL" if not steps.address_step else "{}"
+    return f"""WITH u AS {CHAIN_UNITS_SQL}, c AS {CHAIN_CENTRES_SQL}, i AS {_inside_sql('u', COUNTRY_SQL, 'lon', 'lat')},
+        j AS (SELECT u.*, i.id IS NOT NULL AS inside, a.cx AS ax, a.cy AS ay, {address.format('b.cx')} AS bx, {address.format('b.cy')} AS byy FROM u LEFT JOIN i ON i.id = u.id LEFT JOIN c a ON a.plz = u.plz
+              LEFT JOIN c b ON length(regexp_replace(u.address, '[^0-9]', '', 'g')) = 5 AND b.plz = TRY_CAST(regexp_replace(u.address, '[^0-9]', '', 'g') AS INTEGER)),
+        k AS (SELECT *, {gone} AS gone, lon IS NULL OR {gone} AS bare FROM j)
+        SELECT id, nullif(CASE WHEN lon IS NOT NULL THEN 'has_geom; ' ELSE '{"no_geom; " if steps.mark_missing else ""}' END || CASE WHEN inside THEN 'inside_vg250; ' WHEN gone THEN 'outside_vg250; remove_geom; ' ELSE '' END
+                   || CASE WHEN NOT bare THEN '' WHEN ax IS NOT NULL THEN 'make_geom_plz; ' WHEN bx IS NOT NULL THEN 'make_geom_standort_plz; ' ELSE '' END, '') AS comment,
+               round(CASE WHEN bare THEN COALESCE(ax, bx) ELSE lon END, 6) AS lon, round(CASE WHEN bare THEN COALESCE(ay, byy) ELSE lat END, 6) AS lat
+        FROM k {"WHERE NOT bare OR ax IS NOT NULL OR bx IS NOT NULL" if steps.drop_unlocated else ""}"""
+
+
+def _short_chain(t: Tables, technology: str, strict: bool = True):
+    done = cleansing.short_cleansing(chain_units(t), chain_bounds(t), technology, strict)
     return done.select("id", "comment", F.round("Laengengrad", 6).alias("lon"), F.round("Breitengrad", 6).alias("lat"))
 
 
-@query(
-    f"""WITH u AS {CHAIN_UNITS_SQL}, c AS {CHAIN_CENTRES_SQL}, i AS {_inside_sql('u', COUNTRY_SQL, 'lon', 'lat')}
-        SELECT 'has_geom; inside_vg250; ' AS comment, count(*) AS n FROM u JOIN i ON i.id = u.id
-        UNION ALL SELECT 'has_geom; ', count(*) FROM u WHERE lon IS NOT NULL AND id NOT IN (SELECT id FROM i)
-        UNION ALL SELECT 'no_geom; ' || CASE WHEN a.plz IS NOT NULL THEN 'make_geom_plz; ' ELSE 'make_geom_standort_plz; ' END, count(*) FROM u LEFT JOIN c a ON a.plz = u.plz
-          LEFT JOIN c b ON length(regexp_replace(u.address, '[^0-9]', '', 'g')) = 5 AND b.plz = TRY_CAST(regexp_replace(u.address, '[^0-9]', '', 'g') AS INTEGER)
-          WHERE u.lon IS NULL AND (a.plz IS NOT NULL OR b.plz IS NOT NULL) GROUP BY a.plz IS NOT NULL"""
-)
+@query(short_chain_sql("combustion", False))
+def cleansing_chain_short(t: Tables):
+    return _short_chain(t, "combustion", strict=False)
+
+
+@query(short_chain_sql("combustion", True))
 def cleansing_chain_short_strict(t: Tables):
-    done = cleansing.short_cleansing(chain_units(t), chain_bounds(t))
-    return done.groupBy("comment").agg(F.count(F.lit(1)).alias("n"))
+    return _short_chain(t, "combustion")
+
+
+@query(short_chain_sql("solar", True))
+def cleansing_chain_solar(t: Tables):
+    return _short_chain(t, "solar")
+
+
+@query(short_chain_sql("hydro", False))
+def cleansing_chain_hydro_corrected(t: Tables):
+    return _short_chain(t, "hydro", strict=False)
+
+
+@query(short_chain_sql("hydro", True))
+def cleansing_chain_hydro(t: Tables):
+    return _short_chain(t, "hydro")
+
+
+@query(short_chain_sql("biomass", True))
+def cleansing_chain_biomass(t: Tables):
+    return _short_chain(t, "biomass")
 
 
 CHAIN_SURFACE_SQL = f"(SELECT 10000 + region_id AS plz, 5e0 + point_x * 1e-1 AS sx, 47e0 + point_y * 8e-2 AS sy FROM {SURFACE_SQL})"
@@ -467,10 +489,27 @@ def cleansing_chain_projected(t: Tables):
         FROM (SELECT cluster, count(*) AS n FROM parts GROUP BY cluster) p LEFT JOIN hits h ON h.cluster = p.cluster LEFT JOIN {METRES_SQL} m ON m.id = h.id GROUP BY p.cluster"""
 )
 def external_match_table(t: Tables):
+    _, table = _matched(t)
+    return table.select("cluster", "osm_count", F.round("mastr_sum", 2).alias("mastr_sum"), "mastr_count")
+
+
+def _matched(t: Tables):
     units = metres(t).select(
         F.col("id").alias("EinheitMastrNummer"), F.col("x").alias("x_3035"), F.col("y").alias("y_3035"), F.col("power").alias("Bruttoleistung"),
         F.create_map(F.lit("processed"), F.lit("true")).alias("tags"), F.lit(None).cast("string").alias("comment"),
     )
     external = other_metres(t).select(F.col("id").alias("osm_id"), F.col("x").alias("x_3035"), F.col("y").alias("y_3035"))
-    _, table = cleansing.match_external(units, external, reach=60.0)
-    return table.select("cluster", "osm_count", F.round("mastr_sum", 2).alias("mastr_sum"), "mastr_count")
+    return cleansing.match_external(units, external, reach=60.0)
+
+
+@query(
+    f"""WITH {clusters_sql(OTHER_SQL, '12e1')}, hits AS (SELECT DISTINCT m.id, p.cluster FROM {METRES_SQL} m JOIN {OTHER_SQL} o ON (o.x - m.x) * (o.x - m.x) + (o.y - m.y) * (o.y - m.y) <= 6e1 * 6e1 JOIN parts p ON p.id = o.id)
+        SELECT m.id, h.cluster AS osm_id, CASE WHEN h.cluster IS NOT NULL THEN 'in_osm=true;match_osm=true;processed=true' ELSE 'processed=true' END AS tags,
+               CASE WHEN h.cluster IS NOT NULL THEN 'match_osm; ' ELSE '' END AS comment
+        FROM {METRES_SQL} m LEFT JOIN hits h ON h.id = m.id"""
+)
+def external_match_units(t: Tables):
+    from unitledger.functions.nested import tags_text
+
+    units, _ = _matched(t)
+    return units.select(F.col("EinheitMastrNummer").alias("id"), "osm_id", tags_text(F.col("tags")).alias("tags"), F.coalesce("comment", F.lit("")).alias("comment"))

@@ -119,7 +119,7 @@ def duplicated_rows(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
     gathered in one task.
     """
     compared = [c for c in df.columns if c not in ignore]
-    keyed = df.withColumn("_digest", row_digest(compared))
+    keyed = df.withColumn("_digest", row_digest(df, compared))
     counts = keyed.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     return keyed_join(keyed, counts.select("_digest"), ["_digest"], "left_semi", counts=counts).drop("_digest")
 
@@ -127,7 +127,7 @@ def duplicated_rows(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
 def unique_rows(df: DataFrame, order: Sequence[Column], ignore: Sequence[str] = ()) -> DataFrame:
     """The first row of each such group."""
     compared = [c for c in df.columns if c not in ignore]
-    keyed = df.withColumn("_digest", row_digest(compared))
+    keyed = df.withColumn("_digest", row_digest(df, compared))
     return first_per_key(keyed, ["_digest"], order).drop("_digest")
 
 

@@ -12,10 +12,11 @@ from pyspark.sql import types as T
 
 from unitledger.session import shared_dir
 
-# The keys that get salted. A key outside the HOT_KEYS most frequent ones holds at most
-# 1/HOT_KEYS of the rows, so it needs no split. The list is broadcast; its size is this bound.
-HOT_KEYS = 1000
-SALTS = 64
+# A key is hot if it alone has more than this part of what a shuffle partition gets on average.
+# There are at most partitions / HOT_SHARE of them, which bounds the list that is broadcast.
+HOT_SHARE = 0.5
+HOT_ROWS = 1000  # fewer rows of a key need no split in any case
+SALTS = 64  # of rows without a key, and where a caller names none
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -34,16 +35,24 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], counts: DataFrame | None = None) -> DataFrame:
-    """The most frequent keys of `df`: a map-side combined count, then a distributed top-k."""
+    """The keys that would overfill a task, with the number of salts that cuts them to size.
+
+    One map-side combined count of the keys; the share of a task follows from its sum.
+    """
     if counts is None:
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.orderBy(F.desc("_n"), *keys).limit(HOT_KEYS).select(*keys, F.lit(True).alias("_hot"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = written(counts)
+    rows = counts.agg(F.sum("_n")).first()[0] or 0
+    share = max(float(HOT_ROWS), HOT_SHARE * rows / partitions)
+    salts = F.least(F.ceil(F.col("_n") / F.lit(share)), F.lit(4 * partitions)).cast("int")
+    return counts.filter(F.col("_n") > share).select(*keys, salts.alias("_salts"))
 
 
-def row_salt(df: DataFrame, salts: int = SALTS) -> Column:
+def row_salt(df: DataFrame, salts: int | Column = SALTS) -> Column:
     """A salt that a re-run task computes again: row content plus the input partition."""
     hashable = [c.name for c in df.schema if not _has_map(c.dataType)]
-    return F.pmod(F.xxhash64(*hashable) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *hashable), salts if isinstance(salts, Column) else F.lit(salts)).cast("int")
 
 
 def _has_map(kind: T.DataType) -> bool:
@@ -62,8 +71,8 @@ def keyed_join(
     """Join a large table to a keyed one on equally named columns, splitting hot keys.
 
     A right side below the broadcast threshold needs no shuffle, so it is left to Catalyst.
-    Otherwise rows of the most frequent left keys spread over `SALTS` buckets and the matching
-    right rows are repeated per bucket; with `how="left"` rows with a NULL key spread as well,
+    Otherwise rows of the hot left keys spread over as many buckets as their count asks for and
+    the matching right rows are repeated per bucket; with `how="left"` rows with a NULL key spread as well,
     because they match nothing and would share one task. `counts` passes key frequencies
     (`keys`, `_n`) a caller can get cheaper than by counting `left`.
     """
@@ -73,17 +82,22 @@ def keyed_join(
     if not split:
         return _join(left, right, keys, how, null_safe)
     # Written once, so that a chain of such joins does not repeat its inputs join by join.
-    hot = F.broadcast(written(hot_keys(left, keys, counts)))
+    hot = written(hot_keys(left, keys, counts))
+    keyless = not null_safe and how == "left" and any(left.schema[k].nullable for k in keys)
+    if not keyless and hot.isEmpty():
+        return _join(left, right, keys, how, null_safe)
+    hot = F.broadcast(hot)
     no_key = F.lit(False)
     if not null_safe:
         for key in keys:
             no_key = no_key | F.col(key).isNull()
-    salted_left = _join(left, hot, keys, "left", null_safe).withColumn(
-        "_salt", F.when(F.col("_hot") | no_key, row_salt(left)).otherwise(F.lit(0))
-    ).drop("_hot")
-    buckets = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salts = F.coalesce("_salts", F.when(no_key, F.lit(SALTS)), F.lit(1))
+    salted_left = (
+        _join(left, hot, keys, "left", null_safe).withColumn("_salt", row_salt(left, salts)).drop("_salts")
+    )
+    buckets = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
     salted_right = (
-        _join(right, hot, keys, "left", null_safe).withColumn("_salt", F.explode(buckets)).drop("_hot")
+        _join(right, hot, keys, "left", null_safe).withColumn("_salt", F.explode(buckets)).drop("_salts")
     )
     return _join(salted_left, salted_right, keys + ["_salt"], how, null_safe).drop("_salt")
 
@@ -105,9 +119,30 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
-def row_digest(columns: Sequence[str]) -> Column:
-    """A 256-bit digest of whole column values, NULLs included, to group wide rows by."""
-    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+def _exact_text(c: Column, kind: T.DataType) -> Column:
+    """A text that two values share only if they are equal; NULL has its own. Each part carries
+    its length, so that no two sequences of values look alike."""
+    if isinstance(kind, T.StructType):
+        text = F.concat(F.lit(""), *[_exact_text(c[f.name], f.dataType) for f in kind.fields])
+    elif isinstance(kind, T.ArrayType):
+        text = F.array_join(F.transform(c, lambda x: _exact_text(x, kind.elementType)), "")
+    elif isinstance(kind, T.MapType):
+        entries = T.ArrayType(T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)]))
+        text = F.array_join(F.array_sort(F.transform(F.map_entries(c), lambda x: _exact_text(x, entries.elementType))), "")
+    elif isinstance(kind, T.TimestampType):
+        text = F.unix_micros(c).cast("string")
+    elif isinstance(kind, T.DoubleType | T.FloatType):
+        text = (c + F.lit(0.0).cast(kind)).cast("string")  # -0.0 equals 0.0, NaN equals NaN
+    elif isinstance(kind, T.BinaryType):
+        text = F.hex(c)
+    else:
+        text = c.cast("string")
+    return F.when(c.isNull(), F.lit("N")).otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text))
+
+
+def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
+    """A 256-bit digest of exact column values, NULLs included, to group wide rows by."""
+    return F.sha2(F.concat(F.lit(""), *[_exact_text(F.col(c), df.schema[c].dataType) for c in columns]), 256)
 
 
 def ranked(df: DataFrame, order: Sequence[Column], rank: str = "position", start: int = 1) -> DataFrame:

@@ -54,22 +54,42 @@ def _address_postcode() -> Column:
     return F.when(F.length(digits) == 5, digits)
 
 
-def short_cleansing(units: DataFrame, bounds: Boundaries, strict: bool = True) -> DataFrame:
-    """Keep a position, or take the centre of the postcode area; drop units left without one.
+@dataclass(frozen=True)
+class ShortSteps:
+    """Which steps the short chain takes besides the checks of position and postcode."""
+
+    mark_missing: bool = False  # units without a position say so in their comment
+    address_step: bool = False  # a postcode in the address helps where the postcode column does not
+    drop_unlocated: bool = False  # units left without a position go
+
+
+# The published scripts by technology.
+SHORT_STEPS = {
+    "solar": ShortSteps(),
+    "hydro": ShortSteps(),
+    "biomass": ShortSteps(drop_unlocated=True),
+    "combustion": ShortSteps(mark_missing=True, address_step=True, drop_unlocated=True),
+}
+
+
+def short_cleansing(units: DataFrame, bounds: Boundaries, technology: str, strict: bool = True) -> DataFrame:
+    """Keep a position, or take the centre of the postcode area, as the technology's steps say.
 
     `strict` keeps positions outside the country unless a row's comment history says the
     position was made earlier, as the published scripts do; `strict=False` removes them.
     """
+    steps = SHORT_STEPS[technology]
     has = F.col("Laengengrad").isNotNull() & F.col("Breitengrad").isNotNull()
     comment = F.col("comment") if "comment" in units.columns else F.lit(None).cast("string")
     comment = text.append_comment(comment, "has_geom; ", has)
-    comment = text.append_comment(comment, "no_geom; ", ~has)
+    if steps.mark_missing:
+        comment = text.append_comment(comment, "no_geom; ", ~has)
     units = _flag_inside(
         units.withColumn("comment", comment), bounds.country, "Laengengrad", "Breitengrad", bounds.country_cell, "_inside", F.lit(True)
     )
     units = units.withColumn("comment", text.append_comment(F.col("comment"), "inside_vg250; ", F.col("_inside")))
     outside = F.col("comment") == "make_geom; has_geom; " if strict else has & ~F.col("_inside")
-    units = units.withColumn("_outside", outside).withColumns(
+    units = units.withColumn("_outside", F.coalesce(outside, F.lit(False))).withColumns(
         {
             "comment": text.append_comment(F.col("comment"), "outside_vg250; remove_geom; ", F.col("_outside")),
             "Laengengrad": F.when(~F.col("_outside"), F.col("Laengengrad")),
@@ -79,20 +99,22 @@ def short_cleansing(units: DataFrame, bounds: Boundaries, strict: bool = True) -
     centres = written(
         spatial.polygon_centres(bounds.postcodes).withColumnsRenamed({"centre_x": "point_x", "centre_y": "point_y"})
     )
-    units = _postcode_points(units, centres, F.col("Postleitzahl"), "_lon1", "_lat1")
-    units = _postcode_points(units, centres, _address_postcode(), "_lon2", "_lat2")
-    bare = ~has
-    first = bare & F.col("_lon1").isNotNull()
-    second = bare & F.col("_lon1").isNull() & F.col("_lon2").isNotNull()
-    marked = text.append_comment(text.append_comment(F.col("comment"), "make_geom_plz; ", first), "make_geom_standort_plz; ", second)
-    # One select, so that every expression sees the position as it was before.
-    return units.withColumns(
-        {
-            "comment": marked,
-            "Laengengrad": F.when(has, F.col("Laengengrad")).otherwise(F.coalesce("_lon1", "_lon2")),
-            "Breitengrad": F.when(has, F.col("Breitengrad")).otherwise(F.coalesce("_lat1", "_lat2")),
-        }
-    ).drop("_lon1", "_lat1", "_lon2", "_lat2").filter(has)
+    sources = [("make_geom_plz; ", F.col("Postleitzahl"))]
+    if steps.address_step:
+        sources.append(("make_geom_standort_plz; ", _address_postcode()))
+    for mark, postcode in sources:
+        placed = _postcode_points(units, centres, postcode, "_lon", "_lat")
+        bare = ~has & F.col("_lon").isNotNull()
+        # One select, so that every expression sees the position as it was before.
+        units = placed.withColumns(
+            {
+                "comment": text.append_comment(F.col("comment"), mark, bare),
+                "Laengengrad": F.when(bare, F.col("_lon")).otherwise(F.col("Laengengrad")),
+                "Breitengrad": F.when(bare, F.col("_lat")).otherwise(F.col("Breitengrad")),
+            }
+        ).drop("_lon", "_lat")
+    units = units.withColumn("comment", text.null_if_empty(F.col("comment")))
+    return units.filter(has) if steps.drop_unlocated else units
 
 
 def wind_tags(units: DataFrame) -> DataFrame:

@@ -82,7 +82,7 @@ def location_funnel(
     without state, with right state, with wrong state."""
     everything = union_by_name(frames)
     compared = [c for c in everything.columns if c != stamp]
-    digests = everything.withColumn("_digest", profile.row_digest(compared))
+    digests = everything.withColumn("_digest", profile.row_digest(everything, compared))
     sizes = digests.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n"))
     counts = sizes.agg(
         F.sum("_n").alias("all"), F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)).alias("duplicated")

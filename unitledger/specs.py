@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -114,12 +113,77 @@ CODED_COLUMNS = [
     "NetzbetreiberpruefungStatus",
 ]
 
-# Types follow from names; everything else, all identifiers among it, stays text.
-TIMESTAMP_NAMES = re.compile(r"DatumLetz\w*Aktualisierung|LetzteAenderung|Netzbetreiberzuordnungsaenderungsdatum|RegistrierungsdatumMarktakteur|\w+_date")
-DATE_NAMES = re.compile(r"\w*[Dd]atum\w*|Frist|BiomethanErstmaligerEinsatz|MieterstromErsteZuordnungZuschlag|Taetigkeits(beginn|ende)")
-FLAG_NAMES = re.compile(r"\w+_nv|\w+NichtGefunden")
+# Columns by type. A column that no list names stays text, identifiers and columns new
+# in an export among them.
+DATES = [
+    "Datum",
+    "DatumBaubeginn",
+    "DatumBeginnVoruebergehendeStilllegung",
+    "DatumBeendigungVorlaeufigenStilllegung",
+    "DatumEndgueltigeStilllegung",
+    "DatumWiederaufnahmeBetrieb",
+    "DatumUeberfuehrungInReserve",
+    "DatumDesBetreiberwechsels",
+    "DatumRegistrierungDesBetreiberwechsels",
+    "DatumDownload",
+    "Registrierungsdatum",
+    "Inbetriebnahmedatum",
+    "GeplantesInbetriebnahmedatum",
+    "WiederinbetriebnahmeDatum",
+    "EegInbetriebnahmedatum",
+    "Meldedatum",
+    "MieterstromRegistrierungsdatum",
+    "MieterstromMeldedatum",
+    "MieterstromErsteZuordnungZuschlag",
+    "BiogasDatumInanspruchnahmeFlexiPraemie",
+    "BiogasDatumLeistungserhoehung",
+    "BiomethanErstmaligerEinsatz",
+    "NetzbetreiberpruefungDatum",
+    "NetzreserveAbDatum",
+    "SicherheitsbereitschaftAbDatum",
+    "WasserrechtAblaufdatum",
+    "Frist",
+    "Taetigkeitsbeginn",
+    "Taetigkeitsende",
+]
+
+TIMESTAMPS = [
+    "DatumLetzteAktualisierung",
+    "DatumLetzeAktualisierung",
+    "LetzteAenderung",
+    "RegistrierungsdatumMarktakteur",
+    "RegistrierungsdatumNetzbetreiberzuordnungsaenderung",
+    "Netzbetreiberzuordnungsaenderungsdatum",
+    "download_date",
+    "request_date",
+]
+
+ABSENCE_FLAGS = [
+    "AcerCode_nv",
+    "AnlagenkennzifferAnlagenregister_nv",
+    "BiogasGaserzeugungskapazitaet_nv",
+    "BiomethanErstmaligerEinsatz_nv",
+    "BundesnetzagenturBetriebsnummer_nv",
+    "Fax_nv",
+    "Frist_nv",
+    "HausnummerAnZustelladresse_nv",
+    "HausnummerNichtGefunden",
+    "Hausnummer_nv",
+    "Kraftwerksnummer_nv",
+    "Marktpartneridentifikationsnummer_nv",
+    "RegistrierungsnummerPvMeldeportal_nv",
+    "StrasseNichtGefunden",
+    "Taetigkeitsende_nv",
+    "Umsatzsteueridentifikationsnummer_nv",
+    "VerhaeltnisErtragsschaetzungReferenzertrag_nv",
+    "VerhaeltnisReferenzertragErtrag10Jahre_nv",
+    "VerhaeltnisReferenzertragErtrag15Jahre_nv",
+    "VerhaeltnisReferenzertragErtrag5Jahre_nv",
+    "WasserrechtAblaufdatum_nv",
+    "Webseite_nv",
+    "Weic_nv",
+]
 
-# Number, count and yes/no columns.
 NUMBERS = set(
     """
     Breitengrad Laengengrad UtmEast UtmNorth GaussKruegerHoch GaussKruegerRechts
@@ -135,7 +199,15 @@ NUMBERS = set(
     VerhaeltnisReferenzertragErtrag5Jahre VerhaeltnisReferenzertragErtrag10Jahre VerhaeltnisReferenzertragErtrag15Jahre
     """.split()
 )
-COUNTS = {"Id", "Kmu", "Weic_Na", "BilanzierungsgebietNetzanschlusspunktId"}
+COUNTS = [
+    "Id",
+    "Kmu",
+    "Weic_Na",
+    "BilanzierungsgebietNetzanschlusspunktId",
+    "AnzahlModule",
+    "AnzahlNetzanschlusspunkte",
+    "AnzahlStromverbrauchseinheitenGroesser50Mw",
+]
 FLAGS = set(
     """
     NichtVorhandenInMigriertenEinheiten AnschlussAnHoechstOderHochSpannung Schwarzstartfaehigkeit Inselbetriebsfaehigkeit
@@ -154,16 +226,17 @@ FLAGS = set(
 )
 
 
+TYPES = {
+    **dict.fromkeys(DATES, "date"),
+    **dict.fromkeys(TIMESTAMPS, "timestamp"),
+    **dict.fromkeys(COUNTS, "int"),
+    **dict.fromkeys(sorted(NUMBERS), "double"),
+    **dict.fromkeys([*sorted(FLAGS), *ABSENCE_FLAGS], "boolean"),
+}
+
+
 def type_of(column: str) -> str:
-    if column in FLAGS or FLAG_NAMES.fullmatch(column):
-        return "boolean"
-    if TIMESTAMP_NAMES.fullmatch(column):
-        return "timestamp"
-    if DATE_NAMES.fullmatch(column):
-        return "date"
-    if column in COUNTS or column.startswith("Anzahl"):
-        return "int"
-    return "double" if column in NUMBERS else "string"
+    return TYPES.get(column, "string")
 
 
 def typed(df: DataFrame, types: dict[str, str] | None = None) -> DataFrame:
@@ -178,7 +251,7 @@ class TableSpec:
     table: str | None  # None: lookup only, never stored
     key: str | None = None
     renames: dict[str, str] = field(default_factory=dict)
-    types: dict[str, str] = field(default_factory=dict)  # where the name rule does not fit
+    types: dict[str, str] = field(default_factory=dict)  # where a table differs from TYPES
 
 
 _ONE_LINK = {"VerknuepfteEinheitenMaStRNummern": "VerknuepfteEinheit"}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 
 from unitledger.functions.nested import first_as_text, flatten_reply
 from unitledger.operators.relational import distinct_keys, drop_keys, missing_detail
-from unitledger.operators.skew import first_per_key, keyed_join
+from unitledger.operators.skew import first_per_key, keyed_join, written
 
 # Foreign ids of a basic unit and the detail data each one stands for.
 DETAIL_IDS = {
@@ -79,9 +80,9 @@ def changes(stored: DataFrame, batch: DataFrame, key: str, stamp: str | None) ->
 
 def upsert(stored: DataFrame, batch: DataFrame, key: str, stamp: str | None, order: Sequence[Column]) -> DataFrame:
     """The stored table after the batch: new keys added, known keys replaced by newer rows."""
-    written = changes(stored, last_per_key(batch, key, order), key, stamp).drop("op")
-    kept = keyed_join(stored, distinct_keys(written, key), [key], "left_anti")
-    return kept.unionByName(written)
+    done = written(changes(stored, last_per_key(batch, key, order), key, stamp).drop("op"))  # used twice
+    kept = keyed_join(stored, distinct_keys(done, key), [key], "left_anti")
+    return kept.unionByName(done)
 
 
 def detail_requests(units: DataFrame, technology: Column, ids: dict[str, str] | None = None) -> DataFrame:
@@ -130,46 +131,120 @@ class ChangeLog:
     """A mirrored table kept as an append-only log of keyed rows.
 
     A micro-batch costs its own size, not the size of the table: `write_batch` stores the last
-    row per key of the batch in a folder named by the batch, so a repeated batch replaces itself.
-    `current` reads the newest row per key; `compact` writes that as a new base folder and names
-    it in the folder list last, so readers see the old or the new state.
+    row per key of the batch in a folder of its run and batch, so a repeated batch replaces
+    itself and another run (a new checkpoint on the same log) never touches what is there.
+    `current` reads the newest row per key; `compact` writes that to a folder of its own, and
+    readers that are to use it are given the returned log.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str, stamp: str, schema: T.StructType):
         self.spark, self.path, self.key, self.stamp, self.schema = spark, path, key, stamp, schema
 
-    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+    def _runs(self) -> list[str]:
+        """Names of the runs that have written, oldest first."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in fs.listStatus(root)] if fs.exists(root) else []
+        return sorted(n.removeprefix("run=") for n in names if n.startswith("run="))
+
+    def _run(self, run: str) -> str:
+        """The folder name of a run: a running number, so that runs have an order, and its id."""
+        runs = self._runs()
+        return next((r for r in runs if r.partition("-")[2] == run), f"{len(runs):06d}-{run}")
+
+    def write_batch(self, batch: DataFrame, batch_id: int, run: str = "base") -> None:
         newest = last_per_key(batch, self.key, [F.desc_nulls_last(self.stamp), F.desc(F.xxhash64(*batch.columns))])
-        newest.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        newest.write.mode("overwrite").parquet(f"{self.path}/run={self._run(run)}/batch={batch_id}")
 
     def _rows(self) -> DataFrame:
-        return self.spark.read.option("basePath", self.path).schema(self.schema.add("batch", "long")).parquet(self.path)
-
-    def current(self) -> DataFrame:
-        """Newest stamp wins; at equal stamps the earlier batch stays, because an update must be newer."""
-        order = [F.desc_nulls_last(self.stamp), F.col("batch")]
-        return first_per_key(self._rows(), [self.key], order).drop("batch")
+        schema = T.StructType([*self.schema.fields, T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())])
+        if not self._runs():
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.option("basePath", self.path).schema(schema).parquet(self.path)
+
+    def current(self, without: tuple[str, int] | None = None) -> DataFrame:
+        """Newest stamp wins; at equal stamps the earlier batch stays, because an update must be newer.
+        `without` leaves one batch of a run out."""
+        rows = self._rows()
+        if without is not None:
+            rows = rows.filter(~((F.col("run") == self._run(without[0])) & (F.col("batch") == without[1])))
+        order = [F.desc_nulls_last(self.stamp), F.col("run"), F.col("batch")]
+        return first_per_key(rows, [self.key], order).drop("run", "batch")
+
+    def changes(self, batch: DataFrame, batch_id: int, run: str = "base") -> DataFrame:
+        """Rows of a batch that insert or update (`op`), seen from the log without this batch."""
+        newest = last_per_key(batch, self.key, [F.desc_nulls_last(self.stamp), F.desc(F.xxhash64(*batch.columns))])
+        return changes(self.current((run, batch_id)), newest, self.key, self.stamp)
 
     def compact(self, new_path: str) -> "ChangeLog":
         """Rewrite the log as one batch elsewhere; the caller switches to the returned log."""
-        first = self._rows().agg(F.max("batch")).first()[0] or 0
-        self.current().write.mode("overwrite").parquet(f"{new_path}/batch={first}")
-        return ChangeLog(self.spark, new_path, self.key, self.stamp, self.schema)
+        done = ChangeLog(self.spark, new_path, self.key, self.stamp, self.schema)
+        if done._runs():
+            raise ValueError(f"{new_path} already holds a log")
+        done.write_batch(self.current(), 0)
+        return done
 
 
 def mirror_stream(source: DataFrame, log: ChangeLog, checkpoint: str, on_changes: Callable[[DataFrame, int], None] | None = None):
     """Start the query that merges a stream of rows into the log, batch by batch.
 
     Offsets live in the checkpoint, each batch overwrites its own folder, so a restart neither
-    loses nor doubles rows. The trigger drains what is there and stops.
+    loses nor doubles rows; the id of the query, kept in the checkpoint too, names its folders.
+    `on_changes` gets the rows a batch inserts or updates (with `op`), the same ones if the batch
+    is repeated. The trigger drains what is there and stops.
     """
+    started = threading.Event()
+    own: dict[str, str] = {}
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        log.write_batch(batch, batch_id)
+        started.wait()
+        changed = written(log.changes(batch, batch_id, own["run"])) if on_changes else None
+        log.write_batch(batch, batch_id, own["run"])
         if on_changes:
-            on_changes(batch, batch_id)
+            on_changes(changed, batch_id)
+
+    query = source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    own["run"] = query.id
+    started.set()
+    return query
+
+
+def request_stream(source: DataFrame, log: ChangeLog, checkpoint: str, requests_path: str, technology: Column):
+    """Mirror a stream and keep the detail requests its inserted and updated rows ask for.
+
+    Each batch writes its requests to a folder of its run and batch; `requests` reads those of
+    the newest batch per unit only.
+    """
 
-    return source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    def ask(changed: DataFrame, batch_id: int) -> None:
+        new = detail_requests(changed.drop("op"), technology)
+        run = log._runs()[-1]  # the running one has just written
+        new.write.mode("overwrite").parquet(f"{requests_path}/run={run}/batch={batch_id}")
+
+    return mirror_stream(source, log, checkpoint, ask)
+
+
+def requests(spark: SparkSession, requests_path: str) -> DataFrame:
+    rows = spark.read.parquet(requests_path).withColumn("batch", F.struct("run", F.col("batch").cast("long"))).drop("run")
+    newest = rows.groupBy("unit_id").agg(F.max("batch").alias("batch"))
+    return keyed_join(rows, newest, ["unit_id", "batch"], "left_semi").drop("batch")
+
+
+def rebuilt_requests(
+    requests: DataFrame, base: DataFrame, details: dict[str, tuple[DataFrame, str]], technology: str, kind: Column, ids: dict[str, str] | None = None
+) -> DataFrame:
+    """Requests after those of one technology were thrown away and made anew from missing details.
+
+    `details` gives the detail table and its key column by kind of request (see `DETAIL_IDS`).
+    """
+    ids = ids or DETAIL_IDS
+    units = base.filter(kind)
+    kept = requests.filter(~F.col("technology").eqNullSafe(F.lit(technology)))
+    new = detail_requests(units, F.lit(technology), ids)
+    for data_type, (detail, key) in details.items():
+        known = detail.select(F.col(key).cast("string").alias("additional_data_id"), F.lit(data_type).alias("data_type")).distinct()
+        new = keyed_join(new, known, ["data_type", "additional_data_id"], "left_anti")
+    return kept.unionByName(new.select(*kept.columns))
 
 
 def deduplicated(source: DataFrame, keys: Sequence[str], stamp: str, delay: str) -> DataFrame:
