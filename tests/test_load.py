@@ -37,6 +37,8 @@ def archive(tmp_path_factory):
         unit(201, state="9", power="viel"),
         unit(202, extra="<NameWindpark>tief\x03</NameWindpark>"),
         "<EinheitWind><EinheitMastrNummer>SEE203</EinheitMastrNummer><NameWindpark>a < b</NameWindpark></EinheitWind>",
+        "<EinheitWind><EinheitMastrNummer>SEE204</EinheitMastrNummer><NameWindpark>a <b</NameWindpark></EinheitWind>",
+        "<EinheitWind><NameWindpark>keyless</NameWindpark></EinheitWind>",
     )
     files["Katalogwerte.xml"] = CATALOG % (VALUE % (335, "Bayern") + VALUE % (336, "Bremen"))
     files["Unbekannt.xml"] = document(unit(999))
@@ -59,7 +61,7 @@ def rows_of(registry):
 
 def test_load_pads_types_decodes_and_keeps_first_per_key(registry):
     rows = rows_of(registry)
-    assert len(rows) == 10 * 2 + 4 and "SEE999" not in rows  # ten plain files, four good new keys in file 2
+    assert len(rows) == 10 * 2 + 5 and "SEE999" not in rows  # ten plain files, five good new keys in file 2
     first = rows["SEE1"]
     assert first["Bundesland"] == "Bayern"  # file 1 wins over file 2, and 2 comes before 10
     assert (first["Gemeindeschluessel"], first["Postleitzahl"]) == ("09162000", "01067")
@@ -79,8 +81,10 @@ def test_load_repairs_records_and_quarantines_the_rest(registry):
     rows = rows_of(registry)
     assert rows["SEE200"]["NameWindpark"] is None and rows["SEE200"]["Neu"] == "x & y"
     assert rows["SEE202"]["NameWindpark"] is None and rows["SEE202"]["Bruttoleistung"] == 2300.5
-    broken = registry.table("wind_extended__quarantine").collect()
-    assert len(broken) == 1 and "SEE203" in broken[0]["record"]
+    assert "SEE203" in rows and rows["SEE203"]["NameWindpark"] is None  # `a < b` is blanked, the row stays
+    aside = {r["reason"]: r["record"] for r in registry.table("wind_extended__quarantine").collect()}
+    assert set(aside) == {"broken record", "no key"}
+    assert "SEE204" in aside["broken record"] and "keyless" in aside["no key"]
 
 
 def test_snapshot_export_and_translation(spark, registry, tmp_path):
@@ -130,12 +134,25 @@ def test_dataset_names():
             specs.check_datasets(bad)
 
 
-def test_large_catalog_is_joined(spark, monkeypatch):
+def test_catalog_decoding_has_one_rule(spark):
     from unitledger.sources import catalog
 
-    monkeypatch.setattr(catalog, "MAP_CODES", 1)
-    codes = spark.createDataFrame([(1, "a"), (2, "b")], "Id int, Wert string")
-    df = spark.createDataFrame([(1, "2, 1,9"), (2, "9"), (3, None), (4, "")], "k int, c string")
-    got = {r["k"]: r["c"] for r in catalog.decode_columns(df, codes, ["c"], "k").collect()}
-    assert got == {1: "b,a", 2: None, 3: None, 4: None}
-    assert df.filter(F.col("k") > 0).count() == 4
+    codes = spark.createDataFrame([(1, "b"), (1, "a"), (2, "b"), (3, None), (None, "n")], "Id int, Wert string")
+    df = spark.createDataFrame([(1, "2, 1,9", "x"), (2, "9", "x"), (3, None, "x"), (None, "1", "x"), (1, "2", "x")], "k int, c string, z string")
+    want = [(1, "b,a", "x"), (1, "b", "x"), (2, None, "x"), (3, None, "x"), (None, "a", "x")]
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            got = catalog.decode_columns(df, codes, ["c"])
+            assert got.columns == ["k", "c", "z"] and sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_no_record_gets_lost():
+    split = lambda text, size=5: list(split_records(text[i : i + size] for i in range(0, len(text), size)))
+    assert split("<R><U>1</U><U/><U a='1'/><U>2</U ><U>3</U></R>") == ["<U>1</U>", "<U/>", "<U a='1'/>", "<U>2</U >", "<U>3</U>"]
+    assert split("<R><U>1</U><U>cut o") == ["<U>1</U>", "<U>cut o"]
+    assert split("<R><U>1</U>tail</R>") == ["<U>1</U>", "tail</R>"]
+    assert split("") == split("<R></R>") == split("<?xml version='1.0'?>\n<R/>") == []
+    assert split("no xml at all") == ["no xml at all"]

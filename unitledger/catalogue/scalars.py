@@ -16,7 +16,7 @@ from unitledger.sources.catalog import decode_columns
 def decode_single_code(t: Tables):
     catalog = t.nation.filter("n_regionkey <> 2").select(F.col("n_nationkey").alias("Id"), F.col("n_name").alias("Wert"))
     units = t.customer.select("c_custkey", F.col("c_nationkey").cast("string").alias("nation"))
-    return decode_columns(units, catalog, ["nation"], key="c_custkey")
+    return decode_columns(units, catalog, ["nation"])
 
 
 @query(
@@ -37,7 +37,26 @@ def decode_code_list(t: Tables):
         )
     )
     catalog = t.nation.select(F.col("n_nationkey").alias("Id"), F.col("n_name").alias("Wert"))
-    return decode_columns(t.orders.select("o_orderkey", codes.alias("fuels")), catalog, ["fuels"], key="o_orderkey")
+    return decode_columns(t.orders.select("o_orderkey", codes.alias("fuels")), catalog, ["fuels"])
+
+
+@query(
+    """WITH u AS (SELECT l_orderkey, l_linenumber, [l_orderkey, l_orderkey + 1, l_partkey] AS codes FROM lineitem WHERE l_linenumber < 4
+                  UNION ALL SELECT NULL, l_linenumber, [l_orderkey] FROM lineitem WHERE l_linenumber = 4 UNION ALL SELECT l_orderkey, 5, [l_orderkey] FROM lineitem WHERE l_linenumber = 1),
+       n AS (SELECT *, row_number() OVER () AS r FROM u), e AS (SELECT r, unnest(range(1, len(codes) + 1)) AS i, codes FROM n),
+       k AS (SELECT o_orderkey AS id, min(o_orderpriority) AS w FROM (SELECT o_orderkey, o_orderpriority FROM orders UNION ALL SELECT o_orderkey, '0 ' || o_orderstatus FROM orders WHERE o_orderkey % 3 = 0) GROUP BY o_orderkey),
+       d AS (SELECT r, string_agg(w, ',' ORDER BY i) AS t FROM e JOIN k ON k.id = codes[i] GROUP BY r)
+       SELECT n.l_orderkey AS id, l_linenumber AS line, d.t AS texts FROM n LEFT JOIN d ON d.r = n.r"""
+)
+def decode_large_catalog(t: Tables):
+    """A catalog as large as `orders`, with repeated codes; rows repeat and lack keys."""
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    rows = t.lineitem.filter("l_linenumber < 4").select(key.alias("id"), F.concat_ws(", ", key, key + 1, "l_partkey").alias("texts"), line.alias("line"))
+    keyless = t.lineitem.filter("l_linenumber = 4").select(F.lit(None).cast("bigint").alias("id"), key.cast("string").alias("texts"), line.alias("line"))
+    again = t.lineitem.filter("l_linenumber = 1").select(key.alias("id"), key.cast("string").alias("texts"), F.lit(5).cast(t.lineitem.schema["l_linenumber"].dataType).alias("line"))
+    catalog = t.orders.select(F.col("o_orderkey").alias("Id"), F.col("o_orderpriority").alias("Wert"))
+    repeated = t.orders.filter("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("Id"), F.concat(F.lit("0 "), "o_orderstatus").alias("Wert"))
+    return decode_columns(rows.unionByName(keyless).unionByName(again), catalog.unionByName(repeated), ["texts"])
 
 
 @query(

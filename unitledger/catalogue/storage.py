@@ -149,3 +149,80 @@ def boundary_json_scan(t: Tables):
     t.nation.select(F.to_json(feature).alias("value")).write.text(path)
     rings = tables.read_geojson(t.spark, path, "AGS")
     return rings.select("region_id", F.size("ring").alias("n_corners"), F.element_at("ring", 1)["x"].alias("first_x"))
+
+
+# Orders as units in numbered files: file 1 to 4 by key, and file 10 with some keys again. One in
+# 13 has no key, one in 17 a broken record, one in 7 a `<` in its text.
+ARCHIVE_FILES_SQL = """(SELECT o_orderkey AS n, 1 + o_orderkey % 4 AS file, o_totalprice AS p, o_orderdate AS d FROM orders
+   UNION ALL SELECT o_orderkey, 10, o_totalprice, o_orderdate FROM orders WHERE o_orderkey % 5 = 0)"""
+
+
+def _archive(t: Tables) -> Registry:
+    """Writes the files, loads them and returns the loaded registry."""
+    folder = scratch(t, "export").removeprefix("file:")
+    n, file = F.col("n"), F.col("file")
+    rows = t.orders.select(F.col("o_orderkey").alias("n"), (F.col("o_orderkey") % 4 + 1).alias("file"), "o_totalprice", "o_orderdate")
+    rows = rows.unionByName(rows.filter("n % 5 = 0").withColumn("file", F.lit(10).cast("bigint")))
+    element = lambda name, value: F.concat(F.lit(f"<{name}>"), value.cast("string"), F.lit(f"</{name}>"))
+    park = F.when(n % 17 == 0, "<NameWindpark>open").when(n % 7 == 0, "<NameWindpark>a < b</NameWindpark>").otherwise("<NameWindpark>x &amp; y</NameWindpark>")
+    record = F.concat(
+        F.lit("<EinheitWind>"),
+        F.when(n % 13 > 0, element("EinheitMastrNummer", F.concat(F.lit("SEE"), n))).otherwise(""),
+        element("Weic", n), element("Bruttoleistung", F.col("o_totalprice")), element("Registrierungsdatum", F.to_date("o_orderdate")),
+        element("Bundesland", 335 + n % 3), element("Gemeinde", file), element("AnzahlNeu", F.concat(n, F.lit(".5"))), park, F.lit("</EinheitWind>"),
+    )
+    catalog = "".join(f"<Katalogwert><Id>{335 + i}</Id><Wert>state {i}</Wert></Katalogwert>" for i in range(3))
+
+    def write(batches):
+        import os
+
+        os.makedirs(folder, exist_ok=True)
+        open_number, out = None, None
+        for batch in batches:
+            for number, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if number != open_number:
+                    if out:
+                        out.write("</Root>")
+                        out.close()
+                    name = f"EinheitenWind_{number}" if number else "Katalogwerte"
+                    open_number, out = number, open(f"{folder}/{name}.xml", "w", encoding="utf-16")
+                    out.write("<Root>")
+                out.write(body)
+        if out:
+            out.write("</Root>")
+            out.close()
+        yield from ()
+
+    codes = t.spark.range(1).select(F.lit(0).cast("bigint").alias("file"), F.lit(catalog).alias("record"))
+    files = rows.select("file", record.alias("record")).unionByName(codes).repartition("file").sortWithinPartitions("file")
+    files.mapInArrow(write, "done int").write.format("noop").mode("overwrite").save()
+    registry = Registry(t.spark, scratch(t, "registry"))
+    registry.load(folder, "2024-01-31", data=["wind"])
+    return registry
+
+
+@query(
+    f"""SELECT 'SEE' || n AS unit, round(min(p), 2) AS power, CAST(min(d) AS DATE) AS day, 'state ' || n % 3 AS state, n || '.5' AS unlisted,
+          CASE WHEN n % 7 > 0 THEN 'x & y' END AS park FROM {ARCHIVE_FILES_SQL} WHERE n % 13 > 0 AND n % 17 > 0 GROUP BY n"""
+)
+def archive_load(t: Tables):
+    table = _archive(t).table("wind_extended")
+    return table.select(
+        F.col("EinheitMastrNummer").alias("unit"), F.round("Bruttoleistung", 2).alias("power"), F.col("Registrierungsdatum").alias("day"),
+        F.col("Bundesland").alias("state"), F.col("AnzahlNeu").alias("unlisted"), F.col("NameWindpark").alias("park"),
+    )
+
+
+@query(
+    f"""SELECT CAST(file AS INT) AS file, CAST(n AS VARCHAR) AS n, CASE WHEN n % 17 = 0 THEN 'broken record' ELSE 'no key' END AS reason
+        FROM {ARCHIVE_FILES_SQL} WHERE n % 13 = 0 OR n % 17 = 0"""
+)
+def archive_quarantine(t: Tables):
+    aside = _archive(t).table("wind_extended__quarantine")
+    return aside.select(F.col("file_no").alias("file"), F.regexp_extract("record", "<Weic>([0-9]+)<", 1).alias("n"), "reason")
+
+
+@query(f"SELECT 'SEE' || n AS unit, CAST(min(file) AS VARCHAR) AS file FROM {ARCHIVE_FILES_SQL} WHERE n % 13 > 0 AND n % 17 > 0 GROUP BY n")
+def archive_file_order(t: Tables):
+    """The first file by number wins a repeated key: 2 comes before 10."""
+    return _archive(t).table("wind_extended").select(F.col("EinheitMastrNummer").alias("unit"), F.col("Gemeinde").alias("file"))

@@ -31,7 +31,7 @@ def cleansed(
     typed = specs.typed(marked, spec.types)
     if catalog is None:
         return typed
-    return decode_columns(decode_fixed(typed), catalog, specs.CODED_COLUMNS, key=spec.key)
+    return decode_columns(decode_fixed(typed), catalog, specs.CODED_COLUMNS)
 
 
 class Registry:
@@ -52,7 +52,8 @@ class Registry:
     ) -> list[str]:
         """Load the chosen datasets from a zip or folder of XML files; each table is replaced.
 
-        Columns the files bring are all kept. Broken records, if any, go to `<table>__quarantine`.
+        Columns the files bring are all kept. Broken records and those without a key, if any, go to
+        `<table>__quarantine` with the reason.
         """
         stems = specs.stems_of(specs.check_datasets(data))
         records = archive_records(self.spark, source, [*stems, "katalogwerte"], encoding)
@@ -66,7 +67,8 @@ class Registry:
             if stem not in present:
                 continue
             seen = Observation()
-            rows, broken = parse_records(records.filter(F.col("stem") == stem), seen=seen)
+            keys = [spec.key, *[raw for raw, name in spec.renames.items() if name == spec.key]] if spec.key else []
+            rows, broken = parse_records(records.filter(F.col("stem") == stem), seen=seen, keys=keys)
             cleansed(rows, spec, catalog, date).write.mode("overwrite").parquet(f"{self.path}/{spec.table}")
             if seen.get["broken"]:
                 broken.write.mode("overwrite").parquet(f"{self.path}/{spec.table}__quarantine")

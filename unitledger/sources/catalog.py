@@ -4,39 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from unitledger.functions.text import LOCATION_TYPES, MARKET_FUNCTIONS, code_list, code_to_text, decode_list
+from unitledger.functions.text import LOCATION_TYPES, MARKET_FUNCTIONS, code_list, code_to_text
+from unitledger.operators.skew import keyed_join, written
 
-# A catalog up to this many codes travels as one map value next to the rows.
-MAP_CODES = 20_000
 
-
-def decode_columns(df: DataFrame, catalog: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+def decode_columns(df: DataFrame, catalog: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace codes, single or comma separated, by catalog text in the given columns.
 
-    A catalog within `MAP_CODES` entries becomes one map read by a scalar subquery, so rows are
-    decoded where they are. A larger one is joined per code and the texts are put back in
-    order per row `key`.
+    The codes of all columns go through one join with the catalog, whatever its size, and the
+    texts come back to their row in the order of the codes. Unknown codes drop out, nothing left
+    gives NULL. Of several texts of one code the first in text order counts. Rows and the order
+    of columns stay as they are; rows may repeat and need no key.
     """
     present = [c for c in columns if c in df.columns]
-    entries = catalog.select(F.col("Id").cast("bigint").alias("Id"), F.col("Wert").cast("string").alias("Wert"))
     if not present:
         return df
-    if entries.limit(MAP_CODES + 1).count() <= MAP_CODES:
-        lookup = entries.agg(F.map_from_entries(F.collect_list(F.struct("Id", "Wert"))).alias("m")).scalar()
-        decoded = df.withColumn("_catalog", lookup)
-        return decoded.withColumns({c: decode_list(F.col(c), F.col("_catalog")) for c in present}).drop("_catalog")
-    for column in present:
-        codes = df.select(key, F.posexplode(code_list(F.col(column))).alias("_pos", "Id"))
-        texts = codes.join(entries, "Id").groupBy(key).agg(
-            F.array_join(
-                F.transform(F.array_sort(F.collect_list(F.struct("_pos", "Wert"))), lambda x: x["Wert"]), ","
-            ).alias("_text")
-        )
-        df = df.drop(column).join(texts.withColumnRenamed("_text", column), key, "left")
-    return df
+    entries = (
+        catalog.select(F.col("Id").cast("bigint").alias("_code"), F.col("Wert").cast("string").alias("_text"))
+        .dropna()
+        .groupBy("_code")
+        .agg(F.min("_text").alias("_text"))
+    )
+    rows = written(df.withColumn("_row", F.monotonically_increasing_id()))
+    lists = F.array(*[F.struct(F.lit(i).alias("column"), code_list(F.col(c)).alias("codes")) for i, c in enumerate(present)])
+    codes = rows.select("_row", F.inline(lists)).select("_row", "column", F.posexplode("codes").alias("place", "_code"))
+    found = (
+        keyed_join(codes, entries, ["_code"], "inner")
+        .groupBy("_row")
+        .agg(F.array_sort(F.collect_list(F.struct("column", "place", "_text"))).alias("_found"))
+    )
+    decoded = {c: _texts(i).alias(c) for i, c in enumerate(present)}
+    return rows.join(found, "_row", "left").select(*[decoded.get(c, F.col(f"`{c}`")) for c in df.columns])
+
+
+def _texts(column: int) -> Column:
+    """Texts found for one column, joined; the codes of a row are few."""
+    own = F.filter("_found", lambda x: x["column"] == column)
+    return F.nullif(F.array_join(F.transform(own, lambda x: x["_text"]), ","), F.lit(""))
 
 
 def decode_fixed(df: DataFrame) -> DataFrame:

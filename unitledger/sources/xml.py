@@ -24,27 +24,48 @@ from unitledger.specs import stem_of_file
 CHUNK = 1 << 20
 ORDER = ["file_no", "row_no"]
 
-# A text value that XML forbids: control characters, or `&` that starts no entity.
+#: A record that has not ended after so many characters is handed on as it is, in pieces.
+LONGEST_RECORD = 32 << 20
+
+# A text value that XML forbids: control characters, `&` that starts no entity, or `<` that
+# starts no tag.
 BAD_TEXT = (
-    r">[^<>]*(?:[\x00-\x08\x0B\x0C\x0E-\x1F]|&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);))[^<>]*<"
+    r"(?<=>)[^<>]*(?:[\x00-\x08\x0B\x0C\x0E-\x1F]|&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
+    r"|<(?![A-Za-z_/!?]))(?:[^<]|<(?![A-Za-z_/!?]))*+(?=</)"
 )
+_EMPTY_FILE = re.compile(r"(?:<\?[^>]*>\s*)?(?:<([\w.:-]+)[^<>]*/>|<([\w.:-]+)[^<>]*>\s*</\2\s*>)?", re.S)
+_ROOT_END = re.compile(r"</[\w.:-]+\s*>")
 
 
 def split_records(chunks: Iterator[str]) -> Iterator[str]:
-    """Child elements of the root, one by one, from a text that arrives in chunks."""
-    buffer, close = "", None
+    """Child elements of the root, one by one, from a text that arrives in chunks.
+
+    Nothing is left out: what follows the last whole record, unless it is the end of the root, and
+    a text without any record come as pieces of their own, which then fail to parse.
+    """
+    buffer, end, looked = "", None, 0
     for chunk in chunks:
         buffer += chunk
-        if close is None:
-            opening = re.search(r"<[A-Za-z_][^>]*>\s*<([A-Za-z_][\w.-]*)[\s>]", buffer)
+        if end is None:
+            opening = re.search(r"<[A-Za-z_][^<>]*(?<!/)>\s*<([A-Za-z_][\w.-]*)(?=[\s/>])", buffer)
             if not opening:
                 continue
-            close = f"</{opening.group(1)}>"
+            tag = re.escape(opening.group(1))
+            end = re.compile(rf"<{tag}(?:\s[^<>]*)?/>|</{tag}\s*>")
             buffer = buffer[opening.start(1) - 1 :]
-        done = buffer.split(close)
-        buffer = done.pop()
-        for text in done:
-            yield text.strip() + close
+        start = 0
+        while found := end.search(buffer, max(start, looked)):
+            yield buffer[start : found.end()].strip()
+            start, looked = found.end(), 0
+        buffer = buffer[start:]
+        if len(buffer) > LONGEST_RECORD:
+            yield buffer
+            buffer = ""
+        # An end tag may be cut; its first character is the last `<`.
+        looked = max(0, buffer.rfind("<"))
+    rest = buffer.strip()
+    if rest and not (_ROOT_END if end else _EMPTY_FILE).fullmatch(rest):
+        yield rest
 
 
 class FilesOfArchive(DataSource):
@@ -144,16 +165,22 @@ def record_columns(records: DataFrame) -> list[str]:
     return sorted(r["name"] for r in found.select("name").distinct().collect())
 
 
-def parse_records(records: DataFrame, columns: Sequence[str] | None = None, seen: Observation | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows, quarantine). A text XML forbids is blanked; a record that is still broken goes
-    to the quarantine whole instead of ending the load. `seen` counts broken records while the
-    rows are used, so a clean load needs no second pass."""
+def parse_records(
+    records: DataFrame, columns: Sequence[str] | None = None, seen: Observation | None = None, keys: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine). A text XML forbids is blanked; a record that is still broken goes to the
+    quarantine whole, and so does one without a value in any of its key columns `keys`, each with
+    the reason. `seen` counts them while the rows are used, so a clean load needs no second pass."""
     columns = list(columns or record_columns(records))
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "_corrupt"]])
-    repaired = F.regexp_replace("record", BAD_TEXT, "><")
+    repaired = F.regexp_replace("record", BAD_TEXT, "")
     parsed = F.from_xml(repaired, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     rows = records.withColumn("_parsed", parsed)
-    rows = rows.withColumn("_broken", F.col("_parsed").isNull() | F.col("_parsed._corrupt").isNotNull())
-    counted = rows if seen is None else rows.observe(seen, F.count_if("_broken").alias("broken"))
-    values = [F.nullif(F.col(f"_parsed.`{c}`"), F.lit("")).alias(c) for c in columns]
-    return counted.filter("not _broken").select("stem", *ORDER, *values), rows.filter("_broken").select("stem", *ORDER, "record")
+    broken = F.col("_parsed").isNull() | F.col("_parsed._corrupt").isNotNull()
+    value = lambda c: F.nullif(F.col(f"_parsed.`{c}`"), F.lit(""))
+    known = [value(c) for c in keys if c in columns]
+    keyless = F.coalesce(*known).isNull() if known else F.lit(bool(keys))
+    rows = rows.withColumn("reason", F.when(broken, "broken record").when(keyless, "no key"))
+    counted = rows if seen is None else rows.observe(seen, F.count("reason").alias("broken"))
+    good = counted.filter("reason is null").select("stem", *ORDER, *[value(c).alias(c) for c in columns])
+    return good, rows.filter("reason is not null").select("stem", *ORDER, "record", "reason")
