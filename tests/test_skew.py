@@ -96,3 +96,33 @@ def test_chained_split_joins_read_the_base_once(spark, tmp_path):
     assert joined.columns == ["id", "k3", "k5", "k7", "key", "v3", "key_1", "v5", "key_2", "v7"]
     row = joined.filter("id = 104").first()
     assert (row["v3"], row["v5"], row["v7"]) == (104 % 3 * 3, 104 % 5 * 5, 104 % 7 * 7) and joined.count() == 2_000
+
+
+def test_every_key_that_overfills_a_task_is_split(spark, monkeypatch):
+    from unitledger.operators import skew
+
+    monkeypatch.setattr(skew, "HOT_ROWS", 1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    n = F.col("id")
+    df = spark.range(80_000).select(F.when(n < 60_000, n % 1500).otherwise(n).alias("k"))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "4000")
+        found = skew.hot_keys(df, ["k"]).agg(F.count("*").alias("n"), F.min("_salts").alias("low"), F.max("k").alias("k")).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert (found["n"], found["k"]) == (1500, 1499) and found["low"] == 4  # 40 rows each against a share of 10
+
+
+def test_exact_row_identity(spark):
+    import datetime
+
+    stamp = datetime.datetime(2024, 1, 1)
+    rows = [
+        (1, stamp, 0.0, None, [1, 2]), (2, stamp, -0.0, None, [1, 2]),  # equal
+        (3, stamp + datetime.timedelta(microseconds=1), 0.0, None, [1, 2]), (4, stamp, 0.0, "", [1, 2]), (5, stamp, 0.0, None, [12]),
+        (6, stamp, float("nan"), "N", None), (7, stamp, float("nan"), "N", None),  # equal
+        (8, None, None, "a", []), (9, None, None, None, []),
+    ]
+    df = spark.createDataFrame(rows, "id int, t timestamp, v double, s string, a array<int>")
+    assert sorted(r["id"] for r in profile.duplicated_rows(df, ["id"]).collect()) == [1, 2, 6, 7]
+    assert sorted(r["id"] for r in profile.unique_rows(df, [F.col("id")], ["id"]).collect()) == [1, 3, 4, 5, 6, 8, 9]

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from unitledger.catalogue import Tables, query
-
 from unitledger.operators import relational as rel
 from unitledger.operators import snapshot as snap
 from unitledger.operators.skew import keyed_join
+from unitledger.plans import worklist
 
 BASIC_SQL = """
   SELECT 'SEE' || o_orderkey AS "EinheitMastrNummer", o_orderpriority AS "Einheittyp",
@@ -400,8 +400,8 @@ def ordered_top_n(t: Tables):
 @query("SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase' ORDER BY md5(event_id || '-42'), event_id LIMIT 10")
 def random_pick(t: Tables):
     """A reproducible random choice of ten relevant units (the sample size is the feature)."""
-    relevant = t.events.filter("event_type = 'purchase'")
-    return relevant.orderBy(F.md5(F.concat(F.col("event_id").cast("string"), F.lit("-42"))), "event_id").limit(10).select("event_id", "user_id", "value")
+    units = t.events.withColumn("manval_relevant", F.col("event_type") == "purchase")
+    return worklist.pick_random(units, 10, seed=42, key="event_id").select("event_id", "user_id", "value")
 
 
 @query(

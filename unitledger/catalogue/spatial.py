@@ -246,6 +246,16 @@ def region_capacity(t: Tables):
     return quality.region_totals(points(t), regions, edges(t), "x", "y", "power", CELL)
 
 
+@query(
+    f"""SELECT * FROM (SELECT n.n_nationkey AS region_id, n.n_name, a.units, a.capacity FROM nation n LEFT JOIN (SELECT i.region_id, count(*) AS units, round(sum(p.power), 2) AS capacity
+        FROM {INSIDE_SQL} i JOIN {POINTS_SQL} p ON p.id = i.id GROUP BY i.region_id) a ON a.region_id = n.n_nationkey) WHERE CAST(region_id AS VARCHAR) LIKE '1%'"""
+)
+def region_capacity_prefix(t: Tables):
+    """The totals of one upper level: regions whose key starts with a prefix."""
+    regions = t.nation.select(F.col("n_nationkey").alias("region_id"), "n_name")
+    return quality.region_totals(points(t), regions, edges(t), "x", "y", "power", CELL, prefix="1")
+
+
 UNITS_SQL = f"""(SELECT id, CASE WHEN id % 4 > 0 THEN x END AS x, CASE WHEN id % 4 > 0 THEN y END AS y, CASE WHEN id % 7 > 0 THEN declared END AS state, power FROM {POINTS_SQL})"""
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from unitledger.functions import geo
 from unitledger.operators.relational import update_by_key
+from unitledger.operators.skew import written
+from unitledger.operators.spatial import neighbours_of
 
 # Labels per technology.
 LABELS = {
@@ -31,9 +33,25 @@ def add_relevance(units: DataFrame, technology: str) -> DataFrame:
     )
 
 
-def pick_random(units: DataFrame, count: int = 1, seed: int | None = None) -> DataFrame:
-    """A random choice of relevant units (top-k by a random number, no full sort)."""
-    return units.filter("manval_relevant").orderBy(F.rand(seed)).limit(count)
+def pick_random(units: DataFrame, count: int = 1, seed: int | None = None, key: str = "EinheitMastrNummer") -> DataFrame:
+    """A random choice of relevant units (top-k by a random number, no full sort).
+
+    With a seed the choice depends on the seed and the keys alone, however the rows lie.
+    """
+    if seed is None:
+        order = [F.rand()]
+    else:
+        order = [F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}"))), F.col(key)]
+    return units.filter("manval_relevant").orderBy(*order).limit(count)
+
+
+def validation_round(
+    units: DataFrame, others: DataFrame, technology: str, reach: float, count: int = 1, seed: int | None = None, key: str = "EinheitMastrNummer"
+) -> tuple[DataFrame, DataFrame]:
+    """One round of the worklist: picked relevant units with outlines, and the other units near them."""
+    picked = written(pick_random(add_relevance(units, technology), count, seed, key))
+    near = neighbours_of(others, picked, key, "Laengengrad", "Breitengrad", reach)
+    return with_outlines(picked), near
 
 
 def with_outlines(units: DataFrame, rotor_radius: float = 50.0) -> DataFrame:
@@ -49,5 +67,10 @@ def labelled(units: DataFrame, technology: str, key: str = "EinheitMastrNummer")
     return units.filter("manval_relevant and manval_location is not null").select(key, *LABELS[technology])
 
 
+def write_labels(units: DataFrame, technology: str, path: str, key: str = "EinheitMastrNummer") -> None:
+    """The label export as CSV with a header."""
+    labelled(units, technology, key).write.mode("overwrite").csv(path, header=True)
+
+
 def import_labels(units: DataFrame, labels: DataFrame, technology: str, key: str = "EinheitMastrNummer") -> DataFrame:
     return update_by_key(units, labels, key, LABELS[technology])
