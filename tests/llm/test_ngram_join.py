@@ -80,3 +80,22 @@ def test_a_very_long_text(spark):
     df = spark.createDataFrame([(1, long), (2, long + " end"), (3, "x" * 700_000)], "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.ngram_components(df).collect()}
     assert got == {1: (119_996, 1), 2: (119_997, 1), 3: (1, 3)}
+
+
+def test_repeated_rows_of_the_smallest_id_leave_one(spark):
+    text = "one text of seven words for copies"
+    rows = [(1, text, "b", {"k": 1})] * 5 + [(1, text, "a", {"k": 2})] * 5 + [(2, text, "c", None), (1, None, "n", None), (1, " ", "n", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, more map<string,int>").repartition(4)
+    kept = J.one_per_component(df)
+    assert kept.columns == df.columns
+    got = sorted((r.doc_id, r.source) for r in kept.collect())
+    assert got in ([(1, "a"), (1, "n"), (1, "n")], [(1, "b"), (1, "n"), (1, "n")])
+    assert sorted((r.doc_id, r.source) for r in J.one_per_component(df.repartition(2)).collect()) == got
+
+
+def test_texts_that_share_an_id_are_judged_apart(spark):
+    copied, own, third = "copied text of seven words in all", "quite another text that nobody has copied", "a third text which two rows share here"
+    rows = [(1, copied, "x"), (5, copied, "gone"), (5, own, "kept"), (7, third, "y"), (7, third.upper(), "y"), (8, third, "gone")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted((r.doc_id, r.source) for r in J.one_per_component(df).collect())
+    assert got == [(1, "x"), (5, "kept"), (7, "y")]

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -383,6 +383,13 @@ def ngram_components(
     repeated ids are kept; a null id is never the smallest unless a component has no other. Other
     columns of `docs` are not looked at.
     """
+    return _placed(docs, id_col, text_col, k, percent).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("set").alias("set_id"), "component_id"
+    )
+
+
+def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """One row per input row: id, n, set, `component` (a set of the component, null without one) and `component_id`."""
     spark = prepare(docs.sparkSession)
     context = spark.sparkContext
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -510,23 +517,74 @@ def ngram_components(
         .select("set", "least", F.coalesce("component", "set").alias("component"))
     )
     lowest = of_component.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_set = of_component.join(lowest, "component").select("set", "component_id")
+    of_set = of_component.join(lowest, "component").select("set", "component", "component_id")
     joined = documents.join(of_set, "set", "left")
     return joined.select(
-        F.col("id").alias(id_col),
-        F.col("n").alias("n_shingles"),
-        F.col("set").alias("set_id"),
-        F.when(F.col("set").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
+        "id", "n", "set", "component", F.when(F.col("set").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")
     )
 
 
+def _own_sets(k: int, text_at: int):
+    """The input columns and the set of each row's text, null without one."""
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own = [set_id(s) if len(s) else None for s in shingle_sets(text_bytes(batch.column(text_at)), SPACES, k)]
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.int64())], names=[*batch.schema.names, "set"])
+
+    return in_batches(one)
+
+
+def _row_digest(docs: DataFrame) -> Column:
+    """A hash of all columns of a row."""
+    return F.xxhash64(*[F.to_json(F.struct(c)) if "map<" in t or "variant" in t else F.col(c) for c, t in docs.dtypes])
+
+
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75) -> DataFrame:
-    """The documents with one of each component kept: that with the smallest id.
+    """The documents with one row of each component kept: of those with the smallest id that of the
+    smallest set, of equal ones the row with the smallest digest.
 
-    Of repeated rows with that id one stays. Documents without a set and those without an id stay.
-    All columns are kept.
+    Where several texts share an id, each goes or stays with its own component. Documents without
+    a set and those without an id stay. All columns are kept.
     """
-    found = ngram_components(docs, id_col, text_col, k, percent)
+    rows = _placed(docs, id_col, text_col, k, percent).filter("id is not null")
+    pairs = written(
+        rows.groupBy("id", "set").agg(
+            F.count("*").alias("n"), F.first("component").alias("component"), F.first("component_id").alias("component_id")
+        )
+    )
+    # Of the texts that have their component's smallest id one stays.
+    least = pairs.filter("set is not null and id = component_id")
+    chosen = least.groupBy("component").agg(F.min("set").alias("set")).select("set", F.lit(True).alias("stays"))
+    judged = (
+        least.join(chosen, "set", "left")
+        .select("id", "set", "n", F.coalesce("stays", F.lit(False)).alias("stays"))
+        .unionByName(pairs.filter("set is null or id <> component_id").select("id", "set", "n", F.col("set").isNull().alias("stays")))
+    )
+    # An id whose rows all stay or all go decides alone; rows of the others are looked at one by one.
+    by_id = written(
+        judged.groupBy("id")
+        .agg(F.expr("every(stays and (n = 1 or set is null))").alias("stay"), F.expr("every(not stays)").alias("go"))
+        .filter("not stay")
+        .select("id", "go")
+    )
     gone = fresh(docs, "_gone")
-    drop = found.filter(F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias(gone)).distinct()
-    return docs.join(drop, F.col(id_col) == F.col(gone), "left_anti")
+    kept = docs.join(by_id.select(F.col("id").alias(gone)), F.col(id_col) == F.col(gone), "left_anti")
+    mixed = by_id.filter("not go").select(F.col("id").alias(gone))
+    if mixed.isEmpty():
+        return kept
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    open_rows = docs.join(mixed, F.col(id_col) == F.col(gone), "left_semi").toDF(*names)
+    id_at, text_at = docs.columns.index(id_col), docs.columns.index(text_col)
+    schema = T.StructType([*open_rows.schema.fields, T.StructField("set", T.LongType())])
+    open_rows = written(open_rows.mapInArrow(_own_sets(k, text_at), schema))
+    stays = judged.filter("stays and set is not null").select(F.col("id").alias(names[id_at]), "set")
+    # The copies are aggregated first, so that a row repeated often needs no task of its own.
+    picked = (
+        open_rows.filter("set is not null")
+        .groupBy(names[id_at], "set")
+        .agg(F.min_by(F.struct(*names), _row_digest(open_rows.select(*names))).alias("row"))
+        .join(stays, [names[id_at], "set"], "left_semi")
+        .select("row.*")
+    )
+    without = open_rows.filter("set is null").select(*names)
+    return kept.unionByName(picked.unionByName(without).toDF(*docs.columns))
