@@ -85,3 +85,15 @@ def test_without_labels_the_base_rules_decide(spark):
     for none in (labels.limit(0), labels.filter("quality = 1")):
         assert all(r.kept != r.base_failed for r in quality.quality_report(docs, none).collect())
     assert quality.quality_report(docs.limit(0), labels).collect() == []
+
+
+def test_repeated_labelled_ids_train_once(spark, monkeypatch):
+    import unitledger.llm.quality as Q
+
+    seen = []
+    monkeypatch.setattr(Q, "train", lambda x, y, *rest, train=Q.train: seen.append(len(y)) or train(x, y, *rest))
+    rows = [(i, f"word{i} and some more words of text {i}") for i in range(40)]
+    docs = spark.createDataFrame(rows + [rows[0]] * 300 + [(0, "another text")], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    Q.fit(docs, labels)
+    assert seen == [30]

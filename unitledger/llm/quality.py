@@ -148,16 +148,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         _, x = statistics(text_bytes(batch.column("text")))
-        return batch_of(["h", "label", *names], [batch.column("h"), batch.column("label"), *x.T])
+        return batch_of(["h", "label", "digest", *names], [batch.column("h"), batch.column("label"), batch.column("digest"), *x.T])
 
     schema = T.StructType(
-        [T.StructField("h", T.LongType()), T.StructField("label", T.IntegerType())] + [T.StructField(c, T.DoubleType()) for c in names]
+        [T.StructField("h", T.LongType()), T.StructField("label", T.IntegerType()), T.StructField("digest", T.LongType())]
+        + [T.StructField(c, T.DoubleType()) for c in names]
     )
+    # Of several rows with an id that of the smallest text hash counts.
     rows = (
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         .join(F.broadcast(chosen), "id")  # at most `sample` rows
-        .select("h", "label", "text")
+        .select("h", "label", F.xxhash64("text").alias("digest"), "text")
         .mapInArrow(in_batches(one), schema)
+        .groupBy("h", "label")
+        .agg(F.min(F.struct("digest", *names)).alias("x"))
+        .select("h", "label", *[f"x.{c}" for c in names])
         .toArrow()
         .sort_by([("h", "ascending"), ("f0", "ascending")])
     )
