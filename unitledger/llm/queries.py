@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from unitledger.llm import decontaminate, extraction, langid, ngram_join, pieces, pii, quality, secret_scan, sharding, warc
+from unitledger.llm import (
+    decontaminate,
+    extraction,
+    fim,
+    langid,
+    ngram_join,
+    pieces,
+    pii,
+    quality,
+    secret_scan,
+    sharding,
+    substring_dedup,
+    vector_codes,
+    warc,
+)
 from unitledger.llm.common import table
 
 _LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -216,6 +230,99 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
 FROM sets JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = doc_id
 """
 
+
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = fim.fill_in_middle(docs, restored_col="restored")
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+OP11_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, t, w, len(w) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(w) + 1) AS a,
+         CAST('0x' || h[9:16] AS BIGINT) % (len(w) + 1) AS b, CAST('0x' || h[17:24] AS BIGINT) % 100 AS c,
+         CAST('0x' || h[25:32] AS BIGINT) % 100 AS e FROM d),
+cut AS (
+  SELECT doc_id, t, n, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 90
+           THEN 'plain' WHEN e < 20 THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(w[1:least(a, b)], '') AS p, array_to_string(w[least(a, b) + 1:greatest(a, b)], '') AS m,
+         array_to_string(w[greatest(a, b) + 1:n], '') AS s FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM cut
+"""
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeat_report(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+spot AS (
+  SELECT doc_id, i, array_to_string(w[i:i + {substring_dedup.WINDOW - 1}], ' ') AS t
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {substring_dedup.WINDOW - 2})) AS i FROM d)),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + {substring_dedup.WINDOW})) AS k FROM spot
+  WHERE t IN (SELECT t FROM spot GROUP BY t HAVING count(*) > 1)),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS k FROM d),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY k) AS t FROM word ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_report(table(spark, sf_dir, "embeddings"))
+
+
+def _op13_sql() -> str:
+    parts, entries, rounds = vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS
+    near = "list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(
+            f"near{r} AS MATERIALIZED (SELECT row, vec_id, label, p, v, min(struct_pack(far := CAST({near} AS BIGINT), e := e)) AS hit "
+            f"FROM part JOIN book{r} USING (p) GROUP BY row, vec_id, label, p, v)"
+        )
+        if r < rounds:
+            steps.append(
+                f"sums{r} AS (SELECT p, hit.e AS e, j, CAST(floor(sum(v[j]) / count(*)) AS BIGINT) AS x "
+                f"FROM near{r}, (SELECT unnest(range(1, (SELECT max(len(v)) FROM part) + 1)) AS j) GROUP BY p, hit.e, j),\n"
+                f"book{r + 1} AS MATERIALIZED (SELECT p, e, coalesce(n.c, o.c) AS c FROM book{r} o "
+                f"LEFT JOIN (SELECT p, e, list(x ORDER BY j) AS c FROM sums{r} GROUP BY p, e) n USING (p, e))"
+            )
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * {vector_codes.SCALE}) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+part AS MATERIALIZED (
+  SELECT row, vec_id, label, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS v
+  FROM kept, (SELECT unnest(range({parts})) AS p)),
+book0 AS MATERIALIZED (SELECT p, row - 1 AS e, v AS c FROM part WHERE row <= {entries}),
+{",\n".join(steps)},
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', hit.e), '' ORDER BY p) AS code, CAST(sum(hit.far) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY row, vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, j))
+        FROM (SELECT p, e, unnest(c) AS x, unnest(range(len(c))) AS j FROM book{rounds})) AS codebooks_sha256
+FROM coded
+"""
+
+
+OP13_SQL = _op13_sql()
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_quality_rules": op2_quality_rules,
@@ -227,6 +334,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_ngram_join": op10_ngram_join,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_vector_codes": op13_vector_codes,
 }
 SQL = {
     "op1_pii": OP1_SQL,
@@ -234,4 +344,7 @@ SQL = {
     "op7_secret_scan": OP7_SQL,
     "op8_warc": OP8_SQL,
     "op10_ngram_join": OP10_SQL,
+    "op11_fill_in_middle": OP11_SQL,
+    "op12_substring_dedup": OP12_SQL,
+    "op13_vector_codes": OP13_SQL,
 }
