@@ -53,9 +53,28 @@ def test_equals_plain_search(spark):
         ((x.doc_id, x.n_words, x.n_hit, x["items"], x.contaminated) for x in D.contamination(d, b).collect()), key=repr
     )
     assert got == brute(docs, items)
-    dirty = {i for i, _, n, *_ in brute(docs, items) if n}
-    kept = [x.doc_id for x in D.clean_documents(d, b).select("doc_id").collect()]
-    assert sorted(kept, key=repr) == sorted([i for i, _ in docs if i not in dirty], key=repr)
+    clean = [(i, t) for i, t in docs if not brute([(i, t)], items)[0][2]]
+    out = D.clean_documents(d, b)
+    assert out.columns == d.columns and 0 < len(clean) < len(docs)
+    assert sorted(((x.doc_id, x.text) for x in out.collect()), key=repr) == sorted(clean, key=repr)
+
+
+def test_clean_rows_stay_beside_contaminated_ones_of_the_same_id(spark):
+    passage = " ".join(f"w{i}" for i in range(12))
+    rows = [(None, passage), (None, "clean"), (None, None), (7, passage), (7, "clean too"), (7, passage), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in D.clean_documents(docs, items).collect()), key=repr)
+    assert got == sorted([(None, "clean"), (None, None), (7, "clean too"), (8, "")], key=repr)
+
+
+def test_long_text_and_equally_rare_shingles(spark):
+    passage = " ".join(f"w{i}" for i in range(10))  # all its shingles occur equally often
+    text = "filler words " * 100_000 + passage + " more" * 5 + " " + passage
+    docs = spark.createDataFrame([(1, text), (2, passage)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit) for r in D.contamination(docs, items).collect()}
+    assert got == {1: (200_025, 20), 2: (10, 10)}
 
 
 def test_empty_tables(spark):

@@ -50,6 +50,15 @@ def test_texts_over_several_parts(library, own, monkeypatch):
     assert own.encode(text) == library.encode(text, add_eos=True)
 
 
+def test_memories_are_bounded_by_bytes(library, monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED_BYTES", 5000)
+    small = pieces.Pieces(pieces.read_model(PATH))
+    text = " ".join(f"word{i} {'long' * (i % 40)}" for i in range(300))
+    assert small.encode(text) == library.encode(text, add_eos=True)
+    assert all(m.held <= 5000 and len(m) <= 25 for m in (small.inner, small.first, small.pair))
+    assert max(map(len, [*small.inner, *small.first]), default=0) <= pieces.REMEMBERED_CHARS
+
+
 def test_documents(spark, library):
     rows = [(1, "Hello there\nworld", 7), (2, None, 7), (3, "", 7), (3, "", 7), (None, "  é😀 ", 7)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids int")
@@ -66,3 +75,7 @@ def test_documents(spark, library):
     decoded = {r.decoded for r in pieces.decode_documents(encoded, PATH).collect()}
     assert decoded == {"Hello there\nworld", "", "  é😀 "}
     assert pieces.round_trip(df.limit(0), PATH).collect() == []
+    one_pass = pieces.recode_documents(df, PATH)
+    assert one_pass.columns == ["doc_id", "text", "ids"]
+    both = {(r.text, tuple(r.ids)) for r in one_pass.collect()}
+    assert both == {(t, tuple(library.encode(t or "", add_eos=True))) for _, t, _ in rows}

@@ -33,3 +33,13 @@ def test_stages_return_the_columns_of_documents(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs.limit(20), SF_DIR).columns == docs.columns, name
         assert stage(spark, docs.limit(0), SF_DIR).count() == 0, name
+
+
+def test_encoding_replaces_ids_and_keeps_nulls(spark):
+    name, stage = corpus_pipeline.STAGES[-1]
+    docs = spark.createDataFrame([("old", 1, "a b"), ("old", 2, None), ("old", 2, None), ("old", None, "")], "ids string, doc_id long, text string")
+    out = stage(spark, docs, SF_DIR)
+    assert out.columns == ["doc_id", "text", "ids"]
+    got = sorted(((r.doc_id, r.text, len(r.ids)) for r in out.collect()), key=repr)
+    assert got == sorted([(1, "a b", 3), (2, None, 1), (2, None, 1), (None, "", 1)], key=repr)
+    assert stage(spark, docs.limit(0), SF_DIR).count() == 0

@@ -57,3 +57,18 @@ def test_written_shards(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(map(str, back.select("doc_id", "text", "extra").collect())) == sorted(map(str, df.collect()))
     assert back.select("shard").distinct().count() == 4
+
+
+def test_equal_rows_are_drawn_as_one_key(spark):
+    rows = spark.range(200_000).selectExpr("1L as h", "2L as k", "30L as size").unionByName(
+        spark.range(1000).selectExpr("id + 5 as h", "id as k", "30L as size")
+    )
+    for seed in range(5):
+        drawn = sharding._drawn(rows, 201_000 * 30, seed)
+        assert len(drawn) < 400 and [w for h, _, w in drawn if h == 1] == [200_000 * 30]
+
+
+def test_many_equal_rows_are_spread(spark):
+    df = spark.range(30_000).selectExpr("id % 3 as doc_id", "'the same text' as text")
+    got = sharding.shard_by_bytes(df).groupBy("shard").count().collect()
+    assert len(got) == 24 and max(r["count"] for r in got) - min(r["count"] for r in got) <= 40

@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from unitledger.operators.skew import written
 from unitledger.session import configure
 
-__all__ = ["bloom_bits", "bloom_slots", "fresh", "in_bloom", "prepare", "table", "text_bytes", "written"]
+__all__ = ["bloom_bits", "bloom_slots", "bounded_batches", "fresh", "in_bloom", "prepare", "table", "text_bytes", "written"]
 
 #: Rows a Python task holds at a time. Texts differ much in length, so batches stay small.
 BATCH_ROWS = 1000
+#: Bytes of a batch; it ends with the row that reaches them.
+BATCH_BYTES = 4 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -26,6 +28,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """`prepare`, with batches that end at a number of bytes too, for operators that hold several
+    times their batch."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) != str(BATCH_BYTES):
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return prepare(spark)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 

@@ -10,12 +10,11 @@ where the window can lie, and the words there are compared exactly.
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +31,7 @@ from unitledger.llm.common import (
     written,
 )
 from unitledger.llm.words import NOT_ALNUM, hashed_words, window_hashes
+from unitledger.operators.skew import keyed_join
 
 #: Words of a window, and of a shingle (fewer where the item has fewer).
 WINDOW, SHINGLE = 10, 3
@@ -107,7 +107,6 @@ def _places(size: int, filters):
         texts = text_bytes(batch.column(1))
         at, of, place, shingles = _found(texts, filters)
         found: list[list | None] = [None] * len(texts)
-        keys: list[int | None] = [None] * len(texts)
         order = np.argsort(of, kind="stable")
         of, place, shingles = of[order], place[order], signed(shingles[order])
         own, starts = np.unique(of, return_index=True)
@@ -119,10 +118,9 @@ def _places(size: int, filters):
                 low = max(0, p - size + 1)
                 rows.append((int(shingles[i]), p, p - low, b" ".join(words[low : p + size]).decode()))
             found[d] = [dict(zip(("shingle", "place", "before", "around"), r)) for r in rows]
-            keys[d] = int.from_bytes(hashlib.blake2b(texts[d], digest_size=8).digest(), "little", signed=True)
         return batch_of(
-            ["id", "n_words", "key", "places"],
-            [batch.column(0), np.diff(at), pa.array(keys, pa.int64()), pa.array(found, _PLACES)],
+            ["id", "key", "n_words", "places"],
+            [batch.column(0), batch.column(2), np.diff(at), pa.array(found, _PLACES)],
         )
 
     return in_batches(one)
@@ -145,8 +143,21 @@ def contamination(
     skipped; an item without an id hits words and names nothing. Repeated documents and items are
     fine, and columns beyond the named ones are not looked at.
     """
+    found = _contamination(docs, items, id_col, text_col, item_col, item_text_col, size)
+    return found.select(F.col("id").alias(id_col), "n_words", "n_hit", "n_items", "items", "contaminated")
+
+
+def _text_key(text: Column) -> Column:
+    """Tells the texts of one id apart; null counts as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _contamination(
+    docs: DataFrame, items: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str, size: int
+) -> DataFrame:
+    """`contamination` with the key of the text (`id`, `key`)."""
     spark = prepare(docs.sparkSession)
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _text_key(F.col(text_col)).alias("key"))
     id_type = source.schema["id"].dataType
     windows = written(
         items.select(F.col(item_col).cast("string"), F.col(item_text_col))
@@ -177,7 +188,7 @@ def contamination(
         .select("words", "low.shingle", "low.offset")
     )
     prefixes = written(rarest.join(windows.select("words", "length", "k", "items"), "words"))
-    kinds = [T.StructField("id", id_type)] + [T.StructField(c, T.LongType()) for c in ("n_words", "key")]
+    kinds = [T.StructField("id", id_type)] + [T.StructField(c, T.LongType()) for c in ("key", "n_words")]
     scanned = written(
         source.mapInArrow(
             _places(size, filters(prefixes)),
@@ -193,7 +204,7 @@ def contamination(
     )
     start = F.col("place") - F.col("offset")
     hits = (
-        scanned.filter("key is not null")
+        scanned.filter("places is not null")
         .select("id", "key", "n_words", F.inline("places"))
         .join(prefixes, "shingle")
         .filter((start >= 0) & (start + F.col("length") <= F.col("n_words")))
@@ -215,7 +226,8 @@ def contamination(
     return scanned.join(
         per_document, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left"
     ).select(
-        F.col("id").alias(id_col),
+        "id",
+        "key",
         "n_words",
         n_hit.alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
@@ -224,13 +236,22 @@ def contamination(
     )
 
 
-def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def clean_documents(
+    docs: DataFrame,
+    items: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    size: int = WINDOW,
+) -> DataFrame:
     """The documents without any benchmark window; all their columns stay.
 
-    A document's id decides: where two texts share an id and one is contaminated, both go. Rows
-    without an id are decided together likewise.
+    Every row is decided by its own text: rows that share an id with a contaminated one, or have
+    none as it has, stay if their text is clean.
     """
-    dirty = contamination(docs, items, id_col, text_col, **options).filter("contaminated")
-    gone = fresh(docs, "_gone")
-    ids = dirty.select(F.col(id_col).alias(gone)).distinct()
-    return docs.join(ids, F.col(id_col).eqNullSafe(F.col(gone)), "left_anti")
+    found = _contamination(docs, items, id_col, text_col, item_col, item_text_col, size)
+    of_id, key = fresh(docs, "_of_id"), fresh(docs, "_text_key")
+    dirty = written(found.filter("contaminated").select(F.col("id").alias(of_id), F.col("key").alias(key)).distinct())
+    keyed = docs.withColumns({of_id: F.col(id_col), key: _text_key(F.col(text_col))})
+    return keyed_join(keyed, dirty, [of_id, key], "left_anti", null_safe=True).select(*docs.columns)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from unitledger.llm.common import batch_of, fresh, in_batches, prepare, text_bytes
+from unitledger.llm.common import batch_of, fresh, in_batches, bounded_batches, text_bytes
 
 #: Bytes that are scanned or reversed at a time.
 STEP = 1 << 20
@@ -151,7 +151,7 @@ def fill_in_middle(
     Columns of these names are replaced, other rows and columns stay. With `restored_col` the
     text is also rebuilt from output and form in the same pass.
     """
-    prepare(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     added = [
         T.StructField("n", T.LongType()),
         T.StructField("form", T.StringType()),
@@ -195,7 +195,7 @@ def fill_in_middle(
 
 def restore_texts(docs: DataFrame, output_col: str = "output", form_col: str = "form", text_col: str = "restored", rules: Rules = Rules()) -> DataFrame:
     """Adds the text rebuilt from output and form; null if either is null. Other columns stay."""
-    prepare(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c.lower() != text_col.lower()]
     output, form = fresh(docs, "_fim_output"), fresh(docs, "_fim_form")
     source = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(output_col).alias(output), F.col(form_col).alias(form))

@@ -24,11 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from unitledger.llm.common import batch_of, in_batches, prepare, text_values
+from unitledger.llm.common import batch_of, bounded_batches, in_batches, text_values
 
 MARK = "▁"
-#: Words (and token pairs) a task remembers before it starts anew.
-REMEMBERED = 300_000
+#: Bytes each memory of words (and of token pairs) may take, about, before it starts anew, and the
+#: longest word that is remembered.
+REMEMBERED_BYTES = 32 << 20
+REMEMBERED_CHARS = 64
+#: What an entry takes besides its characters and ids.
+_ENTRY = 200
 #: Code points encoded at a time; a longer text is worked off in parts.
 PART = 1 << 20
 _NEVER = float("inf")
@@ -59,19 +63,29 @@ def read_model(path: str) -> dict:
 
 
 class _Memory(dict):
-    """Results by argument; starts anew when it holds REMEMBERED of them."""
+    """Results by argument; starts anew when it has filled its bytes."""
 
-    def __init__(self, function):
+    def __init__(self, function, size=lambda key, value: _ENTRY):
         super().__init__()
-        self.function = function
+        self.function, self.size, self.held = function, size, 0
 
     def __missing__(self, key):
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[key] = self.function(key)
+        value = self.function(key)
+        size = self.size(key, value)
+        if size:
+            self.held += size
+            if self.held > REMEMBERED_BYTES:
+                self.clear()
+                self.held = size
+            self[key] = value
         return value
 
 
+def _word_size(word: str, ids: tuple[int, ...]) -> int:
+    """Bytes a word takes in memory, 0 for one that is too long to be kept."""
+    return _ENTRY + 4 * len(word) + 40 * len(ids) if len(word) <= REMEMBERED_CHARS else 0
+
+
 class Pieces:
     """Encoder and decoder for one model, as `read_model` returns it."""
 
@@ -96,7 +110,8 @@ class Pieces:
         self.lengths = [len(p) for p in self.pieces]
         self._tables()
         self.pair = _Memory(self._fitting)
-        self.inner, self.first = _Memory(lambda w: self._word(MARK + w)), _Memory(self._word)
+        self.inner = _Memory(lambda w: self._word(MARK + w), _word_size)
+        self.first = _Memory(self._word, _word_size)
         self.lines = "\n" not in self.singles  # then no token holds one
         # Decoding: blank marks are blanks, bytes from 128 on are marked to be joined later.
         self.text = [p.replace(MARK, " ") if k == 1 else "" for p, k in zip(self.pieces, types)]
@@ -341,7 +356,7 @@ def _share(docs: DataFrame, path: str):
 def encode_documents(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """Adds the ids of each text, end id last, as an array column; null and empty texts have only
     the end id. All rows and columns stay; a column named `ids_col` is replaced."""
-    prepare(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     model = _share(docs, path)
     kept = [c for c in docs.columns if c != ids_col]
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
@@ -357,7 +372,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text", ids_col
 
 def decode_documents(docs: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """Adds the text of each array of ids; null gives the empty text. Other rows and columns stay."""
-    prepare(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     model = _share(docs, path)
     kept = [c for c in docs.columns if c != text_col]
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(text_col, T.StringType())])
@@ -371,10 +386,31 @@ def decode_documents(docs: DataFrame, path: str, ids_col: str = "ids", text_col:
     return docs.select(*kept).mapInArrow(in_batches(one), schema)
 
 
+def recode_documents(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+    """Adds the ids of each text, end id last, and replaces the text by what they decode to, in one
+    pass. A null text has the ids of an empty one and stays null. All rows and other columns stay;
+    a column named `ids_col` is replaced."""
+    bounded_batches(docs.sparkSession)
+    model = _share(docs, path)
+    kept = [c for c in docs.columns if c.lower() != ids_col.lower()]
+    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
+    at = kept.index(text_col)
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own = _pieces(model)
+        texts = batch.column(at).to_pylist()
+        ids = [own.encode(t or "") for t in texts]
+        decoded = pa.array([None if t is None else own.decode(i) for t, i in zip(texts, ids)], pa.string())
+        columns = [decoded if k == at else c for k, c in enumerate(batch.columns)]
+        return batch_of([*kept, ids_col], [*columns, pa.array(ids, pa.list_(pa.int32()))])
+
+    return docs.select(*kept).mapInArrow(in_batches(one), schema)
+
+
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per input row: number of ids, SHA-256 of the ids as decimals joined by blanks, and SHA-256 of
     the text decoded from them. Ids and text stay in the task that made them."""
-    prepare(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     model = _share(docs, path)
     source = docs.select(F.col(id_col), F.col(text_col))
     schema = T.StructType(

@@ -52,10 +52,12 @@ def _ranged(rows: DataFrame, bounds: list[tuple[int, int]]) -> DataFrame:
 
 
 def _drawn(rows: DataFrame, total: int, seed: int) -> list[tuple[int, int, float]]:
-    """Keys drawn with a chance in proportion to their size, with the size each stands for."""
+    """Keys drawn with a chance in proportion to the size of all their rows, with the size each
+    stands for: equal rows are one key, drawn once, so that about SAMPLE keys come at most."""
     rate = SAMPLE / max(total, 1)
+    rows = rows.groupBy("h", "k").agg(F.sum("size").alias("size"))
     chance = F.col("size") * F.lit(rate)
-    draw = F.shiftrightunsigned(F.xxhash64("h", "k", "size", F.lit(seed)), 11) / F.lit(float(1 << 53))
+    draw = F.shiftrightunsigned(F.xxhash64("h", "k", F.lit(seed)), 11) / F.lit(float(1 << 53))
     drawn = rows.filter(draw < chance).select("h", "k", F.greatest("size", F.lit(1 / rate)).alias("weight"))
     return sorted((r.h, r.k, r.weight) for r in drawn.collect())
 

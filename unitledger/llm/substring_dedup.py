@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from unitledger.llm.common import batch_of, bloom_bits, bloom_slots, fresh, in_batches, in_bloom, prepare, signed, text_bytes, written
+from unitledger.llm.common import batch_of, bloom_bits, bloom_slots, fresh, in_batches, in_bloom, bounded_batches, signed, text_bytes, written
 from unitledger.llm.words import SPACES, hashed_words, mix, window_hashes
 from unitledger.operators.skew import hot_keys, keyed_join
 
@@ -279,7 +279,7 @@ def _stretches(strings: DataFrame, window: int) -> DataFrame:
 def _plan(docs: DataFrame, id_col: str, text_col: str, window: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, str]:
     """Keyed rows (id, key, text), their profile, keys of equal texts with counts, and for other
     texts the list of repeated stretches; with the name of the key column."""
-    spark = prepare(docs.sparkSession).sparkContext
+    spark = bounded_batches(docs.sparkSession).sparkContext
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = "key"
     keyed = docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias(key), F.col(text_col).alias("text"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from unitledger.llm.common import batch_of, in_batches, prepare, written
+from unitledger.llm.common import batch_of, in_batches, bounded_batches, written
 from unitledger.operators.skew import keyed_join
 
 SCALE, PARTS, ENTRIES, ROUNDS = 1024, 4, 256, 4
@@ -210,7 +210,7 @@ def vector_codes(
     dimension, or with a component whose squares would not fit 63 bits, take no part in the
     codebooks and have null code and error.
     """
-    prepare(vectors.sparkSession)
+    bounded_batches(vectors.sparkSession)
     named = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).alias("vector"))
     order = [F.asc_nulls_last("id"), "_whole", F.asc_nulls_last("label")]
     usable = written(whole_vectors(named, "vector").drop("vector"))
