@@ -140,7 +140,7 @@ def test_catalog_decoding_has_one_rule(spark):
     codes = spark.createDataFrame([(1, "b"), (1, "a"), (2, "b"), (3, None), (None, "n")], "Id int, Wert string")
     df = spark.createDataFrame([(1, "2, 1,9", "x"), (2, "9", "x"), (3, None, "x"), (None, "1", "x"), (1, "2", "x")], "k int, c string, z string")
     want = [(1, "b,a", "x"), (1, "b", "x"), (2, None, "x"), (3, None, "x"), (None, "a", "x")]
-    for limit in ("10m", "-1"):
+    for limit in ("10m", "-1", "100"):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         try:
             got = catalog.decode_columns(df, codes, ["c"])
@@ -149,6 +149,24 @@ def test_catalog_decoding_has_one_rule(spark):
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_decoding_in_place_equals_the_join_and_moves_no_row(spark):
+    from unitledger.sources import catalog
+
+    codes = spark.range(3000).selectExpr("(id - 700) * 3 % 2000 as Id", "concat('text ', id % 97) as Wert")
+    codes = codes.unionByName(spark.createDataFrame([(5, ""), (None, "n"), (6, None), (-9_000_000_000, "far")], "Id long, Wert string"))
+    lists = "concat_ws(',', id * 7 % 2500 - 300, nullif(id % 5, 0), if(id % 3 = 0, ' x ,', null), if(id % 11 = 0, '-9000000000', null))"
+    df = spark.range(2000).selectExpr("nullif(id % 900, 7) as k", f"if(id % 13 = 0, null, {lists}) as `a.b`", "cast(id % 6 as string) as c", "'kept' as _texts0")
+    in_place, joined = (catalog.decode_columns(df, codes, ["a.b", "c", "absent"], in_place=way) for way in (True, False))
+    assert in_place.columns == df.columns == joined.columns
+    key = lambda r: tuple(map(str, r))
+    got = sorted(map(key, in_place.collect()))
+    assert got == sorted(map(key, joined.collect())) and len(got) == 2000
+    plan = in_place._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and plan.count("text 42") <= 40  # the table stands there once
+    assert catalog.decode_columns(df, codes.limit(0), ["c"]).filter("c is not null").count() == 0
+    assert catalog.decode_columns(df.limit(0), codes, ["c"]).count() == 0
+
+
 def test_no_record_gets_lost():
     split = lambda text, size=5: list(split_records(text[i : i + size] for i in range(0, len(text), size)))
     assert split("<R><U>1</U><U/><U a='1'/><U>2</U ><U>3</U></R>") == ["<U>1</U>", "<U/>", "<U a='1'/>", "<U>2</U >", "<U>3</U>"]

@@ -41,7 +41,7 @@ def decode_code_list(t: Tables):
 
 
 @query(
-    """WITH u AS (SELECT l_orderkey, l_linenumber, [l_orderkey, l_orderkey + 1, l_partkey] AS codes FROM lineitem WHERE l_linenumber < 4
+    """WITH u AS (SELECT l_orderkey, l_linenumber, [l_orderkey, l_orderkey + 1, l_partkey] AS codes FROM lineitem WHERE l_linenumber <> 4
                   UNION ALL SELECT NULL, l_linenumber, [l_orderkey] FROM lineitem WHERE l_linenumber = 4 UNION ALL SELECT l_orderkey, 5, [l_orderkey] FROM lineitem WHERE l_linenumber = 1),
        n AS (SELECT *, row_number() OVER () AS r FROM u), e AS (SELECT r, unnest(range(1, len(codes) + 1)) AS i, codes FROM n),
        k AS (SELECT o_orderkey AS id, min(o_orderpriority) AS w FROM (SELECT o_orderkey, o_orderpriority FROM orders UNION ALL SELECT o_orderkey, '0 ' || o_orderstatus FROM orders WHERE o_orderkey % 3 = 0) GROUP BY o_orderkey),
@@ -51,7 +51,7 @@ def decode_code_list(t: Tables):
 def decode_large_catalog(t: Tables):
     """A catalog as large as `orders`, with repeated codes; rows repeat and lack keys."""
     key, line = F.col("l_orderkey"), F.col("l_linenumber")
-    rows = t.lineitem.filter("l_linenumber < 4").select(key.alias("id"), F.concat_ws(", ", key, key + 1, "l_partkey").alias("texts"), line.alias("line"))
+    rows = t.lineitem.filter("l_linenumber <> 4").select(key.alias("id"), F.concat_ws(", ", key, key + 1, "l_partkey").alias("texts"), line.alias("line"))
     keyless = t.lineitem.filter("l_linenumber = 4").select(F.lit(None).cast("bigint").alias("id"), key.cast("string").alias("texts"), line.alias("line"))
     again = t.lineitem.filter("l_linenumber = 1").select(key.alias("id"), key.cast("string").alias("texts"), F.lit(5).cast(t.lineitem.schema["l_linenumber"].dataType).alias("line"))
     catalog = t.orders.select(F.col("o_orderkey").alias("Id"), F.col("o_orderpriority").alias("Wert"))
