@@ -58,7 +58,7 @@ def test_a_new_checkpoint_on_the_same_log_loses_nothing(spark, tmp_path):
         source = str(tmp_path / f"in{run}")
         rows(spark, *items).coalesce(1).write.parquet(source)
         stream = spark.readStream.schema(SCHEMA).parquet(source)
-        note = lambda changed, batch: seen.append(sorted((r["k"], r["op"]) for r in changed.collect()))
+        note = lambda changed, batch, run: seen.append(sorted((r["k"], r["op"]) for r in changed.collect()))
         mirror.mirror_stream(stream, log, str(tmp_path / f"check{run}"), note).awaitTermination()
         log.current().collect(), log.current().collect()
     assert values(log.current()) == {"a": 1, "b": 3, "c": 2}
@@ -66,6 +66,65 @@ def test_a_new_checkpoint_on_the_same_log_loses_nothing(spark, tmp_path):
     assert log.schema == schema and len(schema.fields) == 3
 
 
+def scanned_rows(df):
+    """Rows that the file scans of a query put out."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    found = [leaves.apply(i) for i in range(leaves.size())]
+    return sum(x.metrics().get("numOutputRows").get().value() for x in found if "FileScan" in x.toString() or "FileSourceScan" in x.getClass().getName())
+
+
+def test_a_batch_reads_its_own_part_of_the_log(spark, tmp_path):
+    schema = rows(spark).schema
+    keyed = lambda low, high: spark.range(low, high).selectExpr("concat('k', id) as k", "timestamp'2024-01-01' as ts", "int(id) as v")
+    read = []
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for n, size in enumerate((2000, 20_000)):
+            log = mirror.ChangeLog(spark, str(tmp_path / f"log{n}"), "k", "ts", schema)
+            for batch in range(4):
+                log.write_batch(keyed(batch * size // 4, (batch + 1) * size // 4), batch)
+            log = log.compact(str(tmp_path / f"compact{n}"), bucket_rows=100)
+            assert log.buckets == size // 100 and log.current().count() == size
+            batch = rows(spark, ("k7", 5, -1), ("k1999", -5, -1), ("new", 1, -1), (None, 1, -1))
+            changed = log.changes(batch, 5).collect()
+            assert {(r["k"], r["op"]) for r in changed} == {("k7", "update"), ("new", "insert"), (None, "insert")}
+            read.append(scanned_rows(log.touched(log.newest(batch))))
+            again = mirror.ChangeLog(spark, log.path, "k", "ts", schema, buckets=3)  # the log knows its buckets
+            assert again.buckets == log.buckets
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert read[1] <= 1.5 * read[0] and read[1] < 1000
+
+
+def test_a_large_batch_and_a_small_one_see_the_same(spark, tmp_path, monkeypatch):
+    log = mirror.ChangeLog(spark, str(tmp_path / "log"), "k", "ts", rows(spark).schema, buckets=4)
+    assert log.changes(rows(spark, ("a", 1, 1)), 0).count() == 1  # nothing is stored yet
+    log.write_batch(rows(spark, *[(f"k{i}", i % 7, i) for i in range(60)], (None, 3, 0)), 0)
+    batch = rows(spark, *[(f"k{i}", 3, -i) for i in range(0, 90, 2)], (None, 4, 1))
+    want = {(f"k{i}", "insert") for i in range(60, 90, 2)} | {(f"k{i}", "update") for i in range(0, 60, 2) if i % 7 < 3}
+    for listed in (1000, 5):
+        monkeypatch.setattr(mirror.ChangeLog, "LISTED", listed)
+        got = {(r["k"], r["op"]) for r in log.changes(batch, 1).collect()}
+        assert got - {(None, "insert")} == want
+    assert log.changes(batch.limit(0), 1).count() == 0
+
+
+def test_requests_of_a_restarted_stream(spark, tmp_path):
+    """Two checkpoints on one log; the first is restarted after the second has written."""
+    schema = "EinheitMastrNummer string, EegMastrNummer string, KwkMastrNummer string, GenMastrNummer string, ts timestamp"
+    log = mirror.ChangeLog(spark, str(tmp_path / "log"), "EinheitMastrNummer", "ts", spark.createDataFrame([], schema).schema)
+    day = lambda d: datetime.datetime(2024, 1, d)
+    steps = [(0, [("a", 2, "E1"), ("x", 5, "E2")]), (1, [("y", 1, "E3"), ("x", 3, "E4"), ("b", 1, "E5")]), (1, [("y", 4, "E6")]), (0, [("b", 2, "E7"), ("a", 1, "E8")])]
+    for run, units in steps:
+        source = str(tmp_path / f"in{run}")
+        spark.createDataFrame([(u, e, None, None, day(d)) for u, d, e in units], schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        mirror.request_stream(stream, log, str(tmp_path / f"check{run}"), str(tmp_path / "requests"), F.lit("wind")).awaitTermination()
+    got = {(r["unit_id"], r["additional_data_id"]) for r in mirror.requests(spark, str(tmp_path / "requests")).collect()}
+    assert got == {(u, x) for u, e in (("a", "E1"), ("x", "E2"), ("y", "E6"), ("b", "E7")) for x in (u, e)}
+
+
 def test_requests_and_reconciliation(spark):
     units = spark.createDataFrame(
         [("SEE1", "EEG1", None, "", "Windeinheit"), ("SEE2", None, "KWK2", "SGE2", "Biomasse")],

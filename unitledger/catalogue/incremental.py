@@ -122,7 +122,7 @@ def incremental_stream(t: Tables):
     rows = t.events.select("user_id", "event_id", "event_type", "ts")
     rows.repartition(4, "event_id").write.parquet(f"{folder}/source")
     source = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/source")
-    log = mirror.ChangeLog(t.spark, f"{folder}/log", "user_id", "ts", rows.schema)
+    log = mirror.ChangeLog(t.spark, f"{folder}/log", "user_id", "ts", rows.schema, buckets=8)
     stream = mirror.mirror_stream(source, log, f"{folder}/checkpoint")
     stream.awaitTermination()
     return log.current().select("user_id", "event_id", "event_type")
@@ -175,7 +175,7 @@ def stream_two_checkpoints(t: Tables):
 
     folder = f"{shared_dir(t.spark)}/stream-{uuid.uuid4().hex}"
     rows = t.events.select("user_id", "event_id", "event_type", "ts")
-    log = mirror.ChangeLog(t.spark, f"{folder}/log", "user_id", "ts", rows.schema)
+    log = mirror.ChangeLog(t.spark, f"{folder}/log", "user_id", "ts", rows.schema, buckets=8)
     for part in (0, 1):
         rows.filter(F.col("event_id") % 2 == part).repartition(2, "event_id").write.parquet(f"{folder}/source{part}")
         source = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/source{part}")
@@ -183,19 +183,16 @@ def stream_two_checkpoints(t: Tables):
     return log.current().select("user_id", "event_id", "event_type")
 
 
-@query(
-    """WITH n AS (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1)
-       SELECT CAST(user_id AS VARCHAR) AS unit_id, event_type AS technology, 'unit_data' AS data_type, CAST(user_id AS VARCHAR) AS additional_data_id FROM n
-       UNION ALL SELECT CAST(user_id AS VARCHAR), event_type, 'eeg_data', 'E' || event_id FROM n WHERE event_id % 3 > 0
-       UNION ALL SELECT CAST(user_id AS VARCHAR), event_type, 'permit_data', 'P' || event_id FROM n WHERE event_id % 2 = 0"""
-)
-def stream_change_requests(t: Tables):
-    """Requests follow from the rows that the stream inserts and updates."""
-    import uuid
+STREAM_REQUESTS_SQL = """WITH n AS (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1)
+   SELECT CAST(user_id AS VARCHAR) AS unit_id, event_type AS technology, 'unit_data' AS data_type, CAST(user_id AS VARCHAR) AS additional_data_id FROM n
+   UNION ALL SELECT CAST(user_id AS VARCHAR), event_type, 'eeg_data', 'E' || event_id FROM n WHERE event_id % 3 > 0
+   UNION ALL SELECT CAST(user_id AS VARCHAR), event_type, 'permit_data', 'P' || event_id FROM n WHERE event_id % 2 = 0"""
 
-    folder = f"{shared_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+
+def _stream_rows(t: Tables):
+    """Events as units with foreign ids."""
     number = F.col("event_id")
-    rows = t.events.select(
+    return t.events.select(
         F.col("user_id").cast("string").alias("EinheitMastrNummer"),
         F.when(number % 3 > 0, F.concat(F.lit("E"), number)).alias("EegMastrNummer"),
         F.lit("").alias("KwkMastrNummer"),
@@ -203,10 +200,38 @@ def stream_change_requests(t: Tables):
         "event_type",
         "ts",
     )
-    rows.repartition(4, "ts").write.parquet(f"{folder}/source")
-    source = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/source")
-    log = mirror.ChangeLog(t.spark, f"{folder}/log", "EinheitMastrNummer", "ts", rows.schema)
-    mirror.request_stream(source, log, f"{folder}/checkpoint", f"{folder}/requests", F.col("event_type")).awaitTermination()
+
+
+def _drain_requests(t: Tables, rows, log, folder: str, run: int, files: int = 2):
+    """Adds rows to the source of a run and drains it through the run's own checkpoint."""
+    rows.repartition(files, "ts").write.mode("append").parquet(f"{folder}/source{run}")
+    source = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/source{run}")
+    mirror.request_stream(source, log, f"{folder}/checkpoint{run}", f"{folder}/requests", F.col("event_type")).awaitTermination()
+
+
+@query(STREAM_REQUESTS_SQL)
+def stream_change_requests(t: Tables):
+    """Requests follow from the rows that the stream inserts and updates."""
+    import uuid
+
+    folder = f"{shared_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+    rows = _stream_rows(t)
+    log = mirror.ChangeLog(t.spark, f"{folder}/log", "EinheitMastrNummer", "ts", rows.schema, buckets=8)
+    _drain_requests(t, rows, log, folder, 0, files=4)
+    return mirror.requests(t.spark, f"{folder}/requests").select("unit_id", "technology", "data_type", "additional_data_id")
+
+
+@query(STREAM_REQUESTS_SQL)
+def stream_restarted_requests(t: Tables):
+    """Two streams with checkpoints of their own feed one log, and the first is restarted after the
+    second: no request is lost, and the newest change of a unit decides, whoever brought it."""
+    import uuid
+
+    folder = f"{shared_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+    rows = _stream_rows(t)
+    log = mirror.ChangeLog(t.spark, f"{folder}/log", "EinheitMastrNummer", "ts", rows.schema, buckets=8)
+    for part, run in enumerate((0, 1, 0)):
+        _drain_requests(t, rows.filter(F.pmod(F.xxhash64("ts"), F.lit(3)) == part), log, folder, run)
     return mirror.requests(t.spark, f"{folder}/requests").select("unit_id", "technology", "data_type", "additional_data_id")
 
 

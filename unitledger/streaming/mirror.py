@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable, Sequence
+from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,12 +86,16 @@ def upsert(stored: DataFrame, batch: DataFrame, key: str, stamp: str | None, ord
     return kept.unionByName(done)
 
 
-def detail_requests(units: DataFrame, technology: Column, ids: dict[str, str] | None = None) -> DataFrame:
-    """Up to one request per non-empty foreign id of each changed unit, in one pass."""
+def detail_requests(
+    units: DataFrame, technology: Column, ids: dict[str, str] | None = None, stamp: str | None = None
+) -> DataFrame:
+    """Up to one request per non-empty foreign id of each changed unit, in one pass; with the
+    unit's stamp (`stamp`), if its column is named."""
     ids = ids or DETAIL_IDS
     key = next(iter(ids))
-    wide = units.select(F.col(key).alias("unit_id"), technology.alias("technology"), *[F.col(c).cast("string").alias(kind) for c, kind in ids.items()])
-    long = wide.unpivot(["unit_id", "technology"], list(ids.values()), "data_type", "additional_data_id")
+    kept = {"unit_id": F.col(key), "technology": technology, **({"stamp": F.col(stamp)} if stamp else {})}
+    wide = units.select(*[c.alias(n) for n, c in kept.items()], *[F.col(c).cast("string").alias(kind) for c, kind in ids.items()])
+    long = wide.unpivot(list(kept), list(ids.values()), "data_type", "additional_data_id")
     return long.filter("additional_data_id is not null and additional_data_id <> ''")
 
 
@@ -128,80 +133,146 @@ def without_deleted(units: DataFrame, tombstones: DataFrame, key: str) -> DataFr
 
 
 class ChangeLog:
-    """A mirrored table kept as an append-only log of keyed rows.
-
-    A micro-batch costs its own size, not the size of the table: `write_batch` stores the last
-    row per key of the batch in a folder of its run and batch, so a repeated batch replaces
-    itself and another run (a new checkpoint on the same log) never touches what is there.
-    `current` reads the newest row per key; `compact` writes that to a folder of its own, and
-    readers that are to use it are given the returned log.
+    """A mirrored table kept as an append-only log of keyed rows, in buckets by the hash of the key.
+
+    A micro-batch costs its own size, not the size of the log: `write_batch` stores the last row
+    per key of the batch in a folder of its run and batch, so a repeated batch replaces itself and
+    another run (a new checkpoint on the same log) never touches what is there. `changes` reads
+    the folders of the batch's buckets only, and of their files, sorted by key and with a filter
+    of their keys each, what may hold the batch's keys. `current` reads the newest row per key;
+    `compact` writes that elsewhere in as many buckets as its rows ask for, so that a bucket and
+    what a batch reads stay the same while the table grows. The number of buckets is kept in the
+    log; `buckets` counts for a new one.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str, stamp: str, schema: T.StructType):
+    #: Keys of a batch that are pushed to the scan; a larger batch reads its buckets whole.
+    LISTED = 1000
+    #: Rows of a bucket that `compact` aims at.
+    BUCKET_ROWS = 100_000
+
+    def __init__(self, spark: SparkSession, path: str, key: str, stamp: str, schema: T.StructType, buckets: int = 64):
         self.spark, self.path, self.key, self.stamp, self.schema = spark, path, key, stamp, schema
+        self.buckets = self._kept_buckets() or buckets
 
-    def _runs(self) -> list[str]:
-        """Names of the runs that have written, oldest first."""
+    def _folders(self, prefix: str) -> list[str]:
+        """What follows the prefix in the names of the log's folders, in order."""
         root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
         names = [f.getPath().getName() for f in fs.listStatus(root)] if fs.exists(root) else []
-        return sorted(n.removeprefix("run=") for n in names if n.startswith("run="))
+        return sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))
+
+    def _kept_buckets(self) -> int | None:
+        kept = self._folders("_buckets-")
+        return int(kept[0]) if kept else None
+
+    def _runs(self) -> list[str]:
+        """Names of the runs that have written, oldest first."""
+        return self._folders("run=")
 
-    def _run(self, run: str) -> str:
+    def run_name(self, run: str) -> str:
         """The folder name of a run: a running number, so that runs have an order, and its id."""
         runs = self._runs()
         return next((r for r in runs if r.partition("-")[2] == run), f"{len(runs):06d}-{run}")
 
-    def write_batch(self, batch: DataFrame, batch_id: int, run: str = "base") -> None:
-        newest = last_per_key(batch, self.key, [F.desc_nulls_last(self.stamp), F.desc(F.xxhash64(*batch.columns))])
-        newest.write.mode("overwrite").parquet(f"{self.path}/run={self._run(run)}/batch={batch_id}")
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    def newest(self, batch: DataFrame) -> DataFrame:
+        """The last row per key of a batch: the newest stamp, of equal ones the same in every run."""
+        return last_per_key(batch, self.key, [F.desc_nulls_last(self.stamp), F.desc(F.xxhash64(*batch.columns))])
 
-    def _rows(self) -> DataFrame:
-        schema = T.StructType([*self.schema.fields, T.StructField("run", T.StringType()), T.StructField("batch", T.LongType())])
-        if not self._runs():
+    def write_batch(self, batch: DataFrame, batch_id: int, run: str = "base") -> None:
+        self.write_newest(self.newest(batch), batch_id, run)
+
+    def write_newest(self, newest: DataFrame, batch_id: int, run: str = "base") -> None:
+        """Store rows that are one per key."""
+        if self._kept_buckets() is None:
+            mark = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_buckets-{self.buckets}")
+            mark.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(mark)
+        sorted_rows = newest.withColumn("bucket", self._bucket()).repartition("bucket").sortWithinPartitions("bucket", self.key)
+        folder = f"{self.path}/run={self.run_name(run)}/batch={batch_id}"
+        sorted_rows.write.mode("overwrite").option(f"parquet.bloom.filter.enabled#{self.key}", "true").partitionBy("bucket").parquet(folder)
+
+    def _rows(self, buckets: Sequence[int] | None = None) -> DataFrame:
+        """All rows of the log with run, batch and bucket, or those of some buckets."""
+        added = [T.StructField("run", T.StringType()), T.StructField("batch", T.LongType()), T.StructField("bucket", T.IntegerType())]
+        schema = T.StructType([*self.schema.fields, *added])
+        files = f"{self.path}/run=*/batch=*/bucket=" + ("*" if buckets is None else "{" + ",".join(map(str, buckets)) + "}")
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(files)
+        if not pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.option("basePath", self.path).schema(schema).parquet(self.path)
+        return self.spark.read.option("basePath", self.path).schema(schema).parquet(files)
 
     def current(self, without: tuple[str, int] | None = None) -> DataFrame:
         """Newest stamp wins; at equal stamps the earlier batch stays, because an update must be newer.
         `without` leaves one batch of a run out."""
-        rows = self._rows()
+        return self._newest_stored(self._rows(), without)
+
+    def _newest_stored(self, rows: DataFrame, without: tuple[str, int] | None) -> DataFrame:
         if without is not None:
-            rows = rows.filter(~((F.col("run") == self._run(without[0])) & (F.col("batch") == without[1])))
+            rows = rows.filter(~((F.col("run") == self.run_name(without[0])) & (F.col("batch") == without[1])))
         order = [F.desc_nulls_last(self.stamp), F.col("run"), F.col("batch")]
-        return first_per_key(rows, [self.key], order).drop("run", "batch")
+        return first_per_key(rows, [self.key], order).drop("run", "batch", "bucket")
+
+    def touched(self, newest: DataFrame) -> DataFrame:
+        """Rows of the log that may have a key of the batch: its buckets (a bounded number of them),
+        and in these, for a small batch, what passes a filter on its keys."""
+        buckets = sorted(r["b"] for r in newest.select(self._bucket().alias("b")).distinct().collect())
+        if not buckets:
+            return self._rows().limit(0)
+        rows = self._rows(buckets)
+        keys = [r[0] for r in newest.select(self.key).limit(self.LISTED + 1).collect()]
+        if len(keys) > self.LISTED:
+            return rows
+        # The scan takes exact lists of ten values; longer ones it widens to a range.
+        known = [k for k in keys if k is not None]
+        tests = [F.col(self.key).isin(known[i : i + 10]) for i in range(0, len(known), 10)]
+        if len(known) < len(keys):
+            tests.append(F.col(self.key).isNull())
+        while len(tests) > 1:
+            tests = [a | b for a, b in zip_longest(tests[::2], tests[1::2], fillvalue=F.lit(False))]
+        return rows.filter(tests[0])
 
     def changes(self, batch: DataFrame, batch_id: int, run: str = "base") -> DataFrame:
         """Rows of a batch that insert or update (`op`), seen from the log without this batch."""
-        newest = last_per_key(batch, self.key, [F.desc_nulls_last(self.stamp), F.desc(F.xxhash64(*batch.columns))])
-        return changes(self.current((run, batch_id)), newest, self.key, self.stamp)
+        return self.changes_of(self.newest(batch), batch_id, run)
+
+    def changes_of(self, newest: DataFrame, batch_id: int, run: str = "base") -> DataFrame:
+        stored = self._newest_stored(self.touched(newest), (run, batch_id))
+        return changes(stored, newest, self.key, self.stamp)
 
-    def compact(self, new_path: str) -> "ChangeLog":
+    def compact(self, new_path: str, bucket_rows: int | None = None) -> "ChangeLog":
         """Rewrite the log as one batch elsewhere; the caller switches to the returned log."""
-        done = ChangeLog(self.spark, new_path, self.key, self.stamp, self.schema)
+        rows = self.current()
+        buckets = max(1, -(-rows.count() // (bucket_rows or self.BUCKET_ROWS)))
+        done = ChangeLog(self.spark, new_path, self.key, self.stamp, self.schema, buckets)
         if done._runs():
             raise ValueError(f"{new_path} already holds a log")
-        done.write_batch(self.current(), 0)
+        done.write_newest(rows, 0)
         return done
 
 
-def mirror_stream(source: DataFrame, log: ChangeLog, checkpoint: str, on_changes: Callable[[DataFrame, int], None] | None = None):
+def mirror_stream(
+    source: DataFrame, log: ChangeLog, checkpoint: str, on_changes: Callable[[DataFrame, int, str], None] | None = None
+):
     """Start the query that merges a stream of rows into the log, batch by batch.
 
     Offsets live in the checkpoint, each batch overwrites its own folder, so a restart neither
     loses nor doubles rows; the id of the query, kept in the checkpoint too, names its folders.
-    `on_changes` gets the rows a batch inserts or updates (with `op`), the same ones if the batch
-    is repeated. The trigger drains what is there and stops.
+    `on_changes` gets the rows a batch inserts or updates (with `op`), the batch's number and the
+    run's folder name; the same ones if the batch is repeated. The trigger drains what is there
+    and stops.
     """
     started = threading.Event()
     own: dict[str, str] = {}
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         started.wait()
-        changed = written(log.changes(batch, batch_id, own["run"])) if on_changes else None
-        log.write_batch(batch, batch_id, own["run"])
+        newest = written(log.newest(batch))
+        changed = written(log.changes_of(newest, batch_id, own["run"])) if on_changes else None
+        log.write_newest(newest, batch_id, own["run"])
         if on_changes:
-            on_changes(changed, batch_id)
+            on_changes(changed, batch_id, log.run_name(own["run"]))
 
     query = source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     own["run"] = query.id
@@ -212,22 +283,25 @@ def mirror_stream(source: DataFrame, log: ChangeLog, checkpoint: str, on_changes
 def request_stream(source: DataFrame, log: ChangeLog, checkpoint: str, requests_path: str, technology: Column):
     """Mirror a stream and keep the detail requests its inserted and updated rows ask for.
 
-    Each batch writes its requests to a folder of its run and batch; `requests` reads those of
-    the newest batch per unit only.
+    Each batch writes its requests, with the stamp of the row they follow from, to a folder of its
+    own run and batch; `requests` reads those of the newest change per unit.
     """
 
-    def ask(changed: DataFrame, batch_id: int) -> None:
-        new = detail_requests(changed.drop("op"), technology)
-        run = log._runs()[-1]  # the running one has just written
+    def ask(changed: DataFrame, batch_id: int, run: str) -> None:
+        new = detail_requests(changed, technology, stamp=log.stamp)
         new.write.mode("overwrite").parquet(f"{requests_path}/run={run}/batch={batch_id}")
 
     return mirror_stream(source, log, checkpoint, ask)
 
 
 def requests(spark: SparkSession, requests_path: str) -> DataFrame:
-    rows = spark.read.parquet(requests_path).withColumn("batch", F.struct("run", F.col("batch").cast("long"))).drop("run")
-    newest = rows.groupBy("unit_id").agg(F.max("batch").alias("batch"))
-    return keyed_join(rows, newest, ["unit_id", "batch"], "left_semi").drop("batch")
+    """The requests of the newest change of each unit: the newest stamp, whatever run or batch
+    brought it; of equal ones the earlier batch, as in the log."""
+    rows = spark.read.parquet(requests_path).withColumn("batch", F.col("batch").cast("long"))
+    brought = ["unit_id", "run", "batch"]
+    found = rows.groupBy(*brought).agg(F.max("stamp").alias("stamp"))
+    newest = first_per_key(found, ["unit_id"], [F.desc_nulls_last("stamp"), F.col("run"), F.col("batch")])
+    return keyed_join(rows, newest.select(*brought), brought, "left_semi").drop("run", "batch", "stamp")
 
 
 def rebuilt_requests(
