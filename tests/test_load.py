@@ -1,5 +1,6 @@
 """Loading exports: zip and folder sources, padding, types, decoding, keys, repair."""
 
+import datetime
 import random
 import zipfile
 
@@ -174,3 +175,20 @@ def test_no_record_gets_lost():
     assert split("<R><U>1</U>tail</R>") == ["<U>1</U>", "tail</R>"]
     assert split("") == split("<R></R>") == split("<?xml version='1.0'?>\n<R/>") == []
     assert split("no xml at all") == ["no xml at all"]
+
+
+def test_export_tells_the_newest_stamp_it_wrote(spark, tmp_path):
+    from unitledger.registry import Registry
+
+    schema = "EinheitMastrNummer string, DatumLetzteAktualisierung date, v int"
+    day = lambda d: None if d is None else datetime.date(2024, 1, d)
+    make = lambda *rows: spark.createDataFrame([(k, day(d), v) for k, d, v in rows], schema)
+    cleaned = {"wind": make(("b", 9, 1), ("a", 3, 2), ("c", None, 3)), "solar": make(("x", 20, 1)), "none": make(), "unknown": make(("k", None, 1))}
+    registry = Registry(spark, str(tmp_path / "r"))
+    got = {r.table: (r.rows, r.newest) for r in registry.export_cleaned(cleaned, str(tmp_path / "out"), date="d").collect()}
+    assert got == {"wind": (3, day(9)), "solar": (1, day(20)), "none": (0, None), "unknown": (1, None), None: (5, day(20))}
+    back = spark.read.csv(str(tmp_path / "out/dataversion=d/table=wind"), header=True)
+    assert back.columns == ["EinheitMastrNummer", "DatumLetzteAktualisierung", "v"] and back.count() == 3
+    first = {r.table: (r.rows, r.newest) for r in registry.export_cleaned(cleaned, str(tmp_path / "two"), limit=1).collect()}
+    assert first["wind"] == (1, day(3)) and first[None] == (3, day(20))
+    assert registry.newest(["wind_extended"]).collect() == []

@@ -152,3 +152,23 @@ def test_service_rows_are_flat_and_named(spark):
     assert "Ergebniscode" not in first and first["DatumLetzteAktualisierung"] == "2024-01-01"
     assert (first["Weic"], first["NetzbetreiberMastrNummer"], first["ZugeordneteWirkleistungWechselrichter"]) == ("W", "SNB1", 2.5)
     assert got["SEE2"]["NetzbetreiberMastrNummer"] is None and first["DatenQuelle"] == "API"
+
+
+def test_deduplication_over_batches_keeps_a_bounded_state(spark, tmp_path):
+    """Repeats within the delay go, state older than the watermark is forgotten, also over restarts."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    start = datetime.datetime(2024, 1, 1)
+    kept = []
+    for n in range(4):
+        new = [(i, start + datetime.timedelta(hours=i)) for i in range(n * 100, n * 100 + 100)]
+        again = [(i, start + datetime.timedelta(hours=i)) for i in range(max(0, n * 100 - 10), n * 100)]
+        spark.createDataFrame(new + again, "k int, ts timestamp").coalesce(1).write.mode("append").parquet(source)
+        stream = mirror.deduplicated(spark.readStream.schema("k int, ts timestamp").parquet(source), ["k"], "ts", "20 hours")
+        query = (
+            stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "check"))
+            .option("path", out).outputMode("append").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        kept.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert sorted(r.k for r in spark.read.parquet(out).collect()) == list(range(400))
+    assert max(kept) < 150

@@ -142,3 +142,31 @@ def test_surface_point_of_a_u_shape_lies_inside(spark):
     u = [(0, 0), (9, 0), (9, 10), (8, 10), (8, 1), (3, 1), (3, 10), (0, 10)]
     row = spatial.surface_points(spatial.ring_edges(rings_df(spark, [("u", u)]))).first()
     assert inside(row["point_x"], row["point_y"], u)
+
+
+def test_totals_of_all_levels_keep_empty_regions(spark):
+    from unitledger.plans import quality
+
+    square = lambda key, x: (key, [(x, 0.0), (x + 1.0, 0.0), (x + 1.0, 1.0), (x, 1.0)])
+    layer = [square("01001001", 0.0), square("01001002", 1.0), square("01002001", 2.0), square("02001001", 3.0)]
+    rings = spark.createDataFrame(layer, "region_id string, ring array<struct<x:double,y:double>>")
+    units = spark.createDataFrame([(0.5, 0.5, 2.0), (0.6, 0.5, 3.0), (1.5, 0.5, None), (9.0, 9.0, 7.0), (None, 0.5, 7.0)], "x double, y double, value double")
+    got = quality.region_level_totals(units, spatial.ring_edges(rings), "x", "y", "value", 0.5)
+    assert {(r.level, r.region_id): (r.units, r.capacity) for r in got.collect()} == {
+        ("state", "01"): (3, 5.0), ("state", "02"): (None, None),
+        ("district", "01001"): (3, 5.0), ("district", "01002"): (None, None), ("district", "02001"): (None, None),
+        ("municipality", "01001001"): (2, 5.0), ("municipality", "01001002"): (1, None),
+        ("municipality", "01002001"): (None, None), ("municipality", "02001001"): (None, None),
+    }
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Expand") == 1  # one rollup for all levels
+
+
+def test_comparable_units(spark):
+    from unitledger.plans import quality
+
+    rows = [(1, 1.0, "a", "1", "Windkraft an Land"), (2, 1.0, "a", "0", "Windkraft an Land"), (3, 1.0, "a", None, "Windkraft an Land"), (4, None, "a", "1", None), (5, 1.0, "a", "1", None), (6, 1.0, "a", "1", "Windkraft auf See")]
+    df = spark.createDataFrame(rows, "id int, Laengengrad double, Landkreis string, NetzbetreiberpruefungStatus string, Lage string").withColumn("Gemeinde", F.lit("g"))
+    ids = lambda *a, **k: sorted(r.id for r in quality.comparable_units(df, *a, **k).collect())
+    assert ids("solar") == [1, 2, 3, 5, 6] and ids("solar_extended", checked=True) == [1, 5, 6]
+    assert ids("wind_extended") == [1, 2, 3] and ids("wind", checked=True) == [1]

@@ -147,6 +147,44 @@ def streamed_deduplication(t: Tables):
     return t.spark.read.parquet(f"{folder}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("SELECT event_id, event_type, count(*) AS n FROM events GROUP BY event_id, event_type")
+def streamed_deduplication_restarted(t: Tables):
+    """Three batches of a stream that is restarted before each: new events, repeats of recent ones,
+    and in the last batch repeats of all, most of them later than the watermark. The state carried
+    over and the watermark between them let every event through once."""
+    import uuid
+
+    folder = f"{shared_dir(t.spark)}/dedupe-{uuid.uuid4().hex}"
+    rows = t.events.select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    low, high = rows.agg(F.min("ts"), F.max("ts")).first()
+    third = (high - low) / 3
+    first, second, delay = low + third, low + 2 * third, third / 6
+    ts = F.col("ts")
+    repeats = rows.filter((ts >= F.lit(first - delay / 2)) & (ts < F.lit(first)))
+    batches = [
+        rows.filter(ts < F.lit(first)),
+        rows.filter((ts >= F.lit(first)) & (ts < F.lit(second))).unionAll(repeats),
+        rows.filter(ts >= F.lit(second)).unionAll(rows),
+    ]
+    for batch in batches:
+        batch.repartition(2, "event_id").write.mode("append").parquet(f"{folder}/source")
+        source = t.spark.readStream.schema(rows.schema).parquet(f"{folder}/source")
+        unique = mirror.deduplicated(source, ["event_id"], "ts", f"{int(delay.total_seconds())} seconds")
+        query = (
+            unique.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint")
+            .option("path", f"{folder}/out").outputMode("append").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    return t.spark.read.parquet(f"{folder}/out").groupBy("event_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT max(ts) AS ts, 'bought' AS kind FROM events WHERE event_type IN ('purchase', 'click') UNION ALL SELECT max(ts), 'all' FROM events")
+def newest_of_set(t: Tables):
+    """Newest stamp of a set of types and of all rows: where a fetch of all of them starts."""
+    some = mirror.newest_stamp(t.events, "ts", F.col("event_type").isin("purchase", "click")).withColumn("kind", F.lit("bought"))
+    return some.unionByName(mirror.newest_stamp(t.events, "ts").withColumn("kind", F.lit("all")))
+
+
 @query("SELECT event_id, strftime(ts, '%Y-%m-%d') AS newest, event_type AS dso FROM events")
 def service_names_corrected(t: Tables):
     """A batch of the service with its misspelt and renamed columns."""

@@ -256,6 +256,84 @@ def region_capacity_prefix(t: Tables):
     return quality.region_totals(points(t), regions, edges(t), "x", "y", "power", CELL, prefix="1")
 
 
+LEVEL_SQL = "lpad(CAST(n_regionkey AS VARCHAR), 2, '0') || lpad(CAST(n_nationkey % 3 AS VARCHAR), 3, '0') || lpad(CAST(n_nationkey AS VARCHAR), 3, '0')"
+
+
+@query(
+    f"""WITH r AS (SELECT n_nationkey, {LEVEL_SQL} AS ags FROM nation),
+       u AS (SELECT r.ags, p.power FROM {INSIDE_SQL} i JOIN {POINTS_SQL} p ON p.id = i.id JOIN r ON r.n_nationkey = i.region_id WHERE p.x >= 20),
+       l(level, n) AS (VALUES ('state', 2), ('district', 5), ('municipality', 8))
+       SELECT level, region_id, units, capacity FROM (SELECT DISTINCT level, n, left(ags, n) AS region_id FROM r, l)
+       LEFT JOIN (SELECT level, left(ags, n) AS region_id, count(*) AS units, round(sum(power), 2) AS capacity FROM u, l GROUP BY ALL) USING (level, region_id)"""
+)
+def region_capacity_levels(t: Tables):
+    """Totals of state, district and municipality in one pass over the units and their regions."""
+    nation = F.col("n_nationkey")
+    ags = F.concat(F.lpad(F.col("n_regionkey").cast("string"), 2, "0"), F.lpad((nation % 3).cast("string"), 3, "0"), F.lpad(nation.cast("string"), 3, "0"))
+    named = edges(t).join(t.nation.select(nation.alias("region_id"), ags.alias("ags")), "region_id").drop("region_id").withColumnRenamed("ags", "region_id")
+    units = points(t).filter("x >= 20")  # the first column of regions is empty
+    return quality.region_level_totals(units, named, "x", "y", "power", CELL)
+
+
+@query(
+    f"""SELECT technology, count(*) AS n, count(*) FILTER (hit IS NULL) AS mismatches, round(count(*) FILTER (hit IS NULL) * 1.0 / count(*), 6) AS share
+        FROM (SELECT p.segment AS technology, i.id AS hit FROM {POINTS_SQL} p LEFT JOIN {NEAR_SQL} i ON i.id = p.id AND i.region_id = p.declared
+              WHERE p.id % 5 > 0 AND p.id % 3 > 0 AND (p.segment <> 'BUILDING' OR p.id % 2 = 0)) GROUP BY technology"""
+)
+def region_mismatch_checked(t: Tables):
+    """The mismatch report over comparable units: confirmed by the grid operator, wind on land."""
+    n = F.col("id")
+    every = points(t).withColumns(
+        {
+            "NetzbetreiberpruefungStatus": F.when(n % 5 > 0, "1").when(n % 10 > 0, "0"),
+            "Gemeinde": F.when(n % 3 > 0, "a town"),
+            "Lage": F.when(n % 2 == 0, "Windkraft an Land").when(n % 7 > 0, "Windkraft auf See"),
+        }
+    )
+    kinds = {"AUTOMOBILE": "solar", "BUILDING": "wind_extended", "FURNITURE": "hydro", "HOUSEHOLD": "biomass", "MACHINERY": "storage"}
+    tables = {technology: every.filter(F.col("segment") == kind) for kind, technology in kinds.items()}
+    report = quality.mismatch_report(tables, edges(t), "declared", "x", "y", CELL, buffer=1.5, required=["x", "Gemeinde"], checked=True)
+    back = F.create_map(*[F.lit(x) for pair in ((v, k) for k, v in kinds.items()) for x in pair])
+    return report.withColumns({"technology": back[F.col("technology")], "share": F.round("share", 6)})
+
+
+ROUND_SQL = f"""(SELECT id, x, y, segment <> 'BUILDING' AS running FROM {POINTS_SQL})"""
+
+
+@query(
+    f"""WITH u AS {ROUND_SQL}, picked AS (SELECT * FROM u WHERE running ORDER BY md5(id || '-11'), id LIMIT 20)
+       SELECT 'picked' AS part, id AS unit, NULL AS neighbour, 0 AS label FROM picked
+       UNION ALL SELECT 'near', p.id, u.id, NULL FROM picked p JOIN u ON u.id <> p.id AND (u.x - p.x) * (u.x - p.x) + (u.y - p.y) * (u.y - p.y) <= 4
+       UNION ALL SELECT 'label', id, NULL, CAST(id % 4 AS INTEGER) FROM u WHERE running AND id % 4 > 0"""
+)
+def worklist_round(t: Tables):
+    """A round of the validation worklist: units drawn from all relevant ones, the units near them,
+    and the label file of all labelled units, written and read back."""
+    import uuid
+
+    from unitledger.session import shared_dir
+
+    n = F.col("id")
+    units = points(t).select(
+        n.alias("EinheitMastrNummer"), F.col("x").alias("Laengengrad"), F.col("y").alias("Breitengrad"), F.lit(100.0).alias("Bruttoleistung"),
+        F.when(F.col("segment") != "BUILDING", "In Betrieb").alias("EinheitBetriebsstatus"),
+    )
+    picked, near = worklist.validation_round(units, units, "biomass", 2.0, count=20, seed=11)
+    marked = worklist.add_relevance(units, "biomass").withColumn(
+        "manval_location", F.when(F.col("EinheitMastrNummer") % 4 > 0, (F.col("EinheitMastrNummer") % 4).cast("int"))
+    )
+    path = f"{shared_dir(t.spark)}/labels-{uuid.uuid4().hex}"
+    worklist.write_labels(marked, "biomass", path)
+    labels = t.spark.read.schema("id bigint, label int").csv(path, header=True)
+    none = F.lit(None).cast("bigint")
+    key = F.col("EinheitMastrNummer")
+    return (
+        picked.filter(F.size("octagon") > 0).select(F.lit("picked").alias("part"), key.alias("unit"), none.alias("neighbour"), F.lit(0).alias("label"))
+        .unionByName(near.select(F.lit("near").alias("part"), "unit", key.alias("neighbour"), F.lit(None).cast("int").alias("label")))
+        .unionByName(labels.select(F.lit("label").alias("part"), F.col("id").alias("unit"), none.alias("neighbour"), "label"))
+    )
+
+
 UNITS_SQL = f"""(SELECT id, CASE WHEN id % 4 > 0 THEN x END AS x, CASE WHEN id % 4 > 0 THEN y END AS y, CASE WHEN id % 7 > 0 THEN declared END AS state, power FROM {POINTS_SQL})"""
 
 

@@ -226,3 +226,25 @@ def archive_quarantine(t: Tables):
 def archive_file_order(t: Tables):
     """The first file by number wins a repeated key: 2 comes before 10."""
     return _archive(t).table("wind_extended").select(F.col("EinheitMastrNummer").alias("unit"), F.col("Gemeinde").alias("file"))
+
+
+@query(
+    """SELECT o_orderpriority AS "table", count(*) AS "rows", max(o_orderdate) AS newest, round(sum(o_totalprice), 1) AS exported
+       FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_orderpriority
+       UNION ALL SELECT NULL, count(*), max(o_orderdate), NULL FROM orders WHERE o_orderstatus <> 'P'"""
+)
+def export_newest_date(t: Tables):
+    """Cleaned tables exported one by one; their newest stamps are seen on the way, and the files
+    are read back to show what they hold."""
+    path = scratch(t, "cleaned")
+    rows = t.orders.filter("o_orderstatus <> 'P'").select(
+        F.col("o_orderkey").alias("EinheitMastrNummer"), F.col("o_orderpriority").alias("kind"), F.col("o_totalprice"),
+        F.col("o_orderdate").cast("timestamp").alias("DatumLetzteAktualisierung"),
+    )
+    kinds = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    cleaned = {k: rows.filter(F.col("kind") == k) for k in kinds}
+    told = Registry(t.spark, path).export_cleaned(cleaned, path, date="2024-01-01")
+    # The same schema for every table, so the folder is read as one.
+    back = t.spark.read.schema("EinheitMastrNummer bigint, kind string, o_totalprice double, at string").csv(f"{path}/dataversion=2024-01-01/table=*", header=True)
+    sums = back.groupBy(F.col("kind").alias("table")).agg(F.round(F.sum("o_totalprice"), 1).alias("exported"))
+    return told.join(sums, "table", "left").select("table", "rows", F.col("newest").cast("timestamp_ntz").alias("newest"), "exported")

@@ -47,6 +47,25 @@ def region_mismatch(
     return checked.withColumn("mismatch", ~F.col("mismatch"))
 
 
+# The grid operator's check has passed; a wind unit stands on land.
+CHECKED = ("NetzbetreiberpruefungStatus", "1")
+ON_LAND = ("Lage", "Windkraft an Land")
+
+
+def comparable_units(
+    units: DataFrame, technology: str, required: Sequence[str] = ("Laengengrad", "Landkreis", "Gemeinde"), checked: bool = False
+) -> DataFrame:
+    """Units whose position can be compared with a declared region: nothing required is NULL, wind
+    units stand on land, and with `checked` the grid operator has confirmed the unit. NULL is
+    neither on land nor confirmed."""
+    kept = units.dropna(subset=list(required))
+    if checked:
+        kept = kept.filter(F.col(CHECKED[0]) == CHECKED[1])
+    if technology.partition("_")[0] == "wind":
+        kept = kept.filter(F.col(ON_LAND[0]) == ON_LAND[1])
+    return kept
+
+
 def mismatch_report(
     units_by_technology: Mapping[str, DataFrame],
     edges: DataFrame,
@@ -55,8 +74,13 @@ def mismatch_report(
     y: str,
     cell: float,
     buffer: float = 0.015,
+    required: Sequence[str] | None = None,
+    checked: bool = False,
 ) -> DataFrame:
-    """Share of mismatching units per technology, one pass over the union of all tables."""
+    """Share of mismatching units per technology, one pass over the union of all tables. With
+    `required` only comparable units count (see `comparable_units`)."""
+    if required is not None:
+        units_by_technology = {n: comparable_units(df, n, required, checked) for n, df in units_by_technology.items()}
     units = union_by_name(
         [df.select(declared, x, y).withColumn("technology", F.lit(n)) for n, df in units_by_technology.items()]
     )
@@ -162,5 +186,39 @@ def region_totals(
     )
 
 
+#: Lengths of the key prefixes that name the upper levels of an eight-digit municipality key.
+LEVELS = {"state": 2, "district": 5, "municipality": 8}
+
+
+def region_level_totals(
+    units: DataFrame, edges: DataFrame, x: str, y: str, value: str, cell: float, levels: Mapping[str, int] | None = None
+) -> DataFrame:
+    """Number and capacity of units per region on all levels of its key, from one containment pass.
+
+    `edges` are those of the lowest level, with text keys (`region_id`) whose prefixes name the
+    upper ones; regions of a layer do not overlap. One rollup over the prefixes gives all levels.
+    Regions without units stay with NULL on every level, so a state whose municipalities are all
+    empty is there too. Rows: level, region_id, units, capacity.
+    """
+    levels = levels or LEVELS
+    names, lengths = list(levels), list(levels.values())
+    prefixes = [F.substring("region_id", 1, n).alias(name) for name, n in levels.items()]
+    placed = join_regions(units, edges, x, y, cell).select(*prefixes, F.col(value).alias("_value"))
+    totals = placed.rollup(*names).agg(
+        F.count(F.lit(1)).alias("units"), F.round(F.sum("_value"), 2).alias("capacity"), F.grouping_id().alias("_missing")
+    )
+    # The number of upper prefixes that a row has, and the longest of them.
+    depth = F.lit(len(names)) - F.bit_count("_missing")
+    rows = totals.filter(depth > 0).select(
+        F.element_at(F.array(*[F.lit(n) for n in names]), depth.cast("int")).alias("level"),
+        F.element_at(F.array(*names), depth.cast("int")).alias("region_id"),
+        "units",
+        "capacity",
+    )
+    own = F.array(*[F.struct(F.lit(n).alias("level"), F.substring("region_id", 1, k).alias("region_id")) for n, k in zip(names, lengths)])
+    known = edges.select("region_id").distinct().select(F.inline(own)).distinct()
+    return known.join(rows, ["level", "region_id"], "left")
+
+
 def newest_first(df: DataFrame, key: str, stamp: str) -> DataFrame:
     return first_per_key(df, [key], [F.desc_nulls_last(stamp)])

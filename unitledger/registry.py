@@ -13,8 +13,9 @@ from unitledger.operators.skew import first_per_key
 from unitledger.operators.snapshot import reverse_fill, snapshot_from_extended, translate_columns
 from unitledger.session import configure
 from unitledger.sources.catalog import decode_columns, decode_fixed
-from unitledger.sources.tables import write_csv
+from unitledger.sources.tables import write_csv, write_csv_observed
 from unitledger.sources.xml import ORDER, archive_records, parse_records
+from unitledger.streaming.mirror import newest_stamp
 
 
 def cleansed(
@@ -118,12 +119,31 @@ class Registry:
         from functools import reduce
 
         parts = [
-            self.table(t).agg(F.max(stamp).cast("string").alias("newest")).select(F.lit(t).alias("table"), "newest")
+            newest_stamp(self.table(t), stamp).select(F.lit(t).alias("table"), F.col(stamp).cast("string").alias("newest"))
             for t in tables
             if self.has(t) and stamp in self.table(t).columns
         ]
+        if not parts:
+            return self.spark.createDataFrame([], "table string, newest string")
         return reduce(DataFrame.unionAll, parts)
 
+    def export_cleaned(
+        self, cleaned: Mapping[str, DataFrame], out: str, limit: int | None = None, date: str | None = None,
+        key: str = "EinheitMastrNummer", stamp: str = "DatumLetzteAktualisierung",
+    ) -> DataFrame:
+        """Export post-processed tables, one folder each below `<out>/dataversion=<date>`, and tell
+        rows and newest stamp of each and of all (`table` NULL), seen while they were written.
+        A limit takes the first rows by key of every table."""
+        base = f"{out}/dataversion={date}" if date else out
+        kind = next((df.schema[stamp].dataType.simpleString() for df in cleaned.values()), "timestamp")
+        told = []
+        for name, df in cleaned.items():
+            rows = df.orderBy(key).limit(limit) if limit else df
+            told.append((name, *write_csv_observed(rows, f"{base}/table={name}", stamp, key)))
+        stamps = [x for *_, x in told if x is not None]
+        told.append((None, sum(n for _, n, _ in told), max(stamps, default=None)))
+        return self.spark.createDataFrame(told, f"table string, rows bigint, newest {kind}")
+
     def translate(self, names: Mapping[str, str], target: str, tables: Sequence[str] | None = None) -> "Registry":
         """Copy the tables with translated column names; the dictionary is the user's."""
         for name in tables or [s.table for s in specs.TABLES.values() if s.table and self.has(s.table)]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,6 +80,14 @@ def write_csv(df: DataFrame, path: str, key: str | None = None, mode: str = "ove
     out.write.mode(mode).options(header=True, sep=sep, escape='"', nullValue="", emptyValue='""').csv(path)
 
 
+def write_csv_observed(df: DataFrame, path: str, stamp: str, key: str | None = None, sep: str = ",") -> tuple[int, object]:
+    """`write_csv` that also gives the number of rows and the newest stamp (None without any), taken
+    from the rows on their way into the file: the table is read once."""
+    seen = Observation()
+    write_csv(df.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(stamp).alias("newest")), path, key, sep=sep)
+    return seen.get["rows"], seen.get["newest"]
+
+
 def write_missed(missed: DataFrame, path: str, key: str) -> None:
     """`(id, reason)` lines of requests that failed; later runs append."""
     missed.select(key, "reason").write.mode("append").csv(path)
