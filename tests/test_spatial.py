@@ -87,6 +87,35 @@ def test_neighbour_counts_equal_brute_force(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("leaf", [1, 40])
+def test_levels_as_deep_as_the_places_ask_for(spark, monkeypatch, leaf):
+    monkeypatch.setattr(spatial, "LEAF", leaf)
+    rng = random.Random(5)
+    pts = dense(rng, 200) + [(3.0 + rng.gauss(0, 1e-4), 4.5 + rng.gauss(0, 1e-4)) for _ in range(60)] + [(-0.5 * k, -1.5) for k in range(8)]
+    counts = {r["id"]: r["neighbours"] for r in spatial.neighbour_counts(points_df(spark, pts), "id", "x", "y", 1.5).collect()}
+    near = lambda p, q, d: (p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2 <= d * d
+    assert counts == {i: sum(near(p, q, 1.5) for q in pts) - 1 for i, p in enumerate(pts)}
+    found = spatial.clusters(points_df(spark, pts), "id", "x", "y", 0.6)
+    assert {r["id"]: r["cluster"] for r in found.collect()} == components(pts, 1.2)
+
+
+def test_dense_places_are_compared_in_few_pairs(spark):
+    """Places inside one radius: pairs tested per place grow far slower than the places."""
+    tested = []
+    for n in (1000, 16_000):
+        r = random.Random(n)
+        df = points_df(spark, [(r.uniform(0, 1), r.uniform(0, 1)) for _ in range(n)])
+        places = spatial.written(spatial.locations(df, "x", "y", spatial.side_of(0.9)))
+        _, leaves = spatial.refined(places, places, spatial.cell_pairs(places, places, 0.9), 0.9)
+        boxes = spatial.written(leaves)
+        every = places.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(8))))
+        sizes = every.groupBy("level", *[spatial._box_number(q, F.col("level")).alias(a) for q, a in (("qx", "ax"), ("qy", "ay"))]).count()
+        other = sizes.withColumnsRenamed({"ax": "bx", "ay": "by", "count": "m"})
+        total = boxes.join(sizes, ["level", "ax", "ay"]).join(other, ["level", "bx", "by"]).agg(F.sum(F.col("count") * F.col("m"))).first()[0]
+        tested.append(total / n)
+    assert tested[1] < 6 * tested[0] and tested[1] < 0.2 * 16_000
+
+
 def components(pts, d):
     label = list(range(len(pts)))
 

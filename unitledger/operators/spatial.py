@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -213,24 +214,28 @@ def surface_points(edges: DataFrame, region: str = "region_id") -> DataFrame:
 
 # ---------------------------------------------------------------- distances
 
-FINE = 8  # a cell splits into FINE x FINE sub-cells before points are compared
+FOLD = 4  # a box splits into FOLD x FOLD boxes of the next level
+LEAF = 256  # pairs of places up to which a pair of boxes is compared place by place
+LINK_STEPS = 2  # of the component search, before pairs of cells are looked into
+DEPTH = 14  # levels at most; cell numbers and level numbers together stay within 63 bits
 
 
 def locations(points: DataFrame, x: str, y: str, side: float, weight: Column | None = None) -> DataFrame:
-    """Distinct coordinates with the number of points there, and their coarse and fine cells."""
+    """Distinct coordinates with the number of points there, their cells, and their position in
+    units of a cell, from which the boxes of all levels follow without rounding."""
     merged = (
         points.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
         .groupBy(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
         .agg(F.sum(weight if weight is not None else F.lit(1)).alias("n"))
+        .withColumns({"qx": F.col("x") / side, "qy": F.col("y") / side})
     )
-    return merged.withColumns(
-        {
-            "cx": F.floor(F.col("x") / side).cast("bigint"),
-            "cy": F.floor(F.col("y") / side).cast("bigint"),
-            "fx": F.floor(F.col("x") / (side / FINE)).cast("bigint"),
-            "fy": F.floor(F.col("y") / (side / FINE)).cast("bigint"),
-        }
-    )
+    return merged.withColumns({"cx": _box_number("qx", 0), "cy": _box_number("qy", 0)})
+
+
+def _box_number(position: str, level: int | Column) -> Column:
+    """Number of the box of a level that holds a position; that of the box above is a quarter of it."""
+    scale = F.pow(F.lit(float(FOLD)), level) if isinstance(level, Column) else F.lit(float(FOLD**level))
+    return F.floor(F.col(position) * scale).cast("bigint")
 
 
 def _boxes(places: DataFrame, keys: Sequence[str], tag: str) -> DataFrame:
@@ -260,7 +265,6 @@ def _verdict(distance: float) -> Column:
 
 A_CELL = ["ax", "ay"]
 B_CELL = ["bx", "by"]
-SUB_NAMES = {"ax": "cx", "ay": "cy", "afx": "fx", "afy": "fy"}
 
 
 def cell_pairs(a: DataFrame, b: DataFrame, distance: float) -> DataFrame:
@@ -286,70 +290,96 @@ def side_of(distance: float) -> float:
     return distance / math.sqrt(2) * (1 - 1e-9)
 
 
-def _fine_pairs(a: DataFrame, b: DataFrame, pairs: DataFrame, distance: float) -> DataFrame:
-    """Sub-cell pairs of undecided cell pairs; at most FINE^4 per cell pair."""
-    box_a = _boxes(a, ["cx", "cy", "fx", "fy"], "a").withColumnsRenamed(
-        {"cx": "ax", "cy": "ay", "fx": "afx", "fy": "afy"}
-    )
-    box_b = _boxes(b, ["cx", "cy", "fx", "fy"], "b").withColumnsRenamed(
-        {"cx": "bx", "cy": "by", "fx": "bfx", "fy": "bfy"}
-    )
-    return (
-        pairs.select(*A_CELL, *B_CELL)
-        .join(box_a, A_CELL)
-        .join(box_b, B_CELL)
-        .withColumn("verdict", _verdict(distance))
-        .filter("verdict <> 'none'")
-    )
+def _children(places: DataFrame, parents: DataFrame, level: int, tag: str) -> DataFrame:
+    """Boxes of a level below the given boxes of the level above (`p<tag>x`, `p<tag>y`)."""
+    names = [f"p{tag}x", f"p{tag}y"]
+    numbered = places.withColumns({"ix": _box_number("qx", level), "iy": _box_number("qy", level)})
+    above = {n: F.shiftright(i, 2) for n, i in zip(names, ("ix", "iy"))}
+    own = numbered.withColumns(above).join(parents.select(*names).distinct(), names, "left_semi")
+    return _boxes(own, [*names, "ix", "iy"], tag).withColumnsRenamed({"ix": f"{tag}x", "iy": f"{tag}y"})
+
+
+def refined(
+    a: DataFrame, b: DataFrame, pairs: DataFrame, distance: float, first_hit: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Undecided cell pairs taken apart level by level, as deep as their places ask for.
+
+    A pair of boxes with more than LEAF pairs of places is replaced by the pairs of its sub-boxes
+    that may be near. Returns the pairs of boxes that are near as a whole and those to be compared
+    place by place: level, boxes (ax, ay, bx, by at that level), `n_b`. With `first_hit` a cell
+    pair is done as soon as one pair of its boxes is near.
+    """
+    columns = [F.lit(0).alias("level"), *A_CELL, *B_CELL, "n_b", "places_a", "places_b"]
+    pending = pairs.filter("verdict = 'some'").select(*columns)
+    large = F.col("places_a") * F.col("places_b") > LEAF
+    sure: list[DataFrame] = []
+    leaves: list[DataFrame] = []
+    for level in range(1, DEPTH + 1):
+        leaves.append(pending.filter(~large))
+        up = pending.filter(large).select(*[F.col(c).alias(f"p{c}") for c in (*A_CELL, *B_CELL)])
+        if up.isEmpty():
+            break
+        below = written(
+            up.join(_children(a, up, level, "a"), ["pax", "pay"])
+            .join(_children(b, up, level, "b"), ["pbx", "pby"])
+            .withColumn("verdict", _verdict(distance))
+            .filter("verdict <> 'none'")
+            .select(F.lit(level).alias("level"), *columns[1:], "verdict")
+        )
+        sure.append(below.filter("verdict = 'all'").drop("verdict"))
+        pending = below.filter("verdict = 'some'").drop("verdict")
+        if first_hit:
+            hit = sure[-1].select(*_roots()).distinct()
+            roots = [f"r{c}" for c in (*A_CELL, *B_CELL)]
+            pending = written(pending.withColumns(dict(zip(roots, _roots()))).join(hit, roots, "left_anti").drop(*roots))
+    else:
+        leaves.append(pending)  # as deep as numbers reach
+    none = pairs.limit(0).select(*columns)
+    kept = ["level", *A_CELL, *B_CELL, "n_b"]
+    union = lambda parts: reduce(DataFrame.unionAll, parts, none).select(*kept)
+    return union(sure), union(leaves)
+
+
+def _roots() -> list[Column]:
+    """The cells (level 0) of a pair of boxes."""
+    return [F.expr(f"shiftright({c}, 2 * level)").alias(f"r{c}") for c in (*A_CELL, *B_CELL)]
+
+
+def _in_boxes(places: DataFrame, boxes: DataFrame, tag: str) -> DataFrame:
+    """Places with the rows of their boxes; these are named by `level`, `<tag>x`, `<tag>y`."""
+    levels = [r[0] for r in boxes.select("level").distinct().collect()]  # DEPTH at most
+    every = places.withColumn("level", F.explode(F.array(*[F.lit(k) for k in levels]) if levels else F.array().cast("array<int>")))
+    numbers = {f"{tag}x": _box_number("qx", F.col("level")), f"{tag}y": _box_number("qy", F.col("level"))}
+    return every.withColumns(numbers).join(boxes, ["level", *numbers])
 
 
 def _place_pairs(a: DataFrame, b: DataFrame, pairs: DataFrame, distance: float) -> DataFrame:
-    """Exact test of the places of undecided sub-cell pairs."""
-    left = a.select(
-        F.col("cx").alias("ax"), F.col("cy").alias("ay"), F.col("fx").alias("afx"), F.col("fy").alias("afy"),
-        F.col("x").alias("xa"), F.col("y").alias("ya"),
-    )
-    right = b.select(
-        F.col("cx").alias("bx"), F.col("cy").alias("by"), F.col("fx").alias("bfx"), F.col("fy").alias("bfy"),
-        F.col("x").alias("xb"), F.col("y").alias("yb"), F.col("n").alias("nb"),
-    )
+    """Exact test of the places of undecided pairs of boxes."""
+    pairs = written(pairs.drop("n_b"))
+    boxes_a, boxes_b = (pairs.select("level", *names).distinct() for names in (A_CELL, B_CELL))
+    left = _in_boxes(a, boxes_a, "a").select("level", *A_CELL, F.col("x").alias("xa"), F.col("y").alias("ya"))
+    right = _in_boxes(b, boxes_b, "b").select("level", *B_CELL, F.col("x").alias("xb"), F.col("y").alias("yb"), F.col("n").alias("nb"))
     near = squared_distance(F.col("xa"), F.col("ya"), F.col("xb"), F.col("yb")) <= distance * distance
-    return (
-        pairs.select(*A_CELL, *B_CELL, "afx", "afy", "bfx", "bfy")
-        .join(left, [*A_CELL, "afx", "afy"])
-        .join(right, [*B_CELL, "bfx", "bfy"])
-        .filter(near)
-    )
+    return pairs.join(left, ["level", *A_CELL]).join(right, ["level", *B_CELL]).filter(near)
 
 
 def neighbour_counts(points: DataFrame, id_column: str, x: str, y: str, distance: float, name: str = "neighbours") -> DataFrame:
     """Number of other points within the distance of each point (ids without a position: NULL).
 
-    Whole cells and sub-cells are added by their totals; only sub-cells cut by the circle's
-    edge are compared place by place.
+    Cells and boxes are added by their totals; only the last boxes cut by the circle's edge are
+    compared place by place.
     """
     places = written(locations(points, x, y, side_of(distance)))
     pairs = written(cell_pairs(places, places, distance))
-    by_cell = pairs.filter("verdict = 'all'").groupBy("ax", "ay").agg(F.sum("n_b").alias("_cell"))
-    fine = written(_fine_pairs(places, places, pairs.filter("verdict = 'some'"), distance))
-    by_sub = fine.filter("verdict = 'all'").groupBy(*A_CELL, "afx", "afy").agg(F.sum("n_b").alias("_sub"))
-    exact = (
-        _place_pairs(places, places, fine.filter("verdict = 'some'"), distance)
-        .groupBy(F.col("xa").alias("x"), F.col("ya").alias("y"))
-        .agg(F.sum("nb").alias("_near"))
-    )
-    zero = F.lit(0)
+    sure, leaves = refined(places, places, pairs, distance)
+    whole = pairs.filter("verdict = 'all'").select(F.lit(0).alias("level"), *A_CELL, *B_CELL, "n_b").unionAll(sure)
+    by_box = written(whole.groupBy("level", *A_CELL).agg(F.sum("n_b").alias("_near")))
+    of_boxes = _in_boxes(places, by_box, "a").select("x", "y", "_near")
+    of_places = _place_pairs(places, places, leaves, distance).select(F.col("xa").alias("x"), F.col("ya").alias("y"), F.col("nb").alias("_near"))
     per_place = (
-        places.join(by_cell.withColumnsRenamed({"ax": "cx", "ay": "cy"}), ["cx", "cy"], "left")
-        .join(by_sub.withColumnsRenamed(SUB_NAMES), [*SUB_NAMES.values()], "left")
-        .join(exact, ["x", "y"], "left")
-        .select(
-            F.col("x").alias("_px"),
-            F.col("y").alias("_py"),
-            (
-                F.coalesce("_cell", zero) + F.coalesce("_sub", zero) + F.coalesce("_near", zero) - 1
-            ).cast("bigint").alias(name),
-        )
+        of_boxes.unionAll(of_places)
+        .groupBy(F.col("x").alias("_px"), F.col("y").alias("_py"))
+        .agg((F.sum("_near") - 1).cast("bigint").alias(name))
     )
     keyed = points.withColumns({"_px": F.col(x).cast("double"), "_py": F.col(y).cast("double")})
     joined = keyed_join(keyed, per_place, ["_px", "_py"], "left")
@@ -396,22 +426,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     )
     while True:
-        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (
-            keyed_join(both, least, ["u"], "inner")
-            .filter("v > u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-        )
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            keyed_join(large, least, ["u"], "inner")
-            .filter("v <> m")
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(least.select("u", F.col("m").alias("v")))
-            .distinct()
-        )
-        pairs, new_state = _written_round(small)
+        pairs, new_state = _written_round(_star_step(pairs))
         if new_state == state:
             break
         state = new_state
@@ -420,6 +435,21 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     return members.unionByName(centres)
 
 
+def _star_step(pairs: DataFrame) -> DataFrame:
+    """One large-star and one small-star step on pairs (u, v), v the smaller node."""
+    both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    large = keyed_join(both, least, ["u"], "inner").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = large.groupBy("u").agg(F.min("v").alias("m"))
+    return (
+        keyed_join(large, least, ["u"], "inner")
+        .filter("v <> m")
+        .select(F.col("v").alias("u"), F.col("m").alias("v"))
+        .unionByName(least.select("u", F.col("m").alias("v")))
+        .distinct()
+    )
+
+
 def _written_round(pairs: DataFrame) -> tuple[DataFrame, dict]:
     """Write a round's pairs; their count and checksum are observed by the same job."""
     seen = Observation()
@@ -435,41 +465,39 @@ def _cell_id(x: Column, y: Column) -> Column:
     return F.when(fits, packed).otherwise(F.raise_error(F.lit("cell number out of range: distance too small")).cast("bigint"))
 
 
-def _linked_cells(a: DataFrame, b: DataFrame, distance: float) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Cell pairs certain by box, sub-cell pairs certain by box, and near place pairs."""
-    pairs = written(cell_pairs(a, b, distance))
-    sure = pairs.filter("verdict = 'all'")
-    fine = written(_fine_pairs(a, b, pairs.filter("verdict = 'some'"), distance))
-    fine_sure = fine.filter("verdict = 'all'")
-    return sure, fine_sure, fine.filter("verdict = 'some'")
-
-
 def clusters(points: DataFrame, id_column: str, x: str, y: str, reach: float) -> DataFrame:
     """Parts of the union of circles of radius `reach` around the points.
 
     Two points share a part when a chain of points with gaps of at most twice the radius links
     them. All points of one cell are near each other, so the graph is one of cells, not points.
-    The part is named by its smallest point id. Returns (id, cluster).
+    Cells that are near as a whole are linked first; of the other pairs only those that a few
+    steps along these links do not join yet are looked into, each until a pair of boxes or places
+    is near. The part is named by its smallest point id. Returns (id, cluster).
     """
     distance = 2 * reach
-    places = written(locations(points, x, y, side_of(distance)))
-    sure, fine_sure, open_pairs = _linked_cells(places, places, distance)
-    certain = sure.select(*A_CELL, *B_CELL).unionByName(fine_sure.select(*A_CELL, *B_CELL)).distinct()
-    # A cell pair that is linked already needs no further look; one direction is enough.
-    undecided = open_pairs.filter("ax < bx or (ax = bx and ay < by)").join(certain, [*A_CELL, *B_CELL], "left_anti")
-    exact = _place_pairs(places, places, undecided, distance).select(*A_CELL, *B_CELL)
-    links = certain.unionByName(exact).select(
-        _cell_id(F.col("ax"), F.col("ay")).alias("p"), _cell_id(F.col("bx"), F.col("by")).alias("q")
-    )
-    parts = connected_components(links, "p", "q")
     side = side_of(distance)
+    places = written(locations(points, x, y, side))
+    near = cell_pairs(places, places, distance).filter("ax < bx or (ax = bx and ay < by)")
+    pairs = written(near.withColumns({"p": _cell_id(F.col("ax"), F.col("ay")), "q": _cell_id(F.col("bx"), F.col("by"))}))
+    known = pairs.filter("verdict = 'all'").select(F.greatest("p", "q").alias("u"), F.least("p", "q").alias("v"))
+    for _ in range(LINK_STEPS):
+        known = written(_star_step(known))
+    led = known.groupBy("u").agg(F.min("v").alias("_leader"))
+
+    def with_leader(df: DataFrame, node: str, name: str) -> DataFrame:
+        return keyed_join(df, led.withColumnRenamed("u", node), [node], "left").withColumn(name, F.coalesce("_leader", node)).drop("_leader")
+
+    some = with_leader(with_leader(pairs.filter("verdict = 'some'"), "p", "_a"), "q", "_b").filter("_a <> _b")
+    sure, leaves = refined(places, places, written(some), distance, first_hit=True)
+    tested = _place_pairs(places, places, leaves, distance)
+    found = sure.select(*_roots()).unionAll(tested.select(*_roots())).distinct()
+    new = found.select(_cell_id(F.col("rax"), F.col("ray")).alias("u"), _cell_id(F.col("rbx"), F.col("rby")).alias("v"))
+    parts = connected_components(known.unionByName(new), "u", "v")
     cell = _cell_id(
         F.floor(F.col(x).cast("double") / side).cast("bigint"), F.floor(F.col(y).cast("double") / side).cast("bigint")
     )
     placed = points.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(id_column, cell.alias("node"))
-    labelled = keyed_join(placed, parts, ["node"], "left").withColumn(
-        "component", F.coalesce("component", "node")
-    )
+    labelled = keyed_join(placed, parts, ["node"], "left").withColumn("component", F.coalesce("component", "node"))
     names = labelled.groupBy("component").agg(F.min(id_column).alias("cluster"))
     return keyed_join(labelled, names, ["component"], "inner").select(id_column, "cluster")
 
@@ -487,25 +515,15 @@ def in_clusters(
     )
     right_places = locations(members, members_x, members_y, side)
     right = written(right_places.join(labelled, ["x", "y"]))
-    sure, fine_sure, open_pairs = _linked_cells(left, right, reach)
+    pairs = written(cell_pairs(left, right, reach))
+    sure, leaves = refined(left, right, pairs, reach)
+    whole = pairs.filter("verdict = 'all'").select(F.lit(0).alias("level"), *A_CELL, *B_CELL, "n_b").unionAll(sure)
     # Members of one cell are near each other, so any of them names the cell's cluster.
-    cell_cluster = right.groupBy(F.col("cx").alias("bx"), F.col("cy").alias("by")).agg(F.min(cluster).alias(cluster))
-    by_cell = sure.select(*A_CELL, *B_CELL).join(cell_cluster, B_CELL).groupBy(*A_CELL).agg(F.min(cluster).alias("_c1"))
-    by_sub = (
-        fine_sure.select(*A_CELL, "afx", "afy", *B_CELL).join(cell_cluster, B_CELL).groupBy(*A_CELL, "afx", "afy").agg(F.min(cluster).alias("_c2"))
-    )
-    by_place = (
-        _place_pairs(left, right, open_pairs, reach)
-        .join(cell_cluster, B_CELL)
-        .groupBy(F.col("xa").alias("x"), F.col("ya").alias("y"))
-        .agg(F.min(cluster).alias("_c3"))
-    )
-    placed = (
-        left.join(by_cell.withColumnsRenamed({"ax": "cx", "ay": "cy"}), ["cx", "cy"], "left")
-        .join(by_sub.withColumnsRenamed(SUB_NAMES), [*SUB_NAMES.values()], "left")
-        .join(by_place, ["x", "y"], "left")
-        .select(F.col("x").alias("_px"), F.col("y").alias("_py"), F.coalesce("_c1", "_c2", "_c3").alias(cluster))
-        .filter(F.col(cluster).isNotNull())
-    )
+    cell_cluster = right.groupBy(F.col("cx").alias("rbx"), F.col("cy").alias("rby")).agg(F.min(cluster).alias(cluster))
+    named = lambda df: df.withColumns(dict(zip(("rax", "ray", "rbx", "rby"), _roots()))).join(cell_cluster, ["rbx", "rby"])
+    by_box = written(named(whole).groupBy("level", *A_CELL).agg(F.min(cluster).alias(cluster)))
+    of_boxes = _in_boxes(left.drop(cluster), by_box, "a").select("x", "y", cluster)
+    of_places = named(_place_pairs(left, right, leaves, reach)).select(F.col("xa").alias("x"), F.col("ya").alias("y"), cluster)
+    placed = of_boxes.unionAll(of_places).groupBy(F.col("x").alias("_px"), F.col("y").alias("_py")).agg(F.min(cluster).alias(cluster))
     keyed = points.withColumns({"_px": F.col(x).cast("double"), "_py": F.col(y).cast("double")})
     return keyed_join(keyed, placed, ["_px", "_py"], "inner").select(id_column, cluster)
