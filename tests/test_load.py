@@ -39,6 +39,7 @@ def archive(tmp_path_factory):
         unit(202, extra="<NameWindpark>tief\x03</NameWindpark>"),
         "<EinheitWind><EinheitMastrNummer>SEE203</EinheitMastrNummer><NameWindpark>a < b</NameWindpark></EinheitWind>",
         "<EinheitWind><EinheitMastrNummer>SEE204</EinheitMastrNummer><NameWindpark>a <b</NameWindpark></EinheitWind>",
+        "<EinheitWind><EinheitMastrNummer>SEE205</EinheitMastrNummer><NameWindpark>open</EinheitWind>",
         "<EinheitWind><NameWindpark>keyless</NameWindpark></EinheitWind>",
     )
     files["Katalogwerte.xml"] = CATALOG % (VALUE % (335, "Bayern") + VALUE % (336, "Bremen"))
@@ -62,7 +63,7 @@ def rows_of(registry):
 
 def test_load_pads_types_decodes_and_keeps_first_per_key(registry):
     rows = rows_of(registry)
-    assert len(rows) == 10 * 2 + 5 and "SEE999" not in rows  # ten plain files, five good new keys in file 2
+    assert len(rows) == 10 * 2 + 6 and "SEE999" not in rows  # ten plain files, six good new keys in file 2
     first = rows["SEE1"]
     assert first["Bundesland"] == "Bayern"  # file 1 wins over file 2, and 2 comes before 10
     assert (first["Gemeindeschluessel"], first["Postleitzahl"]) == ("09162000", "01067")
@@ -85,7 +86,8 @@ def test_load_repairs_records_and_quarantines_the_rest(registry):
     assert "SEE203" in rows and rows["SEE203"]["NameWindpark"] is None  # `a < b` is blanked, the row stays
     aside = {r["reason"]: r["record"] for r in registry.table("wind_extended__quarantine").collect()}
     assert set(aside) == {"broken record", "no key"}
-    assert "SEE204" in aside["broken record"] and "keyless" in aside["no key"]
+    assert rows["SEE204"]["NameWindpark"] is None and "b" not in registry.table("wind_extended").columns  # `a <b` too
+    assert "SEE205" in aside["broken record"] and "keyless" in aside["no key"]
 
 
 def test_snapshot_export_and_translation(spark, registry, tmp_path):
@@ -192,3 +194,42 @@ def test_export_tells_the_newest_stamp_it_wrote(spark, tmp_path):
     first = {r.table: (r.rows, r.newest) for r in registry.export_cleaned(cleaned, str(tmp_path / "two"), limit=1).collect()}
     assert first["wind"] == (1, day(3)) and first[None] == (3, day(20))
     assert registry.newest(["wind_extended"]).collect() == []
+
+
+def test_stray_brackets_are_blanked_and_their_records_kept(spark):
+    cases = {
+        "<U><A>1</A><B>a <b</B><C>x</C></U>": ("1", None, "x"),
+        "<U><A>2</A><B>a <b> c <d e</B><C>x</C></U>": ("2", None, "x"),
+        "<U><A>3</A><B>a << < <b &amp; &</B><C>x</C></U>": ("3", None, "x"),
+        "<U><A>4</A><B k='v'>" + "long <text " * 50_000 + "</B><C>x</C></U>": ("4", None, "x"),
+        "<U><A>5</A><B>fine</B><C/></U>": ("5", "fine", None),
+        "<U><A>6</A><B>open<C>x</C></U>": None,
+        "<U><A>7</A><B>open": None,
+    }
+    df = spark.createDataFrame([("u", 1, i, r) for i, r in enumerate(cases)], "stem string, file_no int, row_no long, record string")
+    good, aside = parse_records(df, keys=["A"])
+    assert good.columns == ["stem", "file_no", "row_no", "A", "B", "C"]
+    assert sorted((r.A, r.B, r.C) for r in good.collect()) == sorted(w for w in cases.values() if w)
+    assert {r.record for r in aside.collect()} == {r for r, w in cases.items() if w is None}
+
+
+def test_a_long_record_stays_whole():
+    text = "<R><U><A>" + "x" * 40_000_000 + "</A></U><U/></R>"
+    chunks = (text[i : i + (1 << 20)] for i in range(0, len(text), 1 << 20))
+    assert [len(r) for r in split_records(chunks)] == [len(text) - 11, 4]
+
+
+def test_a_failed_load_leaves_the_old_table(spark, tmp_path):
+    registry = Registry(spark, str(tmp_path))
+    rows = lambda v: spark.range(4).selectExpr("id", f"{v} as v")
+    registry.replace("t", rows(1))
+    reader = registry.table("t")
+    with pytest.raises(Exception):
+        registry.replace("t", rows(2).withColumn("v", F.expr("if(id = 3, raise_error('half way'), v)").cast("int")))
+    assert {r.v for r in registry.table("t").collect()} == {1}
+    registry.replace("t", rows(3))
+    assert {r.v for r in registry.table("t").collect()} == {3} and {r.v for r in reader.collect()} == {1}  # still readable
+    registry.replace("t", rows(4))
+    registry.replace("t", rows(5))
+    assert {r.v for r in registry.table("t").collect()} == {5}
+    assert sum(p.name.startswith("v") for p in (tmp_path / "t").iterdir()) == 2

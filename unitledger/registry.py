@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -36,22 +37,53 @@ def cleansed(
 
 
 class Registry:
-    """Parquet tables below one folder, one sub-folder per table."""
+    """Parquet tables below one folder, one sub-folder per table.
+
+    A table folder holds versions and a pointer to the current one. A load writes a new version
+    and moves the pointer when it is complete, so readers see the old table or the new one, and a
+    load that fails leaves the old one. The version before stays for those who still read it.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = configure(spark), path
 
+    def _place(self, name: str):
+        """File system, and path below the registry's folder."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
+
+    def _version(self, name: str) -> str | None:
+        """The folder of a table's current version: that with the highest pointer."""
+        fs, place = self._place(name)
+        names = [f.getPath().getName() for f in fs.listStatus(place)] if fs.exists(place) else []
+        pointers = sorted(n for n in names if n.startswith("_current-"))
+        return pointers[-1].removeprefix("_current-") if pointers else None
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/{name}")
+        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/{name}/{self._version(name) or ''}")
 
     def has(self, name: str) -> bool:
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return root.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(root)
+        fs, place = self._place(name)
+        return fs.exists(place)
+
+    def replace(self, name: str, rows: DataFrame) -> None:
+        """Make `rows` the content of a table, all at once. The pointer is an empty folder made in one
+        step; versions before the last one are removed."""
+        before = self._version(name)
+        number = int(before.partition("-")[0].removeprefix("v")) + 1 if before else 0
+        version = f"v{number:08d}-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.path}/{name}/{version}")
+        fs, _ = self._place(name)
+        fs.mkdirs(self._place(f"{name}/_current-{version}")[1])
+        for status in fs.listStatus(self._place(name)[1]):
+            old = status.getPath().getName().removeprefix("_current-")
+            if old.startswith("v") and old not in (version, before) and old < version:
+                fs.delete(status.getPath(), True)
 
     def load(
         self, source: str, date: str, data: list[str] | str | None = None, cleansing: bool = True, encoding: str = "utf-16"
     ) -> list[str]:
-        """Load the chosen datasets from a zip or folder of XML files; each table is replaced.
+        """Load the chosen datasets from a zip or folder of XML files; each table is replaced at once.
 
         Columns the files bring are all kept. Broken records and those without a key, if any, go to
         `<table>__quarantine` with the reason.
@@ -70,9 +102,9 @@ class Registry:
             seen = Observation()
             keys = [spec.key, *[raw for raw, name in spec.renames.items() if name == spec.key]] if spec.key else []
             rows, broken = parse_records(records.filter(F.col("stem") == stem), seen=seen, keys=keys)
-            cleansed(rows, spec, catalog, date).write.mode("overwrite").parquet(f"{self.path}/{spec.table}")
+            self.replace(spec.table, cleansed(rows, spec, catalog, date))
             if seen.get["broken"]:
-                broken.write.mode("overwrite").parquet(f"{self.path}/{spec.table}__quarantine")
+                self.replace(f"{spec.table}__quarantine", broken)
             loaded.append(spec.table)
         return loaded
 
@@ -146,6 +178,7 @@ class Registry:
 
     def translate(self, names: Mapping[str, str], target: str, tables: Sequence[str] | None = None) -> "Registry":
         """Copy the tables with translated column names; the dictionary is the user's."""
+        done = Registry(self.spark, target)
         for name in tables or [s.table for s in specs.TABLES.values() if s.table and self.has(s.table)]:
-            translate_columns(self.table(name), names).write.mode("overwrite").parquet(f"{target}/{name}")
-        return Registry(self.spark, target)
+            done.replace(name, translate_columns(self.table(name), names))
+        return done

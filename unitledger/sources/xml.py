@@ -24,8 +24,8 @@ from unitledger.specs import stem_of_file
 CHUNK = 1 << 20
 ORDER = ["file_no", "row_no"]
 
-#: A record that has not ended after so many characters is handed on as it is, in pieces.
-LONGEST_RECORD = 32 << 20
+#: A record is handed on whole up to what a row can hold (2 GB); only a longer one comes in pieces.
+LONGEST_RECORD = 1 << 29
 
 # A text value that XML forbids: control characters, `&` that starts no entity, or `<` that
 # starts no tag.
@@ -33,6 +33,9 @@ BAD_TEXT = (
     r"(?<=>)[^<>]*(?:[\x00-\x08\x0B\x0C\x0E-\x1F]|&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
     r"|<(?![A-Za-z_/!?]))(?:[^<]|<(?![A-Za-z_/!?]))*+(?=</)"
 )
+# An element whose text holds a `<` that ends nothing, also before a letter (`a <b`), and no end tag
+# but its own. Only records that do not parse are searched for it.
+STRAY_TEXT = r"<([A-Za-z_][\w.-]*)(?:\s[^<>]*+)?>[^<]*+(?:<(?!/)[^<]*+)++</\1\s*>"
 _EMPTY_FILE = re.compile(r"(?:<\?[^>]*>\s*)?(?:<([\w.:-]+)[^<>]*/>|<([\w.:-]+)[^<>]*>\s*</\2\s*>)?", re.S)
 _ROOT_END = re.compile(r"</[\w.:-]+\s*>")
 
@@ -158,8 +161,9 @@ def folder_records(spark: SparkSession, path: str, stem: str, row_tag: str, colu
 
 
 def record_columns(records: DataFrame) -> list[str]:
-    """Element names inside the records; one distributed distinct over the names."""
-    names = F.regexp_extract_all("record", F.lit(r"<([A-Za-z_][A-Za-z0-9_.-]*)"), F.lit(1))
+    """Names of elements that end inside the records; one distributed distinct over the names."""
+    closed = F.regexp_extract_all("record", F.lit(r"</([A-Za-z_][A-Za-z0-9_.-]*)\s*>"), F.lit(1))
+    names = F.concat(closed, F.regexp_extract_all("record", F.lit(r"<([A-Za-z_][A-Za-z0-9_.-]*)(?:\s[^<>]*)?/>"), F.lit(1)))
     row_tag = F.regexp_extract("record", r"^\s*<([A-Za-z_][A-Za-z0-9_.-]*)", 1)
     found = records.select(F.explode(F.array_distinct(names)).alias("name"), row_tag.alias("tag")).filter("name <> tag")
     return sorted(r["name"] for r in found.select("name").distinct().collect())
@@ -168,15 +172,18 @@ def record_columns(records: DataFrame) -> list[str]:
 def parse_records(
     records: DataFrame, columns: Sequence[str] | None = None, seen: Observation | None = None, keys: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows, quarantine). A text XML forbids is blanked; a record that is still broken goes to the
-    quarantine whole, and so does one without a value in any of its key columns `keys`, each with
-    the reason. `seen` counts them while the rows are used, so a clean load needs no second pass."""
+    """(rows, quarantine). A text XML forbids is blanked, as is, in a record that does not parse, a
+    text with a stray `<`; a record that is still broken goes to the quarantine whole, and so does
+    one without a value in any of its key columns `keys`, each with the reason. `seen` counts them while the rows are used, so a clean load needs no second pass."""
     columns = list(columns or record_columns(records))
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "_corrupt"]])
     repaired = F.regexp_replace("record", BAD_TEXT, "")
-    parsed = F.from_xml(repaired, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    rows = records.withColumn("_parsed", parsed)
-    broken = F.col("_parsed").isNull() | F.col("_parsed._corrupt").isNotNull()
+    parsed = lambda text: F.from_xml(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    fails = lambda c: F.col(c).isNull() | F.col(f"{c}._corrupt").isNotNull()
+    rows = records.withColumn("_first", parsed(repaired))
+    again = parsed(F.regexp_replace(repaired, STRAY_TEXT, "<$1></$1>"))
+    rows = rows.withColumn("_parsed", F.when(fails("_first"), again).otherwise(F.col("_first"))).drop("_first")
+    broken = fails("_parsed")
     value = lambda c: F.nullif(F.col(f"_parsed.`{c}`"), F.lit(""))
     known = [value(c) for c in keys if c in columns]
     keyless = F.coalesce(*known).isNull() if known else F.lit(bool(keys))
