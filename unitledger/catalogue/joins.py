@@ -120,12 +120,13 @@ def semi_existing_keys(t: Tables):
 
 
 @query(
-    """SELECT e.event_id, e.user_id FROM events e WHERE e.event_type = 'click' AND EXISTS
-         (SELECT 1 FROM events s WHERE s.event_type = 'view' AND s.user_id = e.user_id AND s.ts < e.ts)"""
+    """SELECT e.event_id, e.user_id FROM events e WHERE e.event_id % 2 = 0 AND EXISTS
+         (SELECT 1 FROM events s WHERE s.event_id % 2 = 1 AND s.user_id = e.user_id AND s.ts < e.ts)"""
 )
 def exists_older_version(t: Tables):
-    clicks, views = t.events.filter("event_type = 'click'"), t.events.filter("event_type = 'view'")
-    return rel.has_older_version(clicks, views, "user_id", "ts").select("event_id", "user_id")
+    """Every other event is in the batch, all the rest are stored."""
+    batch, stored = t.events.filter("event_id % 2 = 0"), t.events.filter("event_id % 2 = 1")
+    return rel.has_older_version(batch, stored, "user_id", "ts").select("event_id", "user_id")
 
 
 @query(
@@ -404,12 +405,10 @@ def random_pick(t: Tables):
     return worklist.pick_random(units, 10, seed=42, key="event_id").select("event_id", "user_id", "value")
 
 
-@query(
-    """SELECT r.region_key, r.region_name, n.n_name AS nation_name FROM (SELECT r_regionkey AS region_key, r_name AS region_name FROM region) r
-       JOIN nation n ON n.n_regionkey = r.region_key"""
-)
+@query("SELECT c.c_custkey AS customer_key, c.c_name AS customer_name, o.o_totalprice AS order_price, o.o_orderstatus FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey")
 def translate_columns(t: Tables):
-    names = {"r_regionkey": "region_key", "r_name": "region_name", "n_name": "nation_name", "n_regionkey": "region_key", "n_nationkey": "region_name"}
-    region = snap.translate_columns(t.region, names)
-    joined = region.join(t.nation.withColumnRenamed("n_regionkey", "region_key"), "region_key")
-    return snap.translate_columns(joined, names).select("region_key", "region_name", "nation_name")
+    """Names that would clash (two columns called `customer_key`, or `customer_name`) stay as they are."""
+    names = {"c_custkey": "customer_key", "c_name": "customer_name", "o_totalprice": "order_price", "o_custkey": "customer_key", "o_orderstatus": "customer_name"}
+    customer = snap.translate_columns(t.customer, names)
+    joined = customer.join(t.orders.withColumnRenamed("o_custkey", "customer_key"), "customer_key")
+    return snap.translate_columns(joined, names).select("customer_key", "customer_name", "order_price", "o_orderstatus")

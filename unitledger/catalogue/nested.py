@@ -125,13 +125,14 @@ def iso_date_nested(t: Tables):
 
 
 @query(
-    """SELECT n_regionkey, max(n_name) FILTER (n_nationkey // 5 = 0) AS slot0, max(n_name) FILTER (n_nationkey // 5 = 1) AS slot1,
-              max(n_name) FILTER (n_nationkey // 5 = 2) AS slot2, max(n_name) FILTER (n_nationkey // 5 = 3) AS slot3,
-              max(n_name) FILTER (n_nationkey // 5 = 4) AS slot4 FROM nation GROUP BY n_regionkey"""
+    "SELECT l_orderkey, "
+    + ", ".join(f"round(sum(l_extendedprice) FILTER (l_linenumber = {i}), 2) AS slot{i}" for i in range(1, 8))
+    + " FROM lineitem GROUP BY l_orderkey"
 )
 def transpose_key_values(t: Tables):
-    pairs = t.nation.select("n_regionkey", F.concat(F.lit("slot"), F.floor(F.col("n_nationkey") / 5)).alias("key"), F.col("n_name").alias("value"))
-    return pairs.groupBy("n_regionkey").pivot("key", [f"slot{i}" for i in range(5)]).agg(F.first("value"))
+    """Key and value rows of an order as one row with a column per key."""
+    pairs = t.lineitem.select("l_orderkey", F.concat(F.lit("slot"), "l_linenumber").alias("key"), F.col("l_extendedprice").alias("value"))
+    return pairs.groupBy("l_orderkey").pivot("key", [f"slot{i}" for i in range(1, 8)]).agg(F.round(F.sum("value"), 2))
 
 
 @query(

@@ -162,9 +162,9 @@ def grouped_counts_multi(t: Tables):
     return snap.union_by_name([counts[2], counts[1], counts[0]])
 
 
-@query("SELECT 'ALL' AS p_type, count(*) AS n FROM part WHERE p_size > 10 UNION ALL SELECT p_type, count(*) FROM part WHERE p_size > 10 GROUP BY p_type")
+@query("SELECT 'ALL' AS p_type, count(*) AS n FROM part UNION ALL SELECT p_type, count(*) FROM part GROUP BY p_type")
 def total_plus_groups(t: Tables):
-    return profile.total_and_groups(t.part.filter("p_size > 10"), "p_type")
+    return profile.total_and_groups(t.part, "p_type")
 
 
 @query(f"SELECT count(*) AS n_rows, count(lang) AS n_lang, count(quality) AS n_quality, count(toxic) AS n_toxic FROM {LABELLED_SQL}")

@@ -60,12 +60,12 @@ def decode_large_catalog(t: Tables):
 
 
 @query(
-    """SELECT n_name, CASE n_regionkey WHEN 1 THEN 'Stromerzeugungslokation' WHEN 2 THEN 'Stromverbrauchslokation'
-              WHEN 3 THEN 'Gaserzeugungslokation' WHEN 4 THEN 'Gasverbrauchslokation' ELSE CAST(n_regionkey AS VARCHAR) END AS kind
-       FROM nation"""
+    """SELECT s_name, CASE s_nationkey % 6 WHEN 1 THEN 'Stromerzeugungslokation' WHEN 2 THEN 'Stromverbrauchslokation'
+              WHEN 3 THEN 'Gaserzeugungslokation' WHEN 4 THEN 'Gasverbrauchslokation' ELSE CAST(s_nationkey % 6 AS VARCHAR) END AS kind
+       FROM supplier"""
 )
 def decode_keep_unmapped(t: Tables):
-    return t.nation.select("n_name", text.code_to_text(F.col("n_regionkey"), text.LOCATION_TYPES).alias("kind"))
+    return t.supplier.select("s_name", text.code_to_text(F.col("s_nationkey") % 6, text.LOCATION_TYPES).alias("kind"))
 
 
 @query(
@@ -209,10 +209,10 @@ def audit_comment_histogram(t: Tables):
 
 
 @query(
-    """SELECT n_nationkey, replace(n_name || chr(13) || ' office', chr(13), '') AS "Behoerde", CAST(NULL AS VARCHAR) AS "Aktenzeichen" FROM nation"""
+    """SELECT c_custkey, replace(c_name || chr(13) || ' office', chr(13), '') AS "Behoerde", CAST(NULL AS VARCHAR) AS "Aktenzeichen" FROM customer"""
 )
 def carriage_returns_stripped(t: Tables):
-    raw = t.nation.select(
-        "n_nationkey", F.concat("n_name", F.lit("\r office")).alias("Behoerde"), F.lit(None).cast("string").alias("Aktenzeichen")
+    raw = t.customer.select(
+        "c_custkey", F.concat("c_name", F.lit("\r office")).alias("Behoerde"), F.lit(None).cast("string").alias("Aktenzeichen")
     )
     return text.strip_carriage_returns(raw)

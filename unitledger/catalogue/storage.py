@@ -27,16 +27,16 @@ def typed_csv_scan(t: Tables):
     return tables.read_csv(t.spark, path, kinds, sep=";")
 
 
-@query("SELECT n_nationkey, 'Größe ' || n_name AS label, n_regionkey * 1.5e0 AS value FROM nation UNION ALL SELECT n_nationkey + 100, 'Größe ' || n_name, n_regionkey * 1.5e0 FROM nation")
+@query("SELECT c_custkey, 'Größe ' || c_name AS label, c_nationkey * 1.5e0 AS value FROM customer UNION ALL SELECT -c_custkey, 'Größe ' || c_name, c_nationkey * 1.5e0 FROM customer")
 def legacy_csv_appended(t: Tables):
     """ISO-8859-1 text and decimal commas, written in two appends."""
     path = scratch(t, "legacy")
-    rows = t.nation.select(
-        "n_nationkey", F.concat(F.lit("Größe "), "n_name").alias("label"), F.replace((F.col("n_regionkey") * 1.5).cast("string"), F.lit("."), F.lit(",")).alias("value")
+    rows = t.customer.select(
+        "c_custkey", F.concat(F.lit("Größe "), "c_name").alias("label"), F.replace((F.col("c_nationkey") * 1.5).cast("string"), F.lit("."), F.lit(",")).alias("value")
     )
-    for part in (rows, rows.withColumn("n_nationkey", F.col("n_nationkey") + 100)):
+    for part in (rows, rows.withColumn("c_custkey", -F.col("c_custkey"))):
         part.write.mode("append").options(header=True, sep=";", encoding="ISO-8859-1").csv(path)
-    return tables.read_csv(t.spark, path, {"n_nationkey": "int", "label": "string", "value": "double"}, sep=";", encoding="windows-1252", decimal_comma=True)
+    return tables.read_csv(t.spark, path, {"c_custkey": "bigint", "label": "string", "value": "double"}, sep=";", encoding="windows-1252", decimal_comma=True)
 
 
 @query('SELECT c_custkey, c_name AS "Behoerde", c_acctbal, n_name FROM customer JOIN nation ON n_nationkey = c_nationkey')
@@ -130,13 +130,13 @@ def reduced_copy(t: Tables):
 
 
 @query(
-    """SELECT 'N' || n_nationkey AS region_id, 5 AS n_corners, (n_nationkey % 5) * 2e1 AS first_x FROM nation"""
+    """SELECT 'N' || c_custkey AS region_id, 5 AS n_corners, (c_custkey % 50) * 2e1 AS first_x FROM customer"""
 )
 def boundary_json_scan(t: Tables):
     """A boundary layer written as GeoJSON lines and read back as rings."""
     path = scratch(t, "rings")
-    k = F.col("n_nationkey")
-    x, y = (k % 5) * 20.0, F.floor(k / 5) * 20.0
+    k = F.col("c_custkey")
+    x, y = (k % 50) * 20.0, F.floor(k / 50) * 20.0
 
     def at(dx, dy):
         return F.array(x + dx, y + dy)
@@ -146,7 +146,7 @@ def boundary_json_scan(t: Tables):
         F.struct(F.concat(F.lit("N"), k).alias("AGS")).alias("properties"),
         F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"),
     )
-    t.nation.select(F.to_json(feature).alias("value")).write.text(path)
+    t.customer.select(F.to_json(feature).alias("value")).write.text(path)
     rings = tables.read_geojson(t.spark, path, "AGS")
     return rings.select("region_id", F.size("ring").alias("n_corners"), F.element_at("ring", 1)["x"].alias("first_x"))
 

@@ -115,10 +115,6 @@ def tag_is_true(tags: Column, name: str) -> Column:
     return F.coalesce(tag(tags, name).try_cast("boolean"), F.lit(False))
 
 
-def tag_is_false(tags: Column, name: str) -> Column:
-    return F.coalesce(~tag(tags, name).try_cast("boolean"), F.lit(False))
-
-
 def tags_text(tags: Column) -> Column:
     """One text per distinct document: entries in key order."""
     entries = F.array_sort(F.map_entries(tags))

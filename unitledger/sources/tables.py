@@ -49,11 +49,6 @@ def read_csv(
     return raw.withColumns(columns)
 
 
-def read_rings(spark: SparkSession, path: str, region: str = "region_id") -> DataFrame:
-    """Boundary layer as JSON lines `{region_id, ring: [{x, y}, ...]}`, one row per ring."""
-    return spark.read.schema(f"{region} string, ring array<struct<x:double,y:double>>").json(path)
-
-
 def read_geojson(spark: SparkSession, path: str, name: str, region: str = "region_id") -> DataFrame:
     """Rings of GeoJSON features, one feature per line (polygons and multipolygons)."""
     schema = (

@@ -339,14 +339,6 @@ ADDITIONAL_TABLES = sorted(
     if s.table and s.table != "kwk" and (s.table == "storage_units" or s.table.rsplit("_", 1)[0] not in TECHNOLOGY_ROLES)
 )
 
-# Location kinds of the incremental service.
-LOCATION_KINDS = [
-    "location_elec_generation",
-    "location_elec_consumption",
-    "location_gas_generation",
-    "location_gas_consumption",
-]
-
 
 def check_datasets(data: list[str] | str | None) -> list[str]:
     """The requested dataset names, all of them by default; unknown names are an error."""
