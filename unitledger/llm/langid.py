@@ -5,9 +5,10 @@ of its slots, which names all languages that hold it at once. A text's hits are
 language, corrected for the false positives that the filter's fill of that language's bit
 predicts, and the language with the most corrected hits is the answer.
 
-The filter is learnt from all training texts: n-grams are counted per language in Spark, and a
-language holds those that make up a minimum share of its n-grams, so that there are at most
-1 / share of them per length, whatever the size of the corpus.
+The filter is learnt from all training texts: n-grams are counted per language in Spark. A
+language holds all that occur a number of times that grows slower than its corpus, so that rarer
+ones come in as the corpus grows; every language that holds an n-gram has its bit. There are at
+most MOST of them per length and language, which bounds the filter.
 """
 
 from __future__ import annotations
@@ -18,20 +19,19 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from unitledger.llm.common import batch_of, in_batches, prepare, signed, text_values, written
 from unitledger.llm.words import mix
 
-LENGTHS = (3, 4)
-#: Least share of a language's n-grams (of one length) an n-gram has to be its own.
-SHARE = 2e-5
-#: ... and the part of its largest share in any language.
-RELATIVE = 0.1
+LENGTHS = (1, 2, 3, 4)
+#: Of n n-grams of a language and length those count that make up one in KEPT * n ** (1/3) at least,
+#: and one in MOST, which comes to bear beyond two billion.
+KEPT, MOST = 200, 1 << 18
 HASHES = 3
-#: Code points worked on at once; a longer text is cut there (n-grams across a cut are not seen).
+#: Code points worked on at once; a longer text is worked off in parts of this size.
 GROUP = 1 << 18
 #: Counts a task holds before it hands them on.
 HELD = 1_000_000
@@ -44,43 +44,70 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000)
 
 
-def _groups(texts: Sequence[str]) -> Iterator[tuple[list[int], list[str]]]:
-    places, parts, held = [], [], 0
+def _codes(text: str) -> np.ndarray:
+    """Code points, all but letters as blanks."""
+    data = np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)
+    return np.where(_letters()[data], data, np.uint32(32)).astype(np.uint64)
+
+
+def _squeezed(code: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Which code points stay when blanks in a row of one text are one."""
+    return np.append(True, (code[1:] != 32) | (code[:-1] != 32) | (of[1:] != of[:-1]))
+
+
+def _runs(texts: Sequence[str]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(place of the text, code point, number of first ones seen before), short texts together and
+    long ones in parts that begin with the last code points of the part before."""
+    places: list[int] = []
+    parts: list[str] = []
+    held = 0
+
+    def together() -> tuple[np.ndarray, np.ndarray, int]:
+        of = np.repeat(np.array(places, dtype=np.int32), [len(p) + 2 for p in parts])
+        code = _codes(" " + "  ".join(parts) + " ")
+        keep = _squeezed(code, of)
+        return of[keep], code[keep], 0
+
     for k, text in enumerate(texts):
-        for at in range(0, len(text), GROUP):
-            part = text[at : at + GROUP].lower()
-            places.append(k)
-            parts.append(part)
-            held += len(part)
-            if held >= GROUP:
-                yield places, parts
-                places, parts, held = [], [], 0
+        text = text.lower()
+        if len(text) > GROUP:
+            seen = np.zeros(0, dtype=np.uint64)
+            for at in range(0, len(text), GROUP):
+                part = _codes(" " * (at == 0) + text[at : at + GROUP] + " " * (at + GROUP >= len(text)))
+                code = np.concatenate([seen, part])
+                code = code[_squeezed(code, np.zeros(len(code)))]
+                yield np.full(len(code), k, dtype=np.int32), code, len(seen)
+                seen = code[-(max(LENGTHS) - 1) :] if max(LENGTHS) > 1 else seen
+            continue
+        places.append(k)
+        parts.append(text)
+        held += len(text)
+        if held >= GROUP:
+            yield together()
+            places, parts, held = [], [], 0
     if parts:
-        yield places, parts
+        yield together()
 
 
 def grams(texts: Sequence[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(length, place of the text, hash) of all n-grams, group by group.
 
     Letters are lower case, all else is a blank; blanks in a row are one, and texts begin and end
-    with one.
+    with one. A blank alone is no n-gram.
     """
-    for places, parts in _groups(texts):
-        data = np.frombuffer((" " + "  ".join(parts) + " ").encode("utf-32-le", "replace"), dtype=np.uint32)
-        of = np.repeat(np.array(places, dtype=np.int32), [len(p) + 2 for p in parts])
-        code = np.where(_letters()[data], data, np.uint32(32))
-        keep = np.append(True, (code[1:] != 32) | (code[:-1] != 32) | (of[1:] != of[:-1]))
-        code, of = code[keep].astype(np.uint64), of[keep]
+    for of, code, seen in _runs(texts):
         for n in LENGTHS:
+            begin = max(0, seen - n + 1)  # those before end in the part before
             count = len(code) - n + 1
-            if count <= 0:
+            if count <= begin:
                 continue
             h = np.full(count, n, dtype=np.uint64)
             for j in range(n):
                 h += code[j : j + count] * _PLACES[j]
             inside = of[:count] == of[n - 1 :]
-            if n > 2:  # two blanks side by side only stand where two parts of a text meet
-                inside &= ~((code[:count] == 32) & (code[1 : count + 1] == 32))
+            inside[:begin] = False
+            if n == 1:
+                inside &= code != 32
             yield n, of[:count][inside], mix(h[inside])
 
 
@@ -161,14 +188,8 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Fi
     )
     counts = written(counts)
     totals = counts.groupBy("lang", "n").agg(F.sum("seen").alias("all"))
-    shares = counts.join(totals, ["lang", "n"]).withColumn("share", F.col("seen") / F.col("all"))
-    own = (
-        shares.filter(F.col("share") >= SHARE)
-        .withColumn("top", F.max("share").over(Window.partitionBy("n", "gram")))
-        .filter(F.col("share") >= RELATIVE * F.col("top"))
-        .select("lang", "gram")
-        .toArrow()
-    )
+    least = F.greatest(F.col("all") / MOST, F.pow(F.col("all").cast("double"), F.lit(2 / 3)) / KEPT)
+    own = counts.join(totals, ["lang", "n"]).filter(F.col("seen") >= least).select("lang", "gram").toArrow()
     languages = [r.lang for r in totals.groupBy("lang").agg(F.sum("all").alias("all")).orderBy(F.desc("all"), "lang").collect()]
     if not languages:
         return None
