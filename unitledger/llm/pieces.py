@@ -29,10 +29,10 @@ from unitledger.llm.common import batch_of, bounded_batches, in_batches, text_va
 MARK = "▁"
 #: Bytes each memory of words (and of token pairs) may take, about, before it starts anew, and the
 #: longest word that is remembered.
-REMEMBERED_BYTES = 32 << 20
+REMEMBERED_BYTES = 48 << 20
 REMEMBERED_CHARS = 64
 #: What an entry takes besides its characters and ids.
-_ENTRY = 200
+_ENTRY = 150
 #: Code points encoded at a time; a longer text is worked off in parts.
 PART = 1 << 20
 _NEVER = float("inf")
@@ -83,7 +83,7 @@ class _Memory(dict):
 
 def _word_size(word: str, ids: tuple[int, ...]) -> int:
     """Bytes a word takes in memory, 0 for one that is too long to be kept."""
-    return _ENTRY + 4 * len(word) + 40 * len(ids) if len(word) <= REMEMBERED_CHARS else 0
+    return _ENTRY + 2 * len(word) + 8 * len(ids) if len(word) <= REMEMBERED_CHARS else 0
 
 
 class Pieces:
