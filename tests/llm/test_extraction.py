@@ -1,5 +1,7 @@
 """Main text of pages: markup rules, marked boilerplate, and templates learnt from a host's pages."""
 
+import random
+
 import pytest
 
 from unitledger.llm.dom import Shapes, parse
@@ -130,6 +132,72 @@ def test_each_layout_of_a_host_has_a_template(spark):
     assert [got[i] for i in range(21)] == [f"Story {i}" for i in range(8)] + [f"Thread {i}" for i in range(12)] + ["Broken"]
 
 
+def test_template_inside_articles(spark):
+    page = "<body><nav>n</nav><article><h1>Title {0}</h1><p>Tell your friends</p>" + "<p>Story {0} goes on and on, word by word.</p>" * 4 + "</article></body>"
+    got = _texts(spark, [page.format(i) for i in range(9)])
+    assert {"Tell your friends" in t for t in got.values()} == {False}
+    assert got[3].split("\n") == ["Title 3"] + ["Story 3 goes on and on, word by word."] * 4
+
+
+def test_captures_that_differ_inside_the_article_stay_whole(spark):
+    page = "<article><p>Seen {0} times</p><p>Same body, of some length.</p><p>More of it, and more.</p></article>"
+    got = _texts(spark, [page.format(i) for i in range(20)])
+    assert [got[i] for i in range(20)] == [f"Seen {i} times\nSame body, of some length.\nMore of it, and more." for i in range(20)]
+
+
+def test_slots_with_most_of_the_main_text_stay_whatever_their_names(spark):
+    page = "<article><h1>T{0}</h1><div class='widget-review'><p>The review {0} of all this.</p></div><div class=ad>Buy {0}</div><div class=comments>" + "<p>reply {0}</p>" * 9 + "</div></article>"
+    got = _texts(spark, [page.format(i) for i in range(7)])
+    assert [got[i] for i in range(7)] == [f"T{i}\nThe review {i} of all this." for i in range(7)]
+
+
+def test_every_host_with_enough_pages_is_aligned(spark, monkeypatch):
+    """The given pages all have articles; no text of theirs repeats, so class words change nothing."""
+    import unitledger.llm.extraction as E
+
+    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    want = {r.page_id: r.text for r in main_texts(df).collect()}
+    rows = [(r.page_id, r.html) for r in df.collect()]
+    monkeypatch.setattr(E, "WORDS", set())
+    assert {i: Page(html).text(set()) for i, html in rows} == want
+
+
+def _most_pairs(a, b):
+    """Most nodes of a top-down mapping that keeps the order of children, by trying all of them."""
+    if a.label != b.label:
+        return 0
+
+    def best(left, right):
+        if not left or not right:
+            return 0
+        return max(best(left[1:], right), best(left, right[1:]), _most_pairs(left[0], right[0]) + best(left[1:], right[1:]))
+
+    return 1 + best(a.elements(), b.elements())
+
+
+def test_matching_equals_brute_force_on_random_trees():
+    rng = random.Random(5)
+
+    def grow(depth):
+        tag = rng.choice("abc")
+        children, last = [], None
+        for _ in range(rng.randint(0, 4) if depth else 0):
+            child = grow(depth - 1)
+            if child != last:  # neighbours of one shape count as one
+                children.append(child)
+            last = child
+        return f"<x{tag}>{''.join(children)}</x{tag}>"
+
+    for _ in range(300):
+        shapes = Shapes()
+        a, b = parse(f"<r>{grow(3)}</r>"), parse(f"<r>{grow(3)}</r>")
+        shapes.sign(a)
+        shapes.sign(b)
+        want = _most_pairs(a, b)
+        assert shapes.match(a.sign, b.sign) == want
+        assert len(list(shapes.align(a, b))) == want
+
+
 def test_joined_references_and_copies_count_the_same(spark, monkeypatch):
     import unitledger.llm.extraction as E
 

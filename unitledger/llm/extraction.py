@@ -4,7 +4,9 @@ Each layout of a host has a reference page. Simple tree matching aligns every pa
 with it; the nodes of the reference whose text is the same on nearly all pages are the template, and
 varying slots are content. Layouts of too few pages are taken together, or use the template of the
 host's most frequent layout. Element names, roles and class names that mark menus, notices, adverts
-and the like settle what varies from page to page and still is no content.
+and the like settle what varies from page to page and still is no content. Inside articles the
+template is small or absent (else the pages are captures of one article), and a class name does not
+remove a slot that holds most of the layout's main text.
 
 Only counts per layout and node leave the tasks that align, so a host with a third of all pages
 needs no task of its own. References are broadcast up to a checked size; beyond it they are
@@ -29,6 +31,11 @@ from unitledger.operators.skew import keyed_join
 
 #: Pages a host needs before it has a template, and the share of pages that must agree in a node.
 LEAST_PAGES, CONSTANT = 5, 0.9
+#: Template text below an article or main element is at most this share of its text; where more
+#: agrees, the pages are captures of one text.
+MAIN_CONSTANT = 0.2
+#: A slot below such an element that holds more than this share of its text stays whatever its name.
+NAMED_SHARE = 0.5
 #: A page longer than this is a host's reference only if all its pages are.
 REFERENCE_CHARS = 1 << 16
 #: References of all hosts are broadcast up to so many characters.
@@ -38,6 +45,9 @@ LAYOUT_DEPTH = 4
 #: Counts of copies are broadcast up to so many repeated pages.
 BROADCAST_COPIES = 1 << 18
 
+#: Places of the reference's template nodes, and of nodes that stay whatever their names.
+DECIDED = ["_template", "_stay"]
+
 # Elements, roles and words in class names or ids that mark what is no main text.
 DROPPED = set(
     "head script style noscript template nav footer aside form iframe svg button select input textarea menu dialog "
@@ -64,6 +74,14 @@ def _words(node: Node) -> set[str]:
     return set(_PART.split(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", names).lower())) if names.strip() else set()
 
 
+def _others(node: Node) -> bool:
+    """Whether an element is named after replies or teasers."""
+    if not node.attrs or node.tag in ("#root", "html", "body", "main"):
+        return False
+    names = f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}".lower().split()
+    return any(_PART.split(n)[0] in OTHERS for n in names)
+
+
 def _marked(node: Node) -> bool:
     """Whether an element's names or role say that it is no main text.
 
@@ -72,8 +90,7 @@ def _marked(node: Node) -> bool:
     """
     if not node.attrs or node.tag in ("#root", "html", "body", "main"):
         return False
-    names = f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}".lower().split()
-    if any(_PART.split(n)[0] in OTHERS for n in names):
+    if _others(node):
         return True
     if node.tag == "article":
         return False
@@ -91,7 +108,7 @@ def _hidden(node: Node) -> bool:
 
 
 def _encloses_main(root: Node) -> bool:
-    """Whether a root is main text by its markup; then pages that agree are copies, not a template."""
+    """Whether a root is main text by its markup."""
     return root.tag in ("article", "main") or root.attrs.get("role") == "main"
 
 
@@ -150,14 +167,38 @@ class Page:
         digest = hashlib.blake2b("\n".join(sorted(paths)).encode("utf-8", "surrogatepass"), digest_size=8).digest()
         return int.from_bytes(digest, "little", signed=True) or 1
 
-    def needs_template(self) -> bool:
-        return bool(self.root.children) and not all(map(_encloses_main, self.roots()))
-
-    def text(self, template: set[int]) -> str:
-        """Blocks of the main text; `template` holds the places (in page order) of template nodes.
-
-        Text below an article or main element stays even if it is the same on all pages.
-        """
+    def main_nodes(self) -> Iterator[tuple[Node, bool]]:
+        """Nodes below article and main elements, and whether their class names or role would
+        remove them; what lies below a node that goes is left out."""
+        for top in filter(_encloses_main, self.roots()):
+            stack = [top]
+            while stack:
+                node = stack.pop()
+                if node is not top:
+                    if node.tag in DROPPED or _hidden(node) or _others(node):
+                        continue
+                    if _marked(node):
+                        yield node, True
+                        continue
+                yield node, False
+                stack += reversed(node.elements())
+
+    def named_slots(self) -> list[tuple[int, int, int]]:
+        """(node, its characters, characters of all main text) of nodes there that go by their names."""
+        if not any(named for _, named in self.main_nodes()):
+            return []
+        parts, rest = [], 0
+        for node, named in self.main_nodes():
+            if named:
+                parts.append((node.order, sum(len(n.own_text()) for n in node.walk())))
+            else:
+                rest += len(node.own_text())
+        whole = rest + sum(n for _, n in parts)
+        return [(order, n, whole) for order, n in parts]
+
+    def text(self, template: set[int], stay: set[int] = frozenset()) -> str:
+        """Blocks of the main text. `template` holds the places (in page order) of template nodes,
+        `stay` those of nodes that stay though their names mark them."""
         blocks: list[str] = []
         inline: list[str] = []
 
@@ -168,7 +209,6 @@ class Page:
             inline.clear()
 
         for top in self.roots():
-            template_counts = not _encloses_main(top)
             # Entries: a node to enter, a text, or None at the end of a block; and whether only
             # headings count, as in the header of an article.
             stack: list[tuple[Node | str | None, bool]] = [(top, False)]
@@ -186,7 +226,7 @@ class Page:
                     inline.append(" ")
                     continue
                 if node is not top:
-                    if node.tag in DROPPED or _hidden(node) or _marked(node):
+                    if node.tag in DROPPED or _hidden(node) or _marked(node) and node.order not in stay:
                         continue
                     if node.tag == "header" or node.attrs and _words(node) & HEADER_WORDS and node.tag != "body":
                         if top.tag != "article":
@@ -198,7 +238,7 @@ class Page:
                 if block:
                     flush()
                     stack.append((None, False))
-                bare = template_counts and node.order in template
+                bare = node.order in template
                 for child in reversed(node.children):
                     if not (bare and child.__class__ is str):
                         stack.append((child, headings))
@@ -209,25 +249,33 @@ class Page:
 class Wrapper:
     """A host's reference page, and alignment of other pages with it."""
 
-    def __init__(self, shapes: Shapes, html: str, template: list[int] | None = None):
+    def __init__(self, shapes: Shapes, html: str, template: list[int] | None = None, stay: list[int] | None = None):
         self.shapes = shapes
-        self.root = parse(html)
-        self.template = set(template or ())
-
-    def slots(self, page: Page) -> Iterator[tuple[int, int, bool]]:
-        """(node of the page, node of the reference, whether their texts are equal) for aligned nodes with text."""
+        page = Page(html)
+        self.root = page.root
+        self.template, self.stay = set(template or ()), set(stay or ())
+        shapes.sign(self.root)
+        #: Characters of the reference's slots below article and main elements.
+        self.main = {node.order: len(node.own_text()) for node, named in page.main_nodes() if not named}
+
+    def pairs(self, page: Page) -> Iterator[tuple[Node, Node]]:
+        """Aligned nodes of a page and the reference."""
         self.shapes.sign(self.root)
         self.shapes.sign(page.root)
-        for a, b in self.shapes.align(page.root, self.root):
-            text = b.own_text()
-            if text:
-                yield a.order, b.order, a.own_text() == text
-
-    def constant(self, page: Page) -> set[int]:
-        """Nodes of a page that lie on template nodes and have their text."""
-        if not self.template:
-            return set()
-        return {a for a, b, same in self.slots(page) if same and b in self.template}
+        return self.shapes.align(page.root, self.root)
+
+    def decided(self, page: Page) -> tuple[set[int], set[int]]:
+        """Nodes of a page that lie on template nodes and have their text, and those that stay
+        whatever their names."""
+        template: set[int] = set()
+        stay: set[int] = set()
+        if self.template or self.stay:
+            for a, b in self.pairs(page):
+                if b.order in self.stay:
+                    stay.add(a.order)
+                if b.order in self.template and a.own_text() == b.own_text():
+                    template.add(a.order)
+        return template, stay
 
 
 def host_of(url: Column) -> Column:
@@ -236,15 +284,14 @@ def host_of(url: Column) -> Column:
 
 
 def _described(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """(host, content, layout, whether a template matters, whether it fits as a reference) of each page."""
+    """(host, content, layout, whether it fits as a reference) of each page."""
     pages = [Page(html) for html in text_values(batch.column("_html"))]
     return batch_of(
-        ["_host", "_content", "_layout", "needs", "fits"],
+        ["_host", "_content", "_layout", "fits"],
         [
             batch.column("_host"),
             batch.column("_content"),
             pa.array([p.layout() for p in pages], pa.int64()),
-            pa.array([p.needs_template() for p in pages], pa.bool_()),
             batch.column("fits"),
         ],
     )
@@ -271,41 +318,49 @@ class Wrappers:
             yield key, page, wrapper
 
 
+SUPPORT = "_host string, _layout long, slot int, inside int, n double, same double, named double, whole double"
+
+
 def _support(lookup, copies):
-    """(host, layout, node of its reference, pages aligned there, pages with its text), summed up by task.
+    """What the pages of a task say of each slot, a node of their layout's reference: its characters
+    of main text, pages aligned there, pages with its text, characters that names would remove
+    there, and characters of the main text around these.
 
     Pages with equal content count as one: each of n copies adds 1 / n.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wrappers = Wrappers(lookup)
-        seen: Counter[tuple[str, int, int]] = Counter()
-        equal: Counter[tuple[str, int, int]] = Counter()
+        sums: dict[tuple[str, int, int, int], list[float]] = {}
         for batch in batches:
             for (key, page, wrapper), n in zip(wrappers.pages(batch), copies(batch)):
-                if wrapper is not None:
-                    for _, slot, same in wrapper.slots(page):
-                        seen[*key, slot] += 1 / n
-                        equal[*key, slot] += same / n
-            if len(seen) > 200_000:
-                yield rows(seen, equal)
-                seen.clear()
-                equal.clear()
-        if seen:
-            yield rows(seen, equal)
-
-    def rows(seen, equal) -> pa.RecordBatch:
-        hosts, layouts, slots = zip(*seen)
-        return batch_of(
-            ["_host", "_layout", "slot", "n", "same"],
-            [
-                pa.array(hosts, pa.string()),
-                pa.array(layouts, pa.int64()),
-                pa.array(slots, pa.int32()),
-                pa.array(seen.values(), pa.float64()),
-                pa.array([equal[k] for k in seen], pa.float64()),
-            ],
-        )
+                if wrapper is None:
+                    continue
+                slots = {}
+                for a, b in wrapper.pairs(page):
+                    slots[a.order] = b.order
+                    text = b.own_text()
+                    if text:
+                        of_slot = sums.setdefault((*key, b.order, wrapper.main.get(b.order, 0)), [0.0] * 4)
+                        of_slot[0] += 1 / n
+                        of_slot[1] += (a.own_text() == text) / n
+                for order, chars, whole in page.named_slots():
+                    if order in slots:
+                        slot = slots[order]
+                        of_slot = sums.setdefault((*key, slot, wrapper.main.get(slot, 0)), [0.0] * 4)
+                        of_slot[2] += chars / n
+                        of_slot[3] += whole / n
+            if len(sums) > 200_000:
+                yield rows(sums)
+                sums.clear()
+        if sums:
+            yield rows(sums)
+
+    def rows(sums) -> pa.RecordBatch:
+        types = [pa.string(), pa.int64(), pa.int32(), pa.int32()] + [pa.float64()] * 4
+        names = ["_host", "_layout", "slot", "inside", "n", "same", "named", "whole"]
+        columns = [*zip(*sums), *zip(*sums.values())]
+        return batch_of(names, [pa.array(c, t) for c, t in zip(columns, types)])
 
     return run
 
@@ -315,7 +370,7 @@ def _extract(lookup, kept: int):
         wrappers = Wrappers(lookup)
         for batch in batches:
             texts = [
-                page.text(wrapper.constant(page) if wrapper is not None and page.needs_template() else set())
+                page.text(*wrapper.decided(page)) if wrapper is not None else page.text(set())
                 for _, page, wrapper in wrappers.pages(batch)
             ]
             yield batch_of(
@@ -334,8 +389,10 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     Pages of a host with equal html count as one. A layout with `LEAST_PAGES` different pages has a
     template: the nodes whose text is the same on `CONSTANT` of them, if they differ elsewhere.
     Pages of rarer layouts share a layout, or take the template of the host's most frequent one.
-    Text below an article or main element is never template. Repeated rows are kept; other columns
-    are not looked at.
+    Where more than `MAIN_CONSTANT` of the text below an article or main element is the same, the
+    pages are captures of one text and nothing of it is template. A slot there that class names
+    mark stays if it holds more than `NAMED_SHARE` of the text. Repeated rows are kept; other
+    columns are not looked at.
     """
     spark = prepare(pages.sparkSession)
     html = F.coalesce(F.col(html_col), F.lit(""))
@@ -343,19 +400,17 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     source = source.withColumn("_content", F.xxhash64("_host", "_html"))
     described = source.select("_host", "_content", "_html", (F.length("_html") <= REFERENCE_CHARS).alias("fits"))
     contents = written(
-        described.mapInArrow(in_batches(_described), "_host string, _content long, _layout long, needs boolean, fits boolean")
+        described.mapInArrow(in_batches(_described), "_host string, _content long, _layout long, fits boolean")
         .groupBy("_host", "_content", "_layout")
-        .agg(F.count("*").alias("copies"), F.max("needs").alias("needs"), F.max("fits").alias("fits"))
+        .agg(F.count("*").alias("copies"), F.max("fits").alias("fits"))
     )
-    # Layouts with enough different pages; layout 0 has the other pages of a host. Hosts where no
-    # page can use a template have none.
+    # Layouts with enough different pages; layout 0 has the other pages of a host.
     first = F.min_by("_content", F.struct(~F.col("fits"), "_content")).alias("_content")
     sizes = written(
-        contents.groupBy("_host", "_layout").agg(F.count("*").alias("pages"), F.max("needs").alias("needs"), first)
+        contents.groupBy("_host", "_layout").agg(F.count("*").alias("pages"), first)
     )
-    needed = sizes.groupBy("_host").agg(F.max("needs").alias("needs")).filter("needs").select("_host")
-    frequent = sizes.filter(F.col("pages") >= LEAST_PAGES).join(needed, "_host", "left_semi")
-    rest = contents.join(frequent.select("_host", "_layout"), ["_host", "_layout"], "left_anti").join(needed, "_host", "left_semi")
+    frequent = sizes.filter(F.col("pages") >= LEAST_PAGES)
+    rest = contents.join(frequent.select("_host", "_layout"), ["_host", "_layout"], "left_anti")
     rest = (
         rest.groupBy("_host")
         .agg(F.count("*").alias("pages"), first)
@@ -371,15 +426,16 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         .groupBy("_content")
         .agg(F.first("_html").alias("_reference"))
         .join(layouts, "_content")
-        .select("_host", "_layout", "pages", "_reference", F.array().cast("array<int>").alias("_template"))
+        .select("_host", "_layout", "pages", "_reference", *[F.array().cast("array<int>").alias(c) for c in DECIDED])
     )
 
     def with_wrappers(rows: DataFrame, wrappers: DataFrame):
-        """Pages with what their lookup needs, and the lookup: (page, host and layout, reference and template) of a batch's rows."""
-        wrappers = wrappers.select("_host", "_layout", "_reference", "_template")
+        """Pages with what their lookup needs, and the lookup: (page, host and layout, reference with
+        template and slots that stay) of a batch's rows."""
+        wrappers = wrappers.select("_host", "_layout", "_reference", *DECIDED)
         chars = wrappers.agg(F.sum(F.length("_reference") + 100)).first()[0] or 0
         if chars <= BROADCAST_CHARS:
-            shared = spark.sparkContext.broadcast({(r[0], r[1]): (r[2], r[3]) for r in wrappers.collect()})
+            shared = spark.sparkContext.broadcast({(r[0], r[1]): tuple(r[2:]) for r in wrappers.collect()})
 
             def lookup(batch: pa.RecordBatch):
                 known = shared.value
@@ -393,9 +449,9 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             return rows, lookup
 
         def lookup(batch: pa.RecordBatch):
-            columns = (batch.column(c).to_pylist() for c in ("_host", "_layout", "_html", "_reference", "_template"))
-            for host, layout, html, reference, template in zip(*columns):
-                yield Page(html), (host, layout), None if reference is None else (reference, template)
+            columns = (batch.column(c).to_pylist() for c in ("_host", "_layout", "_html", "_reference", *DECIDED))
+            for host, layout, html, reference, *decided in zip(*columns):
+                yield Page(html), (host, layout), None if reference is None else (reference, *decided)
 
         def placed(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = [Page(html).layout() for html in text_values(batch.column("_html"))]
@@ -424,26 +480,35 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     rows, lookup = with_wrappers(counted, references)
     # Sums of 1 / n are whole numbers but for rounding.
     support = (
-        rows.mapInArrow(_support(lookup, copies), "_host string, _layout long, slot int, n double, same double")
-        .groupBy("_host", "_layout", "slot")
-        .agg(F.round(F.sum("n"), 3).alias("n"), F.round(F.sum("same"), 3).alias("same"))
+        rows.mapInArrow(_support(lookup, copies), SUPPORT)
+        .groupBy("_host", "_layout", "slot", "inside")
+        .agg(*[F.round(F.sum(c), 3).alias(c) for c in ("n", "same", "named", "whole")])
         .join(layouts.select("_host", "_layout", "pages"), ["_host", "_layout"])
     )
     often = F.col("same") >= CONSTANT * F.col("pages")
     differs = F.max((F.col("n") >= LEAST_PAGES) & (F.col("same") < 0.5 * F.col("n")))
-    templates = (
+    learnt = (
         support.groupBy("_host", "_layout")
-        .agg(differs.alias("differs"), F.collect_list(F.when(often, F.col("slot"))).alias("_template"))
-        .filter("differs")
-        .drop("differs")
+        .agg(
+            differs.alias("differs"),
+            F.sum(F.when(often, F.col("inside")).otherwise(0)).alias("constant"),
+            F.sum("inside").alias("inside"),
+            F.collect_list(F.when(often & (F.col("inside") == 0), F.col("slot"))).alias("outer"),
+            F.collect_list(F.when(often & (F.col("inside") > 0), F.col("slot"))).alias("inner"),
+            F.collect_list(F.when(F.col("named") > NAMED_SHARE * F.col("whole"), F.col("slot"))).alias("_stay"),
+        )
+        .withColumn("inner", F.when(F.col("constant") <= MAIN_CONSTANT * F.col("inside"), F.col("inner")).otherwise(F.array()))
+        .withColumn("_template", F.when(F.col("differs"), F.concat("outer", "inner")).otherwise(F.array()))
+        .filter("size(_template) + size(_stay) > 0")
+        .select("_host", "_layout", *DECIDED)
     )
-    learnt = references.drop("_template").join(templates, ["_host", "_layout"])
+    learnt = references.drop(*DECIDED).join(learnt, ["_host", "_layout"])
     # The template of a host's most frequent layout also serves its rare ones.
     common = F.struct("pages", "_layout")
     served = learnt.filter("_layout <> 0").groupBy("_host").agg(
         F.lit(0).cast("long").alias("_layout"),
         F.max_by("_reference", common).alias("_reference"),
-        F.max_by("_template", common).alias("_template"),
+        *[F.max_by(c, common).alias(c) for c in DECIDED],
     )
     wrappers = written(learnt.drop("pages").unionByName(served))
     rows, lookup = with_wrappers(source, wrappers)
