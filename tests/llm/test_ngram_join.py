@@ -63,6 +63,42 @@ def test_components_equal_all_pairs(spark, monkeypatch, seed):
     assert got == brute(rows)
 
 
+def test_pairs_of_near_copies_are_not_compared(spark, monkeypatch):
+    """Near copies of one text meet its leader alone; one that links with another member only is found."""
+    monkeypatch.setattr(J, "BLOCK_SETS", 50)
+    compared = spark.sparkContext.accumulator(0)
+    inner = J._cell_links
+
+    def counting(percent):
+        run = inner(percent)
+
+        def counted(batches):
+            def each():
+                for batch in batches:
+                    compared.add(batch.num_rows)
+                    yield batch
+
+            yield from run(each())
+
+        return counted
+
+    monkeypatch.setattr(J, "_cell_links", counting)
+    r = random.Random(3)
+    hot = [f"h{i}" for i in range(200)]
+    rows = []
+    for i in range(2000):
+        own = list(hot)
+        own[r.randrange(200)] = f"x{i}"
+        rows.append((i, " ".join(own)))
+    chain = list(hot)
+    for step, at in enumerate((10, 30, 50, 70, 90, 110, 130, 150, 170)):
+        chain[at] = f"c{step}"
+        rows.append((2000 + step, " ".join(chain)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r.component_id for r in J.ngram_components(df).collect()} == {0}
+    assert 0 < compared.value < 2 * len(rows)  # cells of all pairs of blocks would read some 40 times the rows
+
+
 def test_one_per_component_keeps_columns_and_unlinked_rows(spark):
     text = " ".join(f"t{i}" for i in range(30))
     df = spark.createDataFrame([(5, text, 1), (3, text + " z", 2), (9, None, 3), (10, None, 4), (None, text, 5)], "doc_id long, text string, _gone int")

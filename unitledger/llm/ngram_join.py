@@ -14,9 +14,13 @@ are verified on whole sets.
 * Prefixes travel packed as arrays, in buckets of shingles. A frequent shingle is spread over
   buckets by group, so none holds more than its share.
 * Pairs of short lists are counted over their lists first: too few common prefix shingles leave
-  no room for a link. Long lists of copies overlap much. Those whose leader (the member in most lists) is the same are
-  compared as one, in cells of two blocks of members each, and a cell reports no pairs but at
-  most one link per member that joins it to its component. No link between components is lost.
+  no room for a link. Long lists of copies overlap much. Those whose leader (the member in most
+  lists) is the same are compared as one group.
+* Members of a group of several blocks are first compared with the leader alone. Pairs of members
+  that link with it add nothing to the components, so only the others are compared with all, in
+  cells of two blocks of members each; near copies of one text cost linear time. A cell reports no
+  pairs but at most one link per member that joins it to its component. No link between components
+  is lost.
 """
 
 from __future__ import annotations
@@ -44,6 +48,7 @@ from unitledger.llm.common import (
     written,
 )
 from unitledger.llm.words import SPACES, mix, shingle_sets
+from unitledger.operators.skew import keyed_join
 from unitledger.operators.spatial import connected_components
 
 #: A shingle is called frequent where at least so many sets of a block, and this share, hold it.
@@ -345,6 +350,29 @@ def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return [(i, int(label[i])) for i in np.flatnonzero(label != np.arange(len(sets))).tolist()]
 
 
+def _leader_links(percent: int):
+    """Members of each part of a group that link with its leader; a part's rows follow each other,
+    the leader's first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leader, own = None, np.zeros(0, dtype=np.uint64)
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            columns = (batch.column(c).to_pylist() for c in ("leader", "set", "shingles"))
+            for led, name, shingles in zip(*columns):
+                shingles = np.frombuffer(shingles, dtype=np.uint64)
+                if name == led:
+                    leader, own = led, np.sort(shingles)
+                    continue
+                both = int(in_sorted(own, shingles)[1].sum()) if leader == led else 0
+                if 100 * both >= percent * (len(own) + len(shingles) - both):
+                    out.append((led, name))
+            if out:
+                yield batch_of(["leader", "set"], [pa.array(c, pa.int64()) for c in zip(*out)])
+
+    return run
+
+
 def _cell_links(percent: int):
     """Links of each cell; the rows of a cell follow each other."""
 
@@ -487,30 +515,74 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
     )
     of_lists = long.join(leaders, "list").select("leader", "set", "size")
     groups = written(of_lists.unionByName(of_pairs).distinct())
-    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_SETS, F.col("all") / BLOCK_TOTAL)).cast("int")
-    own, other = F.expr("cast(pmod(xxhash64(set), blocks) as int)"), F.col("other")
-    cells = written(
-        groups.join(bounded(groups, "leader").select("leader", blocks.alias("blocks")), "leader")
-        .select("leader", "set", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-        .select("leader", "set", F.least("own", other).alias("i"), F.greatest("own", other).alias("j"))
-    )
-    named = cells.select("set").distinct()
-    wanted = written(named.join(sets, "set").select(F.xxhash64("least").alias("h")))
-    bits = context.broadcast(bloom_bits(wanted, F.col("h"), bloom_slots(wanted.count())))
-    whole = (
-        source.select(F.xxhash64("id").alias("h"), "text")
-        .mapInArrow(_whole_sets(k, bits), "set long, shingles binary")
-        .join(named, "set", "left_semi")
-        .dropDuplicates(["set"])
-    )
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = written(
-        cells.join(whole, "set")
+
+    def blocks(n: Column, shingles: Column) -> Column:
+        return F.ceil(F.greatest(n / BLOCK_SETS, shingles / BLOCK_TOTAL)).cast("int")
+
+    def block_of(count: str) -> Column:
+        return F.expr(f"cast(pmod(xxhash64(set), {count}) as int)")
+
+    def with_shingles(rows: DataFrame) -> DataFrame:
+        """Rows that name a set, with its shingles taken from one of its texts."""
+        named = rows.select("set").distinct()
+        wanted = written(named.join(sets, "set").select(F.xxhash64("least").alias("h")))
+        bits = context.broadcast(bloom_bits(wanted, F.col("h"), bloom_slots(wanted.count())))
+        whole = (
+            source.select(F.xxhash64("id").alias("h"), "text")
+            .mapInArrow(_whole_sets(k, bits), "set long, shingles binary")
+            .join(named, "set", "left_semi")
+            .dropDuplicates(["set"])
+        )
+        return keyed_join(rows, whole, ["set"], "inner")
+
+    sized = bounded(groups, "leader").select("leader", blocks(F.col("n"), F.col("all")).alias("blocks"))
+    placed = written(groups.join(sized, "leader"))
+    one_cell = placed.filter("blocks = 1").select("leader", "set", F.lit(0).alias("i"), F.lit(0).alias("j"))
+    large = placed.filter("blocks > 1")
+    cells, links = one_cell, None
+    if not large.isEmpty():
+        parts = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part")
+        rows = (
+            large.filter("set <> leader").select("leader", "set", block_of("blocks").alias("part"))
+            .unionByName(large.filter("set = leader").select("leader", "set", parts))
+        )
+        links = written(
+            with_shingles(written(rows))
+            .repartition(partitions, "leader", "part")
+            .sortWithinPartitions("leader", "part", F.col("set") != F.col("leader"))
+            .mapInArrow(_leader_links(percent), "leader long, set long")
+        )
+        near = F.col("near") | (F.col("set") == F.col("leader"))
+        judged = large.join(links.withColumn("near", F.lit(True)), ["leader", "set"], "left")
+        judged = judged.select("leader", "set", "size", F.coalesce(near, F.lit(False)).alias("near"))
+        # Blocks of the members that are not near come first; only they meet all blocks.
+        shares = judged.groupBy("leader").agg(
+            *[
+                blocks(F.count(F.when(side, 1)), F.coalesce(F.sum(F.when(side, F.col("size"))), F.lit(0))).alias(name)
+                for name, side in (("near_blocks", F.col("near")), ("far_blocks", ~F.col("near")))
+            ]
+        )
+        dealt = judged.join(shares.filter("far_blocks > 0"), "leader").select(
+            "leader",
+            "set",
+            F.when(F.col("near"), F.col("far_blocks") + block_of("near_blocks")).otherwise(block_of("far_blocks")).alias("own"),
+            F.explode(
+                F.sequence(F.lit(0), F.col("far_blocks") - 1 + F.when(F.col("near"), 0).otherwise(F.col("near_blocks")))
+            ).alias("other"),
+        )
+        cells = one_cell.unionByName(
+            dealt.select("leader", "set", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        )
+    compared = (
+        with_shingles(written(cells))
         .repartition(partitions, "leader", "i", "j")
         .sortWithinPartitions("leader", "i", "j", "set")
         .mapInArrow(_cell_links(percent), "a long, b long")
-        .distinct()
     )
+    if links is not None:
+        compared = compared.unionByName(links.select(F.col("leader").alias("a"), F.col("set").alias("b")))
+    links = written(compared.distinct())
     placed = connected_components(links, "a", "b")
     of_component = (
         sets.join(placed.withColumnRenamed("node", "set"), "set", "left")
@@ -518,7 +590,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
     )
     lowest = of_component.groupBy("component").agg(F.min("least").alias("component_id"))
     of_set = of_component.join(lowest, "component").select("set", "component", "component_id")
-    joined = documents.join(of_set, "set", "left")
+    joined = keyed_join(documents, of_set, ["set"], "left")
     return joined.select(
         "id", "n", "set", "component", F.when(F.col("set").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")
     )
