@@ -58,6 +58,34 @@ def test_containment_equals_brute_force_for_any_cell_size(spark, cell):
     assert {(r["id"], r["region_id"]) for r in near} == want
 
 
+@pytest.mark.parametrize("cell", [1.0, 2.5])
+@pytest.mark.parametrize("buffer", [None, 0.5])
+def test_corners_and_edges_on_cell_borders(spark, cell, buffer):
+    """Rings with whole corners, level edges, repeated corners and crossings, left of and below zero too."""
+    rng = random.Random(11)
+    rings = [(f"r{k}", [(rng.randint(-6, 6), rng.randint(-6, 6)) for _ in range(rng.randint(3, 9))]) for k in range(12)]
+    rings.append(("level", [(-5, -5), (0, -5), (0, -5), (5, -5), (5, 0), (5, 5), (0, 5), (-5, 5), (-5, 0)]))
+    pts = [(a / 2, b / 2) for a in range(-14, 15) for b in range(-14, 15)] + [(rng.uniform(-7, 7), rng.uniform(-7, 7)) for _ in range(200)]
+    edges = spatial.ring_edges(rings_df(spark, rings))
+    got = {(r["id"], r["region_id"]) for r in spatial.join_regions(points_df(spark, pts), edges, "x", "y", cell, buffer=buffer).collect()}
+    near = lambda x, y, ring: buffer is not None and gap(x, y, ring) <= buffer
+    assert got == {(i, n) for i, (x, y) in enumerate(pts) for n, ring in rings if inside(x, y, ring) or near(x, y, ring)}
+
+
+def test_a_ring_of_many_corners_is_cut_to_cells(spark):
+    """No cell carries more than the edges near it, whatever the ring has in its row."""
+    n = 60_000
+    radius = lambda k: 10 + 2 * math.sin(40 * math.pi * k / n) + 0.01 * (k % 2)
+    ring = [(radius(k) * math.cos(2 * math.pi * k / n), radius(k) * math.sin(2 * math.pi * k / n)) for k in range(n)]
+    edges = spatial.written(spatial.ring_edges(rings_df(spark, [("star", ring)])).repartition(8))
+    largest = spatial.region_cells(edges, 0.25).agg(F.max(F.size("border_edges"))).first()[0]
+    assert largest < n / 50
+    rng = random.Random(12)
+    pts = [(rng.uniform(-13, 13), rng.uniform(-13, 13)) for _ in range(60)]
+    got = {r["id"] for r in spatial.join_regions(points_df(spark, pts), edges, "x", "y", 0.25).collect()}
+    assert got == {i for i, (x, y) in enumerate(pts) if inside(x, y, ring)}
+
+
 def test_holes_boundaries_and_missing_positions(spark):
     edges = spatial.ring_edges(rings_df(spark, HOLE))
     pts = spark.createDataFrame(

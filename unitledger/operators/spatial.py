@@ -12,7 +12,7 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from unitledger.functions.geo import squared_distance
@@ -57,11 +57,6 @@ def crosses(x: Column, y: Column, e: Column) -> Column:
     return straddles & F.coalesce(x < at, F.lit(False))
 
 
-def inside(x: Column, y: Column, edges: Column) -> Column:
-    count = F.aggregate(edges, F.lit(0), lambda n, e: n + F.when(crosses(x, y, e), 1).otherwise(0))
-    return count % 2 == 1
-
-
 def squared_edge_distance(x: Column, y: Column, e: Column) -> Column:
     dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
     along = ((x - e["x1"]) * dx + (y - e["y1"]) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
@@ -74,43 +69,74 @@ def near_edge(x: Column, y: Column, edges: Column, distance: float) -> Column:
 
 
 def region_cells(edges: DataFrame, cell: float, buffer: float = 0.0, region: str = "region_id") -> DataFrame:
-    """Grid cells a region covers. A cell no edge comes near is wholly inside and carries no
-    edges; a border cell carries only the edges of its row that lie at or right of it."""
+    """Grid cells a region covers. A cell no edge comes near is wholly inside and carries no edges;
+    a border cell carries the edges that come near it, and `flipped`, the parity along its row.
+
+    Each edge goes to the cells it crosses, row by row. Edges that lie right of a cell are only
+    counted: those that come up through the bottom of the row by a running sum over the border
+    cells of the row, and those that start within the row where an edge of the cell ends, because
+    every corner of closed rings has an even number of edges. Such ends are kept with the cell's
+    edges (`s1`, `s2`: the height of an end in the row and right of the cell). So the largest
+    group holds the edges of one cell, and the largest window the border cells of one row.
+    """
 
-    def row(c: Column) -> Column:
+    def place(c: Column) -> Column:
         return F.floor(c / cell).cast("bigint")
 
-    struct = F.struct("x1", "y1", "x2", "y2")
-    rows = edges.select(
-        region,
-        struct.alias("e"),
-        F.explode(
-            F.sequence(row(F.least("y1", "y2") - buffer), row(F.greatest("y1", "y2") + buffer))
-        ).alias("cy"),
+    x1, y1, x2, y2, cx, cy = (F.col(c) for c in ("x1", "y1", "x2", "y2", "cx", "cy"))
+    slack = cell * 1e-9  # more cells than needed carry an edge, never fewer
+    low, high = cy * cell - buffer - slack, (cy + 1) * cell + buffer + slack
+
+    def within_row(x: Column, y: Column) -> Column:
+        """Where the edge from this end comes into the row."""
+        bound = F.greatest(low, F.least(high, y))
+        moved = F.when(bound == y, x).otherwise(x + (bound - y) * (x2 - x1) / F.nullif(y2 - y1, F.lit(0.0)))
+        return F.greatest(F.least(x1, x2), F.least(F.greatest(x1, x2), F.coalesce(moved, x)))
+
+    from_row, to_row = place(F.least(y1, y2) - buffer), place(F.greatest(y1, y2) + buffer)
+    rows = edges.select(region, "x1", "y1", "x2", "y2", F.explode(F.sequence(from_row, to_row)).alias("cy"))
+    ends = within_row(x1, y1), within_row(x2, y2)
+    spans = rows.select(
+        "*",
+        place(F.least(*ends) - buffer - slack).alias("_first"),
+        place(F.greatest(*ends) + buffer + slack).alias("_last"),
+        ((place(y1) >= cy) != (place(y2) >= cy)).alias("_rises"),
     )
-    bands = rows.groupBy(region, "cy").agg(
-        F.collect_list("e").alias("band"),
-        F.min(F.least("e.x1", "e.x2")).alias("_left"),
-        F.max(F.greatest("e.x1", "e.x2")).alias("_right"),
+    listed = spans.withColumn("cx", F.explode(F.sequence("_first", "_last")))
+
+    def end_beyond(x: Column, y: Column) -> Column:
+        return F.when((place(y) == cy) & (place(x) > cx), y)
+
+    edge = F.struct("x1", "y1", "x2", "y2", end_beyond(x1, y1).alias("s1"), end_beyond(x2, y2).alias("s2"))
+    starts = F.sum((F.col("_rises") & (F.col("_first") == cx)).cast("int"))
+    border = listed.groupBy(region, "cx", "cy").agg(F.collect_list(edge).alias("border_edges"), starts.alias("_starts"))
+    leftwards = Window.partitionBy(region, "cy").orderBy(F.desc("cx"))
+    beyond = F.sum("_starts").over(leftwards.rowsBetween(Window.unboundedPreceding, -1))
+    border = border.select(
+        region, "cx", "cy", "border_edges",
+        (F.coalesce(beyond, F.lit(0)) % 2 == 1).alias("flipped"),
+        F.lag("cx").over(leftwards).alias("_next"),
     )
-    left, right = F.col("cx") * cell, (F.col("cx") + 1) * cell
-    low, high = F.col("cy") * cell, (F.col("cy") + 1) * cell
-
-    def touches(e: Column) -> Column:
-        return (
-            (F.least(e["x1"], e["x2"]) <= right + buffer)
-            & (F.greatest(e["x1"], e["x2"]) >= left - buffer)
-            & (F.least(e["y1"], e["y2"]) <= high + buffer)
-            & (F.greatest(e["y1"], e["y2"]) >= low - buffer)
-        )
+    # Between two border cells of a row the parity does not change.
+    inner = border.filter("flipped and _next > cx + 1").select(
+        region,
+        F.explode(F.sequence(cx + 1, F.col("_next") - 1)).alias("cx"),
+        "cy",
+        F.lit(None).cast(border.schema["border_edges"].dataType).alias("border_edges"),
+        "flipped",
+    )
+    return border.drop("_next").unionByName(inner)
+
 
-    cells = bands.withColumn(
-        "cx", F.explode(F.sequence(row(F.col("_left") - buffer), row(F.col("_right") + buffer)))
-    ).withColumn("border", F.exists("band", touches))
-    centre_inside = inside((left + right) / 2, (low + high) / 2, F.col("band"))
-    kept = cells.filter(F.col("border") | centre_inside)
-    needed = F.filter("band", lambda e: F.greatest(e["x1"], e["x2"]) >= left - buffer)
-    return kept.select(region, "cx", "cy", F.when(F.col("border"), needed).alias("border_edges"))
+def inside_cell(x: Column, y: Column, entry: Column) -> Column:
+    """Whether a point of a border cell lies in the region of an entry of the index."""
+
+    def flips(e: Column) -> Column:
+        beyond = [F.when(e[s] <= y, 1).otherwise(0) for s in ("s1", "s2")]
+        return F.when(crosses(x, y, e), 1).otherwise(0) + beyond[0] + beyond[1]
+
+    count = F.aggregate(entry["border_edges"], entry["flipped"].cast("int"), lambda n, e: n + flips(e))
+    return count % 2 == 1
 
 
 def region_index(edges: DataFrame, cell: float, buffer: float = 0.0, region: str = "region_id") -> DataFrame:
@@ -118,7 +144,7 @@ def region_index(edges: DataFrame, cell: float, buffer: float = 0.0, region: str
     containment question. Its size depends on the layer only, never on the points; it is
     written once, so the planner broadcasts it only when its true size allows."""
     cells = region_cells(edges, cell, buffer, region)
-    entry = F.struct(F.col(region).alias("region"), F.col("border_edges"))
+    entry = F.struct(F.col(region).alias("region"), "border_edges", "flipped")
     return written(cells.groupBy("cx", "cy").agg(F.collect_list(entry).alias("_regions")))
 
 
@@ -139,7 +165,7 @@ def located(
     joined = keyed_join(placed, index, ["cx", "cy"], "left")
 
     def holds(r: Column) -> Column:
-        hit = r["border_edges"].isNull() | inside(F.col(x), F.col(y), r["border_edges"])
+        hit = r["border_edges"].isNull() | inside_cell(F.col(x), F.col(y), r)
         return hit if buffer is None else hit | near_edge(F.col(x), F.col(y), r["border_edges"], buffer)
 
     found = F.transform(F.filter("_regions", holds), lambda r: r["region"])
