@@ -233,3 +233,60 @@ def test_a_failed_load_leaves_the_old_table(spark, tmp_path):
     registry.replace("t", rows(5))
     assert {r.v for r in registry.table("t").collect()} == {5}
     assert sum(p.name.startswith("v") for p in (tmp_path / "t").iterdir()) == 2
+
+
+def test_one_file_is_read_in_ranges(spark, tmp_path):
+    from unitledger.sources import xml
+
+    rng = random.Random(5)
+    units = [unit(i, extra=f"<NameWindpark>{'Größe ' * rng.randrange(40)}&amp;</NameWindpark><EinheitWindTyp>{i}</EinheitWindTyp>") for i in range(900)]
+    units[100] = "<EinheitWind><EinheitMastrNummer>SEE100</EinheitMastrNummer><Weic>" + "y" * 90_000 + "</Weic></EinheitWind>"  # over several ranges
+    units[200:203] = ["<EinheitWind/>", "<EinheitWind a='1'><EinheitMastrNummer>SEE201</EinheitMastrNummer></EinheitWind>", "<EinheitWind>\n</EinheitWind >"]
+    body = document(*units).replace(' encoding="UTF-16"', "")
+    for encoding, given, data in (
+        ("utf-16-le", "utf-16", b"\xff\xfe" + body.encode("utf-16-le")),
+        ("utf-16-be", "utf-16", b"\xfe\xff" + body.encode("utf-16-be")),
+        ("utf-8", "utf-8", body.encode()),
+        ("utf-8", "utf-8", b"\xef\xbb\xbf" + body.encode()),
+    ):
+        file = tmp_path / f"{encoding}{len(data)}" / "EinheitenWind_12.xml"
+        file.parent.mkdir()
+        file.write_bytes(data)
+        assert xml.record_start(spark, [str(file)], given) == ("<EinheitWind>", encoding)
+        for size in (1_001, 20_000, 10_000_000):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", 1)
+            try:
+                records = xml.split_records_of(spark, "einheitenwind", [str(file)], "<EinheitWind>", encoding)
+                rows = sorted(records.collect(), key=lambda r: r.row_no)
+                # The session packs ranges into tasks; at 1001 bytes each task has about that much.
+                assert records.rdd.getNumPartitions() > 5 if size < 100_000 else len(rows) == 900
+            finally:
+                spark.conf.unset("spark.sql.files.maxPartitionBytes")
+                spark.conf.unset("spark.sql.files.openCostInBytes")
+            assert [r.record for r in rows] == units
+            assert {(r.stem, r.file_no) for r in rows} == {("einheitenwind", 12)}
+        got = archive_records(spark, f"file:{file.parent}", ["einheitenwind"], given)
+        assert sorted(r.record for r in got.collect()) == sorted(units)
+
+
+def test_odd_files_lose_nothing(spark, tmp_path):
+    good = "<U><A>1</A></U>"
+    cases = {
+        "EinheitenWind_1": ("<R>" + good * 3 + "</R>", [good] * 3),
+        "EinheitenWind_2": ("<R/>", []),
+        "EinheitenWind_3": ("", []),
+        "EinheitenWind_4": ("<R></R>", []),
+        "EinheitenWind_5": ("no xml at all", ["no xml at all"]),
+        "EinheitenWind_6": ("<R><U>cut o<U><A>2</A></U>tail" + good + "<U><A>3", ["<U>cut o", "<U><A>2</A></U>", "tail", good, "<U><A>3"]),
+        "EinheitenWind_7": ("<?xml version='1.0'?>\n<!-- c -->\n<R k='v'>\n<U/>\n" + good + "\n</R >\n", ["<U/>", good]),
+        "EinheitenSolar_1": ("<R><S a='1'><A>1</A></S><S><A>2</A></S></R>", ["<S a='1'><A>1</A></S>", "<S><A>2</A></S>"]),
+        "Netze": ("<R/>", []),
+    }
+    for name, (content, _) in cases.items():
+        (tmp_path / f"{name}.xml").write_text(content, encoding="utf-8")
+    rows = archive_records(spark, str(tmp_path), encoding="utf-8").orderBy("stem", "file_no", "row_no").collect()
+    for name, (_, want) in cases.items():
+        stem, number = specs.stem_of_file(name)
+        assert [r.record for r in rows if (r.stem, r.file_no) == (stem, number)] == want, name
+    assert len(rows) == sum(len(want) for _, want in cases.values())

@@ -1,7 +1,8 @@
 """XML exports: numbered files per table, loose or inside one zip archive.
 
 Both ways give records as `(stem, file_no, row_no, record)`, which `parse_records` turns into
-text columns. Nothing is inferred: digits with leading zeros stay text.
+text columns. Nothing is inferred: digits with leading zeros stay text. A loose file is cut into
+byte ranges by Spark's text source, on any file system; a file inside a zip is one task.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import re
 import uuid
 import zipfile
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +40,8 @@ BAD_TEXT = (
 STRAY_TEXT = r"<([A-Za-z_][\w.-]*)(?:\s[^<>]*+)?>[^<]*+(?:<(?!/)[^<]*+)++</\1\s*>"
 _EMPTY_FILE = re.compile(r"(?:<\?[^>]*>\s*)?(?:<([\w.:-]+)[^<>]*/>|<([\w.:-]+)[^<>]*>\s*</\2\s*>)?", re.S)
 _ROOT_END = re.compile(r"</[\w.:-]+\s*>")
+_HEAD = re.compile(r"\ufeff?\s*(?:<\?[^>]*>\s*|<!--.*?-->\s*)*<[A-Za-z_][^<>]*(?<!/)>", re.S)
+_MARKS = {"utf-16-le": b"\xff\xfe", "utf-16-be": b"\xfe\xff", "utf-8": b"\xef\xbb\xbf"}
 
 
 def split_records(chunks: Iterator[str]) -> Iterator[str]:
@@ -82,8 +86,8 @@ class FilesOfArchive(DataSource):
     def name(cls) -> str:
         return "registry_xml"
 
-    def schema(self) -> str:
-        return "stem string, file_no int, row_no bigint, record string"
+    def schema(self) -> T.StructType:
+        return RECORDS
 
     def reader(self, schema: T.StructType) -> "FilesOfArchiveReader":
         return FilesOfArchiveReader(dict(self.options))
@@ -134,15 +138,122 @@ class FilesOfArchiveReader(DataSourceReader):
                 yield from rows(handle)
 
 
+RECORDS = T.StructType(
+    [
+        T.StructField("stem", T.StringType()),
+        T.StructField("file_no", T.IntegerType()),
+        T.StructField("row_no", T.LongType()),
+        T.StructField("record", T.StringType()),
+    ]
+)
+
+
+def _files_by_stem(spark: SparkSession, path: str, stems: Sequence[str]) -> dict[str, list[str]]:
+    """The XML files of a folder on any file system, by table stem."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files: dict[str, list[str]] = {}
+    for status in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder):
+        stem, _ = stem_of_file(status.getPath().getName())
+        if status.isFile() and status.getPath().getName().lower().endswith(".xml") and (not stems or stem in stems):
+            files.setdefault(stem, []).append(status.getPath().toString())
+    return files
+
+
+def record_start(spark: SparkSession, files: Sequence[str], encoding: str = "utf-16") -> tuple[str | None, str]:
+    """(start tag of the records, encoding with its byte order), from the head of the largest file.
+
+    The tag is None where the first record's start tag has attributes or there is no record.
+    """
+    pieces = [bytes(r[0]) for r in spark.read.text(list(files), lineSep="<").select(F.col("value").cast("binary")).take(64)]
+    if encoding.lower().replace("_", "-") in ("utf-16", "utf16"):
+        encoding = "utf-16-be" if pieces and pieces[0].startswith(_MARKS["utf-16-be"]) else "utf-16-le"
+    # Markup is ASCII, so a piece without zero bytes reads the same in any of the encodings.
+    plain = [p.replace(b"\0", b"").decode("latin-1") for p in pieces]
+    tags = [p for p in plain if re.match("[A-Za-z_]", p)]
+    found = re.match(r"([A-Za-z_][\w.-]*)\s*/?>", tags[1]) if len(tags) > 1 else None
+    return (f"<{found.group(1)}>" if found else None), encoding
+
+
+def _pieces(text: str, start: str, first: bool) -> Iterator[str]:
+    """Records of what stands between two start tags, and what is left over if it is no end of the root."""
+    if first:
+        head = _HEAD.match(text)
+        if not head:
+            if not _EMPTY_FILE.fullmatch(text.strip("\ufeff \t\r\n")):
+                yield text.strip()
+            return
+        text = text[head.end() :]
+    else:
+        text = start + text
+    tag, at = re.escape(start[1:-1]), 0
+    for end in re.finditer(rf"<{tag}(?:\s[^<>]*)?/>|</{tag}\s*>", text):
+        yield text[at : end.end()].strip()
+        at = end.end()
+    rest = text[at:].strip()
+    if rest and not _ROOT_END.fullmatch(rest):
+        yield rest
+
+
+def _records_of_ranges(stem: str, start: str, encoding: str):
+    def run(batches):
+        import pyarrow as pa
+
+        block, index = None, 0
+        for batch in batches:
+            rows = []
+            for path, begin, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                first = (path, begin) != block and begin == 0
+                if (path, begin) != block:
+                    block, index = (path, begin), 0
+                if first and any(raw.startswith(m) for e, m in _MARKS.items() if e != encoding):
+                    raise ValueError(f"{path} has another encoding than {encoding}")
+                for record in _pieces(raw.decode(encoding), start, first):
+                    rows.append((stem, stem_of_file(path)[1], begin + index, record))
+                    index += 1
+            kinds = (pa.string(), pa.int32(), pa.int64(), pa.string())
+            columns = zip(*rows) if rows else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=RECORDS.names)
+
+    return run
+
+
+def split_records_of(spark: SparkSession, stem: str, files: Sequence[str], start: str, encoding: str) -> DataFrame:
+    """Records of loose files of one table, each file read in ranges of `spark.sql.files.maxPartitionBytes`.
+
+    The start tag of the records is the text source's line separator, in the bytes of the encoding,
+    so a range begins at the first record that starts in it and any file system will do. Only the
+    first piece of a file is its head. A record with attributes or an empty one comes with the one
+    before it and is cut off there. `row_no` is the place of the range plus a running number, which
+    keeps the order of the file. A record that is cut off is a row of its own; the next one is whole.
+    """
+    java = {"utf-16-le": "UTF-16LE", "utf-16-be": "UTF-16BE"}.get(encoding, encoding)
+    ranges = spark.read.options(lineSep=start, encoding=java).text(list(files)).select(
+        "_metadata.file_path", "_metadata.file_block_start", F.col("value").cast("binary").alias("value")
+    )
+    return ranges.mapInArrow(_records_of_ranges(stem, start, encoding), RECORDS)
+
+
 def archive_records(spark: SparkSession, path: str, stems: Sequence[str] = (), encoding: str = "utf-16") -> DataFrame:
     """Records of the chosen tables, unpacked once into the shared folder, one sub-folder per
-    table stem, so that loading a table reads that table only."""
+    table stem, so that loading a table reads that table only.
+
+    A folder may lie on any file system, and its files are read in byte ranges; only tables whose
+    records have attributes are read file by file, and so is a zip, both from a mounted path.
+    """
     spark.dataSource.register(FilesOfArchive)
-    reader = spark.read.format("registry_xml").option("path", path).option("encoding", encoding)
+    parts, whole = [], list(stems)
+    local = path.removeprefix("file://").removeprefix("file:")
+    if not zipfile.is_zipfile(local):
+        files = _files_by_stem(spark, path, stems)
+        starts = {stem: record_start(spark, names, encoding) for stem, names in files.items()}
+        parts = [split_records_of(spark, s, files[s], start, e) for s, (start, e) in starts.items() if start]
+        whole = [s for s, (start, _) in starts.items() if not start]
+    if whole or not parts:
+        reader = spark.read.format("registry_xml").option("path", local).option("encoding", encoding)
+        parts.append(reader.option("stems", ",".join(whole)).load())
     staged = f"{shared_dir(spark)}/records/{uuid.uuid4().hex}"
-    records = reader.option("stems", ",".join(stems)).load()
-    records.write.partitionBy("stem").parquet(staged)
-    return spark.read.schema(records.schema).parquet(staged)
+    reduce(DataFrame.unionByName, parts).write.partitionBy("stem").parquet(staged)
+    return spark.read.schema(RECORDS).parquet(staged)
 
 
 def folder_records(spark: SparkSession, path: str, stem: str, row_tag: str, columns: Sequence[str], encoding: str = "UTF-16") -> DataFrame:
