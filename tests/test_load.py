@@ -290,3 +290,36 @@ def test_odd_files_lose_nothing(spark, tmp_path):
         stem, number = specs.stem_of_file(name)
         assert [r.record for r in rows if (r.stem, r.file_no) == (stem, number)] == want, name
     assert len(rows) == sum(len(want) for _, want in cases.values())
+
+
+def test_a_record_is_parsed_once_and_columns_are_found_whole(spark):
+    from pyspark.sql import Observation
+
+    from unitledger.sources.xml import record_columns
+
+    records = ["<U><A>1</A><B k='v'/><C.d >x</C.d ></U>", "<U><A>2</A><E/><F_1>a < b</F_1></U>", "<U><A>3</A><G>open</U>", "<U><H>4</H></U>", None, "text"]
+    df = spark.createDataFrame([("u", 1, i, r) for i, r in enumerate(records)], "stem string, file_no int, row_no long, record string")
+    assert record_columns(df) == ["A", "B", "C.d", "E", "F_1", "H"]
+    seen = Observation()
+    good, aside = parse_records(df, seen=seen, keys=["A"])
+    assert seen.get["broken"] == 4  # counted while the parsed rows are written, before either is read
+    for part in (good, aside):
+        assert "from_xml" not in part._jdf.queryExecution().optimizedPlan().toString()
+    plan = parse_records(df, ["A", "E", "H"], keys=["A"])[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml(") + plan.count("XmlToStructsEvaluator") <= 2  # the first try and the second, not one per column
+    assert sorted(r.A for r in good.collect()) == ["1", "2"]
+    assert sorted(r.reason for r in aside.collect()) == ["broken record", "broken record", "broken record", "no key"]
+
+
+def test_numbered_files_are_written_by_a_task_each(spark, tmp_path, monkeypatch):
+    from unitledger.catalogue import Tables, storage
+
+    rows = spark.range(400).selectExpr("id as o_orderkey", "cast(id as double) as o_totalprice", "timestamp_ntz'2024-01-01' as o_orderdate")
+    rows.write.parquet(str(tmp_path / "orders.parquet"))
+    seen = []
+    monkeypatch.setattr(storage.Registry, "load", lambda self, folder, *a, **k: seen.append(folder))
+    storage._archive(Tables(spark, str(tmp_path)))
+    texts = {p.stem: p.read_text("utf-16") for p in __import__("pathlib").Path(seen[0]).iterdir()}
+    counts = {name: text.count("<EinheitWind>") for name, text in texts.items()}
+    assert counts == {"Katalogwerte": 0, **{f"EinheitenWind_{i}": 100 for i in (1, 2, 3, 4)}, "EinheitenWind_10": 80}
+    assert all(text.startswith("<Root>") and text.endswith("</Root>") for text in texts.values()) and texts["Katalogwerte"].count("<Id>") == 3

@@ -13,13 +13,13 @@ import re
 import uuid
 import zipfile
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from unitledger.operators.skew import written
 from unitledger.session import shared_dir
 from unitledger.specs import stem_of_file
 
@@ -35,6 +35,8 @@ BAD_TEXT = (
     r"(?<=>)[^<>]*(?:[\x00-\x08\x0B\x0C\x0E-\x1F]|&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)"
     r"|<(?![A-Za-z_/!?]))(?:[^<]|<(?![A-Za-z_/!?]))*+(?=</)"
 )
+# What such a text holds; a record without it needs no repair.
+BAD_CHARACTER = r"[\x00-\x08\x0B\x0C\x0E-\x1F]|&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)|<(?![A-Za-z_/!?])"
 # An element whose text holds a `<` that ends nothing, also before a letter (`a <b`), and no end tag
 # but its own. Only records that do not parse are searched for it.
 STRAY_TEXT = r"<([A-Za-z_][\w.-]*)(?:\s[^<>]*+)?>[^<]*+(?:<(?!/)[^<]*+)++</\1\s*>"
@@ -174,7 +176,7 @@ def record_start(spark: SparkSession, files: Sequence[str], encoding: str = "utf
     return (f"<{found.group(1)}>" if found else None), encoding
 
 
-def _pieces(text: str, start: str, first: bool) -> Iterator[str]:
+def _pieces(text: str, start: str, ends: re.Pattern, first: bool) -> Iterator[str]:
     """Records of what stands between two start tags, and what is left over if it is no end of the root."""
     if first:
         head = _HEAD.match(text)
@@ -185,8 +187,8 @@ def _pieces(text: str, start: str, first: bool) -> Iterator[str]:
         text = text[head.end() :]
     else:
         text = start + text
-    tag, at = re.escape(start[1:-1]), 0
-    for end in re.finditer(rf"<{tag}(?:\s[^<>]*)?/>|</{tag}\s*>", text):
+    at = 0
+    for end in ends.finditer(text):
         yield text[at : end.end()].strip()
         at = end.end()
     rest = text[at:].strip()
@@ -198,17 +200,18 @@ def _records_of_ranges(stem: str, start: str, encoding: str):
     def run(batches):
         import pyarrow as pa
 
-        block, index = None, 0
+        tag, block, index, number = re.escape(start[1:-1]), None, 0, 0
+        ends = re.compile(rf"<{tag}(?:\s[^<>]*)?/>|</{tag}\s*>")
         for batch in batches:
             rows = []
             for path, begin, raw in zip(*(c.to_pylist() for c in batch.columns)):
                 first = (path, begin) != block and begin == 0
                 if (path, begin) != block:
-                    block, index = (path, begin), 0
+                    block, index, number = (path, begin), 0, stem_of_file(path)[1]
                 if first and any(raw.startswith(m) for e, m in _MARKS.items() if e != encoding):
                     raise ValueError(f"{path} has another encoding than {encoding}")
-                for record in _pieces(raw.decode(encoding), start, first):
-                    rows.append((stem, stem_of_file(path)[1], begin + index, record))
+                for record in _pieces(raw.decode(encoding), start, ends, first):
+                    rows.append((stem, number, begin + index, record))
                     index += 1
             kinds = (pa.string(), pa.int32(), pa.int64(), pa.string())
             columns = zip(*rows) if rows else [()] * 4
@@ -241,21 +244,28 @@ def archive_records(spark: SparkSession, path: str, stems: Sequence[str] = (), e
     records have attributes are read file by file, and so is a zip, both from a mounted path.
     """
     spark.dataSource.register(FilesOfArchive)
-    parts, whole = [], list(stems)
+    parts, whole = {}, list(stems)
     local = path.removeprefix("file://").removeprefix("file:")
     if not zipfile.is_zipfile(local):
         files = _files_by_stem(spark, path, stems)
         starts = {stem: record_start(spark, names, encoding) for stem, names in files.items()}
-        parts = [split_records_of(spark, s, files[s], start, e) for s, (start, e) in starts.items() if start]
+        parts = {s: split_records_of(spark, s, files[s], start, e) for s, (start, e) in starts.items() if start}
         whole = [s for s, (start, _) in starts.items() if not start]
+    staged = f"{shared_dir(spark)}/records/{uuid.uuid4().hex}"
+    # A table known beforehand goes to its sub-folder as it comes; only several tables at once need the sort by table.
+    for stem, part in parts.items():
+        part.drop("stem").write.parquet(f"{staged}/stem={_folder_name(stem)}")
     if whole or not parts:
         reader = spark.read.format("registry_xml").option("path", local).option("encoding", encoding)
-        parts.append(reader.option("stems", ",".join(whole)).load())
-    staged = f"{shared_dir(spark)}/records/{uuid.uuid4().hex}"
-    reduce(DataFrame.unionByName, parts).write.partitionBy("stem").parquet(staged)
+        reader.option("stems", ",".join(whole)).load().write.mode("append").partitionBy("stem").parquet(staged)
     return spark.read.schema(RECORDS).parquet(staged)
 
 
+def _folder_name(stem: str) -> str:
+    """A partition value as Spark spells it in a path."""
+    return re.sub(r"""[\x00-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", stem) or "__HIVE_DEFAULT_PARTITION__"
+
+
 def folder_records(spark: SparkSession, path: str, stem: str, row_tag: str, columns: Sequence[str], encoding: str = "UTF-16") -> DataFrame:
     """Files of one table read by Spark's own XML source from any file system; parsed columns
     come with the file number and the row's place in its file for key enforcement."""
@@ -272,12 +282,15 @@ def folder_records(spark: SparkSession, path: str, stem: str, row_tag: str, colu
 
 
 def record_columns(records: DataFrame) -> list[str]:
-    """Names of elements that end inside the records; one distributed distinct over the names."""
-    closed = F.regexp_extract_all("record", F.lit(r"</([A-Za-z_][A-Za-z0-9_.-]*)\s*>"), F.lit(1))
-    names = F.concat(closed, F.regexp_extract_all("record", F.lit(r"<([A-Za-z_][A-Za-z0-9_.-]*)(?:\s[^<>]*)?/>"), F.lit(1)))
-    row_tag = F.regexp_extract("record", r"^\s*<([A-Za-z_][A-Za-z0-9_.-]*)", 1)
-    found = records.select(F.explode(F.array_distinct(names)).alias("name"), row_tag.alias("tag")).filter("name <> tag")
-    return sorted(r["name"] for r in found.select("name").distinct().collect())
+    """Names of elements that end inside the records; one distributed distinct over the lists of
+    names, which most records share, and only the distinct lists are taken apart."""
+    name = r"([A-Za-z_][A-Za-z0-9_.-]*+)"
+    closed = F.regexp_extract_all("record", F.lit(rf"</{name}\s*>"), F.lit(1))
+    empty = F.when(F.contains("record", F.lit("/>")), F.regexp_extract_all("record", F.lit(rf"<{name}(?:\s[^<>]*)?/>"), F.lit(1)))
+    row_tag = F.regexp_extract("record", rf"^\s*<{name}", 1)
+    lists = records.select(closed.alias("closed"), empty.alias("empty"), row_tag.alias("tag")).distinct()
+    names = lists.select(F.explode(F.concat("closed", F.coalesce("empty", F.array().cast("array<string>")))).alias("name"), "tag").filter("name <> tag")
+    return sorted(r["name"] for r in names.select("name").distinct().collect())
 
 
 def parse_records(
@@ -285,20 +298,26 @@ def parse_records(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, quarantine). A text XML forbids is blanked, as is, in a record that does not parse, a
     text with a stray `<`; a record that is still broken goes to the quarantine whole, and so does
-    one without a value in any of its key columns `keys`, each with the reason. `seen` counts them while the rows are used, so a clean load needs no second pass."""
+    one without a value in any of its key columns `keys`, each with the reason. With `seen` the parsed
+    rows are written once, broken ones counted on the way, and both results are read from there."""
     columns = list(columns or record_columns(records))
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "_corrupt"]])
-    repaired = F.regexp_replace("record", BAD_TEXT, "")
+    repaired = F.when(F.rlike("record", F.lit(BAD_CHARACTER)), F.regexp_replace("record", BAD_TEXT, "")).otherwise(F.col("record"))
     parsed = lambda text: F.from_xml(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     fails = lambda c: F.col(c).isNull() | F.col(f"{c}._corrupt").isNotNull()
-    rows = records.withColumn("_first", parsed(repaired))
+    # Each parse is a generator's only row: the optimizer copies no expression out of one, so a record
+    # is parsed once however many columns and filters use it.
+    once = lambda df, name, value: df.select("*", F.explode(F.array(value)).alias(name))
+    rows = once(records, "_first", parsed(repaired))
     again = parsed(F.regexp_replace(repaired, STRAY_TEXT, "<$1></$1>"))
-    rows = rows.withColumn("_parsed", F.when(fails("_first"), again).otherwise(F.col("_first"))).drop("_first")
+    rows = once(rows, "_parsed", F.when(fails("_first"), again).otherwise(F.col("_first"))).drop("_first")
     broken = fails("_parsed")
     value = lambda c: F.nullif(F.col(f"_parsed.`{c}`"), F.lit(""))
     known = [value(c) for c in keys if c in columns]
     keyless = F.coalesce(*known).isNull() if known else F.lit(bool(keys))
     rows = rows.withColumn("reason", F.when(broken, "broken record").when(keyless, "no key"))
-    counted = rows if seen is None else rows.observe(seen, F.count("reason").alias("broken"))
-    good = counted.filter("reason is null").select("stem", *ORDER, *[value(c).alias(c) for c in columns])
+    if seen is not None:
+        aside = F.when(F.col("reason").isNotNull(), F.col("record")).alias("record")
+        rows = written(rows.select("stem", *ORDER, "_parsed", aside, "reason").observe(seen, F.count("reason").alias("broken")))
+    good = rows.filter("reason is null").select("stem", *ORDER, *[value(c).alias(c) for c in columns])
     return good, rows.filter("reason is not null").select("stem", *ORDER, "record", "reason")
