@@ -242,6 +242,9 @@ def surface_points(edges: DataFrame, region: str = "region_id") -> DataFrame:
 
 FOLD = 4  # a box splits into FOLD x FOLD boxes of the next level
 LEAF = 256  # pairs of places up to which a pair of boxes is compared place by place
+PACK = 16 * LEAF  # places up to which a box is compared inside one group, see `_near_counts`
+GROUP = 1 << 16  # places such a group compares with, so that none outgrows a task
+TASK_PAIRS = 1 << 24  # candidate pairs that a task of a look-up gets; a task of numpy counts 16 times as many
 LINK_STEPS = 2  # of the component search, before pairs of cells are looked into
 DEPTH = 14  # levels at most; cell numbers and level numbers together stay within 63 bits
 
@@ -326,18 +329,19 @@ def _children(places: DataFrame, parents: DataFrame, level: int, tag: str) -> Da
 
 
 def refined(
-    a: DataFrame, b: DataFrame, pairs: DataFrame, distance: float, first_hit: bool = False
+    a: DataFrame, b: DataFrame, pairs: DataFrame, distance: float, first_hit: bool = False, pack: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Undecided cell pairs taken apart level by level, as deep as their places ask for.
 
     A pair of boxes with more than LEAF pairs of places is replaced by the pairs of its sub-boxes
     that may be near. Returns the pairs of boxes that are near as a whole and those to be compared
     place by place: level, boxes (ax, ay, bx, by at that level), `n_b`. With `first_hit` a cell
-    pair is done as soon as one pair of its boxes is near.
+    pair is done as soon as one pair of its boxes is near. With `pack` only boxes of more places
+    than that are taken apart, and the pairs left over come with their numbers of places.
     """
     columns = [F.lit(0).alias("level"), *A_CELL, *B_CELL, "n_b", "places_a", "places_b"]
     pending = pairs.filter("verdict = 'some'").select(*columns)
-    large = F.col("places_a") * F.col("places_b") > LEAF
+    large = F.greatest("places_a", "places_b") > pack if pack else F.col("places_a") * F.col("places_b") > LEAF
     sure: list[DataFrame] = []
     leaves: list[DataFrame] = []
     for level in range(1, DEPTH + 1):
@@ -362,8 +366,8 @@ def refined(
         leaves.append(pending)  # as deep as numbers reach
     none = pairs.limit(0).select(*columns)
     kept = ["level", *A_CELL, *B_CELL, "n_b"]
-    union = lambda parts: reduce(DataFrame.unionAll, parts, none).select(*kept)
-    return union(sure), union(leaves)
+    union = lambda parts, *more: reduce(DataFrame.unionAll, parts, none).select(*kept, *more)
+    return union(sure), union(leaves, "places_a", "places_b") if pack else union(leaves)
 
 
 def _roots() -> list[Column]:
@@ -389,19 +393,134 @@ def _place_pairs(a: DataFrame, b: DataFrame, pairs: DataFrame, distance: float)
     return pairs.join(left, ["level", *A_CELL]).join(right, ["level", *B_CELL]).filter(near)
 
 
+def _near_counts(a: DataFrame, b: DataFrame, pairs: DataFrame, distance: float) -> DataFrame:
+    """Points of b near each place of a, over undecided pairs of boxes: (x, y, `_near`), a row per
+    group a place is in.
+
+    A group is a box of a with boxes of b of about GROUP places. The places of both travel to it once
+    per pair of boxes, never as pairs of places; tasks are as many as rows and pairs ask for.
+    """
+    pairs = written(pairs)
+    places = (F.col("places_a") + F.col("places_b")) / F.lit(1 << 20)
+    work = F.sum(F.greatest(places, F.col("places_a") * F.col("places_b") / F.lit(16 * TASK_PAIRS)))
+    tasks = max(1, math.ceil(pairs.agg(work).first()[0] or 0))
+    here = Window.partitionBy("level", *A_CELL)
+    parts = F.ceil(F.sum("places_b").over(here) / F.lit(GROUP))
+    pairs = written(pairs.select("level", *A_CELL, *B_CELL, F.pmod(F.xxhash64(*B_CELL), parts).cast("int").alias("part")))
+    key = ["level", *A_CELL, "part"]
+    left = _in_boxes(a, pairs.select(*key).distinct(), "a").select(*key, F.lit(0).alias("side"), "x", "y", F.col("n").cast("bigint").alias("n"))
+    right = _in_boxes(b, pairs, "b").select(*key, F.lit(1).alias("side"), "x", "y", F.col("n").cast("bigint").alias("n"))
+    grouped = left.unionAll(right).repartition(tasks, *key).sortWithinPartitions(*key, "side")
+    return grouped.mapInArrow(_counted(distance * distance), "x double, y double, _near bigint")
+
+
+def _counted(limit: float):
+    """Counts of the groups of a sorted partition, group by group as the batches come."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def output(found):
+            columns = [np.concatenate(c) for c in zip(*found)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["x", "y", "_near"])
+
+        held: list[list] = []  # pieces of the group that may go on
+        last, found, size = None, [], 0
+
+        def close():
+            side, x, y, n = (np.concatenate(c) for c in zip(*held))
+            cut = int(np.searchsorted(side, 1))
+            near = near_points(x[:cut], y[:cut], x[cut:], y[cut:], n[cut:], limit)
+            hit = near > 0
+            return x[:cut][hit], y[:cut][hit], near[hit]
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            *keys, side, x, y, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            changes = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
+            for begin, end in zip([0, *changes.tolist()], [*changes.tolist(), batch.num_rows]):
+                key = tuple(k[begin] for k in keys)
+                if held and key != last:
+                    found.append(close())
+                    size += len(found[-1][0])
+                    held = []
+                last = key
+                held.append([c[begin:end] for c in (side, x, y, n)])
+            if size > 10_000:
+                yield output(found)
+                found, size = [], 0
+        if held:
+            found.append(close())
+        if found:
+            yield output(found)
+
+    return run
+
+
+def near_points(xa, ya, xb, yb, nb, limit: float):
+    """For each place of a the points (`nb` per place) of b within the squared distance, in numpy.
+
+    Both sides are cut into blocks of some fifty places; a pair of blocks that is near or far as a
+    whole is settled by its corners, as pairs of boxes are (`_verdict`).
+    """
+    import numpy as np
+
+    near = np.zeros(len(xa), np.int64)
+    if not len(xa) or not len(xb):
+        return near
+
+    def blocks(x, y):
+        """Order of the places by block, and where each block starts."""
+        across = max(1, int(math.sqrt(len(x) / 48)))
+        if across == 1:
+            return np.arange(len(x)), np.array([0])
+        number = lambda v: np.minimum((v - v.min()) * (across / (np.ptp(v) or 1.0)), across - 1).astype(np.int64)
+        block = number(x) * across + number(y)
+        order = np.argsort(block, kind="stable")
+        return order, np.flatnonzero(np.diff(block[order], prepend=-1))
+
+    order_a, starts_a = blocks(xa, ya)
+    order_b, starts_b = blocks(xb, yb)
+    xb, yb, nb = xb[order_b], yb[order_b], nb[order_b]
+    x0, x1, y0, y1 = (f.reduceat(v, starts_b) for v in (xb, yb) for f in (np.minimum, np.maximum))
+    points, sizes = np.add.reduceat(nb, starts_b), np.diff(starts_b, append=len(xb))
+    single = bool((nb == 1).all())
+    for begin, end in zip(starts_a.tolist(), [*starts_a[1:].tolist(), len(xa)]):
+        own = order_a[begin:end]
+        x, y = xa[own], ya[own]
+        left, right, low, high = x.min(), x.max(), y.min(), y.max()
+        far_x, far_y = np.maximum(abs(right - x0), abs(x1 - left)), np.maximum(abs(high - y0), abs(y1 - low))
+        gap_x = np.maximum(0.0, np.maximum(x0 - right, left - x1))
+        gap_y = np.maximum(0.0, np.maximum(y0 - high, low - y1))
+        whole = far_x * far_x + far_y * far_y <= limit
+        some = ~whole & ~(gap_x * gap_x + gap_y * gap_y > limit)
+        near[own] += points[whole].sum()
+        if some.any():
+            chosen = np.repeat(some, sizes)
+            cx, cy, cn = xb[chosen], yb[chosen], nb[chosen]
+            step = max(1, (1 << 20) // len(cx))
+            for i in range(0, len(own), step):
+                dx, dy = x[i : i + step, None] - cx, y[i : i + step, None] - cy
+                hits = dx * dx + dy * dy <= limit
+                near[own[i : i + step]] += np.count_nonzero(hits, axis=1) if single else (hits * cn).sum(axis=1)
+    return near
+
+
 def neighbour_counts(points: DataFrame, id_column: str, x: str, y: str, distance: float, name: str = "neighbours") -> DataFrame:
     """Number of other points within the distance of each point (ids without a position: NULL).
 
-    Cells and boxes are added by their totals; only the last boxes cut by the circle's edge are
-    compared place by place.
+    Cells and boxes are added by their totals; only boxes cut by the circle's edge are compared
+    place by place, inside groups, so that what moves grows with the places and not their pairs.
     """
     places = written(locations(points, x, y, side_of(distance)))
     pairs = written(cell_pairs(places, places, distance))
-    sure, leaves = refined(places, places, pairs, distance)
+    sure, leaves = refined(places, places, pairs, distance, pack=PACK)
     whole = pairs.filter("verdict = 'all'").select(F.lit(0).alias("level"), *A_CELL, *B_CELL, "n_b").unionAll(sure)
     by_box = written(whole.groupBy("level", *A_CELL).agg(F.sum("n_b").alias("_near")))
     of_boxes = _in_boxes(places, by_box, "a").select("x", "y", "_near")
-    of_places = _place_pairs(places, places, leaves, distance).select(F.col("xa").alias("x"), F.col("ya").alias("y"), F.col("nb").alias("_near"))
+    of_places = _near_counts(places, places, leaves, distance)
     per_place = (
         of_boxes.unionAll(of_places)
         .groupBy(F.col("x").alias("_px"), F.col("y").alias("_py"))
