@@ -227,3 +227,42 @@ def test_comparable_units(spark):
     ids = lambda *a, **k: sorted(r.id for r in quality.comparable_units(df, *a, **k).collect())
     assert ids("solar") == [1, 2, 3, 5, 6] and ids("solar_extended", checked=True) == [1, 5, 6]
     assert ids("wind_extended") == [1, 2, 3] and ids("wind", checked=True) == [1]
+
+
+def test_points_near_are_counted_in_blocks():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for sizes, spread in (((700, 2500), 4.0), ((1, 900), 1.0), ((900, 1), 1.0), ((300, 300), 0.0), ((0, 5), 1.0), ((5, 0), 1.0)):
+        (xa, ya), (xb, yb) = ([np.round(rng.uniform(0, spread, n), 2) for _ in "xy"] for n in sizes)
+        for nb in (np.ones(sizes[1], np.int64), rng.integers(1, 5, sizes[1])):
+            near = (xa[:, None] - xb) ** 2 + (ya[:, None] - yb) ** 2 <= 2.25
+            assert spatial.near_points(xa, ya, xb, yb, nb, 2.25).tolist() == (near * nb).sum(axis=1).tolist()
+
+
+@pytest.mark.parametrize("pack,group,pairs", [(1, 1, 50), (8, 20, 1000), (4096, 1 << 16, 1 << 24)])
+def test_neighbours_are_counted_in_groups_of_any_size(spark, monkeypatch, pack, group, pairs):
+    for name, value in (("PACK", pack), ("GROUP", group), ("TASK_PAIRS", pairs)):
+        monkeypatch.setattr(spatial, name, value)
+    pts = dense(random.Random(7), 200)
+    near = {i: {j for j, q in enumerate(pts) if j != i and (p[0] - q[0]) ** 2 + (p[1] - q[1]) ** 2 <= 2.25} for i, p in enumerate(pts)}
+    df = points_df(spark, pts)
+    got = {r["id"]: r["neighbours"] for r in spatial.neighbour_counts(df, "id", "x", "y", 1.5).collect()}
+    assert got == {i: len(found) for i, found in near.items()}
+    found = spatial.neighbours_of(df, df.filter("id % 3 = 0"), "id", "x", "y", 1.5)
+    assert sorted((r.unit, r.id) for r in found.select("unit", "id").collect()) == sorted((i, j) for i, js in near.items() if i % 3 == 0 for j in js)
+
+
+def test_moved_rows_grow_with_places_and_looked_up_pairs_are_dealt(spark, monkeypatch):
+    from unitledger.operators import skew
+
+    monkeypatch.setattr(spatial, "TASK_PAIRS", 2000)
+    dealt = []
+    counted = spatial._counted
+    monkeypatch.setattr(spatial, "_counted", lambda limit: dealt.append(limit) or counted(limit))
+    df = points_df(spark, [(random.Random(i).uniform(0, 3), random.Random(-i - 1).uniform(0, 3)) for i in range(400)])
+    assert spatial.neighbour_counts(df, "id", "x", "y", 1.0).count() == 400 and dealt == [1.0]
+    found = spatial.neighbours_of(df, df.filter("id < 100"), "id", "x", "y", 1.0)
+    sizes = [n for n in found.rdd.glom().map(len).collect() if n]
+    assert len(sizes) > 5 and max(sizes) <= 8 * 2000  # not a task or two, however few the bytes
+    assert skew.written(found).count() == sum(sizes)

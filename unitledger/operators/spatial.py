@@ -534,15 +534,18 @@ def neighbour_counts(points: DataFrame, id_column: str, x: str, y: str, distance
 def neighbours_of(points: DataFrame, wanted: DataFrame, id_column: str, x: str, y: str, distance: float) -> DataFrame:
     """All points within the distance of each wanted unit, without the unit itself.
 
-    Made for looking up chosen units; the work is (wanted units) x (their surroundings).
+    Made for looking up chosen units; the work is (wanted units) x (their surroundings). It is dealt
+    by pairs, not bytes: cells with too many are cut, and the tasks are as many as the pairs ask for.
     """
     cell = distance
 
     def at(c: str) -> Column:
         return F.floor(F.col(c) / cell).cast("bigint")
 
-    centre = keyed_join(points, wanted.select(id_column).distinct(), [id_column], "left_semi").select(
-        F.col(id_column).alias("unit"), F.col(x).alias("_x0"), F.col(y).alias("_y0"), at(x).alias("_cx"), at(y).alias("_cy")
+    centre = written(
+        keyed_join(points, wanted.select(id_column).distinct(), [id_column], "left_semi").select(
+            F.col(id_column).alias("unit"), F.col(x).alias("_x0"), F.col(y).alias("_y0"), at(x).alias("_cx"), at(y).alias("_cy")
+        )
     )
     offsets = F.sequence(F.lit(-1), F.lit(1))
     around = (
@@ -552,12 +555,19 @@ def neighbours_of(points: DataFrame, wanted: DataFrame, id_column: str, x: str,
         .drop("_dx", "_dy", "_cx", "_cy")
     )
     placed = points.withColumns({"cx": at(x), "cy": at(y)})
+    size = lambda df, name: df.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias(name))
+    work = F.col("_points") * F.col("_units")
+    cells = written(size(placed, "_points").join(size(around, "_units"), ["cx", "cy"]).select("cx", "cy", work.alias("_work")))
+    tasks = max(1, math.ceil((cells.agg(F.sum("_work")).first()[0] or 0) / TASK_PAIRS))
+    cut = F.ceil(F.col("_work") / F.lit(TASK_PAIRS)).cast("int")
+    cells = cells.select("cx", "cy", cut.alias("_cut"))
+    key = ["cx", "cy", "_part"]
+    part = F.pmod(F.xxhash64("unit", "_x0", "_y0"), F.col("_cut")).cast("int")
+    units = around.join(cells, ["cx", "cy"]).withColumn("_part", part).drop("_cut").repartition(tasks, *key)
+    parts = F.explode(F.sequence(F.lit(0), F.col("_cut") - 1))
+    dealt = placed.join(cells, ["cx", "cy"]).withColumn("_part", parts).drop("_cut").repartition(tasks, *key)
     near = squared_distance(F.col(x), F.col(y), F.col("_x0"), F.col("_y0")) <= distance * distance
-    return (
-        placed.join(around, ["cx", "cy"])
-        .filter(near & (F.col(id_column) != F.col("unit")))
-        .select("unit", *points.columns)
-    )
+    return dealt.join(units, key).filter(near & (F.col(id_column) != F.col("unit"))).select("unit", *points.columns)
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
