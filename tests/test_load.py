@@ -323,3 +323,18 @@ def test_numbered_files_are_written_by_a_task_each(spark, tmp_path, monkeypatch)
     counts = {name: text.count("<EinheitWind>") for name, text in texts.items()}
     assert counts == {"Katalogwerte": 0, **{f"EinheitenWind_{i}": 100 for i in (1, 2, 3, 4)}, "EinheitenWind_10": 80}
     assert all(text.startswith("<Root>") and text.endswith("</Root>") for text in texts.values()) and texts["Katalogwerte"].count("<Id>") == 3
+
+
+def test_written_xml_files_stay_small(spark, tmp_path, monkeypatch):
+    from unitledger.catalogue import Tables, storage
+
+    spark.range(300).selectExpr(
+        "id as p_partkey", "concat('p', id) as p_name", "cast(id as double) as p_retailprice", "cast(id % 50 as int) as p_size"
+    ).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    spark.range(25).selectExpr("cast(id as int) as n_nationkey", "concat('n', id) as n_name").write.parquet(str(tmp_path / "nation.parquet"))
+    monkeypatch.setattr(storage, "ROWS_OF_FILE", 40)
+    folder = tmp_path / "out"
+    monkeypatch.setattr(storage, "scratch", lambda t, name: str(folder))
+    assert storage.xml_scan_roundtrip(Tables(spark, str(tmp_path))).count() == 300
+    counts = [p.read_text().count("<EinheitWind>") for p in folder.glob("part-*")]
+    assert sum(counts) == 600 and max(counts) <= 40

@@ -13,6 +13,9 @@ from unitledger.session import shared_dir
 from unitledger.sources import tables
 from unitledger.sources.xml import folder_records
 
+#: Rows of one XML file that Spark's XML writer makes, some 25 MB of part rows.
+ROWS_OF_FILE = 100_000
+
 
 def scratch(t: Tables, name: str) -> str:
     return f"{shared_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
@@ -65,7 +68,8 @@ def xml_scan_roundtrip(t: Tables):
         F.col("p_size").cast("string").alias("Bundesland"),
     )
     twice = raw.unionAll(raw)
-    twice.write.format("xml").options(rootTag="EinheitenWind", rowTag="EinheitWind").save(path)
+    # A file is one task for Spark's XML source, so files are cut by rows, whatever a writing task holds.
+    twice.write.format("xml").options(rootTag="EinheitenWind", rowTag="EinheitWind", maxRecordsPerFile=ROWS_OF_FILE).save(path)
     rows = folder_records(t.spark, path, "einheitenwind", "EinheitWind", raw.columns, encoding="UTF-8")
     catalog = t.nation.select(F.col("n_nationkey").alias("Id"), F.col("n_name").alias("Wert"))
     done = cleansed(rows, specs.TABLES["einheitenwind"], catalog, "2024-01-31")
