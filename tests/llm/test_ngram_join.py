@@ -2,7 +2,9 @@
 
 import random
 import re
+import tracemalloc
 
+import numpy as np
 import pytest
 
 from unitledger.llm import ngram_join as J
@@ -135,3 +137,25 @@ def test_texts_that_share_an_id_are_judged_apart(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = sorted((r.doc_id, r.source) for r in J.one_per_component(df).collect())
     assert got == [(1, "x"), (5, "kept"), (7, "y")]
+
+
+@pytest.mark.parametrize("sets, words", [(1, 3), (5, 1), (40, 30), (9000, 40)])
+def test_frequent_shingles_are_counted_in_place(sets, words):
+    r = np.random.default_rng(sets)
+    block = {i: np.unique(r.integers(0, 2500, r.integers(1, words + 1)).astype(np.uint64)) for i in range(sets)}
+    values, seen = np.unique(np.concatenate(list(block.values())), return_counts=True)
+    keep = seen >= max(J.FREQUENT_SETS, J.FREQUENT_SHARE * sets)
+    found, counts = J._frequent(block)
+    assert found.tolist() == values[keep].tolist() and counts.tolist() == seen[keep].tolist()
+    assert counts.dtype == np.int64 and not block
+
+
+def test_frequent_shingles_take_little_more_than_their_block():
+    r = np.random.default_rng(1)
+    block = {i: np.unique(r.integers(0, 1 << 63, 1000, dtype=np.uint64)) for i in range(500)}
+    size = sum(s.nbytes for s in block.values())
+    tracemalloc.start()
+    J._frequent(block)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.6 * size

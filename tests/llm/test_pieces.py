@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -59,6 +60,26 @@ def test_memories_are_bounded_by_bytes(library, monkeypatch):
     assert max(map(len, [*small.inner, *small.first]), default=0) <= pieces.REMEMBERED_CHARS
 
 
+def test_a_worker_keeps_little_between_tasks(monkeypatch):
+    monkeypatch.setattr(pieces, "_own", {})
+    model = type("Shared", (), {"value": pieces.read_model(PATH) | {"key": "model"}})
+    batch = pa.RecordBatch.from_pydict({"text": [f"word{i} other{i}\nline{i}" for i in range(200)]})
+
+    def ids(own, batch):
+        return pa.RecordBatch.from_pydict({"ids": [own.encode(t) for t in batch.column(0).to_pylist()]})
+
+    def held_after_a_task():
+        out = [*pieces._in_batches(model, ids)(iter([batch]))]
+        assert [len(x) for x in out] == [200]
+        own = pieces._own["model"]
+        return [(len(m) > 0, m.held > 0) for m in (own.inner, own.first, own.pair)]
+
+    assert held_after_a_task() == [(True, True)] * 3
+    monkeypatch.setattr(pieces, "KEPT_BYTES", 5000)
+    assert held_after_a_task() == [(False, False)] * 3
+    assert [*pieces._in_batches(model, ids)(iter([]))] == []
+
+
 def test_documents(spark, library):
     rows = [(1, "Hello there\nworld", 7), (2, None, 7), (3, "", 7), (3, "", 7), (None, "  é😀 ", 7)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids int")

@@ -17,7 +17,7 @@ __all__ = ["bloom_bits", "bloom_slots", "bounded_batches", "fresh", "in_bloom",
 #: Rows a Python task holds at a time. Texts differ much in length, so batches stay small.
 BATCH_ROWS = 1000
 #: Bytes of a batch; it ends with the row that reaches them.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:

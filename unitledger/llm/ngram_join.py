@@ -82,19 +82,28 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (-(-n * percent // 100)) + 1
 
 
+def _frequent(block: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The frequent shingles of a block's sets, ascending, and their counts. Empties the block, as its
+    shingles are sorted in one copy: other arrays are as short as the list of frequent ones."""
+    least = max(FREQUENT_SETS, int(np.ceil(FREQUENT_SHARE * len(block))))
+    values = np.concatenate(list(block.values()))
+    block.clear()
+    values.sort()
+    first = values[: max(0, len(values) - least + 1)]
+    found = first[first == values[least - 1 :]]
+    found = found[np.append(True, found[1:] != found[:-1])[: len(found)]]
+    return found, np.searchsorted(values, found, "right") - np.searchsorted(values, found)
+
+
 def _describe(k: int, id_type: pa.DataType):
     """Rows (id, n, set) of documents, and rows (shingle, seen) of a block's frequent shingles."""
 
     def counted(block: dict[int, np.ndarray]) -> pa.RecordBatch | None:
-        values, seen = np.unique(np.concatenate(list(block.values())), return_counts=True)
-        keep = seen >= max(FREQUENT_SETS, FREQUENT_SHARE * len(block))
-        values, seen = values[keep], seen[keep]
+        values, seen = _frequent(block)
         if not len(values):
             return None
         none = pa.nulls(len(values), pa.int64())
-        return batch_of(
-            ["id", "n", "set", "shingle", "seen"], [none.cast(id_type), none, none, signed(values), seen.astype(np.int64)]
-        )
+        return batch_of(["id", "n", "set", "shingle", "seen"], [none.cast(id_type), none, none, signed(values), seen])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: dict[int, np.ndarray] = {}

@@ -27,9 +27,10 @@ from pyspark.sql import types as T
 from unitledger.llm.common import batch_of, bounded_batches, in_batches, text_values
 
 MARK = "▁"
-#: Bytes each memory of words (and of token pairs) may take, about, before it starts anew, and the
-#: longest word that is remembered.
-REMEMBERED_BYTES = 48 << 20
+#: Bytes each memory of words (and of token pairs) may take, about, before it starts anew, the
+#: bytes of all of them that a worker keeps between tasks, and the longest word that is remembered.
+REMEMBERED_BYTES = 24 << 20
+KEPT_BYTES = 16 << 20
 REMEMBERED_CHARS = 64
 #: What an entry takes besides its characters and ids.
 _ENTRY = 150
@@ -75,11 +76,15 @@ class _Memory(dict):
         if size:
             self.held += size
             if self.held > REMEMBERED_BYTES:
-                self.clear()
+                self.forget()
                 self.held = size
             self[key] = value
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.held = 0
+
 
 def _word_size(word: str, ids: tuple[int, ...]) -> int:
     """Bytes a word takes in memory, 0 for one that is too long to be kept."""
@@ -274,6 +279,13 @@ class Pieces:
             ids += chain.from_iterable(map(self.inner.__getitem__, words))
         return ids
 
+    def rest(self) -> None:
+        """What a worker does at the end of a task, as it may wait, or run other code, for long."""
+        memories = (self.pair, self.inner, self.first)
+        if sum(m.held for m in memories) > KEPT_BYTES:
+            for m in memories:
+                m.forget()
+
     def encode(self, text: str) -> list[int]:
         return [*chain.from_iterable(self.parts(text)), self.end]
 
@@ -346,6 +358,19 @@ def _pieces(model) -> Pieces:
     return _own[key]
 
 
+def _in_batches(model, function):
+    """`in_batches` of a function of the model's tables and a batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from in_batches(lambda batch: function(_pieces(model), batch))(batches)
+        finally:
+            for own in _own.values():
+                own.rest()
+
+    return run
+
+
 def _share(docs: DataFrame, path: str):
     model = read_model(path)
     with open(path, "rb") as file:
@@ -362,12 +387,11 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text", ids_col
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
     at = kept.index(text_col)
 
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = _pieces(model)
+    def one(own: Pieces, batch: pa.RecordBatch) -> pa.RecordBatch:
         ids = pa.array([own.encode(t) for t in text_values(batch.column(at))], pa.list_(pa.int32()))
         return batch_of([*kept, ids_col], [*batch.columns, ids])
 
-    return docs.select(*kept).mapInArrow(in_batches(one), schema)
+    return docs.select(*kept).mapInArrow(_in_batches(model, one), schema)
 
 
 def decode_documents(docs: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -378,12 +402,11 @@ def decode_documents(docs: DataFrame, path: str, ids_col: str = "ids", text_col:
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(text_col, T.StringType())])
     at = kept.index(ids_col)
 
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = _pieces(model)
+    def one(own: Pieces, batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [own.decode(ids or []) for ids in batch.column(at).to_pylist()]
         return batch_of([*kept, text_col], [*batch.columns, pa.array(texts, pa.string())])
 
-    return docs.select(*kept).mapInArrow(in_batches(one), schema)
+    return docs.select(*kept).mapInArrow(_in_batches(model, one), schema)
 
 
 def recode_documents(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
@@ -396,15 +419,14 @@ def recode_documents(docs: DataFrame, path: str, text_col: str = "text", ids_col
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
     at = kept.index(text_col)
 
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = _pieces(model)
+    def one(own: Pieces, batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(at).to_pylist()
         ids = [own.encode(t or "") for t in texts]
         decoded = pa.array([None if t is None else own.decode(i) for t, i in zip(texts, ids)], pa.string())
         columns = [decoded if k == at else c for k, c in enumerate(batch.columns)]
         return batch_of([*kept, ids_col], [*columns, pa.array(ids, pa.list_(pa.int32()))])
 
-    return docs.select(*kept).mapInArrow(in_batches(one), schema)
+    return docs.select(*kept).mapInArrow(_in_batches(model, one), schema)
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -418,8 +440,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         + [T.StructField(c, T.StringType()) for c in ("ids_sha256", "decoded_sha256")]
     )
 
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = _pieces(model)
+    def one(own: Pieces, batch: pa.RecordBatch) -> pa.RecordBatch:
         names = own.__dict__.setdefault("names", [str(i) for i in range(len(own.pieces))])
         counts, id_hashes, text_hashes = [], [], []
         for text in text_values(batch.column(1)):
@@ -429,4 +450,4 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             text_hashes.append(hashlib.sha256(own.decode(ids).encode()).hexdigest())
         return batch_of(schema.names, [batch.column(0), pa.array(counts, pa.int64()), id_hashes, text_hashes])
 
-    return source.mapInArrow(in_batches(one), schema)
+    return source.mapInArrow(_in_batches(model, one), schema)
