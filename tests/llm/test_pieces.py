@@ -80,6 +80,36 @@ def test_a_worker_keeps_little_between_tasks(monkeypatch):
     assert [*pieces._in_batches(model, ids)(iter([]))] == []
 
 
+def test_round_trips_keep_their_words_between_tasks(monkeypatch):
+    monkeypatch.setattr(pieces, "_own", {})
+    monkeypatch.setattr(pieces, "REMEMBERED_BYTES", 5000)
+    monkeypatch.setattr(pieces, "KEPT_BYTES", 4000)
+    model = type("Shared", (), {"value": pieces.read_model(PATH) | {"key": "model"}})
+    batch = pa.RecordBatch.from_pydict({"text": [f"word{i} other{i}\nline{i}" for i in range(200)]})
+    computed = []
+
+    def ids(own, batch):
+        inner = own.inner.function
+        own.inner.function = lambda word: computed.append(word) or inner(word)
+        out = pa.RecordBatch.from_pydict({"ids": [own.encode(t) for t in batch.column(0).to_pylist()]})
+        own.inner.function = inner
+        return out
+
+    def computed_in_a_task(most):
+        computed.clear()
+        out = [*pieces._in_batches(model, ids, most)(iter([batch]))]
+        return out, len(computed)
+
+    first, n = computed_in_a_task(1 << 20)
+    assert n == 400
+    assert computed_in_a_task(1 << 20) == (first, 0)
+    # A task with the smaller bound leaves no more than that.
+    again, n = computed_in_a_task(None)
+    assert again == first and n == 400
+    own = pieces._own["model"]
+    assert sum(m.held for m in (own.inner, own.first, own.pair)) <= 4000
+
+
 def test_documents(spark, library):
     rows = [(1, "Hello there\nworld", 7), (2, None, 7), (3, "", 7), (3, "", 7), (None, "  é😀 ", 7)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids int")

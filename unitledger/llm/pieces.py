@@ -31,6 +31,8 @@ MARK = "▁"
 #: bytes of all of them that a worker keeps between tasks, and the longest word that is remembered.
 REMEMBERED_BYTES = 24 << 20
 KEPT_BYTES = 16 << 20
+#: The bytes of each memory, all kept between tasks, where a pass returns no texts or ids.
+ALONE_BYTES = 48 << 20
 REMEMBERED_CHARS = 64
 #: What an entry takes besides its characters and ids.
 _ENTRY = 150
@@ -69,13 +71,14 @@ class _Memory(dict):
     def __init__(self, function, size=lambda key, value: _ENTRY):
         super().__init__()
         self.function, self.size, self.held = function, size, 0
+        self.most: int | None = None  # bytes, if not REMEMBERED_BYTES
 
     def __missing__(self, key):
         value = self.function(key)
         size = self.size(key, value)
         if size:
             self.held += size
-            if self.held > REMEMBERED_BYTES:
+            if self.held > (self.most or REMEMBERED_BYTES):
                 self.forget()
                 self.held = size
             self[key] = value
@@ -279,10 +282,19 @@ class Pieces:
             ids += chain.from_iterable(map(self.inner.__getitem__, words))
         return ids
 
-    def rest(self) -> None:
-        """What a worker does at the end of a task, as it may wait, or run other code, for long."""
+    def begin(self, most: int | None) -> None:
+        """What a worker does at the start of a task: each memory may take `most` bytes, or
+        REMEMBERED_BYTES."""
+        for m in (self.pair, self.inner, self.first):
+            m.most = most
+            if m.held > (most or REMEMBERED_BYTES):
+                m.forget()
+
+    def rest(self, kept: int | None = None) -> None:
+        """What a worker does at the end of a task, as it may wait, or run other code, for long:
+        the memories stay if they take up to `kept` bytes, or KEPT_BYTES, in all."""
         memories = (self.pair, self.inner, self.first)
-        if sum(m.held for m in memories) > KEPT_BYTES:
+        if sum(m.held for m in memories) > (kept or KEPT_BYTES):
             for m in memories:
                 m.forget()
 
@@ -358,15 +370,24 @@ def _pieces(model) -> Pieces:
     return _own[key]
 
 
-def _in_batches(model, function):
-    """`in_batches` of a function of the model's tables and a batch."""
+def _in_batches(model, function, most: int | None = None):
+    """`in_batches` of a function of the model's tables and a batch. With `most`, each memory may
+    take so many bytes and all of them are kept between tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own in _own.values():
+            own.begin(most)
+
+        def one(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+            if model.value["key"] not in _own:
+                _pieces(model).begin(most)
+            return function(_pieces(model), batch)
+
         try:
-            yield from in_batches(lambda batch: function(_pieces(model), batch))(batches)
+            yield from in_batches(one)(batches)
         finally:
             for own in _own.values():
-                own.rest()
+                own.rest(3 * most if most else None)
 
     return run
 
@@ -450,4 +471,4 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             text_hashes.append(hashlib.sha256(own.decode(ids).encode()).hexdigest())
         return batch_of(schema.names, [batch.column(0), pa.array(counts, pa.int64()), id_hashes, text_hashes])
 
-    return source.mapInArrow(_in_batches(model, one), schema)
+    return source.mapInArrow(_in_batches(model, one, ALONE_BYTES), schema)
