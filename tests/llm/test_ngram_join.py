@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from unitledger.llm import ngram_join as J
+from unitledger.operators import skew
 
 WORD = re.compile(r"[^ \t-\r]+")
 
@@ -159,3 +160,19 @@ def test_frequent_shingles_take_little_more_than_their_block():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 1.6 * size
+
+
+def test_narrow_results_take_few_files(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    most = max(8, 4 * spark.sparkContext.defaultParallelism)
+    try:
+        rows = spark.range(20_000).selectExpr("id % 10000 AS k").groupBy("k").count()
+        table = skew.written(rows, narrow=True)
+        assert len(table.inputFiles()) <= most < 65
+        assert table.count() == 10_000 and table.agg({"count": "sum"}).first()[0] == 20_000
+        assert len(skew.written(rows).inputFiles()) > most
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -469,7 +469,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
 
     # Distinct sets with the smallest id of their documents.
     sets = written(
-        documents.filter("set is not null").groupBy("set").agg(F.min("id").alias("least"), F.max("n").alias("n"))
+        documents.filter("set is not null").groupBy("set").agg(F.min("id").alias("least"), F.max("n").alias("n")), narrow=True
     )
     buckets = int(2 ** np.ceil(np.log2(max(16, total * (100 - percent) / 100 / BUCKET_ENTRIES))))
     lists = written(
@@ -478,7 +478,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
         .groupBy("bucket")
         .applyInArrow(_gather(buckets), LISTS)
     )
-    members = written(lists.filter("list is null").select("grp", "set", "size").distinct())
+    members = written(lists.filter("list is null").select("grp", "set", "size").distinct(), narrow=True)
     grouped = lists.filter("list is not null").groupBy("list", "grp", "size").agg(F.sum("weight").alias("weight"))
     # A group of several sets is a list of its own.
     crowded = members.groupBy("grp").agg(F.count("*").alias("sets")).filter("sets > 1").select("grp")
@@ -487,7 +487,8 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
         .select("list", "set", "size", "weight")
         .unionByName(
             members.join(crowded, "grp").select(F.col("grp").alias("list"), "set", "size", F.lit(ALL_COMMON).alias("weight"))
-        )
+        ),
+        narrow=True,
     )
     fits = F.expr(f"100 * low >= {percent} * high")
 
@@ -499,7 +500,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
             .filter((F.col("n") > 2) | ((F.col("n") == 2) & fits))
         )
 
-    open_lists = written(listed.join(bounded(listed, "list").select("list", "n"), "list"))
+    open_lists = written(listed.join(bounded(listed, "list").select("list", "n"), "list"), narrow=True)
     # Pairs of short lists with the number of shingles their prefixes share. Of the set whose
     # prefix ends first, all other prefix shingles are missing in the other set.
     short = open_lists.filter(F.col("n") <= SHORT_LIST)
@@ -523,7 +524,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
         long.join(degree, "set").groupBy("list").agg(F.max_by("set", F.struct("lists", "set")).alias("leader"))
     )
     of_lists = long.join(leaders, "list").select("leader", "set", "size")
-    groups = written(of_lists.unionByName(of_pairs).distinct())
+    groups = written(of_lists.unionByName(of_pairs).distinct(), narrow=True)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def blocks(n: Column, shingles: Column) -> Column:
@@ -535,7 +536,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
     def with_shingles(rows: DataFrame) -> DataFrame:
         """Rows that name a set, with its shingles taken from one of its texts."""
         named = rows.select("set").distinct()
-        wanted = written(named.join(sets, "set").select(F.xxhash64("least").alias("h")))
+        wanted = written(named.join(sets, "set").select(F.xxhash64("least").alias("h")), narrow=True)
         bits = context.broadcast(bloom_bits(wanted, F.col("h"), bloom_slots(wanted.count())))
         whole = (
             source.select(F.xxhash64("id").alias("h"), "text")
@@ -546,7 +547,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
         return keyed_join(rows, whole, ["set"], "inner")
 
     sized = bounded(groups, "leader").select("leader", blocks(F.col("n"), F.col("all")).alias("blocks"))
-    placed = written(groups.join(sized, "leader"))
+    placed = written(groups.join(sized, "leader"), narrow=True)
     one_cell = placed.filter("blocks = 1").select("leader", "set", F.lit(0).alias("i"), F.lit(0).alias("j"))
     large = placed.filter("blocks > 1")
     cells, links = one_cell, None
@@ -557,7 +558,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
             .unionByName(large.filter("set = leader").select("leader", "set", parts))
         )
         links = written(
-            with_shingles(written(rows))
+            with_shingles(written(rows, narrow=True))
             .repartition(partitions, "leader", "part")
             .sortWithinPartitions("leader", "part", F.col("set") != F.col("leader"))
             .mapInArrow(_leader_links(percent), "leader long, set long")
@@ -584,14 +585,14 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
             dealt.select("leader", "set", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
         )
     compared = (
-        with_shingles(written(cells))
+        with_shingles(written(cells, narrow=True))
         .repartition(partitions, "leader", "i", "j")
         .sortWithinPartitions("leader", "i", "j", "set")
         .mapInArrow(_cell_links(percent), "a long, b long")
     )
     if links is not None:
         compared = compared.unionByName(links.select(F.col("leader").alias("a"), F.col("set").alias("b")))
-    links = written(compared.distinct())
+    links = written(compared.distinct(), narrow=True)
     placed = connected_components(links, "a", "b")
     of_component = (
         sets.join(placed.withColumnRenamed("node", "set"), "set", "left")
