@@ -3,8 +3,10 @@
 import random
 import re
 import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from unitledger.llm import ngram_join as J
@@ -176,3 +178,56 @@ def test_narrow_results_take_few_files(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_common_shingles_stay_out_of_prefixes_where_the_filter_is_overfull(monkeypatch):
+    """Every shingle is repeated and the filter too small for them; those of many sets still come last."""
+    monkeypatch.setattr(J, "FILTER_BITS", 1 << 14)
+    r = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = []
+    for i in range(150):
+        words = [f"u{i}x{j}" for j in range(200)]
+        own = " ".join([*words, passage] if i % 3 == 0 else words)
+        texts += [own, own + " end"]
+    r.shuffle(texts)
+    frequent = SimpleNamespace(value=(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)))
+    everyone = SimpleNamespace(value=np.full(64, 2**64 - 1, dtype=np.uint64))
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(range(25), pa.int64()), pa.array(texts[a : a + 25])], names=["h", "text"])
+        for a in range(0, len(texts), 25)
+    ]
+    repeated = J.Repeated(4, 60_000)
+    keys = pa.Table.from_batches(J._keys(5, frequent, repeated, everyone)(iter(batches)))
+    for part in range(16):
+        of_part = keys.filter(pa.array([x == part for x in keys.column("part").to_pylist()]))
+        for row in J._slices(repeated)(of_part).to_pylist():
+            repeated.put(row["part"], row["level"], row["marks"], np.frombuffer(row["words"], dtype=np.uint64))
+    common = next(J.shingle_sets([passage.encode()], J.SPACES, 5))
+    assert (repeated.order(common) == 2).all()
+    bucketed = J._prefixes(5, 75, 16, frequent, SimpleNamespace(value=repeated), everyone)(iter(batches))
+    rows = [row for batch in bucketed for row in batch.to_pylist() if row["bucket"] >= 0]
+    tokens = np.concatenate([np.frombuffer(row["a"], dtype=np.uint64) for row in rows])
+    assert len(tokens) > 1000 and not np.isin(common, tokens).any()
+
+
+def test_copies_of_a_set_add_nothing_to_lists(spark, monkeypatch):
+    """Texts without near copies give no prefixes, however often each comes."""
+    packed = spark.sparkContext.accumulator(0)
+    inner = J._gather
+
+    def counting(buckets):
+        run = inner(buckets)
+
+        def counted(table):
+            packed.add(table.num_rows)
+            return run(table)
+
+        return counted
+
+    monkeypatch.setattr(J, "_gather", counting)
+    texts = [" ".join(f"t{i}w{j}" for j in range(50)) for i in range(40)]
+    df = spark.createDataFrame([(100 * c + i, t) for c in range(6) for i, t in enumerate(texts)], "doc_id long, text string").repartition(6)
+    got = {(r.doc_id, r.component_id) for r in J.ngram_components(df).collect()}
+    assert got == {(100 * c + i, i) for c in range(6) for i in range(40)}
+    assert packed.value == 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -12,7 +13,18 @@ from pyspark.sql import functions as F
 from unitledger.operators.skew import written
 from unitledger.session import configure
 
-__all__ = ["bloom_bits", "bloom_slots", "bounded_batches", "fresh", "in_bloom", "prepare", "table", "text_bytes", "written"]
+__all__ = [
+    "bloom_bits",
+    "bloom_slots",
+    "bounded_batches",
+    "fresh",
+    "in_bloom",
+    "prepare",
+    "swept",
+    "table",
+    "text_bytes",
+    "written",
+]
 
 #: Rows a Python task holds at a time. Texts differ much in length, so batches stay small.
 BATCH_ROWS = 1000
@@ -100,6 +112,13 @@ def in_bloom(bits: np.ndarray, hashed: np.ndarray) -> np.ndarray:
     return found
 
 
+def swept(spark: SparkSession) -> None:
+    """Let the driver collect its garbage, as Spark deletes shuffle files only when it finds that
+    nobody holds their results any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def in_sorted(sorted_values: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each value its place in a sorted array, and whether it is there."""
     if not len(sorted_values):

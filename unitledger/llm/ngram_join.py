@@ -8,9 +8,10 @@ are verified on whole sets.
 
 * The order is by rarity: shingles of a single set first, then repeated ones, frequent ones last.
   Prefixes of most documents then hold shingles of a single set only, which match nothing and
-  are left out. Repeated shingles are found by counting the hashes of all shingles, frequent ones
-  block by block; a wrong guess there only costs work, because any order that is the same for all
-  documents gives the same links, and no repeated shingle is ever taken for a single one.
+  are left out. Repeated shingles, and those of many sets, are found by counting the hashes of all
+  shingles of distinct sets, frequent ones block by block; a wrong guess there only costs work,
+  because any order that is the same for all documents gives the same links, and no repeated
+  shingle is ever taken for a single one.
 * Prefixes travel packed as arrays, in buckets of shingles. A frequent shingle is spread over
   buckets by group, so none holds more than its share.
 * Pairs of short lists are counted over their lists first: too few common prefix shingles leave
@@ -44,6 +45,7 @@ from unitledger.llm.common import (
     in_sorted,
     prepare,
     signed,
+    swept,
     text_bytes,
     written,
 )
@@ -59,8 +61,8 @@ FREQUENT_MOST = 1 << 18
 BLOCK_SHINGLES = 4_000_000
 #: Shingles (5 bytes each) of one range of hashes, which one task counts at a time.
 RANGE_SHINGLES = 1_000_000
-#: Bits of the filter of repeated shingles at most (16 MB).
-FILTER_BITS = 1 << 27
+#: Bits of the filter of repeated shingles at most (32 MB); that of shingles of many sets has a quarter of them.
+FILTER_BITS = 1 << 28
 #: Prefix entries (20 bytes each) of one bucket, which one task holds at a time.
 BUCKET_ENTRIES = 500_000
 #: Lists of up to so many sets give pairs, longer ones are compared as groups.
@@ -132,17 +134,21 @@ def _describe(k: int, id_type: pa.DataType):
 
 
 class Repeated:
-    """A filter of the shingles that at least two sets hold, in one slice per range of hashes.
+    """Filters of the shingles that at least two sets hold, and of those that more than `SHORT_LIST`
+    sets do, in one slice per range of hashes.
 
-    It never misses one. Its size follows the input up to `FILTER_BITS`; beyond that it lets more
-    unique shingles through, which costs work and loses nothing.
+    The first never misses one. Their sizes follow the input up to `FILTER_BITS`. Beyond that they
+    let more shingles through, which costs work and loses nothing; a slice with many keys sets fewer
+    bits for each, so that it does so as late as it can.
     """
 
     def __init__(self, log_ranges: int, total: int):
         self.log_ranges = log_ranges
         per_range = max(1024, min(FILTER_BITS, 2 * total) >> log_ranges)
-        self.log_bits = int(np.log2(per_range))
-        self.words = np.zeros((1 << log_ranges) << (self.log_bits - 6), dtype=np.uint64)
+        most = int(np.log2(per_range))
+        self.log_bits = (most, most - 2)
+        self.words = [np.zeros((1 << log_ranges) << (bits - 6), dtype=np.uint64) for bits in self.log_bits]
+        self.marks = [np.full(1 << log_ranges, 3, dtype=np.uint8) for _ in self.log_bits]
 
     def split(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Range, and the 40 bits below it, of each hash."""
@@ -150,31 +156,53 @@ class Repeated:
         key = (shingles >> np.uint64(24 - self.log_ranges)) & np.uint64((1 << 40) - 1)
         return (shingles >> shift).astype(np.int64), key
 
-    def slots(self, key: np.ndarray) -> list[np.ndarray]:
+    def slots(self, key: np.ndarray, level: int) -> list[np.ndarray]:
         h = mix(key)
-        return [(h >> np.uint64(s)) & np.uint64((1 << self.log_bits) - 1) for s in (0, 20, 40)]
-
-    def slice_of(self, keys: np.ndarray) -> np.ndarray:
-        out = np.zeros(1 << (self.log_bits - 6), dtype=np.uint64)
-        for slot in self.slots(keys):
+        return [(h >> np.uint64(s)) & np.uint64((1 << self.log_bits[level]) - 1) for s in (0, 20, 40)]
+
+    def slice_of(self, keys: np.ndarray, level: int) -> tuple[int, np.ndarray]:
+        """How many bits each key sets, and the words."""
+        bits = self.log_bits[level]
+        marks = int(np.clip(np.round(np.log(2) * (1 << bits) / max(1, len(keys))), 1, 3))
+        out = np.zeros(1 << (bits - 6), dtype=np.uint64)
+        for slot in self.slots(keys, level)[:marks]:
             np.bitwise_or.at(out, (slot >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slot & np.uint64(63)))
-        return out
+        return marks, out
+
+    def put(self, part: int, level: int, marks: int, words: np.ndarray) -> None:
+        each = 1 << (self.log_bits[level] - 6)
+        self.words[level][part * each : (part + 1) * each] = words
+        self.marks[level][part] = marks
 
-    def holds(self, shingles: np.ndarray) -> np.ndarray:
+    def holds(self, shingles: np.ndarray, level: int) -> np.ndarray:
         ranges, key = self.split(shingles)
-        start = ranges << (self.log_bits - 6)
+        start = ranges << (self.log_bits[level] - 6)
+        marks = self.marks[level][ranges]
         found = np.ones(len(shingles), dtype=bool)
-        for slot in self.slots(key):
-            word = self.words[start + (slot >> np.uint64(6)).astype(np.int64)]
-            found &= (word >> (slot & np.uint64(63))) & np.uint64(1) == 1
+        for i, slot in enumerate(self.slots(key, level)):
+            word = self.words[level][start + (slot >> np.uint64(6)).astype(np.int64)]
+            found &= (marks <= i) | ((word >> (slot & np.uint64(63))) & np.uint64(1) == 1)
         return found
 
+    def order(self, shingles: np.ndarray) -> np.ndarray:
+        """0 for shingles of one set, 1 for repeated ones, 2 for those of many sets."""
+        out = self.holds(shingles, 0).astype(np.int64)
+        some = np.flatnonzero(out)
+        out[some] += self.holds(shingles[some], 1)
+        return out
+
 
-def _keys(k: int, frequent, repeated: Repeated):
+def _texts(batch: pa.RecordBatch, wanted) -> list[bytes]:
+    """The texts of a batch of (hashed id, text) whose id may be wanted."""
+    hashed = batch.column(0).to_numpy(zero_copy_only=False)
+    return text_bytes(batch.filter(pa.array(in_bloom(wanted.value, hashed))).column(1))
+
+
+def _keys(k: int, frequent, repeated: Repeated, first):
     """Packed hashes (5 bytes each) by range; a batch gives each shingle at most twice."""
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        own = {set_id(s): s for s in shingle_sets(text_bytes(batch.column(0)), SPACES, k) if len(s)}
+        own = {set_id(s): s for s in shingle_sets(_texts(batch, first), SPACES, k) if len(s)}
         if not own:
             return None
         values, seen = np.unique(np.concatenate(list(own.values())), return_counts=True)
@@ -197,13 +225,22 @@ def _slices(repeated: Repeated):
         wide = np.zeros((len(raw), 8), dtype=np.uint8)
         wide[:, :5] = raw
         keys, seen = np.unique(wide.view(np.uint64).ravel(), return_counts=True)
-        out = repeated.slice_of(keys[seen > 1])
-        return pa.table([table.column("part")[:1], pa.array([out.tobytes()], pa.binary())], names=["part", "words"])
+        part = table.column("part")[0].as_py()
+        marks, words = zip(*(repeated.slice_of(keys[seen > more], level) for level, more in enumerate((1, SHORT_LIST))))
+        return pa.table(
+            [
+                pa.array([part, part], pa.int32()),
+                pa.array([0, 1], pa.int32()),
+                pa.array(marks, pa.int32()),
+                pa.array([x.tobytes() for x in words], pa.binary()),
+            ],
+            names=["part", "level", "marks", "words"],
+        )
 
     return run
 
 
-def _prefixes(k: int, percent: int, buckets: int, frequent, repeated):
+def _prefixes(k: int, percent: int, buckets: int, frequent, repeated, first):
     """Packed prefix entries by bucket, and the members of each group (bucket below zero).
 
     Shingles of a single set come first in the order; they match nothing and are left out.
@@ -216,11 +253,11 @@ def _prefixes(k: int, percent: int, buckets: int, frequent, repeated):
         common, rank = frequent.value
         entries: dict[int, tuple[np.ndarray, int]] = {}
         members: dict[int, tuple[int, int]] = {}
-        sets = list(shingle_sets(text_bytes(batch.column(0)), SPACES, k))
+        sets = list(shingle_sets(_texts(batch, first), SPACES, k))
         shingles = np.concatenate(sets) if sets else np.zeros(0, dtype=np.uint64)
         at, often = in_sorted(common, shingles)
-        # 0 for shingles of one set, 1 for repeated ones, above that the count of frequent ones
-        order = np.where(often, rank[at] + 1 if len(rank) else 1, repeated.value.holds(shingles))
+        # 0 for shingles of one set, 1 for repeated ones, 2 for those of many, above that the count of frequent ones
+        order = np.where(often, rank[at] + 1 if len(rank) else 1, repeated.value.order(shingles))
         stop = 0
         for s in sets:
             start, stop = stop, stop + len(s)
@@ -316,9 +353,7 @@ def _whole_sets(k: int, wanted):
     """(set, shingles) of the documents whose hashed id may be wanted."""
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        hashed = batch.column(0).to_numpy(zero_copy_only=False)
-        batch = batch.filter(pa.array(in_bloom(wanted.value, hashed)))
-        own = {set_id(s): s.tobytes() for s in shingle_sets(text_bytes(batch.column(1)), SPACES, k) if len(s)}
+        own = {set_id(s): s.tobytes() for s in shingle_sets(_texts(batch, wanted), SPACES, k) if len(s)}
         if not own:
             return None
         return batch_of(["set", "shingles"], [pa.array(list(own), pa.int64()), pa.array(list(own.values()), pa.binary())])
@@ -453,31 +488,36 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
     order = np.argsort(shingles)
     frequent = context.broadcast((shingles[order], top.column("seen").to_numpy()[order]))
 
+    # Distinct sets with the smallest id of their documents. Only documents with such an id are looked
+    # at further: copies of a set add nothing to lists, and its shingles are no more frequent for them.
+    sets = written(
+        documents.filter("set is not null").groupBy("set").agg(F.min("id").alias("least"), F.max("n").alias("n")), narrow=True
+    )
+    first = context.broadcast(bloom_bits(sets, F.xxhash64("least"), bloom_slots(sets.count())))
+    hashed = source.select(F.xxhash64("id").alias("h"), "text")
+
     total = described.agg(F.sum("n")).first()[0] or 0
     repeated = Repeated(int(np.clip(np.ceil(np.log2(total / RANGE_SHINGLES + 1)), 4, 16)), total)
     slices = (
-        source.select("text")
-        .mapInArrow(_keys(k, frequent, repeated), "part int, keys binary")
+        hashed.mapInArrow(_keys(k, frequent, repeated, first), "part int, keys binary")
         .groupBy("part")
-        .applyInArrow(_slices(repeated), "part int, words binary")
+        .applyInArrow(_slices(repeated), "part int, level int, marks int, words binary")
         .toArrow()
     )
-    each = 1 << (repeated.log_bits - 6)
-    for part, words in zip(slices.column("part").to_pylist(), slices.column("words").to_pylist()):
-        repeated.words[part * each : (part + 1) * each] = np.frombuffer(words, dtype=np.uint64)
+    swept(spark)
+    for part, level, marks, words in zip(*(x.to_pylist() for x in slices.columns)):
+        repeated.put(part, level, marks, np.frombuffer(words, dtype=np.uint64))
     repeated = context.broadcast(repeated)
 
-    # Distinct sets with the smallest id of their documents.
-    sets = written(
-        documents.filter("set is not null").groupBy("set").agg(F.min("id").alias("least"), F.max("n").alias("n")), narrow=True
-    )
     buckets = int(2 ** np.ceil(np.log2(max(16, total * (100 - percent) / 100 / BUCKET_ENTRIES))))
     lists = written(
-        source.select("text")
-        .mapInArrow(_prefixes(k, percent, buckets, frequent, repeated), "bucket int, a binary, b binary, c binary")
+        hashed.mapInArrow(
+            _prefixes(k, percent, buckets, frequent, repeated, first), "bucket int, a binary, b binary, c binary"
+        )
         .groupBy("bucket")
         .applyInArrow(_gather(buckets), LISTS)
     )
+    swept(spark)
     members = written(lists.filter("list is null").select("grp", "set", "size").distinct(), narrow=True)
     grouped = lists.filter("list is not null").groupBy("list", "grp", "size").agg(F.sum("weight").alias("weight"))
     # A group of several sets is a list of its own.
@@ -539,8 +579,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
         wanted = written(named.join(sets, "set").select(F.xxhash64("least").alias("h")), narrow=True)
         bits = context.broadcast(bloom_bits(wanted, F.col("h"), bloom_slots(wanted.count())))
         whole = (
-            source.select(F.xxhash64("id").alias("h"), "text")
-            .mapInArrow(_whole_sets(k, bits), "set long, shingles binary")
+            hashed.mapInArrow(_whole_sets(k, bits), "set long, shingles binary")
             .join(named, "set", "left_semi")
             .dropDuplicates(["set"])
         )
@@ -563,6 +602,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
             .sortWithinPartitions("leader", "part", F.col("set") != F.col("leader"))
             .mapInArrow(_leader_links(percent), "leader long, set long")
         )
+        swept(spark)
         near = F.col("near") | (F.col("set") == F.col("leader"))
         judged = large.join(links.withColumn("near", F.lit(True)), ["leader", "set"], "left")
         judged = judged.select("leader", "set", "size", F.coalesce(near, F.lit(False)).alias("near"))
@@ -593,6 +633,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -
     if links is not None:
         compared = compared.unionByName(links.select(F.col("leader").alias("a"), F.col("set").alias("b")))
     links = written(compared.distinct(), narrow=True)
+    swept(spark)
     placed = connected_components(links, "a", "b")
     of_component = (
         sets.join(placed.withColumnRenamed("node", "set"), "set", "left")
