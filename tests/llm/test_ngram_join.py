@@ -231,3 +231,24 @@ def test_copies_of_a_set_add_nothing_to_lists(spark, monkeypatch):
     got = {(r.doc_id, r.component_id) for r in J.ngram_components(df).collect()}
     assert got == {(100 * c + i, i) for c in range(6) for i in range(40)}
     assert packed.value == 0
+
+
+@pytest.mark.parametrize("copied, copies", [(20, 1), (100, 5)])
+def test_few_rows_are_moved_to_drop_the_others(spark, copied, copies):
+    """With more ids than a broadcast holds, a filter finds the rows that a join has to look at."""
+    texts = [" ".join(f"k{i}w{j}" for j in range(30)) for i in range(100)]
+    rows = [(i, t, "first", {"k": i}) for i, t in enumerate(texts)]
+    rows += [(1000 * c + i, t, "copy", None) for c in range(1, copies + 1) for i, t in enumerate(texts[:copied])]
+    rows += [(None, texts[0], "no id", None), (5000, None, "no text", None), (5001, "", "no text", None)]
+    mixed = "another text of seven words for ids"
+    rows += [(6000, mixed, "first", None), (6001, mixed, "copy", None), (6001, "a text of its own beside the copy", "first", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _words string, more map<string,int>").repartition(4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = J.one_per_component(df)
+        assert "BroadcastNestedLoopJoin" in kept._jdf.queryExecution().executedPlan().toString()
+        got = sorted(((r.doc_id, r._words) for r in kept.collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == sorted(((i, kind) for i, _, kind, _ in rows if kind != "copy"), key=repr)

@@ -19,6 +19,7 @@ __all__ = [
     "bounded_batches",
     "fresh",
     "in_bloom",
+    "maybe_among",
     "prepare",
     "swept",
     "table",
@@ -112,6 +113,24 @@ def in_bloom(bits: np.ndarray, hashed: np.ndarray) -> np.ndarray:
     return found
 
 
+def maybe_among(rows: DataFrame, column: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose `column` may be among the one column of `keys`, and those where it surely is not.
+
+    A Bloom filter of at most 8 MB decides in place, so no row is moved and any column types will do.
+    """
+    log_bits = bloom_slots(keys.count())
+    words = bloom_bits(keys, F.xxhash64(keys.columns[0]), log_bits)
+    name = fresh(rows, "_words")
+    one = F.broadcast(rows.sparkSession.createDataFrame(pa.table({name: pa.array([words.view(np.int64)])})))
+    found = F.lit(True)
+    for s in _SHIFTS:
+        slot = F.shiftrightunsigned(F.xxhash64(column), s).bitwiseAND(F.lit((1 << log_bits) - 1).cast("long"))
+        word = F.get(name, F.shiftright(slot, 6).cast("int"))
+        bit = F.call_function("shiftrightunsigned", word, slot.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+        found = found & (bit.bitwiseAND(F.lit(1).cast("long")) == 1)
+    return rows.join(one, found, "left_semi"), rows.join(one, found, "left_anti")
+
+
 def swept(spark: SparkSession) -> None:
     """Let the driver collect its garbage, as Spark deletes shuffle files only when it finds that
     nobody holds their results any more."""
